@@ -13,6 +13,10 @@ from pyspark.sql import functions as F
 from . import fixed
 
 
+# whitespace run written the same way for Java regex and RE2 (no \s / \v differences)
+WS_RUN = r"[ \t\n\r\f\x0B]+"
+
+
 def _c(col) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
@@ -27,7 +31,7 @@ def sanitize_header(col) -> Column:
     c = F.replace(c, F.lit("<"), F.lit("_LT_"))
     c = F.replace(c, F.lit("%"), F.lit("PCT"))
     c = F.replace(c, F.lit(":"), F.lit(""))
-    c = F.regexp_replace(c, r"[ \t\n\r\f\u000B]+", "_")
+    c = F.regexp_replace(c, WS_RUN, "_")
     c = F.regexp_replace(c, r"__+", "_")
     return F.regexp_replace(c, r"_$", "")
 
@@ -129,7 +133,7 @@ def normalize_species(col) -> Column:
 
 def collapse_spaces(col) -> Column:
     """C11 like `xargs`: trim and squeeze inner whitespace."""
-    return F.trim(F.regexp_replace(_c(col), r"\s+", " "))
+    return F.trim(F.regexp_replace(_c(col), WS_RUN, " "))
 
 
 def strip_quotes(col) -> Column:
@@ -170,7 +174,7 @@ def release_date(col) -> Column:
     """Free-form text -> DATE by trying fixed formats; unparsable/empty -> NULL (L-9)."""
     c = F.trim(_c(col))
     c = F.when(c != "", c)
-    return F.coalesce(*[F.try_to_date(c, F.lit(fmt)) for fmt in fixed.RELEASE_DATE_FORMATS])
+    return F.coalesce(*[F.try_to_date(c, fmt) for fmt in fixed.RELEASE_DATE_FORMATS])
 
 
 def release_date_text(col) -> Column:

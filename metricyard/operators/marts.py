@@ -63,25 +63,30 @@ def table_totals(df: DataFrame, sample_col: str, prefix: str = "") -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias(f"{prefix}rows"), F.count_distinct(F.col(sample_col)).alias(f"{prefix}samples"))
 
 
+def _tagged(df: DataFrame | None, tag: str, sample_col: str | None) -> DataFrame | None:
+    if df is None:
+        return None
+    sample = F.col(sample_col).cast("string") if sample_col else F.lit(None).cast("string")
+    return df.select(F.lit(tag).alias("_tag"), sample.alias("_sample"))
+
+
 def publish_delta(before: DataFrame | None, after: DataFrame, sample_col: str,
                   seq_before: DataFrame | None = None, seq_after: DataFrame | None = None,
                   snapshot_exists: bool | None = None) -> DataFrame:
-    """A3: after, before and delta of rows, distinct samples and sequencing rows; first run has
-    before = 0. ``publish`` is false only when a snapshot exists and both row deltas are 0."""
-    a = table_totals(after, sample_col, "after_")
-    if before is not None:
-        b = table_totals(before, sample_col, "before_")
-    else:
-        b = after.sparkSession.range(1).select(F.lit(0).cast("bigint").alias("before_rows"),
-                                               F.lit(0).cast("bigint").alias("before_samples"))
-    one = a.crossJoin(b)  # both sides are single-row aggregates
-    sa = seq_after.agg(F.count(F.lit(1)).alias("after_seq_rows")) if seq_after is not None else \
-        after.sparkSession.range(1).select(F.lit(0).cast("bigint").alias("after_seq_rows"))
-    sb = seq_before.agg(F.count(F.lit(1)).alias("before_seq_rows")) if seq_before is not None else \
-        after.sparkSession.range(1).select(F.lit(0).cast("bigint").alias("before_seq_rows"))
-    one = one.crossJoin(sa).crossJoin(sb)
+    """A3: after, before and delta of rows, distinct samples and sequencing rows; an absent
+    snapshot counts 0. ``publish`` is false only when a snapshot exists and both row deltas are 0.
+    All six counters come from one aggregation over the tagged union of the inputs."""
+    parts = [p for p in (_tagged(after, "a", sample_col), _tagged(before, "b", sample_col),
+                         _tagged(seq_after, "sa", None), _tagged(seq_before, "sb", None)) if p is not None]
+    u = reduce(lambda x, y: x.unionByName(y), parts)
+    tag = F.col("_tag")
+    agg = u.agg(
+        F.count_if(tag == "a").alias("after_rows"), F.count_if(tag == "b").alias("before_rows"),
+        F.count_distinct(F.when(tag == "a", F.col("_sample"))).alias("after_samples"),
+        F.count_distinct(F.when(tag == "b", F.col("_sample"))).alias("before_samples"),
+        F.count_if(tag == "sa").alias("after_seq_rows"), F.count_if(tag == "sb").alias("before_seq_rows"))
     exists = F.lit(before is not None if snapshot_exists is None else snapshot_exists)
-    return one.select(
+    return agg.select(
         "after_rows", "before_rows", (F.col("after_rows") - F.col("before_rows")).alias("delta_rows"),
         "after_samples", "before_samples", (F.col("after_samples") - F.col("before_samples")).alias("delta_samples"),
         "after_seq_rows", "before_seq_rows", (F.col("after_seq_rows") - F.col("before_seq_rows")).alias("delta_seq_rows"),
@@ -91,11 +96,12 @@ def publish_delta(before: DataFrame | None, after: DataFrame, sample_col: str,
 def import_stats(before: DataFrame, new_rows: DataFrame, sample_col: str) -> DataFrame:
     """A4: before, after, new = max(after-before, 0), and the batch's distinct sample count.
     ``new_rows`` is the anti-join result, so no second scan of the target is made."""
-    b = before.agg(F.count(F.lit(1)).alias("before"))
-    n = new_rows.agg(F.count(F.lit(1)).alias("added"), F.count_distinct(F.col(sample_col)).alias("sample_size"))
-    return b.crossJoin(n).select(
-        "before", (F.col("before") + F.col("added")).alias("after"),
-        F.greatest(F.col("added"), F.lit(0)).cast("bigint").alias("new"), "sample_size")
+    u = _tagged(before, "b", None).unionByName(_tagged(new_rows, "n", sample_col))
+    tag = F.col("_tag")
+    agg = u.agg(F.count_if(tag == "b").alias("before"), F.count_if(tag == "n").alias("added"),
+                F.count_distinct(F.when(tag == "n", F.col("_sample"))).alias("sample_size"))
+    return agg.select("before", (F.col("before") + F.col("added")).alias("after"),
+                      F.greatest(F.col("added"), F.lit(0)).cast("bigint").alias("new"), "sample_size")
 
 
 def candidate_counts(candidates: DataFrame, applications: DataFrame, app_col: str = "application",

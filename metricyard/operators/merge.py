@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import clean
+from .joins import fits_broadcast, null_safe_on, prefixed
 
 
 def null_safe_equal(left: DataFrame, right: DataFrame, cols: Sequence[str]) -> Column:
@@ -42,12 +43,27 @@ def scope_to_partitions(target: DataFrame, batch: DataFrame, partition_cols: Seq
 
 
 def new_rows_if_absent(target: DataFrame, batch: DataFrame, key: Sequence[str],
-                       partition_cols: Sequence[str] = (), order_col: str | None = None) -> DataFrame:
-    """M1 rows to write: batch rows whose key (null-safe) is not stored yet; batch duplicates collapse."""
+                       partition_cols: Sequence[str] = (), order_col: str | None = None,
+                       check_broadcast: bool = True) -> DataFrame:
+    """M1 rows to write: batch rows whose key (null-safe) is not stored yet; batch duplicates collapse.
+
+    Plan for a large target and a small batch: (1) the batch is de-duplicated on the key
+    (partial aggregation); (2) the stored keys that collide with the batch are found by a
+    left-semi join of the *target* against the batch keys -- broadcast after a size check,
+    so the target is only scanned (and partition-pruned), never shuffled; (3) the batch is
+    anti-joined with that small collision set.
+    """
     key = list(key)
     b = dedupe(batch, key, order_col)
-    t = scope_to_partitions(target, b, partition_cols).select(*key)
-    return b.join(t, null_safe_equal(b, t, key), "left_anti").select(*batch.columns)
+    scoped = scope_to_partitions(target, b, partition_cols)
+    t = prefixed(scoped.select(*key), "_t_")
+    tk = [f"_t_{c}" for c in key]
+    bk = prefixed(b.select(*key), "_b_")
+    if check_broadcast and fits_broadcast(bk, bound_by=batch):
+        hits = t.join(F.broadcast(bk), null_safe_on(t, bk, tk, [f"_b_{c}" for c in key]), "left_semi")
+        return b.join(hits, null_safe_on(b, hits, key, tk), "left_anti").select(*batch.columns)
+    # batch beyond the broadcast bound: one shuffled anti-join (AQE sizes partitions, splits skew)
+    return b.join(t, null_safe_on(b, t, key, tk), "left_anti").select(*batch.columns)
 
 
 def append_if_absent(target: DataFrame, batch: DataFrame, key: Sequence[str],
@@ -97,20 +113,22 @@ def evolve_append(target: DataFrame, batch: DataFrame, fixed_cols: Sequence[str]
     return append_except(t, b)
 
 
-def probe_rows(batch: DataFrame, group_cols: Sequence[str], order_col: str, n: int = 2) -> DataFrame:
+def probe_rows(batch: DataFrame, group_cols: Sequence[str], order_col: str | Sequence[str], n: int = 2) -> DataFrame:
     """The n-th row per group in ``order_col`` order. ``row_number() = n`` lets Spark put a
     per-partition group limit before the shuffle, so a hot group does not move all its rows."""
-    w = Window.partitionBy(*group_cols).orderBy(F.col(order_col))
+    order = [order_col] if isinstance(order_col, str) else list(order_col)
+    w = Window.partitionBy(*group_cols).orderBy(*[F.col(c) for c in order])
     return batch.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == n).drop("_rn")
 
 
-def batch_seen_by_probe(batch: DataFrame, target: DataFrame, group_cols: Sequence[str], order_col: str,
+def batch_seen_by_probe(batch: DataFrame, target: DataFrame, group_cols: Sequence[str], order_col: str | Sequence[str],
                         key: Sequence[str], n: int = 2) -> DataFrame:
     """M6: skip whole groups whose n-th row is already in the target (optional, ledger L-5)."""
     probes = probe_rows(batch, group_cols, order_col, n)
-    t = target.select(*key)
-    seen = probes.join(t, null_safe_equal(probes, t, key), "left_semi").select(*group_cols).distinct()
-    return batch.join(seen, list(group_cols), "left_anti")
+    t = prefixed(target.select(*key), "_t_")
+    seen = (probes.join(t, null_safe_on(probes, t, key, [f"_t_{c}" for c in key]), "left_semi")
+                  .select(*group_cols).distinct())
+    return batch.join(seen, list(group_cols), "left_anti").select(*batch.columns)
 
 
 def changed_since(content_hash: DataFrame, last_run: DataFrame, key: str = "path") -> DataFrame:

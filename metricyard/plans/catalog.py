@@ -92,3 +92,354 @@ def app_index_q(spark, sf_dir):
         F.lit("conversations").alias("Application"), F.col("role").alias("Investigator_Folder"),
         F.col("conv_id").alias("Sample_ID"))
     return marts.app_index([(ev, "Sample_Name"), (docs, "Sample_Name"), (conv, "Sample_ID")])
+
+
+# ------------------------------------------------------------------ R2 numeric pivot
+def orders_report(spark, sf_dir) -> DataFrame:
+    """orders as report files: one file per priority, header + cells arrays, row_no = orderkey."""
+    o = read_table(spark, sf_dir, "orders")
+    header = F.array(*[F.lit(x) for x in ("Sample_ID", "Status", "Lot", "Plate_Number", "Total", "Date")])
+    cells = F.array(
+        F.concat(F.lit("o"), F.col("o_orderkey").cast("string")),
+        F.col("o_orderstatus"),
+        F.when(F.col("o_orderstatus") == "F", F.col("o_custkey").cast("string")).otherwise(F.lit("n.a")),
+        F.col("o_custkey").cast("string"),
+        F.format_string("%.2f", F.col("o_totalprice")),
+        F.date_format("o_orderdate", "yyyy-MM-dd"))
+    return o.select(F.col("o_orderpriority").alias("file"), F.col("o_orderkey").alias("row_no"),
+                    header.alias("header"), cells.alias("cells"))
+
+
+@register("pivot_long_numeric")
+def pivot_long_numeric(spark, sf_dir):
+    """R2 + F8: per file, the first column whose first-row cell is numeric starts the metrics;
+    Plate_Number stays an id; missing spellings become NULL but the row stays."""
+    from ..operators import ordered
+    rep = orders_report(spark, sf_dir)
+    first = ordered.first_by_group(rep, ["file"], "row_no", F.col("cells"), "first_cells")
+    start = first.select("file", shape.first_numeric_position(F.col("first_cells")).alias("start"))
+    staged = ordered.attach_per_group(rep, start, ["file"])
+    long = shape.pivot_long_array(staged, F.col("start"), id_exceptions=("Plate_Number",))
+    return long.select("file", F.col("ids")["Sample_ID"].alias("Sample_ID"),
+                       F.col("ids")["Plate_Number"].alias("Plate_Number"), "name",
+                       clean.nullify_missing("value").alias("value"))
+
+
+# ------------------------------------------------------------------ M2 / M3 / M4 / M6
+@register("append_except")
+def append_except_q(spark, sf_dir):
+    """M2 + O4 + J7: target = customers with balance under 5000; batch = every customer (twice),
+    with the status column lower-cased for negative balances and an extra batch-only column.
+    Inserted: batch rows over the common columns EXCEPT the target's."""
+    c = read_table(spark, sf_dir, "customer")
+    target = c.filter(F.col("c_acctbal") < 5000).select("c_custkey", "c_name", "c_mktsegment", "c_nationkey")
+    changed = F.when(F.col("c_acctbal") < 0, F.lower("c_mktsegment")).otherwise(F.col("c_mktsegment"))
+    one = c.select("c_custkey", "c_name", changed.alias("c_mktsegment"), "c_acctbal")
+    batch = one.unionByName(one)
+    return merge.append_except(target, batch)
+
+
+@register("append_distinct_all")
+def append_distinct_all_q(spark, sf_dir):
+    """M3 + O7: stored suppliers, new rows = customers and the suppliers again; union by name
+    with missing columns as NULL, full duplicates dropped."""
+    s = read_table(spark, sf_dir, "supplier").select(
+        F.col("s_name").alias("name"), F.col("s_nationkey").alias("nationkey"), F.col("s_acctbal").alias("acctbal"))
+    c = read_table(spark, sf_dir, "customer").select(
+        F.col("c_name").alias("name"), F.col("c_nationkey").alias("nationkey"), F.col("c_mktsegment").alias("segment"))
+    return merge.append_distinct_all(s, c.unionByName(s, allowMissingColumns=True))
+
+
+@register("evolve_append")
+def evolve_append_q(spark, sf_dir):
+    """M4 + M2: region rows stored; nation rows arrive with two extra, oddly spelt columns that
+    are cleaned (C2) and added to the table."""
+    r = read_table(spark, sf_dir, "region").select(
+        F.col("r_name").alias("Investigator_Folder"), F.col("r_regionkey").cast("string").alias("Project_ID"),
+        F.lit("region").alias("name"), F.col("r_name").alias("value"))
+    n = read_table(spark, sf_dir, "nation").select(
+        F.col("n_name").alias("Investigator_Folder"), F.col("n_nationkey").cast("string").alias("Project_ID"),
+        F.col("n_nationkey").cast("string").alias("Nation Key(n)"), F.col("n_regionkey").cast("string").alias("n.region"),
+        F.lit("nation").alias("name"), F.col("n_name").alias("value"))
+    return merge.evolve_append(r, n, fixed_cols=("Investigator_Folder", "Project_ID", "name", "value"))
+
+
+@register("batch_probe_skip")
+def batch_probe_skip(spark, sf_dir):
+    """M6 + W3: the batch is every line item; an order is skipped when its 2nd line (by line
+    number) is already stored (stored = lines shipped before 1995-07-01)."""
+    li = read_table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", F.col("l_quantity").cast("string").alias("l_quantity"), "l_shipdate",
+        "l_partkey", "l_suppkey")
+    target = li.filter(F.col("l_shipdate") < F.lit("1995-07-01").cast("timestamp_ntz"))
+    # file order = line number, then the remaining columns (line numbers repeat in this table)
+    order = ["l_linenumber", "l_shipdate", "l_partkey", "l_suppkey", "l_quantity"]
+    kept = merge.batch_seen_by_probe(li, target, ["l_orderkey"], order,
+                                     key=["l_orderkey", "l_linenumber", "l_quantity"])
+    return kept.select("l_orderkey", "l_linenumber", "l_quantity")
+
+
+# ------------------------------------------------------------------ A2-A5, U1-U2
+@register("publish_delta")
+def publish_delta_q(spark, sf_dir):
+    """A3 (+A2): snapshot = orders before 1997 and lines shipped before 1997; now = all."""
+    o = read_table(spark, sf_dir, "orders")
+    li = read_table(spark, sf_dir, "lineitem")
+    cut = F.lit("1997-01-01").cast("timestamp_ntz")
+    return marts.publish_delta(o.filter(F.col("o_orderdate") < cut), o, "o_custkey",
+                               seq_before=li.filter(F.col("l_shipdate") < cut), seq_after=li)
+
+
+@register("import_stats")
+def import_stats_q(spark, sf_dir):
+    """A4: orders before 1997 stored; batch = all orders; counts from the anti-join result."""
+    o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    before = o.filter(F.col("o_orderdate") < F.lit("1997-01-01").cast("timestamp_ntz"))
+    new = merge.new_rows_if_absent(before, o, ["o_orderkey", "o_custkey", "o_orderdate"])
+    return marts.import_stats(before, new, "o_custkey")
+
+
+def status_table(spark, sf_dir) -> DataFrame:
+    o = read_table(spark, sf_dir, "orders")
+    return o.select("o_orderkey", F.col("o_custkey").cast("string").alias("Sample_Name"),
+                    F.col("o_orderpriority").alias("Project_run_type"), F.col("o_orderstatus").alias("ProjStatus"))
+
+
+def sample_list(spark, sf_dir) -> DataFrame:
+    """Names of BUILDING customers written padded, with blank entries, as a text list."""
+    c = read_table(spark, sf_dir, "customer").filter(F.col("c_mktsegment") == "BUILDING")
+    raw = c.select(F.concat(F.lit("  "), F.col("c_custkey").cast("string"), F.lit(" ,, ")).alias("line"))
+    return (raw.select(F.explode(clean.split_list("line")).alias("Sample_Name")).distinct())
+
+
+@register("count_to_update")
+def count_to_update(spark, sf_dir):
+    """A5 + F14: rows of run type '1-URGENT', status 'O' (the 'Delivered' of this table), sample in list."""
+    t = merge.status_scope(status_table(spark, sf_dir), "Project_run_type", "1-URGENT", sample_list(spark, sf_dir))
+    return t.filter(F.col("ProjStatus") == "O").agg(F.count(F.lit(1)).alias("n_to_update"))
+
+
+@register("status_update")
+def status_update(spark, sf_dir):
+    """Matching rows with status 'O' become 'U'; every other row unchanged."""
+    return merge.update_status(status_table(spark, sf_dir), "Project_run_type", "1-URGENT",
+                               sample_list(spark, sf_dir), from_status="O", to_status="U")
+
+
+@register("export_scope")
+def export_scope(spark, sf_dir):
+    """After the update, all rows of the run type and samples whatever their status."""
+    updated = merge.update_status(status_table(spark, sf_dir), "Project_run_type", "1-URGENT",
+                                  sample_list(spark, sf_dir), from_status="O", to_status="U")
+    return merge.status_scope(updated, "Project_run_type", "1-URGENT", sample_list(spark, sf_dir))
+
+
+# ------------------------------------------------------------------ O2/O3/J8
+def three_sources(spark, sf_dir):
+    ev = read_table(spark, sf_dir, "events").select(
+        F.col("event_type").alias("Application"), F.date_format("ts", "yyyy-MM").alias("Investigator_Folder"))
+    docs = read_table(spark, sf_dir, "documents").select(
+        F.col("lang").alias("Application"), F.col("source").alias("Investigator_Folder"))
+    conv = read_table(spark, sf_dir, "conversations").select(
+        F.col("role").alias("Application"), F.lit("conversations").alias("Investigator_Folder"))
+    return ev, docs, conv
+
+
+@register("unified_view")
+def unified_view_q(spark, sf_dir):
+    """O2 + K4: distinct (Application, Investigator_Folder, Source) over three tables."""
+    ev, docs, conv = three_sources(spark, sf_dir)
+    return marts.unified_view([(ev, "events"), (docs, "documents"), (conv, "conversations")],
+                              name="unified_qc_view")
+
+
+@register("app_present")
+def app_present_q(spark, sf_dir):
+    """J8 + O3: candidate applications = page languages (upper-cased when the url is https);
+    present when any table holds them, ignoring case, and exactly."""
+    ev, docs, conv = three_sources(spark, sf_dir)
+    p = read_table(spark, sf_dir, "pages")
+    lang = F.regexp_extract("url", r"^https?://[^/]+/([a-z]+)/", 1)
+    cand = p.select(F.when(F.col("url").startswith("https"), F.upper(lang)).otherwise(lang).alias("Application")).distinct()
+    return marts.app_present([ev, docs, conv], cand)
+
+
+# ------------------------------------------------------------------ J3/J4/J5
+def enriched_lines(spark, sf_dir):
+    li = read_table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", F.col("l_partkey").cast("string").alias("Sample_Name"),
+        F.col("l_suppkey").cast("string").alias("GT_QC_Sample_ID"))
+    part = read_table(spark, sf_dir, "part").select(
+        F.when(F.col("p_size") <= 25, F.col("p_partkey").cast("string")).alias("name_key"),
+        F.col("p_size").cast("string").alias("id_key"), F.col("p_partkey").alias("row_no"),
+        F.col("p_brand").alias("Domain1"), F.col("p_type").alias("Species1"))
+    from ..operators import enrich
+    return enrich.enrich_two_key(li, part, ("Sample_Name", "name_key"), ("GT_QC_Sample_ID", "id_key"),
+                                 "row_no", ["Domain1", "Species1"])
+
+
+@register("enrich_two_key")
+def enrich_two_key_q(spark, sf_dir):
+    """J3 + W2: line items enriched by part -- by part key (parts of size <= 25), else by
+    supplier key = part size (last part of that size wins), else 'NaN'."""
+    return enriched_lines(spark, sf_dir)
+
+
+@register("unmatched")
+def unmatched_q(spark, sf_dir):
+    """Rows with no match whose two keys are present."""
+    from ..operators import enrich
+    return enrich.unmatched_report(enriched_lines(spark, sf_dir), "Sample_Name", "GT_QC_Sample_ID").select(
+        "l_orderkey", "l_linenumber", "Sample_Name", "GT_QC_Sample_ID")
+
+
+@register("lanes_x_samples")
+def lanes_x_samples_q(spark, sf_dir):
+    """J5 + J6 + F1: project = region; samples = suppliers (with their nation's region); lanes =
+    the nations of the region. Every sample repeated per lane; the region key is hot (few
+    regions), so the sample side is salted."""
+    from ..operators import enrich
+    n = read_table(spark, sf_dir, "nation")
+    s = read_table(spark, sf_dir, "supplier")
+    samples = s.join(n.select("n_nationkey", "n_regionkey"), s["s_nationkey"] == n["n_nationkey"], "inner").select(
+        F.col("n_regionkey").alias("Project_ID"), "s_suppkey", "s_name")
+    lanes = n.select(F.col("n_regionkey").alias("Project_ID"), F.col("n_nationkey").alias("Lane"),
+                     F.col("n_name").alias("Lane_Name"))
+    return enrich.lanes_x_samples(samples, lanes, ["Project_ID"], salt=8, salt_from=["s_suppkey"])
+
+
+# ------------------------------------------------------------------ scalar functions
+@register("percent_two_decimals")
+def percent_two_decimals(spark, sf_dir):
+    """Fraction -> percent text with two decimals."""
+    li = read_table(spark, sf_dir, "lineitem")
+    return li.select("l_orderkey", "l_linenumber", clean.fraction_to_percent("l_discount").alias("discount_pct"))
+
+
+@register("path_parts")
+def path_parts(spark, sf_dir):
+    """C5 + C6 + C7 over page urls."""
+    p = read_table(spark, sf_dir, "pages")
+    u = F.col("url")
+    return p.select("page_id",
+                    clean.delivery_folder(u).alias("delivery_folder"),
+                    clean.delivery_folder(u, "PacBio").alias("delivery_folder_pacbio"),
+                    clean.parent_dir(u).alias("parent_dir"), clean.base_name(u).alias("base_name"),
+                    clean.last_token(u, "_").alias("last_token"), clean.first_token(u, ".").alias("first_token"))
+
+
+@register("sanitize_header")
+def sanitize_header_q(spark, sf_dir):
+    """C1-C3 on each page title, and C1 over the whole page text (digest + length)."""
+    p = read_table(spark, sf_dir, "pages")
+    title = F.regexp_extract("html", r"<title>(.*?)</title>", 1)
+    whole = clean.sanitize_header("html")
+    return p.select("page_id", clean.sanitize_header(title).alias("title_sanitized"),
+                    clean.clean_column_name(title).alias("title_clean"),
+                    clean.pacbio_header(title).alias("title_pacbio"),
+                    F.md5(whole).alias("html_sanitized_md5"), F.length(whole).alias("html_sanitized_len"))
+
+
+@register("species_names")
+def species_names(spark, sf_dir):
+    """C8 on a species field built from each document, and over the whole text (digest)."""
+    d = read_table(spark, sf_dir, "documents")
+    sp = F.concat(F.when(F.col("lang") == "en", "human").when(F.col("lang") == "de", "Human")
+                   .when(F.col("lang") == "fr", "homo sapiens").otherwise("marmoset"), F.lit(" "), F.col("source"))
+    return d.select("doc_id", clean.normalize_species(sp).alias("Species"),
+                    F.md5(clean.normalize_species("text")).alias("text_md5"))
+
+
+@register("strip_commas")
+def strip_commas(spark, sf_dir):
+    """C4: a CSV line with a quoted thousands-separated number and a quoted text cell."""
+    c = read_table(spark, sf_dir, "customer")
+    line = F.concat(F.lit('"'), F.format_number("c_acctbal", 2), F.lit('",'), F.col("c_name"),
+                    F.lit(',"'), F.col("c_mktsegment"), F.lit(', x"'))
+    return c.select("c_custkey", line.alias("raw"), clean.strip_inner_commas_line(line).alias("cleaned"))
+
+
+@register("lists")
+def lists(spark, sf_dir):
+    """C11 + C16 + S15 over whole documents: distinct trimmed non-blank items of a comma list
+    (sentences split at '.'), and the collapsed text digest."""
+    d = read_table(spark, sf_dir, "documents")
+    items = clean.split_list(F.regexp_replace("text", r"[.;]", ","))
+    return d.select("doc_id", F.size(items).alias("n_items"),
+                    F.md5(F.array_join(F.array_sort(items), "|")).alias("items_md5"),
+                    F.md5(clean.collapse_spaces("text")).alias("collapsed_md5"))
+
+
+@register("missing_values")
+def missing_values(spark, sf_dir):
+    """F5-F9 + X1: event values written as text with missing spellings by event type."""
+    e = read_table(spark, sf_dir, "events")
+    raw = (F.when(F.col("event_type") == "error", F.lit("NaN"))
+            .when(F.col("event_type") == "view", F.lit(" n.a. "))
+            .when(F.col("value") < 1, F.lit(""))
+            .when(F.col("event_type") == "signup", F.lit("NULL"))
+            .when(F.col("event_type") == "click", F.lit("n.a"))
+            .otherwise(F.format_string("%.2f", F.col("value"))))
+    cells = F.split(F.concat_ws(",", F.col("event_type"), raw), ",", -1)
+    return e.select("event_id", raw.alias("raw"), clean.is_missing(raw).alias("is_missing"),
+                    clean.value_is_dropped(raw).alias("dropped"), clean.nullify_missing(raw).alias("nullified"),
+                    clean.coalesce_missing(raw).alias("coalesced"),
+                    F.size(clean.pad_array(cells, 4)).alias("padded_width"))
+
+
+@register("json_lookup")
+def json_lookup(spark, sf_dir):
+    """Q1-Q5 + S10 on event props and on settings-like JSON built from each event."""
+    e = read_table(spark, sf_dir, "events")
+    k = clean.json_value("props", "k")
+    settings = F.concat(F.lit('{"application": "'), F.col("event_type"), F.lit('", "run": {"path": "/runs/'),
+                        F.col("user_id").cast("string"), F.lit('"}, "path": "/top", "organism": ["'),
+                        F.initcap("event_type"), F.lit('", "x"]}'))
+    attrs = F.concat(F.lit('{"attributes": [{"id": "raw_data_report.nreads", "value": "'), k,
+                     F.lit('"}, {"id": "ccs2.percent_ccs_bases_q30", "value": "0.'), k,
+                     F.lit('"}, {"value": "7"}]}'))
+    m = clean.attributes_map(attrs)
+    return e.select("event_id", k.alias("k"), clean.json_value(settings, "application").alias("application"),
+                    clean.json_first_path(settings).alias("first_path"),
+                    clean.json_first_element(settings, "organism").alias("organism"),
+                    m["raw_data_report.nreads"].alias("Polymerase_Reads_raw"),
+                    clean.fraction_to_percent(m["ccs2.percent_ccs_bases_q30"]).alias("Q30_base_PCT_ccs_raw"),
+                    m["raw_data_report.nbases"].alias("Polymerase_Read_Bases_raw"))
+
+
+@register("proj_status")
+def proj_status_q(spark, sf_dir):
+    """Undelivered when the folder or the release date is missing."""
+    e = read_table(spark, sf_dir, "events")
+    folder = F.when(F.col("event_type") == "error", F.lit("NULL")).otherwise(F.col("user_id").cast("string"))
+    date = F.when(F.col("value") > 40, F.lit("")).otherwise(F.date_format("ts", "yyyy-MM-dd"))
+    return e.select("event_id", clean.proj_status(folder, date).alias("ProjStatus"))
+
+
+def date_text(spark, sf_dir):
+    o = read_table(spark, sf_dir, "orders")
+    d = F.col("o_orderdate")
+    text = (F.when(F.col("o_orderpriority") == "1-URGENT", F.date_format(d, "yyyy-MM-dd"))
+             .when(F.col("o_orderpriority") == "2-HIGH", F.date_format(d, "yyyy/MM/dd"))
+             .when(F.col("o_orderpriority") == "3-MEDIUM", F.date_format(d, "yyyyMMdd"))
+             .when(F.col("o_orderpriority") == "4-NOT SPECIFIED", F.lit(""))
+             .otherwise(F.lit("not a date")))
+    return o.select("o_orderkey", "o_orderdate", text.alias("raw_date"))
+
+
+@register("release_date")
+def release_date_q(spark, sf_dir):
+    """Free-form text to YYYY-MM-DD; empty and unparsable text is missing (ledger L-9)."""
+    return date_text(spark, sf_dir).select("o_orderkey", "raw_date",
+                                           clean.release_date_text("raw_date").alias("Release_Date"))
+
+
+@register("age_filters")
+def age_filters(spark, sf_dir):
+    """D2-D4 + T8: whole days to the newest order, day stamp, and the retention flag."""
+    o = read_table(spark, sf_dir, "orders")
+    newest = o.select(F.max("o_orderdate")).scalar()   # scalar subquery, evaluated once
+    j = o.withColumn("_newest", newest)
+    return j.select("o_orderkey", F.date_format("o_orderdate", "yyyyMMdd").alias("day_stamp"),
+                    clean.days_between(F.to_date("_newest"), F.to_date("o_orderdate")).alias("days_old"),
+                    (clean.days_between(F.to_date("_newest"), F.to_date("o_orderdate")) > 10).alias("expired"))

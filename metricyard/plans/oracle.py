@@ -76,3 +76,286 @@ UNION ALL
 SELECT 'conversations', role, count(DISTINCT conv_id) FROM conversations
 WHERE role IS NOT NULL GROUP BY 1, 2
 """
+
+ORACLE["pivot_long_numeric"] = """
+WITH r AS (
+  SELECT o_orderpriority AS file, o_orderkey AS row_no, 'o' || o_orderkey AS Sample_ID,
+         o_orderstatus AS Status,
+         CASE WHEN o_orderstatus = 'F' THEN CAST(o_custkey AS VARCHAR) ELSE 'n.a' END AS Lot,
+         CAST(o_custkey AS VARCHAR) AS Plate_Number, printf('%.2f', o_totalprice) AS Total,
+         strftime(o_orderdate, '%Y-%m-%d') AS Date
+  FROM orders),
+f AS (SELECT file, arg_min(Status, row_no) = 'F' AS lot_first FROM r GROUP BY file)
+SELECT r.file, Sample_ID, Plate_Number, 'Lot' AS name,
+       CASE WHEN lower(Lot) IN ('nan', 'n.a', 'n.a.') THEN NULL ELSE Lot END AS value
+FROM r JOIN f ON r.file = f.file WHERE f.lot_first
+UNION ALL SELECT file, Sample_ID, Plate_Number, 'Total', Total FROM r
+UNION ALL SELECT file, Sample_ID, Plate_Number, 'Date', Date FROM r
+"""
+
+ORACLE["append_except"] = """
+WITH target AS (SELECT c_custkey, c_name, c_mktsegment, c_nationkey FROM customer WHERE c_acctbal < 5000),
+one AS (SELECT c_custkey, c_name,
+               CASE WHEN c_acctbal < 0 THEN lower(c_mktsegment) ELSE c_mktsegment END AS c_mktsegment
+        FROM customer),
+batch AS (SELECT * FROM one UNION ALL SELECT * FROM one)
+SELECT * FROM target
+UNION ALL
+SELECT c_custkey, c_name, c_mktsegment, NULL::INTEGER AS c_nationkey FROM (
+  SELECT c_custkey, c_name, c_mktsegment FROM batch
+  EXCEPT
+  SELECT c_custkey, c_name, c_mktsegment FROM target)
+"""
+
+ORACLE["append_distinct_all"] = """
+SELECT DISTINCT * FROM (
+  SELECT s_name AS name, s_nationkey AS nationkey, s_acctbal AS acctbal, NULL::VARCHAR AS segment FROM supplier
+  UNION ALL SELECT c_name, c_nationkey, NULL::DOUBLE, c_mktsegment FROM customer
+  UNION ALL SELECT s_name, s_nationkey, s_acctbal, NULL::VARCHAR FROM supplier)
+"""
+
+ORACLE["evolve_append"] = """
+WITH r AS (SELECT r_name AS Investigator_Folder, CAST(r_regionkey AS VARCHAR) AS Project_ID,
+                  'region' AS name, r_name AS value,
+                  NULL::VARCHAR AS Nation_Key_n, NULL::VARCHAR AS n_region FROM region),
+n AS (SELECT n_name AS Investigator_Folder, CAST(n_nationkey AS VARCHAR) AS Project_ID,
+             'nation' AS name, n_name AS value,
+             CAST(n_nationkey AS VARCHAR) AS Nation_Key_n, CAST(n_regionkey AS VARCHAR) AS n_region FROM nation)
+SELECT * FROM r
+UNION ALL
+(SELECT * FROM n EXCEPT SELECT * FROM r)
+"""
+
+ORACLE["batch_probe_skip"] = """
+WITH li AS (SELECT l_orderkey, l_linenumber, CAST(l_quantity AS VARCHAR) AS l_quantity, l_shipdate,
+                   l_partkey, l_suppkey FROM lineitem),
+target AS (SELECT l_orderkey, l_linenumber, l_quantity FROM li WHERE l_shipdate < TIMESTAMP '1995-07-01'),
+probe AS (
+  SELECT l_orderkey, l_linenumber, l_quantity FROM (
+    SELECT *, row_number() OVER (PARTITION BY l_orderkey
+                                ORDER BY l_linenumber, l_shipdate, l_partkey, l_suppkey, l_quantity) AS rn FROM li) WHERE rn = 2),
+seen AS (SELECT DISTINCT p.l_orderkey FROM probe p JOIN target t
+         ON p.l_orderkey IS NOT DISTINCT FROM t.l_orderkey AND p.l_linenumber IS NOT DISTINCT FROM t.l_linenumber
+        AND p.l_quantity IS NOT DISTINCT FROM t.l_quantity)
+SELECT l_orderkey, l_linenumber, l_quantity FROM li WHERE l_orderkey NOT IN (SELECT l_orderkey FROM seen)
+"""
+
+ORACLE["publish_delta"] = """
+WITH a AS (SELECT count(*) AS after_rows, count(DISTINCT o_custkey) AS after_samples FROM orders),
+b AS (SELECT count(*) AS before_rows, count(DISTINCT o_custkey) AS before_samples
+      FROM orders WHERE o_orderdate < TIMESTAMP '1997-01-01'),
+sa AS (SELECT count(*) AS after_seq_rows FROM lineitem),
+sb AS (SELECT count(*) AS before_seq_rows FROM lineitem WHERE l_shipdate < TIMESTAMP '1997-01-01')
+SELECT after_rows, before_rows, after_rows - before_rows AS delta_rows,
+       after_samples, before_samples, after_samples - before_samples AS delta_samples,
+       after_seq_rows, before_seq_rows, after_seq_rows - before_seq_rows AS delta_seq_rows,
+       NOT (after_rows - before_rows = 0 AND after_seq_rows - before_seq_rows = 0) AS publish
+FROM a, b, sa, sb
+"""
+
+ORACLE["import_stats"] = """
+WITH b AS (SELECT o_orderkey, o_custkey, o_orderdate FROM orders WHERE o_orderdate < TIMESTAMP '1997-01-01'),
+n AS (SELECT DISTINCT o_orderkey, o_custkey, o_orderdate FROM orders o
+      WHERE NOT EXISTS (SELECT 1 FROM b WHERE b.o_orderkey = o.o_orderkey AND b.o_custkey = o.o_custkey
+                        AND b.o_orderdate = o.o_orderdate))
+SELECT (SELECT count(*) FROM b) AS before,
+       (SELECT count(*) FROM b) + (SELECT count(*) FROM n) AS after,
+       greatest((SELECT count(*) FROM n), 0) AS new,
+       (SELECT count(DISTINCT CAST(o_custkey AS VARCHAR)) FROM n) AS sample_size
+"""
+
+_STATUS = """
+WITH t AS (SELECT o_orderkey, CAST(o_custkey AS VARCHAR) AS Sample_Name, o_orderpriority AS Project_run_type,
+                  o_orderstatus AS ProjStatus FROM orders),
+s AS (SELECT DISTINCT CAST(c_custkey AS VARCHAR) AS Sample_Name FROM customer WHERE c_mktsegment = 'BUILDING')
+"""
+
+ORACLE["count_to_update"] = _STATUS + """
+SELECT count(*) AS n_to_update FROM t
+WHERE Project_run_type = '1-URGENT' AND ProjStatus = 'O' AND Sample_Name IN (SELECT Sample_Name FROM s)
+"""
+
+ORACLE["status_update"] = _STATUS + """
+SELECT o_orderkey, Sample_Name, Project_run_type,
+       CASE WHEN Project_run_type = '1-URGENT' AND ProjStatus = 'O' AND Sample_Name IN (SELECT Sample_Name FROM s)
+            THEN 'U' ELSE ProjStatus END AS ProjStatus
+FROM t
+"""
+
+ORACLE["export_scope"] = _STATUS + """
+SELECT o_orderkey, Sample_Name, Project_run_type,
+       CASE WHEN ProjStatus = 'O' THEN 'U' ELSE ProjStatus END AS ProjStatus
+FROM t WHERE Project_run_type = '1-URGENT' AND Sample_Name IN (SELECT Sample_Name FROM s)
+"""
+
+_THREE = """
+WITH ev AS (SELECT event_type AS Application, strftime(ts, '%Y-%m') AS Investigator_Folder FROM events),
+docs AS (SELECT lang AS Application, source AS Investigator_Folder FROM documents),
+conv AS (SELECT role AS Application, 'conversations' AS Investigator_Folder FROM conversations)
+"""
+
+ORACLE["unified_view"] = _THREE + """
+SELECT Application, Investigator_Folder, 'events' AS Source FROM ev
+UNION SELECT Application, Investigator_Folder, 'documents' FROM docs
+UNION SELECT Application, Investigator_Folder, 'conversations' FROM conv
+"""
+
+ORACLE["app_present"] = _THREE + """,
+known AS (SELECT Application FROM ev UNION SELECT Application FROM docs UNION SELECT Application FROM conv),
+cand AS (SELECT DISTINCT CASE WHEN starts_with(url, 'https') THEN upper(regexp_extract(url, '^https?://[^/]+/([a-z]+)/', 1))
+                          ELSE regexp_extract(url, '^https?://[^/]+/([a-z]+)/', 1) END AS Application FROM pages)
+SELECT c.Application,
+       EXISTS (SELECT 1 FROM known k WHERE lower(k.Application) = lower(c.Application)) AS present_ignore_case,
+       EXISTS (SELECT 1 FROM known k WHERE k.Application = c.Application) AS present_exact
+FROM cand c
+"""
+
+_ENRICHED = """
+WITH li AS (SELECT l_orderkey, l_linenumber, CAST(l_partkey AS VARCHAR) AS Sample_Name,
+                   CAST(l_suppkey AS VARCHAR) AS GT_QC_Sample_ID FROM lineitem),
+p AS (SELECT CASE WHEN p_size <= 25 THEN CAST(p_partkey AS VARCHAR) END AS name_key,
+             CAST(p_size AS VARCHAR) AS id_key, p_partkey AS row_no, p_brand AS Domain1, p_type AS Species1 FROM part),
+by_name AS (SELECT name_key AS k, arg_max(Domain1, row_no) AS d, arg_max(Species1, row_no) AS s FROM p
+            WHERE name_key IS NOT NULL AND lower(trim(name_key)) NOT IN ('', 'null', 'nan', 'n.a.') GROUP BY name_key),
+by_id AS (SELECT id_key AS k, arg_max(Domain1, row_no) AS d, arg_max(Species1, row_no) AS s FROM p
+          WHERE id_key IS NOT NULL AND lower(trim(id_key)) NOT IN ('', 'null', 'nan', 'n.a.') GROUP BY id_key),
+e AS (
+  SELECT li.*,
+         CASE WHEN n.k IS NOT NULL THEN n.d WHEN i.k IS NOT NULL THEN i.d ELSE 'NaN' END AS Domain1,
+         CASE WHEN n.k IS NOT NULL THEN n.s WHEN i.k IS NOT NULL THEN i.s ELSE 'NaN' END AS Species1,
+         CASE WHEN n.k IS NOT NULL THEN 'name' WHEN i.k IS NOT NULL THEN 'id' END AS matched_by
+  FROM li LEFT JOIN by_name n ON li.Sample_Name = n.k LEFT JOIN by_id i ON li.GT_QC_Sample_ID = i.k)
+"""
+
+ORACLE["enrich_two_key"] = _ENRICHED + "SELECT * FROM e"
+
+ORACLE["unmatched"] = _ENRICHED + """
+SELECT l_orderkey, l_linenumber, Sample_Name, GT_QC_Sample_ID FROM e
+WHERE matched_by IS NULL
+  AND Sample_Name IS NOT NULL AND lower(trim(Sample_Name)) NOT IN ('', 'null', 'nan', 'n.a.')
+  AND GT_QC_Sample_ID IS NOT NULL AND lower(trim(GT_QC_Sample_ID)) NOT IN ('', 'null', 'nan', 'n.a.')
+"""
+
+ORACLE["lanes_x_samples"] = """
+WITH samples AS (SELECT n.n_regionkey AS Project_ID, s.s_suppkey, s.s_name
+                 FROM supplier s JOIN nation n ON s.s_nationkey = n.n_nationkey),
+lanes AS (SELECT n_regionkey AS Project_ID, n_nationkey AS Lane, n_name AS Lane_Name FROM nation)
+SELECT s.Project_ID, s.s_suppkey, s.s_name, l.Lane, l.Lane_Name
+FROM samples s LEFT JOIN lanes l ON s.Project_ID = l.Project_ID
+"""
+
+ORACLE["percent_two_decimals"] = """
+SELECT l_orderkey, l_linenumber, printf('%.2f', l_discount * 100) AS discount_pct FROM lineitem
+"""
+
+ORACLE["path_parts"] = """
+WITH p AS (SELECT page_id, url, regexp_replace(url, '^/+|/+$', '', 'g') AS t FROM pages),
+q AS (SELECT *, string_split(t, '/') AS parts FROM p)
+SELECT page_id,
+       nullif(trim(CASE WHEN instr(t, '/') > 0 THEN (CASE WHEN len(parts) >= 2 THEN parts[-2] END) ELSE t END), '')
+         AS delivery_folder,
+       nullif(trim(CASE WHEN instr(t, '/') > 0 THEN (CASE WHEN len(parts) >= 3 THEN parts[-3] END) ELSE t END), '')
+         AS delivery_folder_pacbio,
+       regexp_extract(url, '^(.*)/[^/]*$', 1) AS parent_dir,
+       string_split(url, '/')[-1] AS base_name,
+       string_split(url, '_')[-1] AS last_token,
+       split_part(url, '.', 1) AS first_token
+FROM q
+"""
+
+_SANITIZE = """regexp_replace(regexp_replace(regexp_replace(
+  replace(replace(replace(replace(replace(replace({x}, '>=', '_GE_'), '<=', '_LE_'), '>', '_GT_'), '<', '_LT_'), '%', 'PCT'), ':', ''),
+  '[ \\t\\n\\r\\f\\x0B]+', '_', 'g'), '__+', '_', 'g'), '_$', '')"""
+
+ORACLE["sanitize_header"] = f"""
+WITH p AS (SELECT page_id, html, regexp_extract(html, '<title>(.*?)</title>', 1) AS title FROM pages)
+SELECT page_id,
+       {_SANITIZE.format(x='title')} AS title_sanitized,
+       regexp_replace(regexp_replace(regexp_replace(title, '[^a-zA-Z0-9_]', '_', 'g'), '__', '_', 'g'), '_$', '') AS title_clean,
+       translate(title, ' ()', '___') AS title_pacbio,
+       md5({_SANITIZE.format(x='html')}) AS html_sanitized_md5,
+       length({_SANITIZE.format(x='html')}) AS html_sanitized_len
+FROM p
+"""
+
+ORACLE["species_names"] = """
+SELECT doc_id,
+       regexp_replace(regexp_replace(
+         (CASE lang WHEN 'en' THEN 'human' WHEN 'de' THEN 'Human' WHEN 'fr' THEN 'homo sapiens' ELSE 'marmoset' END)
+         || ' ' || source, 'homo sapiens|Human|human', 'Homo sapiens', 'g'), 'marmoset', 'Callithrix jacchus', 'g') AS Species,
+       md5(regexp_replace(regexp_replace(text, 'homo sapiens|Human|human', 'Homo sapiens', 'g'),
+                          'marmoset', 'Callithrix jacchus', 'g')) AS text_md5
+FROM documents
+"""
+
+ORACLE["strip_commas"] = """
+WITH c AS (SELECT c_custkey, '"' || format('{:,.2f}', c_acctbal) || '",' || c_name || ',"' || c_mktsegment || ', x"' AS raw
+           FROM customer)
+SELECT c_custkey, raw,
+       array_to_string(list_transform(string_split(raw, '"'),
+                       lambda x, i: CASE WHEN i % 2 = 0 THEN replace(x, ',', '') ELSE x END), '') AS cleaned
+FROM c
+"""
+
+ORACLE["lists"] = """
+WITH d AS (SELECT doc_id, text,
+                  list_distinct(list_filter(list_transform(string_split(regexp_replace(text, '[.;]', ',', 'g'), ','),
+                                                           lambda x: trim(x)), lambda x: x <> '')) AS items
+           FROM documents)
+SELECT doc_id, len(items) AS n_items, md5(array_to_string(list_sort(items), '|')) AS items_md5,
+       md5(trim(regexp_replace(text, '[ \\t\\n\\r\\f\\x0B]+', ' ', 'g'), ' ')) AS collapsed_md5
+FROM d
+"""
+
+ORACLE["missing_values"] = """
+WITH e AS (
+  SELECT event_id, event_type,
+         CASE WHEN event_type = 'error' THEN 'NaN' WHEN event_type = 'view' THEN ' n.a. '
+              WHEN value < 1 THEN '' WHEN event_type = 'signup' THEN 'NULL' WHEN event_type = 'click' THEN 'n.a'
+              ELSE printf('%.2f', value) END AS raw
+  FROM events)
+SELECT event_id, raw,
+       raw IS NULL OR lower(trim(raw)) IN ('', 'null', 'nan', 'n.a.') AS is_missing,
+       raw IS NULL OR lower(trim(raw)) IN ('nan', 'null', 'n.a.') OR trim(raw) = '' AS dropped,
+       CASE WHEN lower(raw) IN ('nan', 'n.a', 'n.a.') THEN NULL ELSE raw END AS nullified,
+       nullif(raw, '') AS coalesced,
+       greatest(len(string_split(event_type || ',' || raw, ',')), 4) AS padded_width
+FROM e
+"""
+
+ORACLE["json_lookup"] = """
+WITH e AS (SELECT event_id, event_type, user_id, nullif(trim(json_extract_string(props, '$.k')), '') AS k FROM events)
+SELECT event_id, k, event_type AS application, '/runs/' || user_id AS first_path,
+       upper(event_type[1]) || lower(event_type[2:]) AS organism,
+       k AS Polymerase_Reads_raw,
+       printf('%.2f', CAST('0.' || k AS DOUBLE) * 100) AS Q30_base_PCT_ccs_raw,
+       NULL::VARCHAR AS Polymerase_Read_Bases_raw
+FROM e
+"""
+
+ORACLE["proj_status"] = """
+SELECT event_id,
+       CASE WHEN event_type = 'error' OR value > 40 THEN 'Undelivered' ELSE 'Delivered' END AS ProjStatus
+FROM events
+"""
+
+ORACLE["release_date"] = """
+WITH d AS (
+  SELECT o_orderkey,
+         CASE o_orderpriority WHEN '1-URGENT' THEN strftime(o_orderdate, '%Y-%m-%d')
+                              WHEN '2-HIGH' THEN strftime(o_orderdate, '%Y/%m/%d')
+                              WHEN '3-MEDIUM' THEN strftime(o_orderdate, '%Y%m%d')
+                              WHEN '4-NOT SPECIFIED' THEN '' ELSE 'not a date' END AS raw_date
+  FROM orders)
+SELECT o_orderkey, raw_date,
+       strftime(coalesce(try_strptime(raw_date, '%Y-%m-%d'), try_strptime(raw_date, '%Y/%m/%d'),
+                         try_strptime(raw_date, '%Y%m%d')), '%Y-%m-%d') AS Release_Date
+FROM d
+"""
+
+ORACLE["age_filters"] = """
+SELECT o_orderkey, strftime(o_orderdate, '%Y%m%d') AS day_stamp,
+       date_diff('day', CAST(o_orderdate AS DATE), CAST((SELECT max(o_orderdate) FROM orders) AS DATE)) AS days_old,
+       date_diff('day', CAST(o_orderdate AS DATE), CAST((SELECT max(o_orderdate) FROM orders) AS DATE)) > 10 AS expired
+FROM orders
+"""
