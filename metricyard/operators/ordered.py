@@ -27,11 +27,10 @@ CHUNK = 65536
 
 def number_lines(df: DataFrame, text_col: str, keep: Sequence[str], pos_col: str = "line_no",
                  line_col: str = "line") -> DataFrame:
-    """Split a whole text into numbered lines (1-based); a trailing newline gives no extra line."""
-    body = F.regexp_replace(F.col(text_col), r"\n$", "")
-    return (df.select(*keep, F.posexplode(F.split(body, "\n", -1)).alias(pos_col, line_col))
+    """Split a whole text into numbered lines (1-based); a carriage return ending a line is dropped."""
+    return (df.select(*keep, F.posexplode(F.split(F.col(text_col), "\n", -1)).alias(pos_col, line_col))
               .withColumn(pos_col, F.col(pos_col) + 1)
-              .withColumn(line_col, F.regexp_replace(F.col(line_col), "\r$", "")))
+              .withColumn(line_col, F.regexp_replace(F.col(line_col), r"\r\z", "")))
 
 
 def first_by_group(df: DataFrame, group: Sequence[str], pos_col: str, value: Column, name: str) -> DataFrame:

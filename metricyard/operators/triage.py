@@ -39,7 +39,10 @@ def rule_rank(stage: Column, line: Column, rules: Sequence[tuple[str, str]] = fi
 
 
 def rule_pattern(rank: Column, rules: Sequence[tuple[str, str]] = fixed.LOG_RULES) -> Column:
-    return F.element_at(F.array(*[F.lit(p) for _, p in rules]), rank)
+    expr = None
+    for i, (_, pattern) in enumerate(rules, start=1):
+        expr = F.when(rank == i, F.lit(pattern)) if expr is None else expr.when(rank == i, F.lit(pattern))
+    return expr
 
 
 def classify_logs(lines: DataFrame, rules: Sequence[tuple[str, str]] = fixed.LOG_RULES,

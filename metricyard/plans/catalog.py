@@ -443,3 +443,282 @@ def age_filters(spark, sf_dir):
     return j.select("o_orderkey", F.date_format("o_orderdate", "yyyyMMdd").alias("day_stamp"),
                     clean.days_between(F.to_date("_newest"), F.to_date("o_orderdate")).alias("days_old"),
                     (clean.days_between(F.to_date("_newest"), F.to_date("o_orderdate")) > 10).alias("expired"))
+
+
+# ------------------------------------------------------------------ lines of whole texts
+def doc_lines(spark, sf_dir) -> DataFrame:
+    from ..operators import ordered
+    d = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return ordered.number_lines(d, "text", ["doc_id"])
+
+
+@register("header_marker_report")
+def header_marker_report(spark, sf_dir):
+    """S5 + W1: the header of each text is the first line holding the marker ('###'); the rows
+    after it are data rows. Texts without the marker are failed (NULL header)."""
+    from ..operators import ordered
+    lines = doc_lines(spark, sf_dir)
+    hdr = ordered.first_match_pos(lines, ["doc_id"], "line_no", F.instr("line", "###") > 0, "header_line_no")
+    withh = ordered.attach_per_group(lines, hdr, ["doc_id"])
+    stats = withh.groupBy("doc_id", "header_line_no").agg(
+        F.count_if(F.col("line_no") > F.col("header_line_no")).alias("data_rows"),
+        F.max(F.when(F.col("line_no") == F.col("header_line_no"), F.md5("line"))).alias("header_md5"))
+    docs = read_table(spark, sf_dir, "documents").select("doc_id")
+    return docs.join(stats, "doc_id", "left").select(
+        "doc_id", "header_line_no", F.coalesce("data_rows", F.lit(0)).alias("data_rows"), "header_md5")
+
+
+@register("lane_block")
+def lane_block(spark, sf_dir):
+    """From the first line holding 'License' up to (not including) the first '###' line after it."""
+    from ..operators import ordered
+    lines = doc_lines(spark, sf_dir)
+    block = ordered.rows_between_first(lines, ["doc_id"], "line_no", F.instr("line", "License") > 0,
+                                       F.instr("line", "###") > 0)
+    return block.select("doc_id", "line_no", F.md5("line").alias("line_md5"))
+
+
+@register("line_after_marker")
+def line_after_marker(spark, sf_dir):
+    """W4 + S8: the line right after the first line holding '###' (per text)."""
+    from ..operators import ordered
+    lines = doc_lines(spark, sf_dir)
+    nxt = ordered.rows_after_marker(lines, ["doc_id"], "line_no", F.instr("line", "###") > 0)
+    return nxt.select("doc_id", "line_no", F.md5("line").alias("line_md5"))
+
+
+@register("marker_block")
+def marker_block(spark, sf_dir):
+    """W5 + L3: lines after a line holding 'token' until a line holding '##' (start line and
+    stop line excluded), over every text."""
+    from ..operators import ordered
+    lines = doc_lines(spark, sf_dir)
+    block = ordered.block_lines(lines, ["doc_id"], "line_no", "line", "token", "##")
+    return block.select("doc_id", "line_no", F.md5("line").alias("line_md5"))
+
+
+# FIXED VALUES: extra triage rules for texts used as tool logs (stage, pattern).
+TEXT_LOG_RULES = (
+    ("run", "Released under"),
+    ("run", "Licensed under"),
+    ("run", 'token = "'),
+    ("gather", "###"),
+    ("package", "$$$"),
+    ("gather", "%%%"),
+)
+
+
+def doc_logs(spark, sf_dir) -> DataFrame:
+    """Each text as a tool log named <project>_QCreport.<pipeline>[.<stage>].log."""
+    from ..operators import triage
+    d = read_table(spark, sf_dir, "documents")
+    stage = (F.when(F.col("n_chars") > 5000, F.lit(".gather")).when(F.col("n_chars") > 2000, F.lit(".package"))
+              .otherwise(F.lit("")))
+    path = F.concat(F.lit("/logs/"), F.col("source"), F.lit("/doc"), F.col("doc_id").cast("string"),
+                    F.lit("_QCreport."), F.col("lang"), stage, F.lit(".log"))
+    parts = triage.parse_log_path(F.col("path"))
+    from ..operators import ordered
+    lines = ordered.number_lines(d.select("doc_id", path.alias("path"), "text"), "text", ["path"])
+    return lines.select(parts["project"].alias("project"), parts["pipeline"].alias("pipeline"),
+                        parts["stage"].alias("stage"), "line_no", "line")
+
+
+@register("log_triage")
+def log_triage(spark, sf_dir):
+    """L1 + S16: per log file, the first rule of its stage that any line holds."""
+    from ..functions import fixed as fx
+    from ..operators import triage
+    return triage.classify_logs(doc_logs(spark, sf_dir), rules=fx.LOG_RULES + TEXT_LOG_RULES)
+
+
+@register("stage_status")
+def stage_status_q(spark, sf_dir):
+    """L2: status per (project, pipeline) from marker lines, markers checked in order."""
+    from ..operators import triage
+    markers = (("failed", "###"), ("incomplete", "$$$"), ("gathered", "License"))
+    return triage.stage_status(doc_logs(spark, sf_dir), markers=markers)
+
+
+@register("manifest_counts")
+def manifest_counts_q(spark, sf_dir):
+    """FASTQ file names derived from page urls; totals and Undetermined per read tag."""
+    from ..operators import triage
+    p = read_table(spark, sf_dir, "pages")
+    lang = F.regexp_extract("url", r"^https?://[^/]+/([a-z]+)/", 1)
+    tag = (F.when(lang == "en", "R1_").when(lang == "fr", "R2_").when(lang == "de", "I1_")
+            .when(lang == "es", "I2_").otherwise("R3_"))
+    name = F.concat(F.when(F.instr("url", "?") > 0, F.lit("Undetermined_S0_")).otherwise(F.lit("S1_")), tag,
+                    F.lit("001"), F.when(F.instr("url", "#") > 0, F.lit(".html")).otherwise(F.lit(".fastq.gz")))
+    files = p.select(F.concat(F.lit("/deliver/"), F.col("page_id").cast("string"), F.lit("/"), name).alias("path"))
+    return triage.manifest_counts(files)
+
+
+@register("known_names")
+def known_names_q(spark, sf_dir):
+    """F15 + F16: a requested name list (padding, comments, blanks, repeats) against the catalog
+    of document sources in first-appearance order."""
+    from ..operators import triage
+    d = read_table(spark, sf_dir, "documents")
+    catalog = d.select(F.col("source").alias("name"), F.col("doc_id").alias("pos"))
+    # FIXED VALUES: the requested list as typed by a user.
+    requested_text = ("  src3 ", "# src4", "", "src1", "srcX", "src12", "src3", "#")
+    req = spark.createDataFrame([(x,) for x in requested_text], "line string")
+    return triage.known_names(triage.clean_name_list(req), catalog)
+
+
+@register("route_application")
+def route_application_q(spark, sf_dir):
+    """each text is a project whose settings application comes from its language; routed
+    to every pipeline that accepts that value (exact, case-sensitive)."""
+    from ..operators import enrich
+    d = read_table(spark, sf_dir, "documents")
+    app = (F.when(F.col("lang") == "en", "mRNA").when(F.col("lang") == "de", "PDX-WGS")
+            .when(F.col("lang") == "fr", "Other").otherwise("ATACSeq,ATAC"))
+    projects = d.select("doc_id", app.alias("application"))
+    return enrich.route_application(projects).select("doc_id", "application", "pipeline")
+
+
+@register("instrument_rules")
+def instrument_rules(spark, sf_dir):
+    """Instrument id from the first matching substring rule of the platform, else the name."""
+    p = read_table(spark, sf_dir, "part")
+    # FIXED VALUES: instrument host names assigned to parts by size.
+    hosts = ("m84148_240101", "m64119e_230101", "r64039_x", "SQ65039", "GXB02036", "PCA100115", "GXB03074",
+             "P2S-01535", "GXB01025", "GXB01102", "GXB01186", "PC24B149", "PCT0053", "other-host", "")
+    name = F.element_at(F.array(*[F.lit(h) for h in hosts]), (F.col("p_size") % len(hosts)) + 1)
+    platform = F.when(F.col("p_size") <= 25, F.lit("PacBio")).otherwise(F.lit("ONT"))
+    iid = F.when(platform == "PacBio", clean.instrument_id(name, "PacBio")).otherwise(clean.instrument_id(name, "ONT"))
+    return p.select("p_partkey", name.alias("instrument_name"), platform.alias("platform"), iid.alias("InstrumentID"))
+
+
+@register("select_drop_split")
+def select_drop_split(spark, sf_dir):
+    """F2 + F3 + F4 on part rows as report files (one file per brand, header/cells arrays):
+    species-report columns kept by pattern, PacBio columns dropped, and the rest split into
+    ids and values by the file's first row."""
+    from ..functions import fixed as fx
+    from ..operators import ordered
+    p = read_table(spark, sf_dir, "part")
+    header = F.array(*[F.lit(x) for x in ("GT_QC_Sample_ID", "Sample_Name", "Domain1", "Species2", "Sample_Well",
+                                          "Lot", "Size", "Price")])
+    cells = F.array(F.col("p_partkey").cast("string"), F.col("p_name"), F.col("p_brand"), F.col("p_type"),
+                    F.lit("A1"), F.when(F.col("p_size") > 25, F.col("p_size").cast("string")).otherwise(F.lit("none")),
+                    F.col("p_size").cast("string"), F.format_string("%.2f", F.col("p_retailprice")))
+    rep = p.select(F.col("p_brand").alias("file"), F.col("p_partkey").alias("row_no"), header.alias("header"),
+                   cells.alias("cells"))
+    first = rep.groupBy("file").agg(F.min_by(F.struct("header", "cells"), F.col("row_no")).alias("f"))
+    split = shape.split_id_and_value_names(F.col("f.header"), F.col("f.cells"), fx.PACBIO_DROPPED_COLUMNS)
+    return first.select(
+        "file",
+        F.array_join(shape.select_matching_names(F.col("f.header"), fx.SPECIES_ID_COLUMNS_RE), ",").alias("species_cols"),
+        F.array_join(shape.drop_names(F.col("f.header"), fx.PACBIO_DROPPED_COLUMNS), ",").alias("kept_cols"),
+        F.array_join(split["ids"], ",").alias("id_cols"), F.array_join(split["values"], ",").alias("value_cols"))
+
+
+# ------------------------------------------------------------------ incremental scope
+@register("scan_scope")
+def scan_scope_q(spark, sf_dir):
+    """T4: per application (event type): archive scan when the last one is 5+ days old, else
+    active when the warehouse knows it and an earlier list exists, else all."""
+    from ..operators import incremental
+    e = read_table(spark, sf_dir, "events")
+    apps = e.select(F.col("event_type").alias("application")).distinct()
+    tracker = (e.filter(F.col("value") < 10).groupBy(F.col("event_type").alias("application"))
+                .agg(F.to_date(F.max("ts")).alias("last_archive_scan")))
+    present = e.filter(F.col("value") > 95).select(F.col("event_type").alias("application"))
+    has_list = e.filter((F.col("value") >= 50) & (F.col("value") < 51)).select(F.col("event_type").alias("application"))
+    run_date = F.to_date(e.select(F.max("ts")).scalar())
+    return incremental.scan_scope(apps, tracker, present, has_list, run_date)
+
+
+@register("new_projects")
+def new_projects_q(spark, sf_dir):
+    """Pages are found project folders; labels is the processed ledger (by id)."""
+    from ..operators import incremental
+    p = read_table(spark, sf_dir, "pages").select(F.col("page_id").alias("project_id"), "url")
+    ledger = read_table(spark, sf_dir, "labels").select(F.col("doc_id").alias("project_id"))
+    return incremental.new_projects(p, ledger, ["project_id"])
+
+
+@register("requeue")
+def requeue_q(spark, sf_dir):
+    """Recorded projects minus the failed ones (toxic = 1), which are tried again."""
+    from ..operators import incremental
+    lab = read_table(spark, sf_dir, "labels").select(F.col("doc_id").alias("project_id"), "toxic")
+    return incremental.requeue(lab.select("project_id"), lab.filter(F.col("toxic") == 1), ["project_id"])
+
+
+@register("candidate_counts")
+def candidate_counts_q(spark, sf_dir):
+    """Folders found and eligible (not in the ledger) per application; skip when none."""
+    p = read_table(spark, sf_dir, "pages")
+    ledger = read_table(spark, sf_dir, "labels").select(F.col("doc_id").alias("page_id"), F.lit(True).alias("_done"))
+    lang = F.regexp_extract("url", r"^https?://[^/]+/([a-z]+)/", 1)
+    cand = p.select("page_id", lang.alias("application")).join(ledger, "page_id", "left").select(
+        "application", F.col("_done").isNull().alias("eligible"))
+    apps = read_table(spark, sf_dir, "documents").select(F.col("lang").alias("application"))
+    return marts.candidate_counts(cand, apps, "application", "eligible")
+
+
+def doc_projects(spark, sf_dir) -> DataFrame:
+    d = read_table(spark, sf_dir, "documents")
+    lab = read_table(spark, sf_dir, "labels").select("doc_id", "quality", "toxic")
+    return d.join(lab, "doc_id", "left")
+
+
+@register("validate_project")
+def validate_project_q(spark, sf_dir):
+    """first failed check in order: settings missing -> metadata incomplete -> report
+    missing -> flowcell missing -> parse failed."""
+    from ..operators import incremental
+    d = doc_projects(spark, sf_dir)
+    checks = [("settings missing", F.col("quality").isNull()),
+              ("metadata incomplete", F.col("toxic") == 1),
+              ("report missing", F.col("n_chars") < 200),
+              ("flowcell missing", F.col("source").isin("src0", "src1")),
+              ("parse failed", F.instr("text", "###") == 0)]
+    return incremental.validate_project(d, checks).select("doc_id", "reason")
+
+
+@register("failure_summary")
+def failure_summary_q(spark, sf_dir):
+    """Failed projects de-duplicated and counted per reason."""
+    v = validate_project_q(spark, sf_dir).filter(F.col("reason").isNotNull())
+    return marts.failure_summary(v.unionByName(v))
+
+
+@register("delivery_gate")
+def delivery_gate_q(spark, sf_dir):
+    """ready when delivery folder and release date are present (no archive scope)."""
+    from ..operators import incremental
+    d = read_table(spark, sf_dir, "documents")
+    proj = d.select("doc_id",
+                    F.when(F.col("lang") == "es", F.lit("NULL")).otherwise(F.col("source")).alias("Investigator_Folder"),
+                    F.when(F.col("n_chars") < 500, F.lit("")).otherwise(F.lit("2024-03-05")).alias("Release_Date"))
+    return incremental.delivery_gate(proj).select("doc_id", "ready")
+
+
+@register("width_check")
+def width_check_q(spark, sf_dir):
+    """a text whose first line has fewer than 14 space-separated fields is rejected."""
+    from ..operators import incremental
+    d = read_table(spark, sf_dir, "documents")
+    first = d.select("doc_id", F.split(F.element_at(F.split("text", "\n", -1), 1), " ", -1).alias("cells"))
+    return incremental.width_check(first, "cells").select("doc_id", F.size("cells").alias("width"), "rejected")
+
+
+# ------------------------------------------------------------------ registry
+@register("registry_ops")
+def registry_ops(spark, sf_dir):
+    """U3 + U4 + U5 + A7: groups = conversation roles; users = one address per conversation, in
+    first-seen order; users of short turns are then removed (groups stay)."""
+    from ..operators import registry
+    c = read_table(spark, sf_dir, "conversations")
+    user = F.concat(F.lit("u"), F.col("conv_id").cast("string"), F.lit("@lab.org"))
+    reg = spark.createDataFrame([], registry.REGISTRY_SCHEMA)
+    reg = registry.register_groups(reg, registry.distinct_groups(c, "role"))
+    adds = c.select(F.col("role").alias("grp"), user.alias("user"),
+                    (F.col("conv_id") * 1000 + F.col("turn")).alias("pos"))
+    reg = registry.add_users(reg, adds)
+    rm = c.filter(F.length("text") < 100).select(F.col("role").alias("grp"), user.alias("user"))
+    return registry.remove_users(reg, rm)

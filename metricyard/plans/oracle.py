@@ -359,3 +359,210 @@ SELECT o_orderkey, strftime(o_orderdate, '%Y%m%d') AS day_stamp,
        date_diff('day', CAST(o_orderdate AS DATE), CAST((SELECT max(o_orderdate) FROM orders) AS DATE)) > 10 AS expired
 FROM orders
 """
+
+_LINES = """
+WITH d AS (SELECT doc_id, string_split(text, chr(10)) AS parts FROM documents),
+lines AS (SELECT doc_id, unnest(generate_series(1, len(parts))) AS line_no, unnest(parts) AS line FROM d)
+"""
+
+ORACLE["header_marker_report"] = _LINES + """,
+h AS (SELECT doc_id, min(line_no) AS header_line_no FROM lines WHERE contains(line, '###') GROUP BY doc_id),
+s AS (SELECT l.doc_id, h.header_line_no,
+             count(*) FILTER (WHERE l.line_no > h.header_line_no) AS data_rows,
+             max(CASE WHEN l.line_no = h.header_line_no THEN md5(l.line) END) AS header_md5
+      FROM lines l JOIN h ON l.doc_id = h.doc_id GROUP BY l.doc_id, h.header_line_no)
+SELECT d.doc_id, s.header_line_no, coalesce(s.data_rows, 0) AS data_rows, s.header_md5
+FROM documents d LEFT JOIN s ON d.doc_id = s.doc_id
+"""
+
+ORACLE["lane_block"] = _LINES + """,
+st AS (SELECT doc_id, min(line_no) AS s FROM lines WHERE contains(line, 'License') GROUP BY doc_id),
+sp AS (SELECT l.doc_id, min(l.line_no) AS e FROM lines l JOIN st ON l.doc_id = st.doc_id
+       WHERE contains(l.line, '###') AND l.line_no > st.s GROUP BY l.doc_id)
+SELECT l.doc_id, l.line_no, md5(l.line) AS line_md5
+FROM lines l JOIN st ON l.doc_id = st.doc_id LEFT JOIN sp ON l.doc_id = sp.doc_id
+WHERE l.line_no >= st.s AND (sp.e IS NULL OR l.line_no < sp.e)
+"""
+
+ORACLE["line_after_marker"] = _LINES + """,
+st AS (SELECT doc_id, min(line_no) AS s FROM lines WHERE contains(line, '###') GROUP BY doc_id)
+SELECT l.doc_id, l.line_no, md5(l.line) AS line_md5 FROM lines l JOIN st ON l.doc_id = st.doc_id
+WHERE l.line_no = st.s + 1
+"""
+
+ORACLE["marker_block"] = _LINES + """,
+sig AS (SELECT *, CASE WHEN contains(line, 'token') THEN 1 WHEN contains(line, '##') THEN 0 END AS s FROM lines),
+st AS (SELECT *, last_value(s IGNORE NULLS) OVER (PARTITION BY doc_id ORDER BY line_no
+                 ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS state_before FROM sig)
+SELECT doc_id, line_no, md5(line) AS line_md5 FROM st WHERE state_before = 1 AND NOT contains(line, '##')
+"""
+
+_DOC_LOGS = """
+WITH d AS (
+  SELECT doc_id, 'doc' || doc_id AS project, lang AS pipeline,
+         CASE WHEN n_chars > 5000 THEN 'gather' WHEN n_chars > 2000 THEN 'package' ELSE 'run' END AS stage,
+         string_split(text, chr(10)) AS parts FROM documents),
+lines AS (SELECT project, pipeline, stage, unnest(parts) AS line FROM d)
+"""
+
+_RULES = [("run", "Unrecognized platform by QiFa"), ("run", "Program aborted"),
+          ("run", "Please complete basic QC before"), ("run", "0 .gz file(s) found"),
+          ("run", "loadQCParametersSetting organism"), ("package", "Program aborted"),
+          ("release", "Program aborted"), ("gather", "!!!WARNING!!!"),
+          ("gather", "Could not locate output from QC pipeline"),
+          ("run", "Released under"), ("run", "Licensed under"), ("run", 'token = "'),
+          ("gather", "###"), ("package", "$$$"), ("gather", "%%%")]
+
+_RANK = "CASE " + " ".join(
+    f"WHEN stage = '{st}' AND contains(line, '{pat}') THEN {i}" for i, (st, pat) in enumerate(_RULES, 1)) + " END"
+_PATTERN = "CASE r " + " ".join(f"WHEN {i} THEN '{pat}'" for i, (_, pat) in enumerate(_RULES, 1)) + " END"
+
+ORACLE["log_triage"] = _DOC_LOGS + f"""
+SELECT project, pipeline, stage, {_PATTERN} AS error_class FROM (
+  SELECT project, pipeline, stage, min({_RANK}) AS r FROM lines GROUP BY project, pipeline, stage)
+"""
+
+ORACLE["stage_status"] = _DOC_LOGS + """
+SELECT project, pipeline,
+       CASE WHEN bool_or(contains(line, '###')) THEN 'failed' WHEN bool_or(contains(line, '$$$')) THEN 'incomplete'
+            WHEN bool_or(contains(line, 'License')) THEN 'gathered' END AS status
+FROM lines GROUP BY project, pipeline
+"""
+
+ORACLE["manifest_counts"] = """
+WITH p AS (SELECT url, regexp_extract(url, '^https?://[^/]+/([a-z]+)/', 1) AS lang FROM pages),
+f AS (SELECT (CASE WHEN contains(url, '?') THEN 'Undetermined_S0_' ELSE 'S1_' END)
+             || (CASE lang WHEN 'en' THEN 'R1_' WHEN 'fr' THEN 'R2_' WHEN 'de' THEN 'I1_' WHEN 'es' THEN 'I2_' ELSE 'R3_' END)
+             || '001' || (CASE WHEN contains(url, '#') THEN '.html' ELSE '.fastq.gz' END) AS name FROM p)
+SELECT regexp_extract(name, '(R1_|R2_|R3_|I1_|I2_)', 1) AS tag, count(*) AS fastq_total,
+       count(*) FILTER (WHERE contains(name, 'Undetermined')) AS undetermined_total
+FROM f WHERE regexp_matches(name, '\\.f(ast)?q(\\.gz)?$') GROUP BY 1
+"""
+
+ORACLE["known_names"] = """
+WITH req AS (SELECT DISTINCT trim(x) AS name FROM (VALUES ('  src3 '), ('# src4'), (''), ('src1'), ('srcX'),
+                                                         ('src12'), ('src3'), ('#')) t(x)
+             WHERE trim(x) <> '' AND NOT starts_with(trim(x), '#')),
+cat AS (SELECT source AS name, min(doc_id) AS pos FROM documents GROUP BY source),
+rel AS (SELECT arg_min(c.name, c.pos) AS name FROM cat c WHERE c.name IN (SELECT name FROM req))
+SELECT r.name, c.pos IS NOT NULL AS known, coalesce(r.name = (SELECT name FROM rel), false) AS is_release
+FROM req r LEFT JOIN cat c ON r.name = c.name
+"""
+
+ORACLE["route_application"] = """
+WITH d AS (SELECT doc_id, CASE lang WHEN 'en' THEN 'mRNA' WHEN 'de' THEN 'PDX-WGS' WHEN 'fr' THEN 'Other'
+                          ELSE 'ATACSeq,ATAC' END AS application FROM documents),
+r(pipeline, application) AS (VALUES ('atacseq','ATACSeq'), ('atacseq','ATAC'), ('chic','Other'), ('hic','HiC'),
+  ('ctp','PDX-WGS'), ('pdxrnaseqR2','cellranger'), ('rnaseq','mRNA'), ('rnaseq','Total-RNA'), ('rrbs','RRBS'),
+  ('wgbs','WGBS'), ('chipseq','ChiP'), ('chipseq','ChIPSeq'), ('pdxrnaseq','PDX-mRNA'), ('pdxrnaseq','pdxrnaseq'),
+  ('pdxwgs','PDX-WGS'), ('rnaseqR2','cellranger'), ('wes','WES'), ('wgs','WGS'), ('wgs','ChIA-PET'),
+  ('basic','Amplicon'), ('basic','Other'), ('ONT','ONT'), ('PacBio','PacBio'))
+SELECT d.doc_id, d.application, r.pipeline FROM d JOIN r ON d.application = r.application
+"""
+
+ORACLE["instrument_rules"] = """
+WITH p AS (SELECT p_partkey, p_size,
+  ['m84148_240101', 'm64119e_230101', 'r64039_x', 'SQ65039', 'GXB02036', 'PCA100115', 'GXB03074',
+   'P2S-01535', 'GXB01025', 'GXB01102', 'GXB01186', 'PC24B149', 'PCT0053', 'other-host', ''][(p_size % 15) + 1]
+  AS instrument_name FROM part)
+SELECT p_partkey, instrument_name, CASE WHEN p_size <= 25 THEN 'PacBio' ELSE 'ONT' END AS platform,
+  CASE WHEN p_size <= 25 THEN
+    CASE WHEN contains(instrument_name, '84148') THEN 'CT_Revio_84148'
+         WHEN contains(instrument_name, 'SQ65119') OR contains(instrument_name, '64119') THEN 'CT_Sequel_SQ65119'
+         WHEN contains(instrument_name, 'SQ65039') OR contains(instrument_name, 'r64039') THEN 'CT_Sequel_SQ65039'
+         ELSE nullif(instrument_name, '') END
+  ELSE
+    CASE WHEN contains(instrument_name, 'GXB02036') THEN 'CT_GridIONX5_GXB02036'
+         WHEN contains(instrument_name, 'PCA100115') THEN 'CT_PromethION_PCA100115'
+         WHEN contains(instrument_name, 'GXB03074') THEN 'BH_GridIONX5_GXB03074'
+         WHEN contains(instrument_name, 'P2S-01535') THEN 'BH_P2_Solo_P2S-01535'
+         WHEN contains(instrument_name, 'GXB01025') THEN 'CT_GridIONX5_GXB01025'
+         WHEN contains(instrument_name, 'GXB01102') THEN 'CT_GridIONX5_GXB01102'
+         WHEN contains(instrument_name, 'GXB01186') THEN 'CT_GridIONX5_GXB01186'
+         WHEN contains(instrument_name, 'PC24B149') THEN 'CT_PromethION_PC24B149'
+         WHEN contains(instrument_name, 'PCT0053') THEN 'CT_PromethION_PCT0053'
+         ELSE nullif(instrument_name, '') END
+  END AS InstrumentID
+FROM p
+"""
+
+ORACLE["select_drop_split"] = """
+WITH f AS (SELECT p_brand AS file, arg_min(p_size, p_partkey) AS size
+           FROM part GROUP BY p_brand)
+SELECT file,
+       'GT_QC_Sample_ID,Sample_Name,Domain1,Species2' AS species_cols,
+       'GT_QC_Sample_ID,Sample_Name,Domain1,Species2,Lot,Size,Price' AS kept_cols,
+       CASE WHEN size > 25 THEN 'Sample_Name,Domain1,Species2' ELSE 'Sample_Name,Domain1,Species2,Lot' END AS id_cols,
+       CASE WHEN size > 25 THEN 'GT_QC_Sample_ID,Lot,Size,Price' ELSE 'GT_QC_Sample_ID,Size,Price' END AS value_cols
+FROM f
+"""
+
+ORACLE["scan_scope"] = """
+WITH apps AS (SELECT DISTINCT event_type AS application FROM events),
+tr AS (SELECT event_type AS application, CAST(max(ts) AS DATE) AS last_archive_scan FROM events
+       WHERE value < 10 GROUP BY 1),
+pr AS (SELECT DISTINCT event_type AS application FROM events WHERE value > 95),
+hl AS (SELECT DISTINCT event_type AS application FROM events WHERE value >= 50 AND value < 51),
+x AS (SELECT a.application,
+             date_diff('day', tr.last_archive_scan, CAST((SELECT max(ts) FROM events) AS DATE)) AS d,
+             pr.application IS NOT NULL AS p, hl.application IS NOT NULL AS h
+      FROM apps a LEFT JOIN tr ON a.application = tr.application LEFT JOIN pr ON a.application = pr.application
+      LEFT JOIN hl ON a.application = hl.application)
+SELECT application, d AS days_since_archive_scan,
+       CASE WHEN d >= 5 THEN 'archive' WHEN p AND h THEN 'active' ELSE 'all' END AS scope,
+       CASE WHEN d >= 5 THEN 'archive' WHEN p AND h THEN 'active' ELSE 'all' END = 'archive' AS allow_undelivered
+FROM x
+"""
+
+ORACLE["new_projects"] = """
+SELECT page_id AS project_id, url FROM pages WHERE page_id NOT IN (SELECT doc_id FROM labels)
+"""
+
+ORACLE["requeue"] = """
+SELECT doc_id AS project_id FROM labels WHERE doc_id NOT IN (SELECT doc_id FROM labels WHERE toxic = 1)
+"""
+
+ORACLE["candidate_counts"] = """
+WITH c AS (SELECT regexp_extract(url, '^https?://[^/]+/([a-z]+)/', 1) AS application,
+                  page_id NOT IN (SELECT doc_id FROM labels) AS eligible FROM pages),
+a AS (SELECT DISTINCT lang AS application FROM documents),
+k AS (SELECT application, count(*) AS found, count(*) FILTER (WHERE eligible) AS eligible FROM c GROUP BY 1)
+SELECT a.application, coalesce(k.found, 0) AS found, coalesce(k.eligible, 0) AS eligible,
+       coalesce(k.eligible, 0) = 0 AS skip
+FROM a LEFT JOIN k ON a.application = k.application
+"""
+
+_VALIDATE = """
+WITH d AS (SELECT d.*, l.quality, l.toxic FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id),
+v AS (SELECT doc_id,
+        CASE WHEN quality IS NULL THEN 'settings missing' WHEN toxic = 1 THEN 'metadata incomplete'
+             WHEN n_chars < 200 THEN 'report missing' WHEN source IN ('src0', 'src1') THEN 'flowcell missing'
+             WHEN NOT contains(text, '###') THEN 'parse failed' END AS reason FROM d)
+"""
+
+ORACLE["validate_project"] = _VALIDATE + "SELECT doc_id, reason FROM v"
+
+ORACLE["failure_summary"] = _VALIDATE + """
+SELECT reason, count(*) AS projects FROM v WHERE reason IS NOT NULL GROUP BY reason
+"""
+
+ORACLE["delivery_gate"] = """
+SELECT doc_id, NOT (lang = 'es' OR n_chars < 500) AS ready FROM documents
+"""
+
+ORACLE["width_check"] = """
+SELECT doc_id, len(string_split(string_split(text, chr(10))[1], ' ')) AS width,
+       len(string_split(string_split(text, chr(10))[1], ' ')) < 14 AS rejected
+FROM documents
+"""
+
+ORACLE["registry_ops"] = """
+WITH adds AS (SELECT role AS grp, 'u' || conv_id || '@lab.org' AS "user", min(conv_id * 1000 + turn) + 1 AS pos
+              FROM conversations GROUP BY 1, 2),
+rm AS (SELECT DISTINCT role AS grp, 'u' || conv_id || '@lab.org' AS "user" FROM conversations WHERE length(text) < 100),
+kept AS (SELECT a.* FROM adds a WHERE NOT EXISTS (SELECT 1 FROM rm WHERE rm.grp = a.grp AND rm."user" = a."user"))
+SELECT grp, "user", pos FROM kept
+UNION ALL
+SELECT grp, NULL, NULL FROM (SELECT DISTINCT trim(role) AS grp FROM conversations) g
+WHERE grp NOT IN (SELECT grp FROM kept)
+"""
