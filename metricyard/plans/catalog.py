@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions import clean
 from ..operators import marts, merge, shape
+from ..session import cut_lineage
 from ..sources.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -722,3 +723,78 @@ def registry_ops(spark, sf_dir):
     reg = registry.add_users(reg, adds)
     rm = c.filter(F.length("text") < 100).select(F.col("role").alias("grp"), user.alias("user"))
     return registry.remove_users(reg, rm)
+
+
+# ------------------------------------------------------------------ streams
+def _events_stream(spark, sf_dir):
+    schema = read_table(spark, sf_dir, "events").schema
+    return (spark.readStream.schema(schema).option("maxFilesPerTrigger", 1)
+                 .option("pathGlobFilter", "events.parquet").parquet(sf_dir))
+
+
+@register("stream_append")
+def stream_append(spark, sf_dir):
+    """T3 + M1: the events file as a stream (read twice, so every row arrives twice) appended to
+    a table that already holds the low-value events; rows already stored are never re-added."""
+    from ..streaming import jobs
+    root = jobs.scratch_dir(spark, "stream_append")
+    table = f"{root}/table"
+    cols = ["event_id", "user_id", "event_type"]
+    seed = read_table(spark, sf_dir, "events").filter(F.col("value") < 10).select(*cols)
+    seed.write.mode("overwrite").parquet(table)
+    s = _events_stream(spark, sf_dir).select(*cols)
+    q = jobs.dedupe_stream(s.unionByName(s), table, cols, f"{root}/checkpoint")
+    q.awaitTermination()
+    return spark.read.parquet(table)
+
+
+@register("stream_groups")
+def stream_groups(spark, sf_dir):
+    """T1 + A7 + U3: event types arriving on a file stream are registered as groups."""
+    from ..streaming import jobs
+    root = jobs.scratch_dir(spark, "stream_groups")
+    s = _events_stream(spark, sf_dir).select(F.col("event_type").alias("Investigator_Folder"))
+    q = jobs.watch_groups(s, f"{root}/registry", f"{root}/checkpoint", parse=lambda b: b)
+    q.awaitTermination()
+    return jobs.current_registry(spark, f"{root}/registry")
+
+
+# ------------------------------------------------------------------ S12 typed CSV round trip
+def sequencing_lines(spark, sf_dir) -> DataFrame:
+    """Sequencing-metrics CSV text written from line items: short rows (line 7), rows with a
+    word in a number (line 6 of 'N' items) and rows with an extra field (line 5 of 'R' items)."""
+    from ..functions import fixed as fx
+    li = read_table(spark, sf_dir, "lineitem")
+    reads = F.when((F.col("l_linenumber") == 6) & (F.col("l_returnflag") == "N"), F.lit("abc")).otherwise(
+        F.floor("l_quantity").cast("string"))
+    fields = [F.month("l_shipdate").cast("string"), F.year("l_shipdate").cast("string"),
+              F.concat(F.lit("P"), F.col("l_orderkey").cast("string")), F.col("l_returnflag"), F.col("l_linestatus"),
+              F.concat(F.lit("run"), F.col("l_linenumber").cast("string")),
+              F.concat(F.lit("g"), F.col("l_suppkey").cast("string")), F.lit("wgs"),
+              F.concat(F.lit("/data/"), F.col("l_orderkey").cast("string")), F.lit("NovaSeq"), reads,
+              F.floor("l_extendedprice").cast("string"), F.col("l_partkey").cast("string"),
+              F.concat(F.lit("/deliver/"), F.col("l_orderkey").cast("string")), F.col("l_linenumber").cast("string")]
+    last = F.col("l_discount").cast("string")
+    body = F.concat_ws(",", *fields)
+    line = (F.when(F.col("l_linenumber") == 7, body)
+             .when((F.col("l_linenumber") == 5) & (F.col("l_returnflag") == "R"), F.concat_ws(",", body, last, F.lit("x")))
+             .otherwise(F.concat_ws(",", body, last)))
+    header = spark.createDataFrame([(",".join(n for n, _ in fx.SEQUENCING_SCHEMA),)], "line string")
+    return header.unionByName(li.select(line.alias("line")))
+
+
+@register("typed_csv")
+def typed_csv(spark, sf_dir):
+    """S12 + M1 (+ K1): CSV written to the shared scratch folder, read back all-text, short rows
+    padded, bad rows left out, typed with try_cast, then appended twice with a null-safe key."""
+    from ..functions import fixed as fx
+    from ..sources.delimited import read_typed_csv
+    from ..streaming.jobs import scratch_dir
+    root = scratch_dir(spark, "typed_csv")
+    sequencing_lines(spark, sf_dir).write.mode("overwrite").text(f"{root}/csv")
+    typed = read_typed_csv(spark, f"{root}/csv", fx.SEQUENCING_SCHEMA, header=False, drop_header_lines=True)
+    typed = cut_lineage(typed)   # parsed once into the shared checkpoint folder, read by both appends
+    key = [n for n, _ in fx.SEQUENCING_SCHEMA]
+    empty = spark.createDataFrame([], typed.schema)
+    stored = merge.append_if_absent(empty, typed, key)
+    return merge.append_if_absent(stored, typed, key)

@@ -566,3 +566,25 @@ UNION ALL
 SELECT grp, NULL, NULL FROM (SELECT DISTINCT trim(role) AS grp FROM conversations) g
 WHERE grp NOT IN (SELECT grp FROM kept)
 """
+
+ORACLE["stream_append"] = """
+SELECT DISTINCT event_id, user_id, event_type FROM events
+"""
+
+ORACLE["stream_groups"] = """
+SELECT DISTINCT trim(event_type) AS grp, NULL::VARCHAR AS "user", NULL::BIGINT AS pos FROM events
+WHERE trim(event_type) <> '' AND trim(event_type) <> 'Investigator_Folder'
+"""
+
+ORACLE["typed_csv"] = """
+SELECT DISTINCT
+  CAST(month(l_shipdate) AS INTEGER) AS Month, CAST(year(l_shipdate) AS INTEGER) AS Year,
+  'P' || l_orderkey AS Project, l_returnflag AS Site, l_linestatus AS InstrumentID,
+  'run' || l_linenumber AS RunFolder, 'g' || l_suppkey AS groupFolder, 'wgs' AS Application,
+  '/data/' || l_orderkey AS FullPath, 'NovaSeq' AS Platform, CAST(floor(l_quantity) AS BIGINT) AS Reads,
+  CAST(floor(l_extendedprice) AS BIGINT) AS Bases, l_partkey AS Bytes, '/deliver/' || l_orderkey AS DeliveryDirectory,
+  l_linenumber AS SampleSize,
+  CASE WHEN l_linenumber = 7 THEN NULL ELSE l_discount END AS PolymeraseReadLength_bp_Mean
+FROM lineitem
+WHERE NOT (l_linenumber = 6 AND l_returnflag = 'N') AND NOT (l_linenumber = 5 AND l_returnflag = 'R')
+"""

@@ -44,7 +44,8 @@ def read_metric_files(spark: SparkSession, root: str, glob: str = "*.metrics.txt
                  .load(root).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("line")))
 
 
-def read_typed_csv(spark: SparkSession, path: str, schema: Sequence[tuple[str, str]], header: bool = True) -> DataFrame:
+def read_typed_csv(spark: SparkSession, path: str, schema: Sequence[tuple[str, str]], header: bool = True,
+                   drop_header_lines: bool = False) -> DataFrame:
     """Header CSV with '"' quote/escape; every field read as text, short rows padded with
     NULL, rows with extra fields or a value that does not fit its type are left out, and the
     typed columns are produced with ``try_cast`` (ANSI-safe)."""
@@ -53,9 +54,11 @@ def read_typed_csv(spark: SparkSession, path: str, schema: Sequence[tuple[str, s
     raw = (spark.read.option("header", header).option("quote", '"').option("escape", '"')
                 .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt")
                 .option("enforceSchema", True).schema(text_schema).csv(path))
-    # a short row is flagged corrupt but already padded with NULLs; only too-long rows are bad
-    width = F.size(F.split(F.col("_corrupt"), ",", -1))
-    keep = F.col("_corrupt").isNull() | (width <= len(names))
+    # a short row is flagged corrupt but already padded with NULLs (its last field is NULL);
+    # a row with extra fields is flagged corrupt with every field filled -> left out
+    keep = F.col("_corrupt").isNull() | F.col(f"`{names[-1]}`").isNull()
+    if drop_header_lines:   # header lines inside files written by several tasks
+        keep = keep & ~(F.coalesce(F.col(f"`{names[0]}`") == F.lit(names[0]), F.lit(False)))
     typed = raw.filter(keep).select(*[F.col(f"`{n}`").try_cast(t).alias(n) for n, t in schema],
                                      *[F.col(f"`{n}`").alias(f"_raw_{n}") for n in names])
     ok = None

@@ -62,7 +62,8 @@ def dedupe_stream(stream: DataFrame, table_path: str, key: Sequence[str], checkp
 
 
 def watch_groups(stream_lines: DataFrame, registry_root: str, checkpoint: str,
-                 group_col: str = "Investigator_Folder", trigger_available_now: bool = True):
+                 group_col: str = "Investigator_Folder", trigger_available_now: bool = True,
+                 parse=None):
     """Each micro-batch of metrics-file lines ``(path, line)`` gives its distinct group
     names (S11 + A7), which are registered (U3). The registry (one row per group and user,
     small) is written per epoch to ``registry_root/epoch=<id>``; a retried epoch overwrites
@@ -70,7 +71,8 @@ def watch_groups(stream_lines: DataFrame, registry_root: str, checkpoint: str,
     def write_batch(batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
         reg = current_registry(spark, registry_root)
-        groups = column_values_sniffed(batch, group_col).withColumnRenamed("value", group_col)
+        groups = parse(batch) if parse is not None else \
+            column_values_sniffed(batch, group_col).withColumnRenamed("value", group_col)
         updated = registry.register_groups(reg, registry.distinct_groups(groups, group_col))
         updated.write.mode("overwrite").parquet(f"{registry_root}/epoch={epoch_id}")
 
