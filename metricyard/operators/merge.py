@@ -62,8 +62,34 @@ def new_rows_if_absent(target: DataFrame, batch: DataFrame, key: Sequence[str],
     if check_broadcast and fits_broadcast(bk, bound_by=batch):
         hits = t.join(F.broadcast(bk), null_safe_on(t, bk, tk, [f"_b_{c}" for c in key]), "left_semi")
         return b.join(hits, null_safe_on(b, hits, key, tk), "left_anti").select(*batch.columns)
-    # batch beyond the broadcast bound: one shuffled anti-join (AQE sizes partitions, splits skew)
-    return b.join(t, null_safe_on(b, t, key, tk), "left_anti").select(*batch.columns)
+    return _new_rows_by_aggregate(scoped, batch, key, order_col)
+
+
+def _new_rows_by_aggregate(target: DataFrame, batch: DataFrame, key: Sequence[str], order_col: str | None) -> DataFrame:
+    """M1 when the batch is too large to broadcast: one shuffle instead of de-dup + join.
+
+    Stored keys (tag 0) and batch rows (tag 1) are unioned and grouped on the key -- grouping
+    treats NULLs as equal, which is the null-safe key match. A key whose smallest tag is 1 is
+    new; its non-key columns come from the batch row first in ``order_col`` order. Partial
+    aggregation collapses duplicates map-side, so a hot key costs one row per task.
+    """
+    key = list(key)
+    rest = [c for c in batch.columns if c not in key and c != order_col]
+    order = F.col(order_col) if order_col else F.lit(0)
+    kcols = [F.col(f"`{c}`") for c in key]
+    b = batch.select(*kcols, F.lit(1).alias("_src"), order.alias("_ord"),
+                     *([F.struct(*[F.col(f"`{c}`") for c in rest]).alias("_rest")] if rest else []))
+    t = target.select(*kcols, F.lit(0).alias("_src"), F.lit(None).cast(b.schema["_ord"].dataType).alias("_ord"),
+                      *([F.lit(None).cast(b.schema["_rest"].dataType).alias("_rest")] if rest else []))
+    aggs = [F.min("_src").alias("_src"), F.min("_ord").alias("_ord")]
+    if rest:
+        aggs.append(F.min_by("_rest", F.col("_ord")).alias("_rest"))
+    new = t.unionByName(b).groupBy(*key).agg(*aggs).filter(F.col("_src") == 1)
+    cols = {c: F.col(f"`{c}`") for c in key}
+    cols.update({c: F.col("_rest")[c].alias(c) for c in rest})
+    if order_col:
+        cols[order_col] = F.col("_ord").alias(order_col)
+    return new.select(*[cols[c] for c in batch.columns])
 
 
 def append_if_absent(target: DataFrame, batch: DataFrame, key: Sequence[str],

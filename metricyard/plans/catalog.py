@@ -399,13 +399,14 @@ def json_lookup(spark, sf_dir):
     attrs = F.concat(F.lit('{"attributes": [{"id": "raw_data_report.nreads", "value": "'), k,
                      F.lit('"}, {"id": "ccs2.percent_ccs_bases_q30", "value": "0.'), k,
                      F.lit('"}, {"value": "7"}]}'))
-    m = clean.attributes_map(attrs)
+    from ..sources.reports import attribute_value
     return e.select("event_id", k.alias("k"), clean.json_value(settings, "application").alias("application"),
                     clean.json_first_path(settings).alias("first_path"),
                     clean.json_first_element(settings, "organism").alias("organism"),
-                    m["raw_data_report.nreads"].alias("Polymerase_Reads_raw"),
-                    clean.fraction_to_percent(m["ccs2.percent_ccs_bases_q30"]).alias("Q30_base_PCT_ccs_raw"),
-                    m["raw_data_report.nbases"].alias("Polymerase_Read_Bases_raw"))
+                    attribute_value(attrs, "raw_data_report.nreads").alias("Polymerase_Reads_raw"),
+                    clean.fraction_to_percent(attribute_value(attrs, "ccs2.percent_ccs_bases_q30"))
+                    .alias("Q30_base_PCT_ccs_raw"),
+                    attribute_value(attrs, "raw_data_report.nbases").alias("Polymerase_Read_Bases_raw"))
 
 
 @register("proj_status")
