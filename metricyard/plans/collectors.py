@@ -223,8 +223,10 @@ def long_read_rows(spark: SparkSession, listing: DataFrame, projects: DataFrame,
         kept = F.filter(zipped, lambda e: ~F.array_contains(dl, e["n"]))
     else:
         kept = F.filter(zipped, lambda e: F.lower(e["n"]) != "species")
-    rep = rep.withColumn("header", F.transform(kept, lambda e: e["n"])).withColumn(
-        "cells", F.transform(kept, lambda e: F.nullif(F.trim(clean.strip_inner_commas(e["v"])), F.lit(""))))
+    others = [c for c in rep.columns if c not in ("header", "cells")]
+    rep = rep.select(*others, F.transform(kept, lambda e: e["n"]).alias("header"),
+                     F.transform(kept, lambda e: F.nullif(F.trim(clean.strip_inner_commas(e["v"])), F.lit("")))
+                     .alias("cells"))
 
     # per project: instrument name/id, species, attribute metrics (PacBio, not in fallback)
     parent = clean.base_name(clean.parent_dir(F.col("project_dir")))
@@ -251,13 +253,21 @@ def long_read_rows(spark: SparkSession, listing: DataFrame, projects: DataFrame,
         meta = meta.select("*", *cols)
         extra_names = [n for n, _ in fixed.RAW_DATA_ATTRIBUTES] + [n for n, _ in fixed.CCS_ATTRIBUTES]
 
-    # F4 (PacBio): ids / values by the first row; R2 start = first numeric column of the first row
+    # C1 on the header; then per file the first row decides the layout:
+    #   PacBio (F4): a column is a value when its first-row cell is an unsigned decimal, else an id;
+    #   ONT (R2): metrics start at the first column whose first-row cell is numeric ('%' allowed).
+    rep = rep.withColumn("header", F.transform(F.col("header"), lambda x: clean.sanitize_header(x)))
     first = rep.groupBy("path").agg(F.min_by("cells", F.col("row_no")).alias("_first"))
-    start = first.select("path", shape.first_numeric_position(F.col("_first")).alias("_start"), "_first")
+    start = first.select("path", "_first", shape.first_numeric_position(F.col("_first")).alias("_start"))
     rep = rep.join(broadcast_if_small(start), "path")
-    rejected = rep.filter(F.col("_start") == 0).select("project_dir").distinct().withColumn(
-        "reason", F.lit("no numeric column"))
-    rep = rep.filter(F.col("_start") > 0)
+    if application == "PacBio":
+        has_value = F.exists(F.col("_first"), lambda x: clean.is_numeric(x, "decimal"))
+        rejected = rep.filter(~has_value & (F.col("rank") == 2)).select("project_dir").distinct()
+        rep = rep.filter(has_value | (F.col("rank") == 1))
+    else:
+        rejected = rep.filter(F.col("_start") == 0).select("project_dir").distinct()
+        rep = rep.filter(F.col("_start") > 0)
+    rejected = rejected.withColumn("reason", F.lit("no numeric column"))
     rows = rep.join(broadcast_if_small(meta), "project_dir", "left")
     if application == "PacBio":
         attr_arr = F.array(*[F.struct(F.lit(n).alias("name"), F.col(n).cast("string").alias("value"))
@@ -267,13 +277,18 @@ def long_read_rows(spark: SparkSession, listing: DataFrame, projects: DataFrame,
     else:
         extra = F.array().cast("array<struct<name:string,value:string>>")
     ex = F.array(*[F.lit(x) for x in fixed.LONG_READ_ID_EXCEPTIONS])
-    z = F.arrays_zip(F.col("header").alias("name"), F.col("cells").alias("value"))
-    indexed = F.transform(z, lambda e, i: F.struct(e["name"].alias("name"), e["value"].alias("value"), (i + 1).alias("pos")))
-    metric = F.transform(F.filter(indexed, lambda e: (e["pos"] >= F.col("_start")) & ~F.array_contains(ex, e["name"])),
+    z = F.arrays_zip(F.col("header").alias("name"), F.col("cells").alias("value"),
+                     clean.pad_array(F.col("_first"), F.size("header")).alias("fv"))
+    indexed = F.transform(z, lambda e, i: F.struct(e["name"].alias("name"), e["value"].alias("value"),
+                                                  e["fv"].alias("fv"), (i + 1).alias("pos")))
+    if application == "PacBio":
+        is_metric = lambda e: clean.is_numeric(e["fv"], "decimal") & ~F.array_contains(ex, e["name"])
+    else:
+        is_metric = lambda e: (e["pos"] >= F.col("_start")) & ~F.array_contains(ex, e["name"])
+    metric = F.transform(F.filter(indexed, is_metric),
                          lambda e: F.struct(e["name"].alias("name"), e["value"].alias("value")))
-    ids = F.map_from_entries(F.transform(
-        F.filter(indexed, lambda e: (e["pos"] < F.col("_start")) | F.array_contains(ex, e["name"])),
-        lambda e: F.struct(clean.sanitize_header(e["name"]).alias("k"), e["value"].alias("v"))))
+    ids = F.map_from_entries(F.transform(F.filter(indexed, lambda e: ~is_metric(e)),
+                                         lambda e: F.struct(e["name"].alias("k"), e["value"].alias("v"))))
     long = rows.select(*fixed.LONG_READ_META, ids.alias("ids"), F.explode(F.concat(extra, metric)).alias("_m"))
     long = long.select(*fixed.LONG_READ_META, "ids", clean.sanitize_header(F.col("_m.name")).alias("name"),
                        clean.nullify_missing(F.col("_m.value")).alias("value"),
