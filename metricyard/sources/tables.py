@@ -35,3 +35,13 @@ def row_count_or_zero(spark: SparkSession, path: str) -> int:
         return spark.read.parquet(path).count()
     except AnalysisException:
         return 0
+
+
+def read_evolving(spark: SparkSession, path: str, base_schema: str) -> DataFrame:
+    """A table whose columns grow over time (M4): files are read with ``mergeSchema``; an absent
+    table reads as empty with the base columns."""
+    from pyspark.errors import AnalysisException
+    try:
+        return spark.read.option("mergeSchema", True).parquet(path)
+    except AnalysisException:
+        return spark.createDataFrame([], base_schema)
