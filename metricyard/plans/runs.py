@@ -97,3 +97,27 @@ def build_marts(spark: SparkSession, warehouse: str, run_date: str | None = None
 
 def _with_column(df: DataFrame, name: str) -> DataFrame:
     return df if name in df.columns else df.withColumn(name, F.lit(None).cast("string"))
+
+
+def run_status_update(spark: SparkSession, table_path_: str, run_type: str, export_path: str,
+                      samples_inline: str | None = None, samples_file: str | None = None,
+                      status_col: str = "ProjStatus", run_type_col: str = "Project_run_type",
+                      sample_col: str = "Sample_Name") -> int:
+    """U1 + U2 + A5 + K3: count the rows to change; with none, nothing is written. Otherwise the
+    updated table is written to a new folder next to the old one (staged, never in place) and
+    the run type's rows (all statuses) are exported as TSV. Returns the number changed."""
+    from ..sources.delimited import read_value_list
+    table = spark.read.parquet(table_path_)
+    samples = None
+    if samples_inline is not None or samples_file is not None:
+        samples = read_value_list(spark, samples_inline, samples_file)
+    scope = merge.status_scope(table, run_type_col, run_type, samples, sample_col)
+    n = scope.filter(F.col(status_col) == "Delivered").count()
+    if n == 0:
+        return 0
+    updated = merge.update_status(table, run_type_col, run_type, samples, sample_col, status_col)
+    staged = table_path_.rstrip("/") + ".updated"
+    updated.write.mode("overwrite").parquet(staged)
+    fresh = spark.read.parquet(staged)
+    sinks.export_csv(merge.status_scope(fresh, run_type_col, run_type, samples, sample_col), export_path, sep="\t")
+    return n
