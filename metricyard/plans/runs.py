@@ -121,3 +121,39 @@ def run_status_update(spark: SparkSession, table_path_: str, run_type: str, expo
     fresh = spark.read.parquet(staged)
     sinks.export_csv(merge.status_scope(fresh, run_type_col, run_type, samples, sample_col), export_path, sep="\t")
     return n
+
+
+def run_speciesid(spark: SparkSession, roots: Sequence[str], warehouse: str, run_date: str | None = None) -> dict:
+    """Species-id collector run: S3 -> J1 (+T6) -> F12 -> F1 -> M3 -> K3/K6/K7.
+
+    The stored table is all text; new rows are unioned by name with the stored ones and full
+    duplicates dropped. A new table version (and a dated backup) is written only when the row
+    count grew; failed projects go to the failed ledger and are retried next run."""
+    from ..operators import merge as m
+    run_date = run_date or dt.date.today().isoformat()
+    listing = cut_lineage(files.list_files(spark, roots))
+    found = files.find_reports(spark, roots, "*_QCreport.speciesid.csv")
+    ledger_path = table_path(warehouse, "speciesid_processed")
+    ledger = table_or_empty(spark, ledger_path, LEDGER_SCHEMA)
+    todo = incremental.new_projects(found, ledger, ["project_dir"])
+    rows, failed = collectors.speciesid_rows(spark, listing, todo)
+    width = rows.select(F.max(F.size("header"))).first()[0] or 0
+    names = [r["n"] for r in rows.select(F.explode("header").alias("n")).distinct().collect()]   # column names only
+    from ..sources.reports import cell
+    wide = rows.select("Investigator_Folder", "Project_ID", "FlowcellID",
+                       *[cell(F.col("header"), F.col("cells"), n).alias(n) for n in sorted(names)])
+    current = table_path(warehouse, "speciesid_metrics/current")
+    stored = read_evolving(spark, current, "Investigator_Folder string, Project_ID string, FlowcellID string")
+    merged = cut_lineage(m.append_distinct_all(stored, wide))
+    before, after = stored.count(), merged.count()
+    if after > before:
+        sinks.snapshot(merged, table_path(warehouse, "speciesid_metrics/backups"), run_date)
+        merged.write.mode("overwrite").parquet(current + ".next")
+        sinks.export_csv(merged, table_path(warehouse, "speciesid_metrics/csv"))
+    done = (todo.select("project_dir").join(failed.select("project_dir"), "project_dir", "left_anti")
+                .withColumn("application", F.lit("speciesid")).withColumn("run_date", F.lit(run_date)))
+    sinks.append_ledger(ledger, done, ledger_path)
+    failed.withColumn("run_date", F.lit(run_date)).write.mode("append").parquet(
+        table_path(warehouse, "speciesid_failed"))
+    return {"before": before, "after": after, "grew": after > before, "width": width,
+            "failed": {r["reason"]: r["n"] for r in failed.groupBy("reason").agg(F.count("*").alias("n")).collect()}}
