@@ -2,9 +2,9 @@
 
 Lookup sides are de-duplicated first ("last row wins" as ``max_by`` over the
 row number -- a partial aggregation) so the probe side joins a key-unique
-table: AQE can split a hot probe key without multiplying rows, and the lookup is
-broadcast only after a size check. Rule tables of fixed literal size are
-broadcast directly (their size is bounded by the literals).
+table: AQE turns the join into a broadcast when the measured lookup is small,
+and otherwise splits a hot probe key without multiplying rows. Rule tables of
+fixed literal size are broadcast directly (their size is bounded by the literals).
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import clean, fixed
-from .joins import broadcast_if_small, salted_left_join
+from .joins import salted_left_join
 
 
 def last_wins_lookup(lookup: DataFrame, key_col: str, order_col: str, payload: Sequence[str],
@@ -35,8 +35,8 @@ def enrich_two_key(rows: DataFrame, lookup: DataFrame, name_key: tuple[str, str]
     ``name_key``/``id_key`` are (rows column, lookup column). Adds ``matched_by`` in
     {'name', 'id', None}.
     """
-    by_name = broadcast_if_small(last_wins_lookup(lookup, name_key[1], order_col, payload, "_m_name"))
-    by_id = broadcast_if_small(last_wins_lookup(lookup, id_key[1], order_col, payload, "_m_id"))
+    by_name = last_wins_lookup(lookup, name_key[1], order_col, payload, "_m_name")
+    by_id = last_wins_lookup(lookup, id_key[1], order_col, payload, "_m_id")
     j = (rows.join(by_name, rows[name_key[0]] == by_name["_key"], "left").drop("_key"))
     j = j.join(by_id, j[id_key[0]] == by_id["_key"], "left").drop("_key")
     chosen = F.coalesce(F.col("_m_name"), F.col("_m_id"))
@@ -66,7 +66,7 @@ def add_metadata(rows: DataFrame, meta: DataFrame, on: Sequence[str], before: Se
     """project-level metadata joined on the project key; ``before`` columns first, the row's
     own columns next, ``after`` columns last (checked broadcast of the one-row-per-project side)."""
     own = [c for c in rows.columns if c not in on and c not in before and c not in after]
-    j = rows.join(broadcast_if_small(meta), list(on), "left")
+    j = rows.join(meta, list(on), "left")
     return j.select(*before, *own, *after)
 
 

@@ -20,7 +20,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .joins import broadcast_if_small
 
 CHUNK = 65536
 
@@ -49,9 +48,11 @@ def first_match_pos(df: DataFrame, group: Sequence[str], pos_col: str, cond: Col
 
 
 def attach_per_group(rows: DataFrame, per_group: DataFrame, group: Sequence[str], how: str = "inner") -> DataFrame:
-    """Join a one-row-per-group table back to the rows; the per-group side is broadcast after a
-    size check, else AQE's skew handling splits a hot group (the small side is unique per key)."""
-    return rows.join(broadcast_if_small(per_group), list(group), how)
+    """Join a one-row-per-group table back to the rows. The per-group side is an aggregate, so
+    AQE measures it at run time: under the broadcast threshold it becomes a broadcast hash join
+    (the rows are not shuffled at all); beyond it, AQE's skew handling splits a hot group's
+    partition, which is safe because the per-group side holds one row per key."""
+    return rows.join(per_group, list(group), how)
 
 
 def rows_after_marker(df: DataFrame, group: Sequence[str], pos_col: str, cond: Column,

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from ..functions import clean, fixed
 from ..operators import enrich, shape
-from ..operators.joins import broadcast_if_small
+from ..session import cut_lineage
 from ..sources import files, reports
 
 
@@ -66,7 +66,7 @@ def short_read_rows(spark: SparkSession, listing: DataFrame, projects: DataFrame
     folder or in ``package/``) and ``RunInfo.xml``, and the hidden ``.settings.json``.
     """
     settings = files.read_settings(projects)
-    meta = project_metadata(settings, application)
+    meta = cut_lineage(project_metadata(settings, application))   # small, read by several joins
     listing = project_files(listing, projects)
     base = clean.base_name(F.col("path"))
 
@@ -84,7 +84,7 @@ def short_read_rows(spark: SparkSession, listing: DataFrame, projects: DataFrame
         listing, "project_dir", F.when(base.endswith("_QCreport.speciesid.csv"), F.lit(1)))
 
     texts = _texts(report.unionByName(species).unionByName(summary).unionByName(runinfo).select("path"))
-    texts = texts.join(listing, "path", "inner")   # adds project_dir
+    texts = cut_lineage(texts.join(listing, "path", "inner"))   # adds project_dir; read once
 
     # run identity and lanes (per project)
     sum_texts = texts.join(summary.select("path"), "path", "left_semi")
@@ -138,7 +138,7 @@ def short_read_rows(spark: SparkSession, listing: DataFrame, projects: DataFrame
                        .drop("_sum_flowcell", "_ri_flowcell"))
     with_lanes = enrich.lanes_x_samples(samples, lanes, ["project_dir"], salt=8,
                                         salt_from=["path", "row_no"])
-    rows = with_lanes.join(broadcast_if_small(per_project), "project_dir", "left")
+    rows = with_lanes.join(per_project, "project_dir", "left")
     if not allow_undelivered:
         rows = rows.filter(F.col("ProjStatus") == "Delivered")
     all_metrics = F.concat(F.col("_metrics"), F.col("_species"),
@@ -194,7 +194,7 @@ def long_read_rows(spark: SparkSession, listing: DataFrame, projects: DataFrame,
     ``ids`` as a map, so each file keeps its own layout).
     """
     settings = files.read_settings(projects)
-    meta = project_metadata(settings, application)
+    meta = cut_lineage(project_metadata(settings, application))
     listing = project_files(listing, projects).join(meta.select("project_dir", "Project_run_type"), "project_dir")
     base = clean.base_name(F.col("path"))
     pf = F.coalesce(F.col("Project_run_type"), F.lit("\u0000"))
@@ -209,7 +209,7 @@ def long_read_rows(spark: SparkSession, listing: DataFrame, projects: DataFrame,
                  .when(in_pkg & base.startswith(pf) & base.endswith("QCreport.csv"), F.lit(3))
                  .when(top & base.startswith(pf) & base.endswith("QCreport.csv"), F.lit(4)))
     report = files.resolve_candidate(listing, "project_dir", rank)
-    texts = _texts(report).join(report.select("project_dir", "path", "rank"), "path")
+    texts = cut_lineage(_texts(report).join(report.select("project_dir", "path", "rank"), "path"))
     rep = reports.report_rows(texts, fixed.LONG_READ_MARKERS).join(report.select("path", "project_dir", "rank"), "path")
 
     if application == "PacBio":
@@ -259,7 +259,7 @@ def long_read_rows(spark: SparkSession, listing: DataFrame, projects: DataFrame,
     rep = rep.withColumn("header", F.transform(F.col("header"), lambda x: clean.sanitize_header(x)))
     first = rep.groupBy("path").agg(F.min_by("cells", F.col("row_no")).alias("_first"))
     start = first.select("path", "_first", shape.first_numeric_position(F.col("_first")).alias("_start"))
-    rep = rep.join(broadcast_if_small(start), "path")
+    rep = rep.join(start, "path")
     if application == "PacBio":
         has_value = F.exists(F.col("_first"), lambda x: clean.is_numeric(x, "decimal"))
         rejected = rep.filter(~has_value & (F.col("rank") == 2)).select("project_dir").distinct()
@@ -268,7 +268,7 @@ def long_read_rows(spark: SparkSession, listing: DataFrame, projects: DataFrame,
         rejected = rep.filter(F.col("_start") == 0).select("project_dir").distinct()
         rep = rep.filter(F.col("_start") > 0)
     rejected = rejected.withColumn("reason", F.lit("no numeric column"))
-    rows = rep.join(broadcast_if_small(meta), "project_dir", "left")
+    rows = rep.join(meta, "project_dir", "left")
     if application == "PacBio":
         attr_arr = F.array(*[F.struct(F.lit(n).alias("name"), F.col(n).cast("string").alias("value"))
                              for n in extra_names])
@@ -323,7 +323,7 @@ def speciesid_rows(spark: SparkSession, listing: DataFrame, projects: DataFrame)
     summary = files.resolve_candidate(listing, "project_dir", F.when(~pkg & (base == "Run_Metric_Summary.csv"), F.lit(1))
                                       .when(pkg & (base == "Run_Metric_Summary.csv"), F.lit(2)))
     runinfo = files.resolve_candidate(listing, "project_dir", F.when(base == "RunInfo.xml", F.lit(1)))
-    texts = _texts(report.unionByName(summary).unionByName(runinfo).select("path"))
+    texts = cut_lineage(_texts(report.unionByName(summary).unionByName(runinfo).select("path")))
     ri = texts.join(runinfo, "path")
     _, ri_flow = reports.run_info(ri)
     ri = ri.select("project_dir", ri_flow.alias("_ri"))

@@ -32,26 +32,30 @@ def table_path(warehouse: str, name: str) -> str:
 def run_collector(spark: SparkSession, roots: Sequence[str], application: str, warehouse: str,
                   run_date: str | None = None, allow_undelivered: bool = False) -> dict:
     """Collect one application from the project roots into the warehouse. Returns counters."""
-    run_date = run_date or dt.date.today().isoformat()
     listing = cut_lineage(files.list_files(spark, roots))
     projects = files.list_projects(spark, roots, application)
+    return run_projects(spark, listing, projects, application, warehouse, run_date, allow_undelivered)
+
+
+def run_projects(spark: SparkSession, listing: DataFrame, projects: DataFrame, application: str, warehouse: str,
+                 run_date: str | None = None, allow_undelivered: bool = False) -> dict:
+    """Collect the given project folders (those not yet in the ledger) and append their rows."""
+    run_date = run_date or dt.date.today().isoformat()
     ledger_path = table_path(warehouse, "processed_ledger")
     ledger = table_or_empty(spark, ledger_path, LEDGER_SCHEMA).filter(F.col("application") == application)
-    todo = incremental.new_projects(projects, ledger, ["project_dir"])
+    todo = incremental.new_projects(projects.select("project_dir").distinct(), ledger, ["project_dir"])
 
     if application in ("PacBio", "ONT"):
         rows, failed = collectors.long_read_rows(spark, listing, todo, application)
         rows = cut_lineage(rows)
         target_path = table_path(warehouse, f"qc_{application.lower()}_metrics")
-        ids = sorted({k for r in rows.select(F.explode(F.map_keys("ids")).alias("k")).distinct().collect()
-                      for k in [r["k"]]})   # column names only (M4 schema evolution)
-        batch = collectors.long_read_table_rows(rows, ids)
+        ids = sorted(r["k"] for r in rows.select(F.explode(F.map_keys("ids")).alias("k")).distinct().collect())
+        batch = collectors.long_read_table_rows(rows, ids)   # id names only reach the driver (M4)
         target = read_evolving(spark, target_path, LONG_SCHEMA)
         widened, batch = merge.evolve_schema(target, batch, fixed_cols=fixed.LONG_READ_BASE + ("name", "value"))
-        new = merge.new_rows_except(widened, batch)
-        new = cut_lineage(new)
+        new = cut_lineage(merge.new_rows_except(widened, batch))
         before = target.count()
-        sinks.append_rows(new.select(*[F.col(c) for c in new.columns]), target_path)
+        sinks.append_rows(new, target_path)
         added = new.count()
     else:
         rows, failed = collectors.short_read_rows(spark, listing, todo, application, allow_undelivered)
@@ -61,7 +65,7 @@ def run_collector(spark: SparkSession, roots: Sequence[str], application: str, w
         before = target.count()
         new = cut_lineage(merge.new_rows_if_absent(target, rows, fixed.SHORT_READ_KEY,
                                                    partition_cols=("Application",)))
-        sinks.append_rows(new, target_path, partition_cols=("Application",))
+        sinks.write_clustered(new, target_path)           # K5: per application, sorted for skipping
         added = new.count()
 
     # Record the projects that produced rows; failed ones stay unrecorded (retried)

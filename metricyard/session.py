@@ -65,6 +65,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(df):
-    """Reliable checkpoint into the shared checkpoint folder (survives executor loss)."""
+    """Reliable checkpoint into the shared checkpoint folder (survives executor loss).
+
+    The frame is persisted while the checkpoint is written so that its plan runs once (a bare
+    checkpoint computes it for the count and again for the checkpoint files)."""
+    from pyspark import StorageLevel
     ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    held = df.persist(StorageLevel.MEMORY_AND_DISK)
+    out = held.checkpoint(eager=True)
+    held.unpersist()
+    return out

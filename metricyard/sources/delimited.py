@@ -13,7 +13,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import clean
-from ..operators.joins import broadcast_if_small
 
 
 def sniff_delimiter(sample: F.Column) -> F.Column:
@@ -33,7 +32,7 @@ def column_values_sniffed(lines: DataFrame, column: str, path_col: str = "path",
                        F.transform(F.split(F.col(line_col), F.col("_delim")), lambda x: F.trim(x)), F.lit(column)))
                    .filter(F.col("_idx") > 0)
                    .groupBy(path_col).agg(F.min_by(F.struct("_delim", "_idx"), F.col(line_col)).alias("_h")))
-    j = lines.join(broadcast_if_small(header), path_col, "inner")
+    j = lines.join(header, path_col, "inner")   # one row per file; AQE broadcasts it when small
     cells = F.split(F.col(line_col), F.col("_h._delim"))
     return j.select(path_col, F.try_element_at(cells, F.col("_h._idx").cast("int")).alias("value"))
 

@@ -97,3 +97,31 @@ def metrics_file_stream(spark: SparkSession, input_dir: str) -> DataFrame:
     return (spark.readStream.format("text").option("pathGlobFilter", "*.metrics.txt")
                  .option("recursiveFileLookup", "true").load(input_dir)
                  .select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("line")))
+
+
+def watch_reports(spark: SparkSession, root: str, application: str, warehouse: str, checkpoint: str,
+                  trigger_available_now: bool = True):
+    """The collector as a stream. Each micro-batch holds newly landed report files; their
+    project folders are collected and appended (M1/M2) -- the stream checkpoint records which
+    files were seen, the ledger which projects succeeded (failed ones are retried by the batch
+    collector, since a file stream does not re-read an unchanged path, ledger L-21)."""
+    from ..plans import runs
+    from ..sources import files
+    from ..functions import clean
+
+    glob = f"*_QCreport.{application}.csv" if application not in ("PacBio", "ONT") else "*QC*eport*.csv"
+    stream = (spark.readStream.format("text").option("pathGlobFilter", glob)
+                   .option("recursiveFileLookup", "true").load(root)
+                   .select(F.col("_metadata.file_path").alias("path")))
+
+    def write_batch(batch: DataFrame, epoch_id: int) -> None:
+        p = F.regexp_replace("path", "^file:", "")
+        folder = clean.parent_dir(p)
+        folder = F.when(clean.base_name(folder) == "package", clean.parent_dir(folder)).otherwise(folder)
+        projects = batch.select(folder.alias("project_dir")).distinct()
+        listing = files.list_files(batch.sparkSession, [root])
+        runs.run_projects(batch.sparkSession, listing, projects, application, warehouse)
+
+    writer = stream.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
+    writer = writer.trigger(availableNow=True) if trigger_available_now else writer
+    return writer.start()

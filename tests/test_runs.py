@@ -34,3 +34,18 @@ def test_pacbio_run_evolves_schema(spark, tmpdir_path):
     assert {"Sample_Name", "Plate_Number", "Movie_Time_hours", "Mean_QV"} <= set(t.columns)
     again = runs.run_collector(spark, [roots], "PacBio", wh, run_date="2024-05-03")
     assert again["added"] == 0
+
+
+def test_watch_reports_stream(spark, tmpdir_path):
+    from metricyard.streaming import jobs
+    roots = os.path.join(tmpdir_path, "roots")
+    wh = os.path.join(tmpdir_path, "warehouse")
+    make_project(roots, "labA", "p1", settings=settings())
+    ck = os.path.join(jobs.scratch_dir(spark, "watch-reports"), "ckpt")
+    jobs.watch_reports(spark, roots, "rnaseq", wh, ck).awaitTermination()
+    n1 = spark.read.parquet(os.path.join(wh, "qc_illumina_metrics")).count()
+    assert n1 > 0
+    make_project(roots, "labA", "p9", settings=settings(projectId="p9", deliveryFolder="/x/labA/p9/"))
+    jobs.watch_reports(spark, roots, "rnaseq", wh, ck).awaitTermination()
+    t = spark.read.parquet(os.path.join(wh, "qc_illumina_metrics"))
+    assert t.count() == 2 * n1 and {r["Project_ID"] for r in t.select("Project_ID").distinct().collect()} == {"p1", "p9"}
