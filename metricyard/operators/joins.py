@@ -42,7 +42,7 @@ def broadcast_threshold(df: DataFrame) -> int:
 def rows_at_most(df: DataFrame, n: int) -> bool:
     """True when ``df`` has at most ``n`` rows. ``limit(n + 1)`` lets every task stop after
     ``n + 1`` rows, so the check stays cheap when ``df`` is large."""
-    return df.limit(n + 1).count() <= n
+    return df.select(F.lit(1).alias("_one")).limit(n + 1).count() <= n
 
 
 def fits_broadcast(df: DataFrame, bound_by: DataFrame | None = None, max_bytes: int | None = None) -> bool:

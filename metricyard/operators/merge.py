@@ -75,15 +75,22 @@ def _new_rows_by_aggregate(target: DataFrame, batch: DataFrame, key: Sequence[st
     """
     key = list(key)
     rest = [c for c in batch.columns if c not in key and c != order_col]
-    order = F.col(order_col) if order_col else F.lit(0)
     kcols = [F.col(f"`{c}`") for c in key]
-    b = batch.select(*kcols, F.lit(1).alias("_src"), order.alias("_ord"),
-                     *([F.struct(*[F.col(f"`{c}`") for c in rest]).alias("_rest")] if rest else []))
-    t = target.select(*kcols, F.lit(0).alias("_src"), F.lit(None).cast(b.schema["_ord"].dataType).alias("_ord"),
-                      *([F.lit(None).cast(b.schema["_rest"].dataType).alias("_rest")] if rest else []))
-    aggs = [F.min("_src").alias("_src"), F.min("_ord").alias("_ord")]
+    carried = []                       # what a new key takes from its first batch row
+    if order_col:
+        carried.append(F.col(order_col).alias("_ord"))
+    if rest:
+        carried.append(F.struct(*[F.col(f"`{c}`") for c in rest]).alias("_rest"))
+    b = batch.select(*kcols, F.lit(1).alias("_src"), *carried)
+    t = target.select(*kcols, F.lit(0).alias("_src"),
+                      *[F.lit(None).cast(b.schema[n].dataType).alias(n) for n in ("_ord", "_rest")
+                        if n in b.columns])
+    aggs = [F.min("_src").alias("_src")]
+    if order_col:
+        aggs.append(F.min("_ord").alias("_ord"))
     if rest:
-        aggs.append(F.min_by("_rest", F.col("_ord")).alias("_rest"))
+        aggs.append((F.min_by("_rest", F.col("_ord")) if order_col else F.first("_rest", ignorenulls=True))
+                    .alias("_rest"))
     new = t.unionByName(b).groupBy(*key).agg(*aggs).filter(F.col("_src") == 1)
     cols = {c: F.col(f"`{c}`") for c in key}
     cols.update({c: F.col("_rest")[c].alias(c) for c in rest})

@@ -95,24 +95,21 @@ def pivot_long_array(df: DataFrame, start: Column, id_exceptions: Sequence[str]
     ``start`` is the per-row 1-based first metric position (``anchor_position`` for R1,
     ``first_numeric_position`` of the file's first row for R2). Rows with ``start = 0`` are
     dropped here; callers report them through ``rejected_by_start``. Columns listed in
-    ``id_exceptions`` stay in ``ids`` even when right of ``start``.
+    ``id_exceptions`` stay ids even when right of ``start``. The output keeps ``header`` and
+    the padded ``cells`` so id columns are read by name (``sources.reports.cell``); the explode
+    is a plain ``posexplode`` + filter, which stays in generated code.
     """
     keep = [c for c in df.columns if c not in (header, cells)]
-    width = F.size(F.col(header))
-    padded = clean.pad_array(F.col(cells), width)
-    ex = F.array(*[F.lit(x) for x in id_exceptions]) if id_exceptions else F.array().cast("array<string>")
-    zipped = F.arrays_zip(F.col(header).alias("name"), padded.alias("value"))
-    indexed = F.transform(zipped, lambda z, i: F.struct(z["name"].alias("name"), z["value"].alias("value"), (i + 1).alias("pos")))
-    ids = F.filter(indexed, lambda z: (z["pos"] < F.col("_start")) | F.array_contains(ex, z["name"]))
-    metrics = F.filter(indexed, lambda z: (z["pos"] >= F.col("_start")) & ~F.array_contains(ex, z["name"]))
-    staged = (df.withColumn("_start", start)
-                .filter(F.col("_start") > 0)
-                .select(*keep,
-                        F.map_from_entries(F.transform(ids, lambda z: F.struct(z["name"], z["value"]))).alias("ids"),
-                        metrics.alias("_m")))
-    return (staged.select(*keep, "ids", F.explode("_m").alias("_nv"))
-                  .select(*keep, "ids", F.col("_nv.name").alias("name"), F.col("_nv.value").alias("value"),
-                          F.col("_nv.pos").alias("col_no")))
+    staged = (df.withColumn("_start", start).filter(F.col("_start") > 0)
+                .withColumn(cells, clean.pad_array(F.col(cells), F.size(F.col(header)))))
+    exploded = staged.select(*keep, header, cells, "_start", F.posexplode(F.col(header)).alias("_pos", "name"))
+    is_metric = F.col("_pos") + 1 >= F.col("_start")
+    if id_exceptions:
+        is_metric = is_metric & ~F.col("name").isin(*id_exceptions)
+    return (exploded.filter(is_metric)
+                    .select(*keep, header, cells, "name",
+                            F.element_at(F.col(cells), F.col("_pos") + 1).alias("value"),
+                            (F.col("_pos") + 1).alias("col_no")))
 
 
 # --------------------------------------------------------------- F2-F4 columns

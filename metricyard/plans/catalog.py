@@ -121,8 +121,9 @@ def pivot_long_numeric(spark, sf_dir):
     start = first.select("file", shape.first_numeric_position(F.col("first_cells")).alias("start"))
     staged = ordered.attach_per_group(rep, start, ["file"])
     long = shape.pivot_long_array(staged, F.col("start"), id_exceptions=("Plate_Number",))
-    return long.select("file", F.col("ids")["Sample_ID"].alias("Sample_ID"),
-                       F.col("ids")["Plate_Number"].alias("Plate_Number"), "name",
+    from ..sources.reports import cell
+    return long.select("file", cell(F.col("header"), F.col("cells"), "Sample_ID").alias("Sample_ID"),
+                       cell(F.col("header"), F.col("cells"), "Plate_Number").alias("Plate_Number"), "name",
                        clean.nullify_missing("value").alias("value"))
 
 
@@ -399,14 +400,16 @@ def json_lookup(spark, sf_dir):
     attrs = F.concat(F.lit('{"attributes": [{"id": "raw_data_report.nreads", "value": "'), k,
                      F.lit('"}, {"id": "ccs2.percent_ccs_bases_q30", "value": "0.'), k,
                      F.lit('"}, {"value": "7"}]}'))
-    from ..sources.reports import attribute_value
-    return e.select("event_id", k.alias("k"), clean.json_value(settings, "application").alias("application"),
-                    clean.json_first_path(settings).alias("first_path"),
-                    clean.json_first_element(settings, "organism").alias("organism"),
-                    attribute_value(attrs, "raw_data_report.nreads").alias("Polymerase_Reads_raw"),
-                    clean.fraction_to_percent(attribute_value(attrs, "ccs2.percent_ccs_bases_q30"))
-                    .alias("Q30_base_PCT_ccs_raw"),
-                    attribute_value(attrs, "raw_data_report.nbases").alias("Polymerase_Read_Bases_raw"))
+    from ..sources.reports import attribute_value, parse_attributes
+    staged = e.select("event_id", k.alias("k"), settings.alias("settings"), parse_attributes(attrs).alias("attrs"))
+    a = F.col("attrs")
+    return staged.select("event_id", "k", clean.json_value("settings", "application").alias("application"),
+                         clean.json_first_path("settings").alias("first_path"),
+                         clean.json_first_element("settings", "organism").alias("organism"),
+                         attribute_value(a, "raw_data_report.nreads", parsed=True).alias("Polymerase_Reads_raw"),
+                         clean.fraction_to_percent(attribute_value(a, "ccs2.percent_ccs_bases_q30", parsed=True))
+                         .alias("Q30_base_PCT_ccs_raw"),
+                         attribute_value(a, "raw_data_report.nbases", parsed=True).alias("Polymerase_Read_Bases_raw"))
 
 
 @register("proj_status")

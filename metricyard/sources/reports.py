@@ -105,11 +105,19 @@ def run_info(texts: DataFrame, text_col: str = "text") -> tuple[Column, Column]:
             F.nullif(F.trim(F.regexp_extract(t, r"<Flowcell>([^<]*)</Flowcell>", 1)), F.lit("")))
 
 
-def attribute_value(json_col, attribute_id: str) -> Column:
+ATTRIBUTES_SCHEMA = "struct<attributes:array<struct<id:string,value:string>>>"
+
+
+def parse_attributes(json_col) -> Column:
+    """Parse an attribute report once (``attributes[{id, value}]``)."""
+    return F.from_json(clean._c(json_col), ATTRIBUTES_SCHEMA)
+
+
+def attribute_value(json_col, attribute_id: str, parsed: bool = False) -> Column:
     """``value`` of the entry of ``attributes[]`` whose ``id`` equals ``attribute_id``
-    (first one), as text; numeric 0 is kept; absent -> NULL."""
-    schema = "struct<attributes:array<struct<id:string,value:string>>>"
-    parsed = F.from_json(clean._c(json_col), schema)
+    (first one), as text; numeric 0 is kept; absent -> NULL. With ``parsed=True`` the column
+    already holds the output of ``parse_attributes``."""
+    parsed = clean._c(json_col) if parsed else parse_attributes(json_col)
     ids = parsed["attributes"]["id"]
     vals = parsed["attributes"]["value"]
     pos = F.array_position(ids, F.lit(attribute_id))
@@ -119,7 +127,8 @@ def attribute_value(json_col, attribute_id: str) -> Column:
 def attribute_metrics(json_col, id_map: Sequence[tuple[str, str]], percent: Sequence[str] = ()) -> list[Column]:
     """S10 + N1: named metric columns from an attribute report; ``percent`` ones are x100 (2 decimals)."""
     out = []
+    parsed = parse_attributes(json_col)
     for name, attr in id_map:
-        v = attribute_value(json_col, attr)
+        v = attribute_value(parsed, attr, parsed=True)
         out.append((clean.fraction_to_percent(v) if name in percent else v).alias(name))
     return out
