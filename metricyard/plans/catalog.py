@@ -802,3 +802,46 @@ def typed_csv(spark, sf_dir):
     empty = spark.createDataFrame([], typed.schema)
     stored = merge.append_if_absent(empty, typed, key)
     return merge.append_if_absent(stored, typed, key)
+
+
+# ------------------------------------------------------------------ K5 / S11 round trips
+@register("clustered_write")
+def clustered_write(spark, sf_dir):
+    """K5 + K1: long rows written partitioned by Application and range-sorted for file
+    skipping, then read back with a partition filter (pruned to one application folder)."""
+    from ..operators import sinks
+    from ..streaming.jobs import scratch_dir
+    long = lineitem_long(spark, sf_dir).select(
+        F.col("l_returnflag").alias("Application"), F.col("l_linestatus").alias("Release_Date"),
+        F.col("l_orderkey").cast("string").alias("Investigator_Folder"),
+        F.col("l_linenumber").cast("string").alias("Project_ID"), F.lit("run").alias("Project_run_type"),
+        "name", "value")
+    path = f"{scratch_dir(spark, 'clustered')}/table"
+    sinks.write_clustered(long, path, mode="overwrite")
+    back = spark.read.parquet(path)
+    return back.filter(F.col("Application") != "A")
+
+
+@register("sniffed")
+def sniffed(spark, sf_dir):
+    """S11 + A7: customers written as metrics files -- tab-separated for BUILDING customers,
+    comma-separated otherwise, one file per segment with its header line -- then read back,
+    each file's delimiter and column position found from its own header line."""
+    from ..operators import registry
+    from ..sources import delimited
+    from ..streaming.jobs import scratch_dir
+    c = read_table(spark, sf_dir, "customer")
+    tab = F.col("c_mktsegment") == "BUILDING"
+    sep = F.when(tab, F.lit("\t")).otherwise(F.lit(","))
+    rows = c.select("c_mktsegment", F.lit(1).alias("_o"),
+                    F.concat_ws("", F.col("c_name"), sep, F.concat(F.lit(" grp"), F.col("c_nationkey").cast("string"),
+                                                                    F.lit(" ")), sep, F.lit("x")).alias("line"))
+    header = c.select("c_mktsegment").distinct().select(
+        "c_mktsegment", F.lit(0).alias("_o"),
+        F.concat_ws("", F.lit("Name"), sep, F.lit("Investigator_Folder"), sep, F.lit("Other")).alias("line"))
+    root = f"{scratch_dir(spark, 'sniffed')}/in"
+    (header.unionByName(rows).repartition("c_mktsegment").sortWithinPartitions("_o").drop("_o")
+           .write.partitionBy("c_mktsegment").text(root))
+    lines = delimited.read_metric_files(spark, root, glob="part-*")
+    vals = delimited.column_values_sniffed(lines, "Investigator_Folder").withColumnRenamed("value", "Investigator_Folder")
+    return registry.distinct_groups(vals)

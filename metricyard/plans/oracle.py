@@ -588,3 +588,13 @@ SELECT DISTINCT
 FROM lineitem
 WHERE NOT (l_linenumber = 6 AND l_returnflag = 'N') AND NOT (l_linenumber = 5 AND l_returnflag = 'R')
 """
+
+ORACLE["clustered_write"] = """
+SELECT l_returnflag AS Application, l_linestatus AS Release_Date, CAST(l_orderkey AS VARCHAR) AS Investigator_Folder,
+       CAST(l_linenumber AS VARCHAR) AS Project_ID, 'run' AS Project_run_type, name, value
+FROM (""" + _LINEITEM_LONG.format(extra="") + """) WHERE l_returnflag <> 'A'
+"""
+
+ORACLE["sniffed"] = """
+SELECT DISTINCT 'grp' || c_nationkey AS grp FROM customer
+"""
