@@ -264,14 +264,6 @@ def json_first_element(json_col, key: str) -> Column:
     return F.nullif(F.get_json_object(_c(json_col), f"$.{key}[0]"), F.lit(""))
 
 
-def attributes_map(json_col) -> Column:
-    """Q5/S10 `attributes[{id,value}]` -> map id -> value text (numeric 0 kept)."""
-    schema = "struct<attributes:array<struct<id:string,value:string>>>"
-    parsed = F.from_json(_c(json_col), schema)
-    entries = F.filter(parsed["attributes"], lambda e: e["id"].isNotNull())
-    return F.map_from_entries(F.transform(entries, lambda e: F.struct(e["id"].alias("k"), e["value"].alias("v"))))
-
-
 def first_hit(text_col, rules, default=None) -> Column:
     """C9-style ordered substring rules: first rule whose pattern is contained wins."""
     c = _c(text_col)

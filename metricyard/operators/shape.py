@@ -82,19 +82,13 @@ def first_numeric_position(first_cells: str | Column) -> Column:
     return F.array_position(flags, F.lit(True)).cast("int")
 
 
-def id_cells(header: str, cells: str, start: Column) -> Column:
-    """Cells left of the start position as a ``map<name, value>`` (the id part of a row)."""
-    n = F.greatest(start - 1, F.lit(0))
-    return F.map_from_arrays(F.slice(F.col(header), 1, n), F.slice(clean.pad_array(F.col(cells), F.size(F.col(header))), 1, n))
-
-
 def pivot_long_array(df: DataFrame, start: Column, id_exceptions: Sequence[str] = (),
                      header: str = "header", cells: str = "cells") -> DataFrame:
     """R1/R2 in array form.
 
     ``start`` is the per-row 1-based first metric position (``anchor_position`` for R1,
     ``first_numeric_position`` of the file's first row for R2). Rows with ``start = 0`` are
-    dropped here; callers report them through ``rejected_by_start``. Columns listed in
+    dropped here; callers report those files as rejected. Columns listed in
     ``id_exceptions`` stay ids even when right of ``start``. The output keeps ``header`` and
     the padded ``cells`` so id columns are read by name (``sources.reports.cell``); the explode
     is a plain ``posexplode`` + filter, which stays in generated code.
