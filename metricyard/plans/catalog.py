@@ -825,23 +825,26 @@ def clustered_write(spark, sf_dir):
 @register("sniffed")
 def sniffed(spark, sf_dir):
     """S11 + A7: customers written as metrics files -- tab-separated for BUILDING customers,
-    comma-separated otherwise, one file per segment with its header line -- then read back,
-    each file's delimiter and column position found from its own header line."""
+    comma-separated otherwise, every file with its header line -- then read back, each file's
+    delimiter and column position found from its own header line."""
     from ..operators import registry
     from ..sources import delimited
     from ..streaming.jobs import scratch_dir
     c = read_table(spark, sf_dir, "customer")
     tab = F.col("c_mktsegment") == "BUILDING"
     sep = F.when(tab, F.lit("\t")).otherwise(F.lit(","))
-    rows = c.select("c_mktsegment", F.lit(1).alias("_o"),
+    spread = 8   # a segment is written by up to 8 tasks; each (segment, slot) gets its header line
+    rows = c.select("c_mktsegment", F.pmod(F.xxhash64("c_custkey"), F.lit(spread)).alias("_slot"),
+                    F.lit(1).alias("_o"),
                     F.concat_ws("", F.col("c_name"), sep, F.concat(F.lit(" grp"), F.col("c_nationkey").cast("string"),
                                                                     F.lit(" ")), sep, F.lit("x")).alias("line"))
-    header = c.select("c_mktsegment").distinct().select(
-        "c_mktsegment", F.lit(0).alias("_o"),
-        F.concat_ws("", F.lit("Name"), sep, F.lit("Investigator_Folder"), sep, F.lit("Other")).alias("line"))
+    header = (c.select("c_mktsegment").distinct()
+               .withColumn("_slot", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(spread - 1).cast("bigint"))))
+               .select("c_mktsegment", "_slot", F.lit(0).alias("_o"),
+                       F.concat_ws("", F.lit("Name"), sep, F.lit("Investigator_Folder"), sep, F.lit("Other")).alias("line")))
     root = f"{scratch_dir(spark, 'sniffed')}/in"
-    (header.unionByName(rows).repartition("c_mktsegment").sortWithinPartitions("_o").drop("_o")
-           .write.partitionBy("c_mktsegment").text(root))
+    (header.unionByName(rows).repartition("c_mktsegment", "_slot").sortWithinPartitions("_o")
+           .drop("_o", "_slot").write.partitionBy("c_mktsegment").text(root))
     lines = delimited.read_metric_files(spark, root, glob="part-*")
     vals = delimited.column_values_sniffed(lines, "Investigator_Folder").withColumnRenamed("value", "Investigator_Folder")
     return registry.distinct_groups(vals)

@@ -152,10 +152,18 @@ def short_read_rows(spark: SparkSession, listing: DataFrame, projects: DataFrame
                        F.lit(application).alias("Application"))
     long = long.filter(~clean.value_is_dropped("value")).select(*fixed.SHORT_READ_COLUMNS)
 
-    failed = _failed(meta, report, rep, rejected)
+    failed = _failed(meta, report, rep, rejected).unionByName(_not_ready(meta, allow_undelivered))
     return long, failed
 
 
+def _not_ready(meta: DataFrame, allow_undelivered: bool) -> DataFrame:
+    """without archive scope, projects lacking delivery folder or release date are skipped
+    and stay unrecorded, so that they are tried again."""
+    from ..operators.incremental import delivery_gate
+    gated = delivery_gate(meta, allow_undelivered)
+    return gated.filter(~F.col("ready")).select("project_dir", F.lit("not delivered").alias("reason"))
+
+
 def _species_join(samples: DataFrame, sp_flat: DataFrame, sp_names: Sequence[str]) -> DataFrame:
     payload = F.struct(*[F.col(n) for n in sp_names])
     by_name = (sp_flat.filter(~clean.is_missing("_k_name"))
@@ -184,7 +192,7 @@ def _failed(meta: DataFrame, report: DataFrame, rep: DataFrame, rejected: DataFr
 
 # ------------------------------------------------------------------ long read
 def long_read_rows(spark: SparkSession, listing: DataFrame, projects: DataFrame,
-                   application: str) -> tuple[DataFrame, DataFrame]:
+                   application: str, allow_undelivered: bool = False) -> tuple[DataFrame, DataFrame]:
     """PacBio / ONT collector.
 
     PacBio: ``package/<projectFinal>*_QC_Report.csv``, else ``package/Run_Report_<projectFinal>.csv``
@@ -293,7 +301,9 @@ def long_read_rows(spark: SparkSession, listing: DataFrame, projects: DataFrame,
     long = long.select(*fixed.LONG_READ_META, "ids", clean.sanitize_header(F.col("_m.name")).alias("name"),
                        clean.nullify_missing(F.col("_m.value")).alias("value"),
                        F.lit(application).alias("Application"))
-    failed = _failed(meta, report, rep, rejected)
+    if not allow_undelivered:
+        long = long.filter(F.col("ProjStatus") == "Delivered")
+    failed = _failed(meta, report, rep, rejected).unionByName(_not_ready(meta, allow_undelivered))
     return long, failed
 
 

@@ -46,7 +46,7 @@ def run_projects(spark: SparkSession, listing: DataFrame, projects: DataFrame, a
     todo = incremental.new_projects(projects.select("project_dir").distinct(), ledger, ["project_dir"])
 
     if application in ("PacBio", "ONT"):
-        rows, failed = collectors.long_read_rows(spark, listing, todo, application)
+        rows, failed = collectors.long_read_rows(spark, listing, todo, application, allow_undelivered)
         rows = cut_lineage(rows)
         target_path = table_path(warehouse, f"qc_{application.lower()}_metrics")
         ids = sorted(r["k"] for r in rows.select(F.explode(F.map_keys("ids")).alias("k")).distinct().collect())
@@ -96,6 +96,10 @@ def build_marts(spark: SparkSession, warehouse: str, run_date: str | None = None
     delta = marts.publish_delta(before, short, "Sample_Name").first().asDict()
     if delta["publish"]:
         sinks.snapshot(short, snap_root, run_date)
+    # K6: one run-log row per run -- the marker for days without a new snapshot
+    log = spark.createDataFrame([(run_date, bool(delta["publish"]), int(delta["after_rows"]), int(delta["delta_rows"]))],
+                                "run_date string, published boolean, rows bigint, delta_rows bigint")
+    log.write.mode("append").parquet(table_path(warehouse, "run_log"))
     return {"delta": delta, "view_rows": view.count()}
 
 

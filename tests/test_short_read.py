@@ -119,5 +119,6 @@ def test_undelivered_and_failures(spark, tmpdir_path):
     rows, failed = collect(spark, tmpdir_path)
     assert rows.count() == 0                          # p1 not delivered, p2 has no anchor
     reasons = {r["project_dir"].split("/")[-2]: r["reason"] for r in failed.collect()}
+    assert reasons["p1"] == "not delivered"           # F11: retried, not recorded
     assert reasons["p2"] == "anchor column missing"
     assert reasons["p3"] == "report missing"
