@@ -164,9 +164,12 @@ def percent_value(col) -> Column:
 
 
 def split_list(col, sep=",") -> Column:
-    """C16 + S15: split, trim, drop blanks, keep first occurrence."""
-    parts = F.transform(F.split(_c(col), sep, -1), lambda x: F.trim(x))
-    return F.array_distinct(F.filter(parts, lambda x: x != ""))
+    """C16 + S15: split, trim (spaces), drop blanks, keep first occurrence. Written without
+    lambdas (the split pattern eats the spaces around each separator) so it stays in
+    generated code."""
+    import re
+    parts = F.split(F.trim(_c(col)), f" *{re.escape(sep)} *", -1)
+    return F.array_distinct(F.array_remove(parts, ""))
 
 
 # ---------------------------------------------------------------- D*, N1, X*
