@@ -1,9 +1,9 @@
 """Fixed values that must equal the behaviour being reproduced.
 
 FIXED VALUES -- these lists and tables are data, stated plainly and in their
-natural order. They are small dimensions: the jobs turn them into DataFrames
-(see ``metricyard.functions.dims``) and broadcast them (their size is bounded
-by the literals below, never by the data).
+natural order. They are small dimensions with a size fixed by the literals
+below (never by the data): the jobs compile them into CASE expressions
+(log rules, instrument rules) or broadcast them (the routing table).
 """
 
 # FIXED VALUES: spellings of a missing value.
