@@ -88,10 +88,13 @@ def short_read_rows(spark: SparkSession, listing: DataFrame, projects: DataFrame
 
     # run identity and lanes (per project)
     sum_texts = texts.join(summary.select("path"), "path", "left_semi")
-    ident = reports.run_identity(sum_texts).join(summary.select("project_dir", "path"), "path").drop("path")
+    # Machine and flowcell from the summary, run id from RunInfo.xml -- all three only
+    # when a run summary exists (without one the run fields stay missing)
+    ident = reports.run_identity(sum_texts, tbd_missing=False).join(
+        summary.select("project_dir", "path"), "path").drop("path")
     ri = texts.join(runinfo.select("path"), "path", "left_semi")
-    run_id, ri_flow = reports.run_info(ri)
-    ri = ri.select("project_dir", run_id.alias("RunID"), ri_flow.alias("_ri_flowcell"))
+    run_id, _ = reports.run_info(ri)
+    ri = ri.select("project_dir", run_id.alias("RunID")).join(summary.select("project_dir"), "project_dir", "left_semi")
     lanes = reports.lane_block(sum_texts).join(summary.select("project_dir", "path"), "path").drop("path")
     lane_metrics = F.array(*[F.struct(F.lit(n).alias("name"), F.col(n).alias("value"))
                              for n in fixed.LANE_METRIC_NAMES])
@@ -134,8 +137,7 @@ def short_read_rows(spark: SparkSession, listing: DataFrame, projects: DataFrame
     ident = ident.select("project_dir", F.col("MachineID").alias("InstrumentID"),
                          F.col("FlowCellID").alias("_sum_flowcell"))
     per_project = (meta.join(ident, "project_dir", "left").join(ri, "project_dir", "left")
-                       .withColumn("FlowcellID", F.coalesce("_sum_flowcell", "_ri_flowcell"))
-                       .drop("_sum_flowcell", "_ri_flowcell"))
+                       .withColumnRenamed("_sum_flowcell", "FlowcellID"))
     with_lanes = enrich.lanes_x_samples(samples, lanes, ["project_dir"], salt=8,
                                         salt_from=["path", "row_no"])
     rows = with_lanes.join(per_project, "project_dir", "left")

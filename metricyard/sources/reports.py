@@ -84,9 +84,11 @@ def lane_block(texts: DataFrame, file_col: str = "path", text_col: str = "text")
     return rows.select(*out)
 
 
-def run_identity(summary_texts: DataFrame, file_col: str = "path", text_col: str = "text") -> DataFrame:
+def run_identity(summary_texts: DataFrame, file_col: str = "path", text_col: str = "text",
+                 tbd_missing: bool = True) -> DataFrame:
     """``MachineID`` and ``FlowCellID`` from the first data row under the first header
-    line holding both; a ``!!!TBD!!!`` or empty flowcell is missing."""
+    line holding both; with ``tbd_missing`` (S9) a ``!!!TBD!!!`` or empty flowcell is missing,
+    otherwise (S8, short-read metadata) the cell is taken as written."""
     lines = ordered.number_lines(summary_texts, text_col, [file_col])
     cond = (F.instr("line", "MachineID") > 0) & (F.instr("line", "FlowCellID") > 0)
     hdr = lines.filter(cond).groupBy(file_col).agg(F.min_by(F.struct("line_no", "line"), F.col("line_no")).alias("_h"))
@@ -94,8 +96,10 @@ def run_identity(summary_texts: DataFrame, file_col: str = "path", text_col: str
     h = F.transform(csv_cells(F.col("_h.line")), lambda x: F.trim(x))
     c = F.transform(csv_cells(F.col("line")), lambda x: F.trim(x))
     flow = cell(h, c, "FlowCellID")
+    flow = F.when(~F.coalesce(flow, F.lit("")).isin("", fixed.TBD_TOKEN), flow) if tbd_missing else \
+        F.nullif(flow, F.lit(""))
     return nxt.select(file_col, F.nullif(cell(h, c, "MachineID"), F.lit("")).alias("MachineID"),
-                      F.when(~F.coalesce(flow, F.lit("")).isin("", fixed.TBD_TOKEN), flow).alias("FlowCellID"))
+                      flow.alias("FlowCellID"))
 
 
 def run_info(texts: DataFrame, text_col: str = "text") -> tuple[Column, Column]:
