@@ -165,3 +165,31 @@ def run_speciesid(spark: SparkSession, roots: Sequence[str], warehouse: str, run
         table_path(warehouse, "speciesid_failed"))
     return {"before": before, "after": after, "grew": after > before, "width": width,
             "failed": {r["reason"]: r["n"] for r in failed.groupBy("reason").agg(F.count("*").alias("n")).collect()}}
+
+
+SEQUENCING_DDL = ", ".join(f"`{n}` {t}" for n, t in fixed.SEQUENCING_SCHEMA)
+
+
+def run_sequencing_import(spark: SparkSession, csv_path: str, warehouse: str, run_date: str | None = None) -> dict:
+    """S12 + M7 + M1 + A4: import ``SequencingMetrics.csv`` into ``sequencing_metrics``.
+
+    The file is skipped when its content hash equals the last imported one (M7). Otherwise it
+    is read all-text, short rows are padded and bad rows left out (S12), and rows whose 16
+    columns (null-safe) are not stored yet are appended (M1, ledger L-3). The counters are
+    taken from the anti-join result, not from a second scan."""
+    from ..sources.delimited import read_typed_csv
+    run_date = run_date or dt.date.today().isoformat()
+    hashes_path = table_path(warehouse, "sequencing_imports")
+    current = sinks.content_hash(spark.read.format("binaryFile").load(csv_path)).withColumn("path", F.lit("sequencing"))
+    last = table_or_empty(spark, hashes_path, "path string, sha256 string, run_date string")
+    newest = last.orderBy(F.col("run_date").desc()).limit(1).select("path", "sha256")
+    if merge.changed_since(current, newest).isEmpty():
+        return {"skipped": True, "before": None, "new": 0}
+    target_path = table_path(warehouse, "sequencing_metrics")
+    target = table_or_empty(spark, target_path, SEQUENCING_DDL)
+    batch = cut_lineage(read_typed_csv(spark, csv_path, fixed.SEQUENCING_SCHEMA))
+    new = cut_lineage(merge.new_rows_if_absent(target, batch, [n for n, _ in fixed.SEQUENCING_SCHEMA]))
+    stats = marts.import_stats(target, new, "Project").first().asDict()
+    sinks.append_rows(new, target_path)
+    current.withColumn("run_date", F.lit(run_date)).write.mode("append").parquet(hashes_path)
+    return {"skipped": False, **stats}

@@ -56,3 +56,26 @@ def test_settings_by_application_and_long_csv(spark, tmpdir_path):
     write(os.path.join(tmpdir_path, "long.csv"), "labA,p1,1.50,x\nlabA,p1,3,y\n")
     df = delimited.read_long_csv(spark, os.path.join(tmpdir_path, "long.csv"), ["a", "b", "value", "c"])
     assert [r["value"] for r in df.collect()] == ["1.50", "3"]   # L-7: text kept as written
+
+
+def test_sequencing_import(spark, tmpdir_path):
+    from metricyard.plans import runs
+    hdr = ("Month,Year,Project,Site,InstrumentID,RunFolder,groupFolder,Application,FullPath,Platform,"
+           "Reads,Bases,Bytes,DeliveryDirectory,SampleSize,PolymeraseReadLength_bp_Mean\n")
+    body = ("1,2024,P1,CT,I1,R1,g1,wgs,/f/1,NovaSeq,10,20,30,/d/1,2,\n"          # NULL length (L-3)
+            "1,2024,P1,CT,I1,R1,g1,wgs,/f/1,NovaSeq,10,20,30,/d/1,2,\n"          # repeated row
+            "2,2024,P2,CT,I1,R2,g1,wgs,/f/2,NovaSeq,abc,20,30,/d/2,2,5.5\n"      # word in a number
+            "3,2024,P3,CT,I1,R3,g1,wgs,/f/3,NovaSeq,10,20,30,/d/3,2,5.5,extra\n" # extra field
+            "4,2024,P4,CT,I1,R4,g1,wgs\n")                                       # short row
+    csv = os.path.join(tmpdir_path, "SequencingMetrics.csv")
+    write(csv, hdr + body)
+    wh = os.path.join(tmpdir_path, "wh")
+    first = runs.run_sequencing_import(spark, csv, wh, run_date="2024-01-01")
+    assert first["new"] == 2 and first["before"] == 0 and first["sample_size"] == 2
+    again = runs.run_sequencing_import(spark, csv, wh, run_date="2024-01-02")
+    assert again["skipped"]                                   # M7: unchanged file
+    write(csv, hdr + body + "5,2024,P5,CT,I1,R5,g1,wgs,/f/5,NovaSeq,1,2,3,/d/5,1,1.0\n")
+    third = runs.run_sequencing_import(spark, csv, wh, run_date="2024-01-03")
+    assert third["new"] == 1 and third["before"] == 2         # NULL-keyed row not re-added
+    t = spark.read.parquet(os.path.join(wh, "sequencing_metrics"))
+    assert t.count() == 3 and dict(t.dtypes)["Reads"] == "bigint"
