@@ -193,3 +193,42 @@ def run_sequencing_import(spark: SparkSession, csv_path: str, warehouse: str, ru
     sinks.append_rows(new, target_path)
     current.withColumn("run_date", F.lit(run_date)).write.mode("append").parquet(hashes_path)
     return {"skipped": False, **stats}
+
+
+def run_groups(spark: SparkSession, input_dir: str, registry_root: str, epoch: int,
+               export_path: str | None = None) -> DataFrame:
+    """Batch form of the group watcher (S11 -> A7 -> U3 -> K8): every ``*.metrics.txt`` under
+    ``input_dir`` is rescanned and unseen groups are registered; the new registry state is
+    written as ``epoch=<epoch>`` next to the earlier ones."""
+    from ..operators import registry
+    from ..sources import delimited
+    from ..streaming.jobs import current_registry
+    lines = delimited.read_metric_files(spark, input_dir)
+    vals = delimited.column_values_sniffed(lines, fixed.GROUP_HEADER_WORD).withColumnRenamed(
+        "value", fixed.GROUP_HEADER_WORD)
+    updated = registry.register_groups(current_registry(spark, registry_root), registry.distinct_groups(vals))
+    updated.write.mode("overwrite").parquet(f"{registry_root}/epoch={epoch}")
+    out = spark.read.parquet(f"{registry_root}/epoch={epoch}")
+    if export_path:
+        sinks.registry_export(out, export_path)
+    return out
+
+
+def run_registry_update(spark: SparkSession, registry_root: str, epoch: int, group: str,
+                        add: str | None = None, add_file: str | None = None,
+                        remove: str | None = None, remove_file: str | None = None) -> DataFrame:
+    """U4/U5 with S15 lists: users given inline (comma list) or in a file (one per line) are
+    trimmed, blanks dropped (ledger L-22), then added in order or removed."""
+    from ..operators import registry
+    from ..sources.delimited import read_value_list
+    from ..streaming.jobs import current_registry
+    reg = current_registry(spark, registry_root)
+    if add is not None or add_file is not None:
+        names = read_value_list(spark, add, add_file, keep_order=True)
+        reg = registry.add_users(reg, names.select(F.lit(group).alias("grp"), F.col("name").alias("user"),
+                                                   F.col("pos")))
+    if remove is not None or remove_file is not None:
+        names = read_value_list(spark, remove, remove_file)
+        reg = registry.remove_users(reg, names.select(F.lit(group).alias("grp"), F.col("name").alias("user")))
+    reg.write.mode("overwrite").parquet(f"{registry_root}/epoch={epoch}")
+    return spark.read.parquet(f"{registry_root}/epoch={epoch}")

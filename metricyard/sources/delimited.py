@@ -73,18 +73,25 @@ def read_long_csv(spark: SparkSession, path: str, names: Sequence[str]) -> DataF
     return spark.read.option("header", False).schema(schema).csv(path)
 
 
-def read_value_list(spark: SparkSession, inline: str | None = None, path: str | None = None) -> DataFrame:
+def read_value_list(spark: SparkSession, inline: str | None = None, path: str | None = None,
+                    keep_order: bool = False) -> DataFrame:
     """Names from a comma list and/or a file (one per line), trimmed, blanks dropped,
-    duplicates removed."""
+    duplicates removed. With ``keep_order`` a ``pos`` column gives each name's first position
+    (inline names first, then file lines)."""
     frames = []
     if inline is not None:
         frames.append(spark.createDataFrame([(inline,)], "line string")
-                      .select(F.explode(clean.split_list("line")).alias("name")))
+                      .select(F.posexplode(clean.split_list("line")).alias("pos", "name"))
+                      .select("name", F.col("pos").cast("bigint").alias("pos")))
     if path is not None:
-        frames.append(spark.read.text(path).select(F.trim("value").alias("name")).filter(F.col("name") != ""))
+        lines = spark.read.text(path).select(F.trim("value").alias("name"),
+                                             F.monotonically_increasing_id().alias("pos"))
+        frames.append(lines.filter(F.col("name") != "")
+                           .select("name", (F.col("pos") + F.lit(1 << 40)).alias("pos")))
     if not frames:
-        return spark.createDataFrame([], "name string")
+        return spark.createDataFrame([], "name string, pos bigint")
     out = frames[0]
     for f in frames[1:]:
         out = out.unionByName(f)
-    return out.distinct()
+    out = out.groupBy("name").agg(F.min("pos").alias("pos"))
+    return out if keep_order else out.select("name")

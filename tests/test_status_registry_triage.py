@@ -99,3 +99,18 @@ def test_manifest_and_required_inputs(spark):
     assert m == {"R1_": (2, 1), "R2_": (1, 0), "I1_": (1, 1)}   # real Undetermined counts (L-11)
     miss = triage.required_inputs_missing(df).collect()[0]["missing"]
     assert miss == ["Stats.json.unprocessed"]
+
+
+def test_group_runs(spark, tmpdir_path):
+    src = os.path.join(tmpdir_path, "in")
+    write(os.path.join(src, "a.metrics.txt"), "Investigator_Folder,X\nlabA,1\nlabB,2\n")
+    root = os.path.join(tmpdir_path, "registry")
+    out = runs.run_groups(spark, src, root, epoch=1, export_path=os.path.join(tmpdir_path, "groups.json"))
+    assert {r["grp"] for r in out.collect()} == {"labA", "labB"}
+    write(os.path.join(tmpdir_path, "emails.txt"), " c@x \n\nd@x\n")
+    reg = runs.run_registry_update(spark, root, 2, "labA", add="a@x, b@x,", add_file=os.path.join(tmpdir_path, "emails.txt"))
+    users = {r["grp"]: r["users"] for r in registry.export_registry(reg).collect()}
+    assert users["labA"] == ["a@x", "b@x", "c@x", "d@x"] and users["labB"] == []
+    reg = runs.run_registry_update(spark, root, 3, "labA", remove="b@x")
+    users = {r["grp"]: r["users"] for r in registry.export_registry(reg).collect()}
+    assert users["labA"] == ["a@x", "c@x", "d@x"]
