@@ -27,13 +27,32 @@ def _local(path: str) -> str:
     return path[len("file:"):] if path.startswith("file:") else path
 
 
+def expand_roots(roots: Sequence[str]) -> list[str]:
+    """First-level folders of each root (hidden ones skipped; a root without sub-folders is kept).
+
+    Handing Spark many folders instead of one root lets its file index list them with a
+    distributed listing job (above ``spark.sql.sources.parallelPartitionDiscovery.threshold``
+    paths) rather than walking one deep tree on the driver."""
+    import os
+    out: list[str] = []
+    for root in roots:
+        local = _local(root)
+        try:
+            subs = sorted(e.path for e in os.scandir(local) if e.is_dir() and not e.name.startswith((".", "_")))
+        except OSError:
+            subs = []
+        out.extend(subs or [root])
+    return out
+
+
 def list_files(spark: SparkSession, roots: Sequence[str], glob: str | None = None) -> DataFrame:
-    """All visible files under the roots: ``(path, length, modificationTime)``; no content is read."""
+    """All visible files under the roots: ``(path, length, modificationTime)``; no content is read
+    (the binaryFile source prunes the content column)."""
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    return reader.load(list(roots)).select(F.regexp_replace("path", "^file:", "").alias("path"),
-                                           "length", "modificationTime")
+    return reader.load(expand_roots(roots)).select(F.regexp_replace("path", "^file:", "").alias("path"),
+                                                   "length", "modificationTime")
 
 
 def list_projects(spark: SparkSession, roots: Sequence[str], application: str) -> DataFrame:
