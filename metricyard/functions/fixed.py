@@ -12,6 +12,10 @@ DROP_VALUE_TOKENS = ("nan", "null", "n.a.")             # short-read rows remove
 NULLIFY_VALUE_TOKENS = ("nan", "n.a", "n.a.")           # long-read values kept as NULL (F8)
 TBD_TOKEN = "!!!TBD!!!"                                 # placeholder flowcell (S9)
 
+# FIXED VALUES: hidden per-project input files.
+SETTINGS_FILE = ".settings.json"
+ONT_INSTRUMENT_FILE = ".qifa.ont.json"
+
 # FIXED VALUES: metadata placed before a short-read report's own columns (F1).
 SHORT_READ_META = (
     "Investigator_Folder", "Project_ID", "Project_run_type", "Release_Date", "RunID",

@@ -199,7 +199,8 @@ def long_read_rows(spark: SparkSession, listing: DataFrame, projects: DataFrame,
 
     PacBio: ``package/<projectFinal>*_QC_Report.csv``, else ``package/Run_Report_<projectFinal>.csv``
     (fallback: no attribute metrics); attribute reports under the settings ``path``.
-    ONT: ``[package/]<projectFinal>*_QC_Report.csv`` else ``*QCreport.csv``; ``.qifa.ont.json``.
+    ONT: ``[package/]<projectFinal>*_QC_Report.csv`` else ``*QCreport.csv``; the hidden
+    instrument JSON (``fixed.ONT_INSTRUMENT_FILE``).
     Rows: 8 base columns + the report's id columns + ``name``, ``value`` (wide ids are kept in
     ``ids`` as a map, so each file keeps its own layout).
     """
@@ -242,7 +243,7 @@ def long_read_rows(spark: SparkSession, listing: DataFrame, projects: DataFrame,
     parent = clean.base_name(clean.parent_dir(F.col("project_dir")))
     if application == "ONT":
         ont = files.read_hidden_files(projects.select("project_dir").distinct().withColumn(
-            "path", F.concat(F.col("project_dir"), F.lit("/.qifa.ont.json")))).select("project_dir", F.col("body").alias("_ont"))
+            "path", F.concat(F.col("project_dir"), F.lit("/" + fixed.ONT_INSTRUMENT_FILE)))).select("project_dir", F.col("body").alias("_ont"))
         meta = meta.join(ont, "project_dir", "left")
         name = enrich.instrument_name("ONT", parent, F.col("_ont"))
     else:

@@ -405,13 +405,10 @@ WITH d AS (
 lines AS (SELECT project, pipeline, stage, unnest(parts) AS line FROM d)
 """
 
-_RULES = [("run", "Unrecognized platform by QiFa"), ("run", "Program aborted"),
-          ("run", "Please complete basic QC before"), ("run", "0 .gz file(s) found"),
-          ("run", "loadQCParametersSetting organism"), ("package", "Program aborted"),
-          ("release", "Program aborted"), ("gather", "!!!WARNING!!!"),
-          ("gather", "Could not locate output from QC pipeline"),
-          ("run", "Released under"), ("run", "Licensed under"), ("run", 'token = "'),
-          ("gather", "###"), ("package", "$$$"), ("gather", "%%%")]
+from ..functions.fixed import LOG_RULES as _LAB_RULES  # noqa: E402
+
+_RULES = list(_LAB_RULES) + [("run", "Released under"), ("run", "Licensed under"), ("run", 'token = "'),
+                             ("gather", "###"), ("package", "$$$"), ("gather", "%%%")]
 
 _RANK = "CASE " + " ".join(
     f"WHEN stage = '{st}' AND contains(line, '{pat}') THEN {i}" for i, (st, pat) in enumerate(_RULES, 1)) + " END"

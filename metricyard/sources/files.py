@@ -4,7 +4,7 @@ Listing and reading are Spark jobs over path DataFrames:
 
 * visible files are listed by Spark's own file index (``binaryFile`` with the
   content column pruned) and read with the text source;
-* hidden files (``.settings.json``, ``.qifa.ont.json``) are skipped by Spark's
+* hidden files (the settings file and the ONT instrument file) are skipped by Spark's
   file index, so their bodies are read by executors from a DataFrame of
   candidate paths with ``mapInPandas`` (one small read per path, spread over
   tasks). This is the only Python worker code in the package; it needs the
@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions import clean
+from ..functions import clean, fixed
 
 
 def _local(path: str) -> str:
@@ -90,7 +90,7 @@ def read_hidden_files(paths: DataFrame, path_col: str = "path", body_col: str =
     return paths.mapInPandas(read_batch, schema)
 
 
-def read_settings(projects: DataFrame, dir_col: str = "project_dir", name: str = ".settings.json") -> DataFrame:
+def read_settings(projects: DataFrame, dir_col: str = "project_dir", name: str = fixed.SETTINGS_FILE) -> DataFrame:
     """``(project_dir, json)`` -- one settings document per project (NULL when missing)."""
     p = projects.select(dir_col).distinct().withColumn("path", F.concat(F.col(dir_col), F.lit("/" + name)))
     return read_hidden_files(p).select(dir_col, F.col("body").alias("json"))

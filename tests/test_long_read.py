@@ -4,6 +4,7 @@ import os
 
 from conftest import write
 
+from metricyard.functions import fixed
 from metricyard.plans import collectors
 from metricyard.sources import files
 
@@ -83,7 +84,7 @@ def test_ont(spark, tmpdir_path):
         "application": "ONT", "projectId": "projO", "projectFinal": "projO",
         "deliveryFolder": "labO/projO", "releaseDate": "2024-02-02", "organism": ["Mus musculus"]}))
     write(os.path.join(proj, "projO_QCreport.csv"), ONT_REPORT)
-    write(os.path.join(proj, ".qifa.ont.json"), '{\n  "hostname": "PC24B149-host",\n  "x": 1\n}\n')
+    write(os.path.join(proj, fixed.ONT_INSTRUMENT_FILE), '{\n  "hostname": "PC24B149-host",\n  "x": 1\n}\n')
     rows, failed = run(spark, tmpdir_path, "ONT")
     got = rows.collect()
     assert failed.count() == 0

@@ -4,6 +4,7 @@ import os
 from conftest import write
 from pyspark.sql import functions as F
 
+from metricyard.functions import fixed
 from metricyard.operators import registry, triage
 from metricyard.plans import runs
 from metricyard.sources import delimited, files
@@ -68,18 +69,19 @@ def test_sniffed_metrics_and_stream(spark, tmpdir_path):
 
 def test_log_triage_from_files(spark, tmpdir_path):
     d = os.path.join(tmpdir_path, "logs")
-    write(os.path.join(d, "P1_QCreport.basic.log"), "start\nProgram aborted\nUnrecognized platform by QiFa\n")
+    platform_rule = fixed.LOG_RULES[0][1]
+    write(os.path.join(d, "P1_QCreport.basic.log"), f"start\nProgram aborted\n{platform_rule}\n")
     write(os.path.join(d, "P1_QCreport.rnaseq.gather.log"),
           "x\n!!!WARNING!!!\nsample s1 failed\n## end\nCould not locate output from QC pipeline\n")
     write(os.path.join(d, "P2_QCreport.rnaseq.package.log"), "ok\n")
     write(os.path.join(d, "P3_QCreport.basic.gather.log"), "basic_QC job(s) failed\nPlease proceed to report result\n")
     lines = files.read_logs(spark, d)
     cls = {(r["project"], r["pipeline"], r["stage"]): r["error_class"] for r in triage.classify_logs(lines).collect()}
-    assert cls[("P1", "basic", "run")] == "Unrecognized platform by QiFa"   # first rule, not first line
+    assert cls[("P1", "basic", "run")] == platform_rule                      # first rule, not first line
     assert cls[("P1", "rnaseq", "gather")] == "!!!WARNING!!!"
     assert cls[("P2", "rnaseq", "package")] is None
     first = {r["project"]: r["error_class"] for r in triage.first_error(triage.classify_logs(lines)).collect()}
-    assert first == {"P1": "Unrecognized platform by QiFa"}
+    assert first == {"P1": platform_rule}
     st = {r["project"]: r["status"] for r in triage.stage_status(lines).collect()}
     assert st["P3"] == "failed"
     # L3: the block after the warning marker up to '##'
