@@ -53,12 +53,13 @@ def unmatched_report(enriched: DataFrame, name_col: str, id_col: str) -> DataFra
                            & ~clean.is_missing(F.col(id_col)))
 
 
-def lanes_x_samples(samples: DataFrame, lanes: DataFrame, project_cols: Sequence[str], salt: int = 8,
-                    salt_from: Sequence[str] | None = None) -> DataFrame:
+def lanes_x_samples(samples: DataFrame, lanes: DataFrame, project_cols: Sequence[str], salt: int | None = None,
+                    salt_from: Sequence[str] | None = None, hot_share: float = 0.01) -> DataFrame:
     """Every sample row repeated for each lane of its project; projects without lanes keep
-    one row with NULL lane fields. One project may hold a large share of all samples, so the
-    sample side is salted ``salt`` ways and the (few-rows-per-project) lane side replicated."""
-    return salted_left_join(samples, lanes, project_cols, salt, salt_from)
+    one row with NULL lane fields. A project may hold a large share of all samples: such hot
+    projects (over ``hot_share`` of the samples) are split ``salt`` ways and only their few
+    lane rows are replicated."""
+    return salted_left_join(samples, lanes, project_cols, salt, salt_from, hot_share)
 
 
 def add_metadata(rows: DataFrame, meta: DataFrame, on: Sequence[str], before: Sequence[str],

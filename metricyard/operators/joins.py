@@ -70,22 +70,42 @@ def null_safe_on(left: DataFrame, right: DataFrame, lcols: Sequence[str], rcols:
     return reduce(lambda a, b: a & b, [left[f"`{a}`"].eqNullSafe(right[f"`{b}`"]) for a, b in zip(lcols, rcols)])
 
 
-def salt_column(cols: Sequence[str], salt: int) -> Column:
+def salt_column(cols: Sequence[str], salt) -> Column:
     """Deterministic salt in [0, salt) from a hash of the given columns (re-running a task
-    after an executor loss gives the same salt)."""
-    return F.pmod(F.xxhash64(*[F.col(c) for c in cols]), F.lit(salt)).cast("int")
+    after an executor loss gives the same salt). ``salt`` may be a column (per-row bound)."""
+    n = salt if isinstance(salt, Column) else F.lit(salt)
+    return F.pmod(F.xxhash64(*[F.col(c) for c in cols]), n.cast("long")).cast("int")
 
 
-def salted_left_join(big: DataFrame, small: DataFrame, on: Sequence[str], salt: int,
-                     salt_from: Sequence[str] | None = None) -> DataFrame:
-    """Left join on ``on`` with the big side split ``salt`` ways per key.
+def hot_keys(big: DataFrame, on: Sequence[str], share: float) -> DataFrame:
+    """Keys holding more than ``share`` of all rows of ``big``. At most ``1 / share`` keys can
+    qualify, so the result has a proven size bound and may be broadcast."""
+    counts = big.groupBy(*on).agg(F.count(F.lit(1)).alias("_rows"))
+    total = big.select(F.count(F.lit(1))).scalar()
+    return counts.filter(F.col("_rows") > total * F.lit(share)).select(*on)
 
-    ``small`` must hold few rows per key (it is replicated ``salt`` times).
+
+def salted_left_join(big: DataFrame, small: DataFrame, on: Sequence[str], salt: int | None = None,
+                     salt_from: Sequence[str] | None = None, hot_share: float = 0.01) -> DataFrame:
+    """Left join on ``on`` where a hot key of ``big`` is split ``salt`` ways.
+
+    Hot keys (more than ``hot_share`` of the rows, so at most ``1 / hot_share`` of them) are
+    found by one aggregation and broadcast; only their rows get a salt in ``[0, salt)`` and only
+    their ``small`` rows are replicated ``salt`` times. Other keys join unsalted, so the small
+    side does not grow with the number of keys. ``small`` must hold few rows per key.
+    ``salt`` defaults to the session's shuffle partition count.
     """
     on = list(on)
-    if salt <= 1:
+    n = salt or int(big.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    if n <= 1:
         return big.join(small, on, "left")
+    hot = F.broadcast(hot_keys(big, on, hot_share).withColumn("_hot", F.lit(True)))
     src = list(salt_from or big.columns)
-    b = big.withColumn("_salt", salt_column(src, salt))
-    s = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
+    b = (big.join(hot, on, "left")
+            .withColumn("_salt", F.when(F.col("_hot"), salt_column(src, n)).otherwise(F.lit(0)))
+            .drop("_hot"))
+    s = (small.join(hot, on, "left")
+              .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.when(F.col("_hot"), F.lit(n - 1))
+                                                                   .otherwise(F.lit(0)))))
+              .drop("_hot"))
     return b.join(s, on + ["_salt"], "left").drop("_salt")

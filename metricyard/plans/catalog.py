@@ -298,8 +298,8 @@ def unmatched_q(spark, sf_dir):
 @register("lanes_x_samples")
 def lanes_x_samples_q(spark, sf_dir):
     """J5 + J6 + F1: project = region; samples = suppliers (with their nation's region); lanes =
-    the nations of the region. Every sample repeated per lane; the region key is hot (few
-    regions), so the sample side is salted."""
+    the nations of the region. Every sample repeated per lane; each region holds a fifth of the
+    suppliers, so every region is a hot key and is split over the shuffle partitions."""
     from ..operators import enrich
     n = read_table(spark, sf_dir, "nation")
     s = read_table(spark, sf_dir, "supplier")
@@ -307,7 +307,7 @@ def lanes_x_samples_q(spark, sf_dir):
         F.col("n_regionkey").alias("Project_ID"), "s_suppkey", "s_name")
     lanes = n.select(F.col("n_regionkey").alias("Project_ID"), F.col("n_nationkey").alias("Lane"),
                      F.col("n_name").alias("Lane_Name"))
-    return enrich.lanes_x_samples(samples, lanes, ["Project_ID"], salt=8, salt_from=["s_suppkey"])
+    return enrich.lanes_x_samples(samples, lanes, ["Project_ID"], salt_from=["s_suppkey"])
 
 
 # ------------------------------------------------------------------ scalar functions

@@ -138,8 +138,7 @@ def short_read_rows(spark: SparkSession, listing: DataFrame, projects: DataFrame
                          F.col("FlowCellID").alias("_sum_flowcell"))
     per_project = (meta.join(ident, "project_dir", "left").join(ri, "project_dir", "left")
                        .withColumnRenamed("_sum_flowcell", "FlowcellID"))
-    with_lanes = enrich.lanes_x_samples(samples, lanes, ["project_dir"], salt=8,
-                                        salt_from=["path", "row_no"])
+    with_lanes = enrich.lanes_x_samples(samples, lanes, ["project_dir"], salt_from=["path", "row_no"])
     rows = with_lanes.join(per_project, "project_dir", "left")
     if not allow_undelivered:
         rows = rows.filter(F.col("ProjStatus") == "Delivered")
