@@ -112,15 +112,17 @@ def common_columns(target_cols: Sequence[str], batch_cols: Sequence[str], last:
     return common + [c for c in last if c in target_cols and c in batch_cols]
 
 
-def new_rows_except(target: DataFrame, batch: DataFrame) -> DataFrame:
-    """M2 rows to write: set difference over the common columns (NULLs equal, batch duplicates collapse)."""
+def new_rows_except(target: DataFrame, batch: DataFrame, partition_cols: Sequence[str] = ()) -> DataFrame:
+    """M2 rows to write: ``batch EXCEPT target`` over the common columns (NULLs equal, batch
+    duplicates collapse). Planned like M1 with every common column as the key, so a small batch
+    is broadcast after a size check and the stored table is scanned, not shuffled."""
     common = common_columns(target.columns, batch.columns)
-    return batch.select(*common).subtract(target.select(*common))
+    return new_rows_if_absent(target.select(*common), batch.select(*common), common, partition_cols)
 
 
-def append_except(target: DataFrame, batch: DataFrame) -> DataFrame:
+def append_except(target: DataFrame, batch: DataFrame, partition_cols: Sequence[str] = ()) -> DataFrame:
     """M2: table state after ``INSERT (common) SELECT common FROM batch EXCEPT SELECT common FROM target``."""
-    return target.unionByName(new_rows_except(target, batch), allowMissingColumns=True)
+    return target.unionByName(new_rows_except(target, batch, partition_cols), allowMissingColumns=True)
 
 
 def append_distinct_all(existing: DataFrame, new: DataFrame) -> DataFrame:

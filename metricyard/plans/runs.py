@@ -53,9 +53,9 @@ def run_projects(spark: SparkSession, listing: DataFrame, projects: DataFrame, a
         batch = collectors.long_read_table_rows(rows, ids)   # id names only reach the driver (M4)
         target = read_evolving(spark, target_path, LONG_SCHEMA)
         widened, batch = merge.evolve_schema(target, batch, fixed_cols=fixed.LONG_READ_BASE + ("name", "value"))
-        new = cut_lineage(merge.new_rows_except(widened, batch))
+        new = cut_lineage(merge.new_rows_except(widened, batch, partition_cols=("Application",)))
         before = target.count()
-        sinks.append_rows(new, target_path)
+        sinks.write_clustered(new, target_path)           # K5: per application, sorted for skipping
         added = new.count()
     else:
         rows, failed = collectors.short_read_rows(spark, listing, todo, application, allow_undelivered)
