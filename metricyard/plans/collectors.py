@@ -317,24 +317,31 @@ def long_read_table_rows(long: DataFrame, id_names: Sequence[str]) -> DataFrame:
 
 
 # ------------------------------------------------------------------ speciesid
-def speciesid_rows(spark: SparkSession, listing: DataFrame, projects: DataFrame) -> tuple[DataFrame, DataFrame]:
+def speciesid_rows(spark: SparkSession, listing: DataFrame, projects: DataFrame,
+                   application: str = "speciesid") -> tuple[DataFrame, DataFrame]:
     """Species-id collector (F1 3-column form, F12, J6, S9): wide species rows with
-    ``Investigator_Folder, Project_ID, FlowcellID`` in front; failures carry their reason."""
+    ``Investigator_Folder, Project_run_type, FlowcellID`` in front; failures carry their reason.
+
+    Metadata needs the delivery folder (second part from the end, slashes stripped, missing
+    with fewer than two parts -- ledger L-8), ``projectFinal`` and ``releaseDate``. The report
+    is ``<projectFinal>_QCreport.<application>.csv`` in the folder; the flowcell comes from
+    ``RunInfo.xml``, else from the first data row of ``Run_Metric_Summary.draft.csv`` (S9)."""
     settings = files.read_settings(projects)
     j = F.col("json")
-    raw_folder = clean.json_regex(j, "deliveryFolder")
-    parts = F.split(F.coalesce(raw_folder, F.lit("")), "/", -1)
+    parts = F.split(clean.trim_slashes(F.coalesce(clean.json_regex(j, "deliveryFolder"), F.lit(""))), "/", -1)
     folder = F.when(F.size(parts) >= 2, F.try_element_at(parts, F.lit(-2)))
     meta = settings.select("project_dir", j.isNotNull().alias("has_settings"),
                            F.nullif(folder, F.lit("")).alias("Investigator_Folder"),
-                           clean.json_regex(j, "projectId").alias("Project_ID"))
-    listing = project_files(listing, projects)
+                           clean.json_regex(j, "projectFinal").alias("Project_run_type"),
+                           clean.json_regex(j, "releaseDate").alias("_release"))
+    listing = project_files(listing, projects).join(meta.select("project_dir", "Project_run_type"), "project_dir")
     base = clean.base_name(F.col("path"))
-    report = files.resolve_candidate(listing, "project_dir", F.when(base.endswith("_QCreport.speciesid.csv"), F.lit(1)))
-    pkg = F.col("path").contains("/package/")
-    summary = files.resolve_candidate(listing, "project_dir", F.when(~pkg & (base == "Run_Metric_Summary.csv"), F.lit(1))
-                                      .when(pkg & (base == "Run_Metric_Summary.csv"), F.lit(2)))
-    runinfo = files.resolve_candidate(listing, "project_dir", F.when(base == "RunInfo.xml", F.lit(1)))
+    top = clean.parent_dir(F.col("path")) == F.col("project_dir")
+    report = files.resolve_candidate(listing, "project_dir", F.when(
+        top & (base == F.concat(F.col("Project_run_type"), F.lit(f"_QCreport.{application}.csv"))), F.lit(1)))
+    summary = files.resolve_candidate(listing, "project_dir",
+                                      F.when(top & (base == "Run_Metric_Summary.draft.csv"), F.lit(1)))
+    runinfo = files.resolve_candidate(listing, "project_dir", F.when(top & (base == "RunInfo.xml"), F.lit(1)))
     texts = cut_lineage(_texts(report.unionByName(summary).unionByName(runinfo).select("path")))
     ri = texts.join(runinfo, "path")
     _, ri_flow = reports.run_info(ri)
@@ -351,12 +358,14 @@ def speciesid_rows(spark: SparkSession, listing: DataFrame, projects: DataFrame)
     from ..operators.incremental import validate_project
     checked = validate_project(checked, [
         ("settings missing", ~F.col("has_settings")),
-        ("metadata incomplete", F.col("Investigator_Folder").isNull() | F.col("Project_ID").isNull()),
+        ("metadata incomplete", F.col("Investigator_Folder").isNull() | F.col("Project_run_type").isNull()
+         | F.col("_release").isNull()),
         ("report missing", F.col("_report").isNull()),
         ("flowcell missing", F.col("FlowcellID").isNull()),
         ("parse failed", F.col("_rows").isNull()),
     ])
-    ok = checked.filter(F.col("reason").isNull()).select("project_dir", "Investigator_Folder", "Project_ID", "FlowcellID")
+    ok = checked.filter(F.col("reason").isNull()).select("project_dir", "Investigator_Folder", "Project_run_type",
+                                                         "FlowcellID")
     rows = rep.join(ok, "project_dir", "inner")
     failed = checked.filter(F.col("reason").isNotNull()).select("project_dir", "reason")
     return rows, failed

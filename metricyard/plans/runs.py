@@ -140,7 +140,7 @@ def run_speciesid(spark: SparkSession, roots: Sequence[str], warehouse: str, run
     from ..operators import merge as m
     run_date = run_date or dt.date.today().isoformat()
     listing = cut_lineage(files.list_files(spark, roots))
-    found = files.find_reports(spark, roots, "*_QCreport.speciesid.csv")
+    found = files.find_reports(spark, roots, "*_QCreport.speciesid.csv")   # S3
     ledger_path = table_path(warehouse, "speciesid_processed")
     ledger = table_or_empty(spark, ledger_path, LEDGER_SCHEMA)
     todo = incremental.new_projects(found, ledger, ["project_dir"])
@@ -148,10 +148,10 @@ def run_speciesid(spark: SparkSession, roots: Sequence[str], warehouse: str, run
     width = rows.select(F.max(F.size("header"))).first()[0] or 0
     names = [r["n"] for r in rows.select(F.explode("header").alias("n")).distinct().collect()]   # column names only
     from ..sources.reports import cell
-    wide = rows.select("Investigator_Folder", "Project_ID", "FlowcellID",
+    wide = rows.select("Investigator_Folder", "Project_run_type", "FlowcellID",
                        *[cell(F.col("header"), F.col("cells"), n).alias(n) for n in sorted(names)])
     current = table_path(warehouse, "speciesid_metrics/current")
-    stored = read_evolving(spark, current, "Investigator_Folder string, Project_ID string, FlowcellID string")
+    stored = read_evolving(spark, current, "Investigator_Folder string, Project_run_type string, FlowcellID string")
     merged = cut_lineage(m.append_distinct_all(stored, wide))
     before, after = stored.count(), merged.count()
     if after > before:

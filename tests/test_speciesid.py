@@ -12,13 +12,14 @@ SPECIES = "preamble line\nGT_QC_Sample_ID,Sample_Name,Species1,Domain1\ns1,n1,Ho
 def project(root, name, settings=True, report=True, runinfo=True, summary=None, st=None):
     d = os.path.join(root, name)
     if settings:
-        write(os.path.join(d, ".settings.json"), json.dumps(st or {"projectId": name, "deliveryFolder": "/q/labS/" + name}))
+        write(os.path.join(d, ".settings.json"), json.dumps(st or {
+            "projectFinal": name + "_f", "deliveryFolder": "/q/labS/" + name + "/", "releaseDate": "2024-05-05"}))
     if report:
-        write(os.path.join(d, f"{name}_QCreport.speciesid.csv"), SPECIES)
+        write(os.path.join(d, f"{name}_f_QCreport.speciesid.csv"), SPECIES)
     if runinfo:
         write(os.path.join(d, "RunInfo.xml"), '<Run Id="R1"><Flowcell>FC1</Flowcell></Run>')
     if summary:
-        write(os.path.join(d, "Run_Metric_Summary.csv"), summary)
+        write(os.path.join(d, "Run_Metric_Summary.draft.csv"), summary)
     return d
 
 
@@ -28,7 +29,7 @@ def test_speciesid_run(spark, tmpdir_path):
     project(roots, "ok1")
     project(roots, "ok2", runinfo=False, summary="MachineID,FlowCellID\nM1,FC2\n")
     project(roots, "nosettings", settings=False)
-    project(roots, "nometa", st={"projectId": "x"})
+    project(roots, "nometa", st={"projectFinal": "nometa_f", "deliveryFolder": "labS"})   # one part, no date
     project(roots, "noflow", runinfo=False, summary="MachineID,FlowCellID\nM1,!!!TBD!!!\n")
     out = runs.run_speciesid(spark, [roots], wh, run_date="2024-06-01")
     assert out["failed"] == {"settings missing": 1, "metadata incomplete": 1, "flowcell missing": 1}
@@ -36,5 +37,6 @@ def test_speciesid_run(spark, tmpdir_path):
     t = spark.read.parquet(os.path.join(wh, "speciesid_metrics", "current.next"))
     assert {r["FlowcellID"] for r in t.collect()} == {"FC1", "FC2"}
     assert {r["Investigator_Folder"] for r in t.collect()} == {"labS"}
+    assert {r["Project_run_type"] for r in t.collect()} == {"ok1_f", "ok2_f"}
     again = runs.run_speciesid(spark, [roots], wh, run_date="2024-06-02")
     assert again["failed"] == {"settings missing": 1, "metadata incomplete": 1, "flowcell missing": 1}
