@@ -1,8 +1,10 @@
-"""Group -> users registry.
+"""Group -> users registry.
 
 The registry is kept in long form ``(grp, user, pos)`` -- one row per member
 with its first-seen position -- so adding or removing users is an anti-join and
-a union, and no group is ever gathered into one row during processing. Empty
+a union, and no group is ever gathered into one row during processing. The list
+operations of Q6 become joins on that form: append-unique is an anti-join plus a
+union, list difference is an anti-join, membership is a semi-join. Empty
 groups are kept as a row with a NULL user. ``export_registry`` builds the
 ``{group: [users]}`` listing only for the final export (K8).
 """

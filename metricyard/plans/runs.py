@@ -161,8 +161,9 @@ def run_speciesid(spark: SparkSession, roots: Sequence[str], warehouse: str, run
     done = (todo.select("project_dir").join(failed.select("project_dir"), "project_dir", "left_anti")
                 .withColumn("application", F.lit("speciesid")).withColumn("run_date", F.lit(run_date)))
     sinks.append_ledger(ledger, done, ledger_path)
-    failed.withColumn("run_date", F.lit(run_date)).write.mode("append").parquet(
-        table_path(warehouse, "speciesid_failed"))
+    # The failure report is written in folder order so that it reads the same every run
+    (failed.withColumn("run_date", F.lit(run_date)).orderBy("project_dir")
+           .write.mode("append").parquet(table_path(warehouse, "speciesid_failed")))
     return {"before": before, "after": after, "grew": after > before, "width": width,
             "failed": {r["reason"]: r["n"] for r in failed.groupBy("reason").agg(F.count("*").alias("n")).collect()}}
 
