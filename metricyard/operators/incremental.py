@@ -52,7 +52,7 @@ def scan_scope(apps: DataFrame, tracker: DataFrame, present: DataFrame, has_list
     scope = (F.when(days >= rescan_days, F.lit("archive"))
               .when(F.coalesce("_present", F.lit(False)) & F.coalesce("_list", F.lit(False)), F.lit("active"))
               .otherwise(F.lit("all")))
-    return j.select("application", days.alias("days_since_archive_scan"), scope.alias("scope"),
+    return j.select("application", days.cast("bigint").alias("days_since_archive_scan"), scope.alias("scope"),
                     (scope == "archive").alias("allow_undelivered"))
 
 

@@ -28,7 +28,7 @@ def number_lines(df: DataFrame, text_col: str, keep: Sequence[str], pos_col: str
                  line_col: str = "line") -> DataFrame:
     """Split a whole text into numbered lines (1-based); a carriage return ending a line is dropped."""
     return (df.select(*keep, F.posexplode(F.split(F.col(text_col), "\n", -1)).alias(pos_col, line_col))
-              .withColumn(pos_col, F.col(pos_col) + 1)
+              .withColumn(pos_col, (F.col(pos_col) + 1).cast("bigint"))
               .withColumn(line_col, F.regexp_replace(F.col(line_col), r"\r\z", "")))
 
 

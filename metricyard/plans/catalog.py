@@ -339,7 +339,7 @@ def sanitize_header_q(spark, sf_dir):
     return p.select("page_id", clean.sanitize_header(title).alias("title_sanitized"),
                     clean.clean_column_name(title).alias("title_clean"),
                     clean.pacbio_header(title).alias("title_pacbio"),
-                    F.md5(whole).alias("html_sanitized_md5"), F.length(whole).alias("html_sanitized_len"))
+                    F.md5(whole).alias("html_sanitized_md5"), F.length(whole).cast("bigint").alias("html_sanitized_len"))
 
 
 @register("species_names")
@@ -367,7 +367,7 @@ def lists(spark, sf_dir):
     (sentences split at '.'), and the collapsed text digest."""
     d = read_table(spark, sf_dir, "documents")
     items = clean.split_list(F.regexp_replace("text", r"[.;]", ","))
-    return d.select("doc_id", F.size(items).alias("n_items"),
+    return d.select("doc_id", F.size(items).cast("bigint").alias("n_items"),
                     F.md5(F.array_join(F.array_sort(items), "|")).alias("items_md5"),
                     F.md5(clean.collapse_spaces("text")).alias("collapsed_md5"))
 
@@ -386,7 +386,7 @@ def missing_values(spark, sf_dir):
     return e.select("event_id", raw.alias("raw"), clean.is_missing(raw).alias("is_missing"),
                     clean.value_is_dropped(raw).alias("dropped"), clean.nullify_missing(raw).alias("nullified"),
                     clean.coalesce_missing(raw).alias("coalesced"),
-                    F.size(clean.pad_array(cells, 4)).alias("padded_width"))
+                    F.size(clean.pad_array(cells, 4)).cast("bigint").alias("padded_width"))
 
 
 @register("json_lookup")
@@ -446,7 +446,7 @@ def age_filters(spark, sf_dir):
     newest = o.select(F.max("o_orderdate")).scalar()   # scalar subquery, evaluated once
     j = o.withColumn("_newest", newest)
     return j.select("o_orderkey", F.date_format("o_orderdate", "yyyyMMdd").alias("day_stamp"),
-                    clean.days_between(F.to_date("_newest"), F.to_date("o_orderdate")).alias("days_old"),
+                    clean.days_between(F.to_date("_newest"), F.to_date("o_orderdate")).cast("bigint").alias("days_old"),
                     (clean.days_between(F.to_date("_newest"), F.to_date("o_orderdate")) > 10).alias("expired"))
 
 
@@ -709,7 +709,8 @@ def width_check_q(spark, sf_dir):
     from ..operators import incremental
     d = read_table(spark, sf_dir, "documents")
     first = d.select("doc_id", F.split(F.element_at(F.split("text", "\n", -1), 1), " ", -1).alias("cells"))
-    return incremental.width_check(first, "cells").select("doc_id", F.size("cells").alias("width"), "rejected")
+    return incremental.width_check(first, "cells").select("doc_id", F.size("cells").cast("bigint").alias("width"),
+                                                          "rejected")
 
 
 # ------------------------------------------------------------------ registry

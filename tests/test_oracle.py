@@ -36,10 +36,19 @@ def duck():
     return con
 
 
+SQL_TYPES = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR",
+             "boolean": "BOOLEAN", "date": "DATE"}
+
+
 @pytest.mark.parametrize("name", sorted(E.oracle_sql()))
 def test_job_matches_sql(spark, duck, name):
     df = E.queries()[name](spark, SF)
     s_rows = [tuple(r) for r in df.collect()]
+    rel = duck.sql(E.oracle_sql()[name])
+    s_types = {f.name: SQL_TYPES.get(f.dataType.simpleString(), f.dataType.simpleString()) for f in df.schema.fields}
+    d_types = {c: str(t) for c, t in zip(rel.columns, rel.types)}
+    assert {k: v for k, v in s_types.items() if v != "void"} == {k: v for k, v in d_types.items() if v != "NULL"} \
+        or s_types == d_types
     cur = duck.execute(E.oracle_sql()[name])
     d_cols = [d[0] for d in cur.description]
     d_rows = cur.fetchall()
