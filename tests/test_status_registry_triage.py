@@ -116,3 +116,18 @@ def test_group_runs(spark, tmpdir_path):
     reg = runs.run_registry_update(spark, root, 3, "labA", remove="b@x")
     users = {r["grp"]: r["users"] for r in registry.export_registry(reg).collect()}
     assert users["labA"] == ["a@x", "c@x", "d@x"]
+
+
+def test_stream_groups_equal_batch(spark, tmpdir_path):
+    """SURVEY §5: the stream over files landed in any order gives the batch registry."""
+    src = os.path.join(tmpdir_path, "in")
+    files_text = {"b.metrics.txt": "Investigator_Folder\tQ\nlabZ\t1\n labY \t2\n",
+                  "a.metrics.txt": "Investigator_Folder,Q\nlabX,1\nlabZ,2\n",
+                  "c.metrics.txt": "Q,Investigator_Folder\n1,labW\n"}
+    root = jobs.scratch_dir(spark, "order")
+    for name in ("c.metrics.txt", "a.metrics.txt", "b.metrics.txt"):        # landed one by one
+        write(os.path.join(src, name), files_text[name])
+        jobs.watch_groups(jobs.metrics_file_stream(spark, src), f"{root}/reg", f"{root}/ckpt").awaitTermination()
+    streamed = {r["grp"] for r in jobs.current_registry(spark, f"{root}/reg").collect()}
+    batch = {r["grp"] for r in runs.run_groups(spark, src, os.path.join(tmpdir_path, "breg"), epoch=0).collect()}
+    assert streamed == batch == {"labW", "labX", "labY", "labZ"}
