@@ -61,3 +61,15 @@ def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.columns == ["Application", "Investigator_Folder", "Sample_Count"]
     assert df.count() > 0
+
+
+FORBIDDEN = ("BroadcastNestedLoopJoin", "CartesianProduct", "BatchEvalPython", "ArrowEvalPython")
+
+
+@pytest.mark.parametrize("name", ["metrics_index", "pivot_long_measures", "append_if_absent", "lanes_x_samples",
+                                  "enrich_two_key", "log_triage", "marker_block", "batch_probe_skip", "registry_ops",
+                                  "publish_delta", "app_present", "known_names"])
+def test_plan_has_no_pairing_or_python(spark, name):
+    """SURVEY §5 layer 4: no nested-loop or cartesian join and no Python evaluation node."""
+    plan = E.queries()[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert not [f for f in FORBIDDEN if f in plan]
