@@ -849,3 +849,15 @@ def sniffed(spark, sf_dir):
     lines = delimited.read_metric_files(spark, root, glob="part-*")
     vals = delimited.column_values_sniffed(lines, "Investigator_Folder").withColumnRenamed("value", "Investigator_Folder")
     return registry.distinct_groups(vals)
+
+
+@register("clean_column_name")
+def clean_column_name_q(spark, sf_dir):
+    """C2 (+ C1 first, as a header passes both before a schema-evolving insert) on every
+    distinct word of the page titles, and over each whole page text (digest)."""
+    p = read_table(spark, sf_dir, "pages")
+    title = F.regexp_extract("html", r"<title>(.*?)</title>", 1)
+    words = p.select(F.explode(F.split(title, " ", -1)).alias("word")).filter(F.col("word") != "").distinct()
+    by_word = words.select("word", clean.clean_column_name("word").alias("cleaned"),
+                           clean.clean_column_name(clean.sanitize_header("word")).alias("sanitized_cleaned"))
+    return by_word

@@ -595,3 +595,14 @@ FROM (""" + _LINEITEM_LONG.format(extra="") + """) WHERE l_returnflag <> 'A'
 ORACLE["sniffed"] = """
 SELECT DISTINCT 'grp' || c_nationkey AS grp FROM customer
 """
+
+_C2 = "regexp_replace(regexp_replace(regexp_replace({x}, '[^a-zA-Z0-9_]', '_', 'g'), '__', '_', 'g'), '_$', '')"
+
+ORACLE["clean_column_name"] = f"""
+WITH w AS (SELECT DISTINCT word FROM (
+             SELECT unnest(string_split(regexp_extract(html, '<title>(.*?)</title>', 1), ' ')) AS word FROM pages)
+           WHERE word <> '')
+SELECT word, {_C2.format(x='word')} AS cleaned,
+       {_C2.format(x=_SANITIZE.format(x='word'))} AS sanitized_cleaned
+FROM w
+"""
