@@ -14,9 +14,39 @@ def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
 
 
+# Inputs below this size are spread over all cores right after the scan (see read_table).
+SMALL_INPUT_BYTES = 256 * 1024 * 1024
+
+
+def input_bytes(df: DataFrame) -> int | None:
+    """Total size of the files behind a scan, from file metadata only (None when unknown)."""
+    total = 0
+    for f in df.inputFiles():
+        local = f[len("file:"):] if f.startswith("file:") else f
+        if "://" in local:
+            return None
+        try:
+            total += os.path.getsize(local)
+        except OSError:
+            return None
+    return total
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Parquet scan; Catalyst prunes columns and pushes filters into it."""
-    return spark.read.parquet(table_path(sf_dir, name))
+    """Parquet scan; Catalyst prunes columns and pushes filters into it.
+
+    A small table stored as one row group is read by a single task, which would leave the
+    per-row work after the scan on one core. When the files are small (under
+    ``SMALL_INPUT_BYTES``) the rows are spread round-robin over the default parallelism
+    right after the scan. This is a cheap shuffle of a small input. Large inputs keep their
+    natural file and row-group splits and are not repartitioned.
+    """
+    df = spark.read.parquet(table_path(sf_dir, name))
+    size = input_bytes(df)
+    cores = spark.sparkContext.defaultParallelism
+    if size is not None and size < SMALL_INPUT_BYTES and cores > 1:
+        return df.repartition(cores)
+    return df
 
 
 def table_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
