@@ -14,7 +14,9 @@ def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
 
 
-# Inputs below this size are spread over all cores right after the scan (see read_table).
+# Inputs between these sizes are spread over all cores right after the scan (see read_table):
+# below the lower bound the extra exchange costs more than the per-row work it spreads.
+SPREAD_MIN_BYTES = 4 * 1024 * 1024
 SMALL_INPUT_BYTES = 256 * 1024 * 1024
 
 
@@ -36,15 +38,15 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Parquet scan; Catalyst prunes columns and pushes filters into it.
 
     A small table stored as one row group is read by a single task, which would leave the
-    per-row work after the scan on one core. When the files are small (under
-    ``SMALL_INPUT_BYTES``) the rows are spread round-robin over the default parallelism
-    right after the scan. This is a cheap shuffle of a small input. Large inputs keep their
+    per-row work after the scan on one core. When the files are small (between
+    ``SPREAD_MIN_BYTES`` and ``SMALL_INPUT_BYTES``) the rows are spread round-robin over the
+    default parallelism right after the scan. This is a cheap shuffle of a small input. Large inputs keep their
     natural file and row-group splits and are not repartitioned.
     """
     df = spark.read.parquet(table_path(sf_dir, name))
     size = input_bytes(df)
     cores = spark.sparkContext.defaultParallelism
-    if size is not None and size < SMALL_INPUT_BYTES and cores > 1:
+    if size is not None and SPREAD_MIN_BYTES <= size < SMALL_INPUT_BYTES and cores > 1:
         return df.repartition(cores)
     return df
 
