@@ -4,12 +4,15 @@ from __future__ import annotations
 
 from .chat import OP1_SQL, op1_chat_format
 from .exact import OP3_SQL, op3_exact_dedup
+from .html_text import op2_html_text
 from .jaccard import op9_jaccard_join
 from .mixing import op10_mix_sources
 from .packing import op4_length_buckets
 from .rules import op6_rule_quality
+from .spherical import op5_spherical_dedup
 from .unigram import op8_token_counts
 
-QUERIES = {f.__name__: f for f in (op1_chat_format, op3_exact_dedup, op4_length_buckets, op6_rule_quality,
-                                   op8_token_counts, op9_jaccard_join, op10_mix_sources)}
+QUERIES = {f.__name__: f for f in (op1_chat_format, op2_html_text, op3_exact_dedup, op4_length_buckets,
+                                   op5_spherical_dedup, op6_rule_quality, op8_token_counts, op9_jaccard_join,
+                                   op10_mix_sources)}
 ORACLE = {"op1_chat_format": OP1_SQL, "op3_exact_dedup": OP3_SQL}
