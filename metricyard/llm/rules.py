@@ -80,7 +80,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, limit: int = SAMPLE) -> Da
     known = labels.where("quality is not null and doc_id is not null").where(~held_out()).groupBy("doc_id").agg(
         F.max("quality").cast("double").alias("label"))
     chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit)
-    texts = docs.select("doc_id", "text").join(chosen, "doc_id")
+    texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")      # at most ``limit`` short rows
     stats = statistics()
     return texts.select("doc_id", "label", *[c.cast("double").alias(k) for k, c in stats.items()])
 
