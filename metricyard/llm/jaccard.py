@@ -34,39 +34,68 @@ WORDS, PERCENT = 4, 85
 MAX_MEMBERS, MAX_SHINGLES = 1024, 1 << 20      # of one region in one task
 DEPTH = 2                                      # ring splits before blocks
 HOT_ENTRIES, HOT_SHARE, HOT_LEAST = 1 << 16, 16, 3
-CACHE = 400_000
 
-_A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
+_A, _B, _BACK = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93), np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
+SPAN = 1 << 20                                 # bytes hashed at once
+
+
+def _mix(h: np.ndarray) -> np.ndarray:
+    h ^= h >> np.uint64(32)
+    h *= _B
+    h ^= h >> np.uint64(29)
+    return h
 
 
 class Shingler:
-    """Sorted distinct shingle hashes of a text; words are split on ASCII white space, A-Z lower-cased."""
+    """Sorted distinct shingle hashes of a text; words are split on ASCII white space, A-Z lower-cased.
+
+    A word's hash is a polynomial of random 64-bit values of its bytes, read off running sums of the text."""
 
     def __init__(self, k: int):
-        self.k, self.cache = k, {}
+        self.k = k
+        self.value = np.random.default_rng(4).integers(0, 1 << 64, 256, dtype=np.uint64)
+        self.value[65:91] = self.value[97:123]
+        self.white = np.zeros(256, bool)
+        self.white[[9, 10, 11, 12, 13, 32]] = True
+        self._grow(1 << 12)
+
+    def _grow(self, n: int):
+        self.up, self.down = (np.concatenate([np.ones(1, np.uint64), np.multiply.accumulate(np.full(n, x))])
+                              for x in (_A, _BACK))
+
+    def words(self, data: bytes) -> np.ndarray:
+        """Hashes of the words in order, by pieces of about ``SPAN`` bytes that end at white space."""
+        if len(data) <= SPAN:
+            return self._piece(data)
+        white = np.flatnonzero(self.white[np.frombuffer(data, np.uint8)])
+        found, at = [], 0
+        while at < len(data):
+            i = np.searchsorted(white, at + SPAN)
+            end = int(white[i]) if i < len(white) else len(data)
+            found.append(self._piece(data[at:end]))
+            at = max(end, at + 1)
+        return np.concatenate(found)
+
+    def _piece(self, data: bytes) -> np.ndarray:
+        b = np.frombuffer(data, np.uint8)
+        white = self.white[b]
+        if len(b) >= len(self.up):
+            self._grow(2 * len(b))
+        edge = np.flatnonzero(np.diff(white, prepend=True, append=True))
+        start, end = edge[::2], edge[1::2]
+        sums = np.zeros(len(b) + 1, np.uint64)
+        np.cumsum(self.value[b] * self.up[: len(b)], out=sums[1:])
+        return _mix((sums[end] - sums[start]) * self.down[start] + (end - start).astype(np.uint64))
 
     def __call__(self, text: str | None) -> np.ndarray:
-        words = (text or "").encode("utf-8", "surrogatepass").lower().split()
-        if not words:
-            return np.empty(0, np.uint64)
-        cache = self.cache
-        try:
-            ids = [cache[w] for w in words]
-        except KeyError:
-            if len(cache) > CACHE:
-                cache.clear()
-            for w in set(words) - cache.keys():
-                cache[w] = xxhash.xxh64_intdigest(w)
-            ids = [cache[w] for w in words]
-        h = np.array(ids, np.uint64)
+        h = self.words((text or "").encode("utf-8", "surrogatepass"))
+        if not len(h):
+            return h
         k = min(self.k, len(h))
         out = h[: len(h) - k + 1] + np.uint64(k)
         for i in range(1, k):
             out = out * _A + h[i: len(h) - k + 1 + i]
-        out ^= out >> np.uint64(32)
-        out *= _B
-        out ^= out >> np.uint64(29)
-        return np.unique(out)
+        return np.unique(_mix(out))
 
 
 def _lists(arrays: list[np.ndarray]) -> pa.Array:
