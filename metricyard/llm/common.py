@@ -33,7 +33,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     rows are computed once, and a lost executor costs no recomputation."""
     spark = df.sparkSession
     path = f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
