@@ -89,6 +89,9 @@ CCS_ATTRIBUTES = (
 )
 FRACTION_TO_PERCENT = ("Q30_base_PCT_ccs_raw", "Missing_adapters_PCT_ccs_raw")
 
+# FIXED VALUES: applications whose folders are also found by their settings.
+SETTINGS_APPLICATIONS = ("PacBio", "ONT")
+
 # FIXED VALUES: routing of settings `application` values to QC pipelines (F13), case-sensitive.
 ROUTING = (
     ("atacseq", ("ATACSeq", "ATAC")),
@@ -143,13 +146,13 @@ LOG_STAGES = ("run", "package", "release", "gather")
 LOG_RULES = (
     ("run", "Unrecognized platform by QiFa"),
     ("run", "Program aborted"),
-    ("run", "Please complete basic QC before"),
+    ("run", "ERROR: Please complete basic QC before"),
     ("run", "0 .gz file(s) found"),
-    ("run", "loadQCParametersSetting organism"),
+    ("run", "ERROR: loadQCParametersSetting organism"),
     ("package", "Program aborted"),
     ("release", "Program aborted"),
     ("gather", "!!!WARNING!!!"),
-    ("gather", "Could not locate output from QC pipeline"),
+    ("gather", "ERROR: Could not locate output from QC pipeline"),
 )
 # Marker that opens a report block in a log; blocks end at a line holding "##" (L3, W5).
 BLOCK_MARKERS = ("!!!WARNING!!!", "Report @")

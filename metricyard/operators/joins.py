@@ -1,9 +1,7 @@
 """Join helpers: checked broadcast, null-safe key joins, salted joins for hot keys.
 
-* ``broadcast_if_small`` broadcasts a side only after measuring it (row count
-  times an estimated row width against the session's broadcast threshold);
-  beyond the bound the plain shuffle join is used, and AQE may still switch at
-  run time with its own measured sizes.
+* ``fits_broadcast`` measures a side's real bytes against the session's broadcast
+  threshold; beyond the bound callers use a plan that broadcasts nothing.
 * ``salted_left_join`` spreads one hot key over ``salt`` tasks: the big side
   gets a salt derived from a hash of its row, the small per-key side is
   replicated ``salt`` times. Used where one project/group may hold a third of
@@ -12,53 +10,30 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-_WIDTH = {T.StringType: 32, T.BinaryType: 32, T.ArrayType: 64, T.MapType: 96, T.StructType: 64}
-
-
-def estimated_row_bytes(schema: T.StructType) -> int:
-    total = 0
-    for f in schema.fields:
-        total += next((w for t, w in _WIDTH.items() if isinstance(f.dataType, t)), 8)
-    return max(total, 8)
-
 
 def broadcast_threshold(df: DataFrame) -> int:
     conf = df.sparkSession.conf
-    raw = conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
-    try:
-        value = int(str(raw).lower().replace("b", ""))
-    except ValueError:
-        value = 10 * 1024 * 1024
-    return value
+    raw = str(conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")).lower()
+    m = re.fullmatch(r"(-?\d+)([kmg]?)b?", raw)
+    return int(m[1]) * {"": 1, "k": 1 << 10, "m": 1 << 20, "g": 1 << 30}[m[2]] if m else 10 << 20
 
 
-def rows_at_most(df: DataFrame, n: int) -> bool:
-    """True when ``df`` has at most ``n`` rows. ``limit(n + 1)`` lets every task stop after
-    ``n + 1`` rows, so the check stays cheap when ``df`` is large."""
-    return df.select(F.lit(1).alias("_one")).limit(n + 1).count() <= n
+def measured_bytes(df: DataFrame) -> int:
+    """Bytes of all rows, summed over the real lengths of their values (one small aggregate)."""
+    row = sum((F.coalesce(F.octet_length(F.col(f"`{c}`").cast("string")), F.lit(0)) + F.lit(16) for c in df.columns), F.lit(16))
+    return df.agg(F.sum(row.cast("long"))).first()[0] or 0
 
 
-def fits_broadcast(df: DataFrame, bound_by: DataFrame | None = None, max_bytes: int | None = None) -> bool:
-    """Size check before a broadcast: rows of ``bound_by`` (an upstream frame with at least as
-    many rows as ``df``, e.g. the batch before de-duplication) times the estimated row width
-    of ``df`` must stay under the broadcast threshold."""
+def fits_broadcast(df: DataFrame, max_bytes: int | None = None) -> bool:
+    """Size check before a broadcast: the measured bytes must stay under the broadcast threshold."""
     limit = broadcast_threshold(df) if max_bytes is None else max_bytes
-    if limit <= 0:
-        return False
-    max_rows = max(limit // estimated_row_bytes(df.schema), 1)
-    return rows_at_most(bound_by if bound_by is not None else df, max_rows)
-
-
-def broadcast_if_small(df: DataFrame, bound_by: DataFrame | None = None, max_bytes: int | None = None) -> DataFrame:
-    """Broadcast ``df`` only when ``fits_broadcast`` proves its size; otherwise return it unchanged."""
-    return F.broadcast(df) if fits_broadcast(df, bound_by, max_bytes) else df
+    return limit > 0 and measured_bytes(df) <= limit
 
 
 def prefixed(df: DataFrame, prefix: str, cols: Sequence[str] | None = None) -> DataFrame:

@@ -7,7 +7,6 @@ The driver only looks at column-name lists (schema evolution, common columns).
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -16,11 +15,6 @@ from ..functions import clean
 from .joins import fits_broadcast, null_safe_on, prefixed
 
 
-def null_safe_equal(left: DataFrame, right: DataFrame, cols: Sequence[str]) -> Column:
-    """Conjunction of ``<=>`` over columns (NULL equals NULL, ledger L-3)."""
-    return reduce(lambda a, b: a & b, [left[c].eqNullSafe(right[c]) for c in cols])
-
-
 def dedupe(df: DataFrame, key: Sequence[str] | None = None, order_col: str | None = None) -> DataFrame:
     """M5: drop duplicate rows (or duplicate keys). With ``order_col`` the first row in that
     order is kept; the choice is a partial aggregation (``min_by``) so hot keys are combined
@@ -44,14 +38,15 @@ def scope_to_partitions(target: DataFrame, batch: DataFrame, partition_cols: Seq
 
 def new_rows_if_absent(target: DataFrame, batch: DataFrame, key: Sequence[str],
                        partition_cols: Sequence[str] = (), order_col: str | None = None,
-                       check_broadcast: bool = True) -> DataFrame:
+                       batch_stored: bool = False) -> DataFrame:
     """M1 rows to write: batch rows whose key (null-safe) is not stored yet; batch duplicates collapse.
 
-    Plan for a large target and a small batch: (1) the batch is de-duplicated on the key
-    (partial aggregation); (2) the stored keys that collide with the batch are found by a
-    left-semi join of the *target* against the batch keys -- broadcast after a size check,
-    so the target is only scanned (and partition-pruned), never shuffled; (3) the batch is
-    anti-joined with that small collision set.
+    With ``batch_stored`` the batch is a stored table, cheap to read twice, and the bytes of its
+    keys are measured. When they fit the broadcast threshold, the stored keys that collide with
+    the batch are found by a left-semi join of the *target* against the broadcast keys, so the
+    target is only scanned (and partition-pruned), never shuffled, and the batch is anti-joined
+    with that small collision set. Otherwise one grouped pass over both sides decides. Both
+    ways keep the batch row that comes first in ``order_col``.
     """
     key = list(key)
     b = dedupe(batch, key, order_col)
@@ -59,7 +54,7 @@ def new_rows_if_absent(target: DataFrame, batch: DataFrame, key: Sequence[str],
     t = prefixed(scoped.select(*key), "_t_")
     tk = [f"_t_{c}" for c in key]
     bk = prefixed(b.select(*key), "_b_")
-    if check_broadcast and fits_broadcast(bk, bound_by=batch):
+    if batch_stored and fits_broadcast(bk):
         hits = t.join(F.broadcast(bk), null_safe_on(t, bk, tk, [f"_b_{c}" for c in key]), "left_semi")
         return b.join(hits, null_safe_on(b, hits, key, tk), "left_anti").select(*batch.columns)
     return _new_rows_by_aggregate(scoped, batch, key, order_col)
@@ -100,9 +95,10 @@ def _new_rows_by_aggregate(target: DataFrame, batch: DataFrame, key: Sequence[st
 
 
 def append_if_absent(target: DataFrame, batch: DataFrame, key: Sequence[str],
-                     partition_cols: Sequence[str] = (), order_col: str | None = None) -> DataFrame:
+                     partition_cols: Sequence[str] = (), order_col: str | None = None,
+                     batch_stored: bool = False) -> DataFrame:
     """M1: table state after the append (existing rows never change; first writer wins)."""
-    new = new_rows_if_absent(target, batch, key, partition_cols, order_col)
+    new = new_rows_if_absent(target, batch, key, partition_cols, order_col, batch_stored)
     return target.unionByName(new.select(*target.columns))
 
 
@@ -112,12 +108,13 @@ def common_columns(target_cols: Sequence[str], batch_cols: Sequence[str], last:
     return common + [c for c in last if c in target_cols and c in batch_cols]
 
 
-def new_rows_except(target: DataFrame, batch: DataFrame, partition_cols: Sequence[str] = ()) -> DataFrame:
+def new_rows_except(target: DataFrame, batch: DataFrame, partition_cols: Sequence[str] = (),
+                    batch_stored: bool = False) -> DataFrame:
     """M2 rows to write: ``batch EXCEPT target`` over the common columns (NULLs equal, batch
-    duplicates collapse). Planned like M1 with every common column as the key, so a small batch
-    is broadcast after a size check and the stored table is scanned, not shuffled."""
+    duplicates collapse). Planned like M1 with every common column as the key."""
     common = common_columns(target.columns, batch.columns)
-    return new_rows_if_absent(target.select(*common), batch.select(*common), common, partition_cols)
+    return new_rows_if_absent(target.select(*common), batch.select(*common), common, partition_cols,
+                              batch_stored=batch_stored)
 
 
 def append_except(target: DataFrame, batch: DataFrame, partition_cols: Sequence[str] = ()) -> DataFrame:

@@ -43,12 +43,6 @@ def pivot_long_from(df: DataFrame, anchor: str, name_col: str = "name", value_co
     return to_text(df, measures).unpivot(ids, measures, name_col, value_col)
 
 
-def pivot_long_columns(df: DataFrame, ids: Sequence[str], measures: Sequence[str],
-                       name_col: str = "name", value_col: str = "value") -> DataFrame:
-    """R3 on a flat DataFrame with explicit id and measure lists."""
-    return to_text(df, measures).unpivot(list(ids), list(measures), name_col, value_col)
-
-
 # ----------------------------------------------------------------- array form
 def explode_cells(df: DataFrame, header: str = "header", cells: str = "cells",
                   start: Column | None = None, pos_col: str = "col_no") -> DataFrame:
@@ -112,13 +106,6 @@ def select_matching_names(names: Column, pattern: str) -> Column:
     return F.filter(names, lambda x: x.rlike(pattern))
 
 
-def select_matching_columns(df: DataFrame, pattern: str) -> DataFrame:
-    """F2 on a flat DataFrame (driver-side over column names only)."""
-    import re
-    rx = re.compile(pattern)
-    return df.select(*[c for c in df.columns if rx.search(c)])
-
-
 def drop_names(names: Column, dropped: Sequence[str], case_insensitive: bool = False) -> Column:
     """F3 in array form (ledger L-13: ONT drops by case-insensitive name)."""
     if case_insensitive:

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import clean
+from ..session import cut_lineage
 
 
 def append_rows(new_rows: DataFrame, path: str, partition_cols: Sequence[str] = ()) -> None:
@@ -41,12 +41,16 @@ def publish_view(df: DataFrame, name: str = "unified_qc_view") -> DataFrame:
 
 def write_clustered(df: DataFrame, path: str, partition_col: str = "Application",
                     sort_cols: Sequence[str] = ("Release_Date", "Investigator_Folder", "Project_ID",
-                                                "Project_run_type"), mode: str = "append") -> None:
+                                                "Project_run_type"), mode: str = "append",
+                    parts: int | None = None) -> None:
     """K5: rows laid out so that dashboard filters skip files -- one folder per application
-    (partition pruning) and rows sorted inside files (Parquet min/max skipping). Rows of one
-    application are spread over several tasks by a range on the sort key, so a large
-    application does not land in a single task."""
-    out = df.repartitionByRange(partition_col, *sort_cols).sortWithinPartitions(partition_col, *sort_cols)
+    (partition pruning) and rows sorted inside files (Parquet min/max skipping). Rows are dealt by
+    ranges of the sort key that end in a hash of the whole row, so neither a large application nor
+    a project that holds half of all rows lands in a single task."""
+    n = parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    row = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
+    out = df.withColumn("_row", row).repartitionByRange(n, partition_col, *sort_cols, "_row")
+    out = out.sortWithinPartitions(partition_col, *sort_cols, "_row").drop("_row")
     out.write.mode(mode).partitionBy(partition_col).parquet(path)
 
 
@@ -58,11 +62,12 @@ def snapshot(df: DataFrame, root: str, run_date: str) -> str:
     return path
 
 
-def append_ledger(ledger: DataFrame, paths: DataFrame, path: str, key: Sequence[str] = ("project_dir",)) -> DataFrame:
-    """K7: record paths not yet recorded (anti-join on the key); returns the rows written."""
-    new = paths.select(*ledger.columns).dropDuplicates(list(key)).join(ledger.select(*key), list(key), "left_anti")
+def append_ledger(ledger: DataFrame, paths: DataFrame, path: str, key: Sequence[str] = ("project_dir",)) -> int:
+    """K7: record paths not yet recorded (anti-join on the key); returns the number of rows written."""
+    new = cut_lineage(paths.select(*ledger.columns).dropDuplicates(list(key)).join(
+        ledger.select(*key), list(key), "left_anti"))
     new.write.mode("append").parquet(path)
-    return new
+    return new.count()
 
 
 def registry_export(registry_long: DataFrame, path: str | None = None) -> DataFrame:
@@ -74,10 +79,12 @@ def registry_export(registry_long: DataFrame, path: str | None = None) -> DataFr
     return out
 
 
-def content_hash(files_df: DataFrame) -> DataFrame:
-    """M7 helper: ``(path, sha256)`` of file contents read by the binaryFile source."""
-    return files_df.select(F.regexp_replace("path", "^file:", "").alias("path"), F.sha2("content", 256).alias("sha256"))
-
-
-def day_partition(col) -> F.Column:
-    return clean.day_stamp(col)
+def content_hash(spark, path: str) -> DataFrame:
+    """M7 helper: ``(path, sha256)`` of text files. Each line is hashed, equal lines are counted, and the
+    counted hashes are added up, so a file is read by many tasks and is never held as one value. Files with
+    the same lines in another order count as unchanged: an import is a set of rows."""
+    lines = spark.read.option("recursiveFileLookup", True).text(path).select(
+        F.regexp_replace(F.col("_metadata.file_path"), "^file:/+", "/").alias("path"), F.sha2("value", 256).alias("h"))
+    part = lambda i: F.sum(F.conv(F.substring("h", 1 + 15 * i, 15), 16, 10).cast("decimal(38,0)"))
+    return lines.groupBy("path").agg(F.sha2(F.concat_ws("|", F.count("*").cast("string"), *[
+        part(i).cast("string") for i in range(4)]), 256).alias("sha256"))

@@ -67,12 +67,14 @@ def stage_order(stage: Column, pipeline: Column, basic: str = "basic", multi: Co
     return part * 10 + F.when(part == 0, within_basic).otherwise(within_other)
 
 
-def first_error(classified: DataFrame, project_col: str = "project") -> DataFrame:
-    """First classified file per project in trying order (only files with an error class)."""
+def first_error(classified: DataFrame, project_col: str = "project", main_pipeline: str | None = None) -> DataFrame:
+    """First classified file per project in trying order (only files with an error class). A project
+    with several pipelines beside ``basic`` tries the main one first, then the others by name."""
+    multi = None if main_pipeline is None else (F.col("pipeline") != F.lit(main_pipeline))
     hit = classified.filter(F.col("error_class").isNotNull()).withColumn(
-        "_order", stage_order(F.col("stage"), F.col("pipeline")))
+        "_order", stage_order(F.col("stage"), F.col("pipeline"), multi=multi))
     return hit.groupBy(project_col).agg(
-        F.min_by(F.struct("pipeline", "stage", "error_class"), F.col("_order")).alias("first")).select(
+        F.min_by(F.struct("pipeline", "stage", "error_class"), F.struct("_order", "pipeline")).alias("first")).select(
         project_col, "first.*")
 
 
@@ -99,13 +101,19 @@ def report_block(lines: DataFrame, group: Sequence[str], pos_col: str = "line_no
     return block
 
 
-def required_inputs_missing(listing: DataFrame, project_col: str = "project_dir", path_col: str = "path") -> DataFrame:
-    """L4: per project, every missing required input (settings, fastqs folder, stats file)."""
+def required_inputs_missing(projects: DataFrame, listing: DataFrame, settings: DataFrame,
+                            project_col: str = "project_dir", path_col: str = "path") -> DataFrame:
+    """L4: per project, every missing required input (settings, fastqs folder, stats file).
+
+    ``listing`` (project, path) holds visible files only, so whether a project has settings comes from
+    ``settings`` (S4: project, json), and projects without any visible file come from ``projects``."""
     base = clean.base_name(F.col(path_col))
-    agg = listing.groupBy(project_col).agg(
-        F.max((base == ".settings.json").cast("int")).alias("_settings"),
+    seen = listing.groupBy(project_col).agg(
         F.max(F.col(path_col).rlike(r"/fastqs(/|$)").cast("int")).alias("_fastqs"),
         F.max((base == "Stats.json.unprocessed").cast("int")).alias("_stats"))
+    has = settings.filter(F.col("json").isNotNull()).select(project_col, F.lit(1).alias("_settings")).distinct()
+    agg = (projects.select(project_col).distinct().join(seen, project_col, "left").join(has, project_col, "left")
+                   .fillna(0, ["_settings", "_fastqs", "_stats"]))
     missing = F.array_compact(F.array(
         F.when(F.col("_settings") == 0, F.lit(".settings.json")),
         F.when(F.col("_fastqs") == 0, F.lit("fastqs")),
@@ -114,7 +122,8 @@ def required_inputs_missing(listing: DataFrame, project_col: str = "project_dir"
 
 
 def manifest_counts(files: DataFrame, path_col: str = "path", group: Sequence[str] = ()) -> DataFrame:
-    """FASTQ totals -- all and Undetermined, overall and per read tag (real counts, ledger L-11)."""
+    """FASTQ totals -- all and Undetermined, per read tag and overall (``tag`` = ``all``), with
+    real counts (ledger L-11). The overall row is summed from the tags' rows."""
     name = clean.base_name(F.col(path_col))
     fq = files.filter(name.rlike(r"\.f(ast)?q(\.gz)?$"))
     tag_rx = "(" + "|".join(t for t in fixed.READ_TAGS) + ")"
@@ -122,7 +131,9 @@ def manifest_counts(files: DataFrame, path_col: str = "path", group: Sequence[st
         "undetermined", F.instr(name, fixed.UNDETERMINED) > 0)
     per_tag = tagged.groupBy(*group, "tag").agg(
         F.count(F.lit(1)).alias("fastq_total"), F.count_if("undetermined").alias("undetermined_total"))
-    return per_tag
+    overall = per_tag.groupBy(*group).agg(F.sum("fastq_total").alias("fastq_total"), F.sum("undetermined_total").alias(
+        "undetermined_total")).withColumn("tag", F.lit("all"))
+    return per_tag.unionByName(overall)
 
 
 def clean_name_list(lines: DataFrame, line_col: str = "line") -> DataFrame:

@@ -53,7 +53,7 @@ def metrics_index(spark, sf_dir):
     """
     long = lineitem_long(spark, sf_dir, extra_ids=("l_shipdate",))
     target = long.filter(F.col("l_shipdate") < F.lit("1996-01-01").cast("timestamp_ntz"))
-    stored = merge.append_if_absent(target, long, key=long.columns)
+    stored = cut_lineage(merge.append_if_absent(target, long, key=long.columns))   # read by both sides below
     stored = merge.append_if_absent(stored, long, key=long.columns)   # second run adds nothing
     table = stored.select(F.col("l_returnflag").alias("Application"),
                           F.col("name").alias("Investigator_Folder"),
@@ -513,10 +513,19 @@ TEXT_LOG_RULES = (
 )
 
 
-def doc_logs(spark, sf_dir) -> DataFrame:
-    """Each text as a tool log named <project>_QCreport.<pipeline>[.<stage>].log."""
+# Lines as tools write them (test data of the log jobs).
+TOOL_LINES = ("x Unrecognized platform by QiFa y", "Program aborted.", "ERROR: Please complete basic QC before proceeding",
+              "Please complete basic QC before proceeding", "0 .gz file(s) found", "ERROR: loadQCParametersSetting organism",
+              "loadQCParametersSetting organism", "!!!WARNING!!!", "ERROR: Could not locate output from QC pipeline",
+              "Could not locate output from QC pipeline", "fine")
+
+
+def doc_logs(spark, sf_dir, text=None) -> DataFrame:
+    """Each text (or the given one) as a tool log named <project>_QCreport.<pipeline>[.<stage>].log."""
     from ..operators import triage
     d = read_table(spark, sf_dir, "documents")
+    if text is not None:
+        d = d.withColumn("text", text)
     stage = (F.when(F.col("n_chars") > 5000, F.lit(".gather")).when(F.col("n_chars") > 2000, F.lit(".package"))
               .otherwise(F.lit("")))
     path = F.concat(F.lit("/logs/"), F.col("source"), F.lit("/doc"), F.col("doc_id").cast("string"),
@@ -530,10 +539,30 @@ def doc_logs(spark, sf_dir) -> DataFrame:
 
 @register("log_triage")
 def log_triage(spark, sf_dir):
-    """L1 + S16: per log file, the first rule of its stage that any line holds."""
+    """L1 + S16: per log file, the first rule of its stage that any line holds. Every log has one
+    line of a tool's output added; some of these lines miss a rule by their first word only."""
     from ..functions import fixed as fx
     from ..operators import triage
-    return triage.classify_logs(doc_logs(spark, sf_dir), rules=fx.LOG_RULES + TEXT_LOG_RULES)
+    logs = doc_logs(spark, sf_dir).select("project", "pipeline", "stage", "line")
+    line = F.element_at(F.array(*[F.lit(x) for x in TOOL_LINES]),
+                        (F.pmod("doc_id", F.lit(len(TOOL_LINES))) + 1).cast("int"))
+    extra = doc_logs(spark, sf_dir, line).select("project", "pipeline", "stage", "line")
+    return triage.classify_logs(logs.unionByName(extra), rules=fx.LOG_RULES + TEXT_LOG_RULES)
+
+
+@register("first_error")
+def first_error_q(spark, sf_dir):
+    """L1: per project (source) the first failing log in trying order: basic, the main pipeline, others."""
+    from ..operators import triage
+    d = read_table(spark, sf_dir, "documents")
+    pipeline = F.when(F.col("lang") == "en", "basic").when(F.col("lang") == "fr", "main").otherwise(F.col("lang"))
+    stage = F.element_at(F.array(*[F.lit(x) for x in ("run", "package", "release", "gather")]),
+                         (F.pmod("doc_id", F.lit(4)) + 1).cast("int"))
+    line = F.element_at(F.array(*[F.lit(x) for x in TOOL_LINES]),
+                        (F.pmod("doc_id", F.lit(len(TOOL_LINES))) + 1).cast("int"))
+    project = F.concat("source", F.lit("-"), F.pmod("n_chars", F.lit(50)).cast("string"))
+    lines = d.select(project.alias("project"), pipeline.alias("pipeline"), stage.alias("stage"), line.alias("line"))
+    return triage.first_error(triage.classify_logs(lines), main_pipeline="main")
 
 
 @register("stage_status")
@@ -546,7 +575,7 @@ def stage_status_q(spark, sf_dir):
 
 @register("manifest_counts")
 def manifest_counts_q(spark, sf_dir):
-    """FASTQ file names derived from page urls; totals and Undetermined per read tag."""
+    """FASTQ file names derived from page urls; totals and Undetermined per read tag and overall."""
     from ..operators import triage
     p = read_table(spark, sf_dir, "pages")
     lang = F.regexp_extract("url", r"^https?://[^/]+/([a-z]+)/", 1)
@@ -598,9 +627,9 @@ def instrument_rules(spark, sf_dir):
 
 @register("select_drop_split")
 def select_drop_split(spark, sf_dir):
-    """F2 + F3 + F4 on part rows as report files (one file per brand, header/cells arrays):
-    species-report columns kept by pattern, PacBio columns dropped, and the rest split into
-    ids and values by the file's first row."""
+    """F2 + F3 + F4 on part rows as report files (one file per brand, header/cells arrays), every
+    row's cells: species-report columns kept by pattern, PacBio columns dropped, and the rest
+    split into ids and values by the file's first row."""
     from ..functions import fixed as fx
     from ..operators import ordered
     p = read_table(spark, sf_dir, "part")
@@ -611,13 +640,18 @@ def select_drop_split(spark, sf_dir):
                     F.col("p_size").cast("string"), F.format_string("%.2f", F.col("p_retailprice")))
     rep = p.select(F.col("p_brand").alias("file"), F.col("p_partkey").alias("row_no"), header.alias("header"),
                    cells.alias("cells"))
-    first = rep.groupBy("file").agg(F.min_by(F.struct("header", "cells"), F.col("row_no")).alias("f"))
-    split = shape.split_id_and_value_names(F.col("f.header"), F.col("f.cells"), fx.PACBIO_DROPPED_COLUMNS)
-    return first.select(
-        "file",
-        F.array_join(shape.select_matching_names(F.col("f.header"), fx.SPECIES_ID_COLUMNS_RE), ",").alias("species_cols"),
-        F.array_join(shape.drop_names(F.col("f.header"), fx.PACBIO_DROPPED_COLUMNS), ",").alias("kept_cols"),
-        F.array_join(split["ids"], ",").alias("id_cols"), F.array_join(split["values"], ",").alias("value_cols"))
+    first = rep.groupBy("file").agg(F.min_by("cells", F.col("row_no")).alias("first"))
+    rep = rep.join(first, "file")
+    split = shape.split_id_and_value_names(F.col("header"), F.col("first"), fx.PACBIO_DROPPED_COLUMNS)
+
+    def text(names):
+        at = F.transform(names, lambda n: F.element_at("cells", F.array_position("header", n).cast("int")))
+        return F.concat(F.array_join(names, ","), F.lit("="), F.array_join(at, ","))
+
+    return rep.select(
+        "file", "row_no", text(shape.select_matching_names(F.col("header"), fx.SPECIES_ID_COLUMNS_RE)).alias("species_cells"),
+        text(shape.drop_names(F.col("header"), fx.PACBIO_DROPPED_COLUMNS)).alias("kept_cells"),
+        text(split["ids"]).alias("id_cells"), text(split["values"]).alias("value_cells"))
 
 
 # ------------------------------------------------------------------ incremental scope
@@ -767,7 +801,8 @@ def stream_groups(spark, sf_dir):
 # ------------------------------------------------------------------ S12 typed CSV round trip
 def sequencing_lines(spark, sf_dir) -> DataFrame:
     """Sequencing-metrics CSV text written from line items: short rows (line 7), rows with a
-    word in a number (line 6 of 'N' items) and rows with an extra field (line 5 of 'R' items)."""
+    word in a number (line 6 of 'N' items) and rows with an extra field (line 5 of 'R' items, and
+    line 5 of 'A' items, whose last declared field is empty)."""
     from ..functions import fixed as fx
     li = read_table(spark, sf_dir, "lineitem")
     reads = F.when((F.col("l_linenumber") == 6) & (F.col("l_returnflag") == "N"), F.lit("abc")).otherwise(
@@ -783,6 +818,7 @@ def sequencing_lines(spark, sf_dir) -> DataFrame:
     body = F.concat_ws(",", *fields)
     line = (F.when(F.col("l_linenumber") == 7, body)
              .when((F.col("l_linenumber") == 5) & (F.col("l_returnflag") == "R"), F.concat_ws(",", body, last, F.lit("x")))
+             .when((F.col("l_linenumber") == 5) & (F.col("l_returnflag") == "A"), F.concat(body, F.lit(",,x")))
              .otherwise(F.concat_ws(",", body, last)))
     header = spark.createDataFrame([(",".join(n for n, _ in fx.SEQUENCING_SCHEMA),)], "line string")
     return header.unionByName(li.select(line.alias("line")))
@@ -835,9 +871,11 @@ def sniffed(spark, sf_dir):
     tab = F.col("c_mktsegment") == "BUILDING"
     sep = F.when(tab, F.lit("\t")).otherwise(F.lit(","))
     spread = 8   # a segment is written by up to 8 tasks; each (segment, slot) gets its header line
+    # every third name is quoted and holds the file's own delimiter
+    name = F.when(F.col("c_custkey") % 3 == 0, F.concat(F.lit('"'), F.col("c_name"), sep, F.lit(' Jr"'))).otherwise(F.col("c_name"))
     rows = c.select("c_mktsegment", F.pmod(F.xxhash64("c_custkey"), F.lit(spread)).alias("_slot"),
                     F.lit(1).alias("_o"),
-                    F.concat_ws("", F.col("c_name"), sep, F.concat(F.lit(" grp"), F.col("c_nationkey").cast("string"),
+                    F.concat_ws("", name, sep, F.concat(F.lit(" grp"), F.col("c_nationkey").cast("string"),
                                                                     F.lit(" ")), sep, F.lit("x")).alias("line"))
     header = (c.select("c_mktsegment").distinct()
                .withColumn("_slot", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(spread - 1).cast("bigint"))))
@@ -854,10 +892,9 @@ def sniffed(spark, sf_dir):
 @register("clean_column_name")
 def clean_column_name_q(spark, sf_dir):
     """C2 (+ C1 first, as a header passes both before a schema-evolving insert) on every
-    distinct word of the page titles, and over each whole page text (digest)."""
+    distinct word of the whole pages."""
     p = read_table(spark, sf_dir, "pages")
-    title = F.regexp_extract("html", r"<title>(.*?)</title>", 1)
-    words = p.select(F.explode(F.split(title, " ", -1)).alias("word")).filter(F.col("word") != "").distinct()
+    words = p.select(F.explode(F.split("html", " ", -1)).alias("word")).filter(F.col("word") != "").distinct()
     by_word = words.select("word", clean.clean_column_name("word").alias("cleaned"),
                            clean.clean_column_name(clean.sanitize_header("word")).alias("sanitized_cleaned"))
     return by_word

@@ -4,7 +4,7 @@
 ``long_read_rows``   settings + QC report (+ attribute reports for PacBio) -> long rows
 ``speciesid_rows``   settings + species report + flowcell -> wide rows with 3 columns in front
 
-Each returns ``(rows, failed)``; ``failed(project_dir, reason)`` lists projects that are
+Each returns ``(rows, failed)`` (short read also the samples without a species row, J4); ``failed(project_dir, reason)`` lists projects that are
 retried on the next run (they are not written to the processed ledger).
 """
 
@@ -58,8 +58,8 @@ def _texts(chosen: DataFrame, path_col: str = "path") -> DataFrame:
 
 # ------------------------------------------------------------------ short read
 def short_read_rows(spark: SparkSession, listing: DataFrame, projects: DataFrame, application: str,
-                    allow_undelivered: bool = False) -> tuple[DataFrame, DataFrame]:
-    """Short-read collector.
+                    allow_undelivered: bool = False) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Short-read collector.
 
     ``projects(project_dir)``: folders holding ``<project>_QCreport.<application>.csv``, the
     optional ``<project>_QCreport.speciesid.csv``, ``Run_Metric_Summary[.draft].csv`` (in the
@@ -132,6 +132,8 @@ def short_read_rows(spark: SparkSession, listing: DataFrame, projects: DataFrame
         reports.cell(F.col("header"), F.col("cells"), "GT_QC_Sample_ID").alias("_k_id"),
         *[reports.cell(F.col("header"), F.col("cells"), n).alias(n) for n in sp_names])
     samples = _species_join(samples, sp_flat, sp_names)
+    unmatched = samples.filter("_unmatched").select("project_dir", "GT_QC_Sample_ID", "Sample_Name",
+                                                    F.lit(application).alias("application"))
 
     # Every sample row once per lane (NULL lane fields without a run summary)
     ident = ident.select("project_dir", F.col("MachineID").alias("InstrumentID"),
@@ -154,7 +156,7 @@ def short_read_rows(spark: SparkSession, listing: DataFrame, projects: DataFrame
     long = long.filter(~clean.value_is_dropped("value")).select(*fixed.SHORT_READ_COLUMNS)
 
     failed = _failed(meta, report, rep, rejected).unionByName(_not_ready(meta, allow_undelivered))
-    return long, failed
+    return long, failed, unmatched
 
 
 def _not_ready(meta: DataFrame, allow_undelivered: bool) -> DataFrame:
@@ -179,7 +181,7 @@ def _species_join(samples: DataFrame, sp_flat: DataFrame, sp_names: Sequence[str
     arr = F.array(*[F.struct(F.lit(n).alias("name"),
                              F.when(chosen.isNull(), F.lit("NaN")).otherwise(chosen[n]).alias("value"))
                     for n in sp_names])
-    return j.withColumn("_species", arr).drop("_by_name", "_by_id")
+    return j.withColumn("_unmatched", chosen.isNull()).withColumn("_species", arr).drop("_by_name", "_by_id")
 
 
 def _failed(meta: DataFrame, report: DataFrame, rep: DataFrame, rejected: DataFrame) -> DataFrame:

@@ -405,10 +405,18 @@ WITH d AS (
 lines AS (SELECT project, pipeline, stage, unnest(parts) AS line FROM d)
 """
 
-from ..functions.fixed import LOG_RULES as _LAB_RULES  # noqa: E402
-
-_RULES = list(_LAB_RULES) + [("run", "Released under"), ("run", "Licensed under"), ("run", 'token = "'),
-                             ("gather", "###"), ("package", "$$$"), ("gather", "%%%")]
+# Written out here: the twin must not read the rules it checks.
+_LAB_RULES = [("run", "Unrecognized platform by QiFa"), ("run", "Program aborted"),
+              ("run", "ERROR: Please complete basic QC before"), ("run", "0 .gz file(s) found"),
+              ("run", "ERROR: loadQCParametersSetting organism"), ("package", "Program aborted"),
+              ("release", "Program aborted"), ("gather", "!!!WARNING!!!"),
+              ("gather", "ERROR: Could not locate output from QC pipeline")]
+_RULES = _LAB_RULES + [("run", "Released under"), ("run", "Licensed under"), ("run", 'token = "'),
+                       ("gather", "###"), ("package", "$$$"), ("gather", "%%%")]
+_TOOL_LINE = """(['x Unrecognized platform by QiFa y', 'Program aborted.', 'ERROR: Please complete basic QC before proceeding',
+  'Please complete basic QC before proceeding', '0 .gz file(s) found', 'ERROR: loadQCParametersSetting organism',
+  'loadQCParametersSetting organism', '!!!WARNING!!!', 'ERROR: Could not locate output from QC pipeline',
+  'Could not locate output from QC pipeline', 'fine'])[doc_id % 11 + 1]"""
 
 _RANK = "CASE " + " ".join(
     f"WHEN stage = '{st}' AND contains(line, '{pat}') THEN {i}" for i, (st, pat) in enumerate(_RULES, 1)) + " END"
@@ -416,7 +424,27 @@ _PATTERN = "CASE r " + " ".join(f"WHEN {i} THEN '{pat}'" for i, (_, pat) in enum
 
 ORACLE["log_triage"] = _DOC_LOGS + f"""
 SELECT project, pipeline, stage, {_PATTERN} AS error_class FROM (
-  SELECT project, pipeline, stage, min({_RANK}) AS r FROM lines GROUP BY project, pipeline, stage)
+  SELECT project, pipeline, stage, min({_RANK}) AS r
+  FROM (SELECT * FROM lines UNION ALL SELECT project, pipeline, stage, {_TOOL_LINE} AS line FROM d)
+  GROUP BY project, pipeline, stage)
+"""
+
+_LAB_RANK = "CASE " + " ".join(
+    f"WHEN stage = '{st}' AND contains(line, '{pat}') THEN {i}" for i, (st, pat) in enumerate(_LAB_RULES, 1)) + " END"
+_LAB_PATTERN = "CASE r " + " ".join(f"WHEN {i} THEN '{pat}'" for i, (_, pat) in enumerate(_LAB_RULES, 1)) + " END"
+
+ORACLE["first_error"] = f"""
+WITH l AS (
+  SELECT source || '-' || (n_chars % 50) AS project, CASE lang WHEN 'en' THEN 'basic' WHEN 'fr' THEN 'main' ELSE lang END AS pipeline,
+         (['run', 'package', 'release', 'gather'])[doc_id % 4 + 1] AS stage, {_TOOL_LINE} AS line FROM documents),
+c AS (SELECT project, pipeline, stage, min({_LAB_RANK}) AS r FROM l GROUP BY ALL),
+h AS (SELECT project, pipeline, stage, {_LAB_PATTERN} AS error_class,
+        row_number() OVER (PARTITION BY project ORDER BY
+          CASE pipeline WHEN 'basic' THEN 0 WHEN 'main' THEN 1 ELSE 2 END,
+          CASE WHEN pipeline = 'basic' THEN CASE stage WHEN 'run' THEN 0 WHEN 'package' THEN 1 WHEN 'release' THEN 2 ELSE 3 END
+               ELSE CASE stage WHEN 'run' THEN 0 WHEN 'gather' THEN 1 WHEN 'package' THEN 2 ELSE 3 END END, pipeline) AS k
+      FROM c WHERE r IS NOT NULL)
+SELECT project, pipeline, stage, error_class FROM h WHERE k = 1
 """
 
 ORACLE["stage_status"] = _DOC_LOGS + """
@@ -434,6 +462,9 @@ f AS (SELECT (CASE WHEN contains(url, '?') THEN 'Undetermined_S0_' ELSE 'S1_' EN
 SELECT regexp_extract(name, '(R1_|R2_|R3_|I1_|I2_)', 1) AS tag, count(*) AS fastq_total,
        count(*) FILTER (WHERE contains(name, 'Undetermined')) AS undetermined_total
 FROM f WHERE regexp_matches(name, '\\.f(ast)?q(\\.gz)?$') GROUP BY 1
+UNION ALL
+SELECT 'all', count(*), count(*) FILTER (WHERE contains(name, 'Undetermined'))
+FROM f WHERE regexp_matches(name, '\\.f(ast)?q(\\.gz)?$')
 """
 
 ORACLE["known_names"] = """
@@ -484,14 +515,18 @@ FROM p
 """
 
 ORACLE["select_drop_split"] = """
-WITH f AS (SELECT p_brand AS file, arg_min(p_size, p_partkey) AS size
-           FROM part GROUP BY p_brand)
-SELECT file,
-       'GT_QC_Sample_ID,Sample_Name,Domain1,Species2' AS species_cols,
-       'GT_QC_Sample_ID,Sample_Name,Domain1,Species2,Lot,Size,Price' AS kept_cols,
-       CASE WHEN size > 25 THEN 'Sample_Name,Domain1,Species2' ELSE 'Sample_Name,Domain1,Species2,Lot' END AS id_cols,
-       CASE WHEN size > 25 THEN 'GT_QC_Sample_ID,Lot,Size,Price' ELSE 'GT_QC_Sample_ID,Size,Price' END AS value_cols
-FROM f
+WITH p AS (SELECT *, first_value(p_size) OVER (PARTITION BY p_brand ORDER BY p_partkey) AS first_size,
+             CASE WHEN p_size > 25 THEN CAST(p_size AS VARCHAR) ELSE 'none' END AS lot,
+             CAST(CAST(p_retailprice AS DECIMAL(15, 2)) AS VARCHAR) AS price FROM part),
+c AS (SELECT *, p_partkey || ',' || p_name || ',' || p_brand || ',' || p_type AS front FROM p)
+SELECT p_brand AS file, p_partkey AS row_no,
+       'GT_QC_Sample_ID,Sample_Name,Domain1,Species2=' || front AS species_cells,
+       'GT_QC_Sample_ID,Sample_Name,Domain1,Species2,Lot,Size,Price=' || front || ',' || lot || ',' || p_size || ',' || price AS kept_cells,
+       CASE WHEN first_size > 25 THEN 'Sample_Name,Domain1,Species2=' || p_name || ',' || p_brand || ',' || p_type
+            ELSE 'Sample_Name,Domain1,Species2,Lot=' || p_name || ',' || p_brand || ',' || p_type || ',' || lot END AS id_cells,
+       CASE WHEN first_size > 25 THEN 'GT_QC_Sample_ID,Lot,Size,Price=' || p_partkey || ',' || lot || ',' || p_size || ',' || price
+            ELSE 'GT_QC_Sample_ID,Size,Price=' || p_partkey || ',' || p_size || ',' || price END AS value_cells
+FROM c
 """
 
 ORACLE["scan_scope"] = """
@@ -583,7 +618,7 @@ SELECT DISTINCT
   l_linenumber AS SampleSize,
   CASE WHEN l_linenumber = 7 THEN NULL ELSE l_discount END AS PolymeraseReadLength_bp_Mean
 FROM lineitem
-WHERE NOT (l_linenumber = 6 AND l_returnflag = 'N') AND NOT (l_linenumber = 5 AND l_returnflag = 'R')
+WHERE NOT (l_linenumber = 6 AND l_returnflag = 'N') AND NOT (l_linenumber = 5 AND l_returnflag IN ('R', 'A'))
 """
 
 ORACLE["clustered_write"] = """
@@ -600,7 +635,7 @@ _C2 = "regexp_replace(regexp_replace(regexp_replace({x}, '[^a-zA-Z0-9_]', '_', '
 
 ORACLE["clean_column_name"] = f"""
 WITH w AS (SELECT DISTINCT word FROM (
-             SELECT unnest(string_split(regexp_extract(html, '<title>(.*?)</title>', 1), ' ')) AS word FROM pages)
+             SELECT unnest(string_split(html, ' ')) AS word FROM pages)
            WHERE word <> '')
 SELECT word, {_C2.format(x='word')} AS cleaned,
        {_C2.format(x=_SANITIZE.format(x='word'))} AS sanitized_cleaned

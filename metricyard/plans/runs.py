@@ -1,79 +1,159 @@
 """End-to-end runs: one job per run over all projects of an application.
 
-``run_collector`` = scope (T4-T7) -> new projects (J1) -> routing (F13) -> collector ->
-append (M1 for short read, M4+M2 for long read) -> ledgers (K7/J2) -> rollups (A1/K2) ->
-view (K4) -> publish delta (A3) -> snapshot (K6). Table folders live under ``warehouse``.
+``run_collector`` = scope and reset (T4-T6) -> listing (S1/S2) -> ``run_projects`` = new
+projects (J1) -> routing and counts (F13/A8) -> collector (with the J4 report) ->
+append (M1 for short read, M4+M2 for long read) -> ledgers (K7/J2/A9).
+``build_marts`` = rollups (A1/K2) -> view (K4) -> publish delta (A3) -> snapshots (K6, T8).
+Table folders live under ``warehouse``.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import fixed
-from ..operators import incremental, marts, merge, sinks
+from ..functions import clean, fixed
+from ..operators import enrich, incremental, marts, merge, sinks
+from ..operators.joins import null_safe_on
 from ..session import cut_lineage
 from ..sources import files
-from ..sources.tables import read_evolving, table_or_empty
+from ..sources.tables import (glob_paths, read_evolving, read_version, row_count_or_zero, table_or_empty,
+                              write_version)
 from . import collectors
 
 SHORT_SCHEMA = ", ".join(f"`{c}` string" for c in fixed.SHORT_READ_COLUMNS)
 LONG_SCHEMA = ", ".join(f"`{c}` string" for c in fixed.LONG_READ_BASE) + ", `name` string, `value` string"
 LEDGER_SCHEMA = "project_dir string, application string, run_date string"
+FAILED_SCHEMA = "project_dir string, reason string, application string, run_date string"
+TRACKER_SCHEMA = "application string, last_archive_scan date, last_reset date"
 
 
 def table_path(warehouse: str, name: str) -> str:
     return f"{warehouse}/{name}"
 
 
+def scan_plan(spark: SparkSession, application: str, warehouse: str, run_date: str) -> dict:
+    """T4 + T5 + T6 for one application: which roots to scan, and whether its ledger starts anew.
+
+    ``scan_tracker`` keeps the days of the last archive scan and the last reset. Without any
+    processed path (first run) both kinds of roots are scanned."""
+    tracker = read_version(spark, table_path(warehouse, "scan_tracker"), TRACKER_SCHEMA)
+    mine = tracker.filter(F.col("application") == application)
+    ledger = current_ledger(spark, warehouse).filter(F.col("application") == application)
+    app = spark.createDataFrame([(application,)], "application string")
+    known = ledger.select("application").limit(1)
+    today = F.to_date(F.lit(run_date))
+    scope = incremental.scan_scope(app, mine.select("application", "last_archive_scan"), known, known, today).first()
+    due = incremental.reset_due(mine, today).filter("reset").first() is not None and mine.first()["last_reset"] is not None
+    first = incremental.first_run_scope(ledger) == "all"
+    return {"scope": "all" if first else scope["scope"], "allow_undelivered": bool(scope["allow_undelivered"]), "reset": due}
+
+
+def note_scan(spark: SparkSession, application: str, warehouse: str, run_date: str, plan: dict) -> None:
+    """Record the scan: archive day when archives were read, reset day when the ledger was (re)started."""
+    root = table_path(warehouse, "scan_tracker")
+    tracker = read_version(spark, root, TRACKER_SCHEMA)
+    old = tracker.filter(F.col("application") == application).first()
+    day = F.to_date(F.lit(run_date))
+    archive = day if plan["scope"] in ("archive", "all") or old is None else F.lit(old["last_archive_scan"])
+    reset = day if plan["reset"] or old is None else F.lit(old["last_reset"])
+    mine = spark.createDataFrame([(application,)], "application string").withColumn("last_archive_scan", archive).withColumn(
+        "last_reset", reset)
+    write_version(tracker.filter(F.col("application") != application).unionByName(mine), root)
+
+
+def current_ledger(spark: SparkSession, warehouse: str) -> DataFrame:
+    return table_or_empty(spark, table_path(warehouse, "processed_ledger"), LEDGER_SCHEMA)
+
+
 def run_collector(spark: SparkSession, roots: Sequence[str], application: str, warehouse: str,
-                  run_date: str | None = None, allow_undelivered: bool = False) -> dict:
-    """Collect one application from the project roots into the warehouse. Returns counters."""
-    listing = cut_lineage(files.list_files(spark, roots))
-    projects = files.list_projects(spark, roots, application)
-    return run_projects(spark, listing, projects, application, warehouse, run_date, allow_undelivered)
+                  run_date: str | None = None, allow_undelivered: bool = False,
+                  archive_roots: Sequence[str] = ()) -> dict:
+    """Collect one application from the project roots into the warehouse. Returns counters.
+
+    ``roots`` are the active ones. With ``archive_roots`` the tracker decides (T4): an archive scan
+    also reads those and admits undelivered projects; the first run reads both. A due reset (T5)
+    forgets the processed list, so every project is collected again (M1/M2 add nothing twice)."""
+    run_date = run_date or dt.date.today().isoformat()
+    plan = scan_plan(spark, application, warehouse, run_date)
+    where = list(roots) + (list(archive_roots) if plan["scope"] in ("archive", "all") else [])
+    undelivered = allow_undelivered or bool(archive_roots) and plan["allow_undelivered"]
+    listing = cut_lineage(files.list_files(spark, where))
+    projects = files.list_projects(listing, application)
+    if application in fixed.SETTINGS_APPLICATIONS:       # S2: also found by what their settings say
+        parents = listing.select(clean.parent_dir(F.col("path")).alias("d"))
+        parents = parents.select(F.explode(F.array("d", clean.parent_dir(F.col("d")), clean.parent_dir(
+            clean.parent_dir(F.col("d"))))).alias("project_dir")).filter(F.col("project_dir") != "").distinct()
+        named = files.settings_by_application(files.read_settings(parents), application).select("project_dir")
+        projects = projects.select("project_dir").unionByName(named).distinct().withColumn("application", F.lit(application))
+    out = run_projects(spark, listing, projects, application, warehouse, run_date, undelivered, plan["reset"])
+    note_scan(spark, application, warehouse, run_date, plan)
+    return {**out, "scope": plan["scope"], "reset": plan["reset"]}
 
 
 def run_projects(spark: SparkSession, listing: DataFrame, projects: DataFrame, application: str, warehouse: str,
-                 run_date: str | None = None, allow_undelivered: bool = False) -> dict:
-    """Collect the given project folders (those not yet in the ledger) and append their rows."""
+                 run_date: str | None = None, allow_undelivered: bool = False, reset: bool = False) -> dict:
+    """Collect the given project folders (those not yet in the ledger) and append their rows.
+
+    Folders whose settings name an application that the pipeline does not take are left out (F13;
+    folders without settings go on, so that their failure is reported). The failed ones, with
+    reasons, are this run's retry table (J2, A9)."""
     run_date = run_date or dt.date.today().isoformat()
     ledger_path = table_path(warehouse, "processed_ledger")
-    ledger = table_or_empty(spark, ledger_path, LEDGER_SCHEMA).filter(F.col("application") == application)
-    todo = incremental.new_projects(projects.select("project_dir").distinct(), ledger, ["project_dir"])
+    ledger = current_ledger(spark, warehouse).filter(F.col("application") == application)
+    found = projects.select("project_dir").distinct()
+    seen = ledger.limit(0) if reset else ledger
+    todo = incremental.new_projects(found, seen, ["project_dir"])
+    settings = cut_lineage(files.read_settings(todo))
+    asked = settings.select("project_dir", clean.json_value(F.col("json"), "application").alias("application"))
+    if application not in fixed.SETTINGS_APPLICATIONS:       # those were found by their settings already
+        routed = enrich.route_application(asked.filter(F.col("application").isNotNull()), pipelines=[application])
+        unsaid = asked.filter(F.col("application").isNull()).select("project_dir")
+        todo = routed.select("project_dir").unionByName(unsaid).distinct()
+    todo = cut_lineage(todo)
+    counts = {"found": found.count(), "new": asked.count(), "eligible": todo.count()}      # A8
 
     if application in ("PacBio", "ONT"):
         rows, failed = collectors.long_read_rows(spark, listing, todo, application, allow_undelivered)
+        failed = cut_lineage(failed)
         rows = cut_lineage(rows)
         target_path = table_path(warehouse, f"qc_{application.lower()}_metrics")
         ids = sorted(r["k"] for r in rows.select(F.explode(F.map_keys("ids")).alias("k")).distinct().collect())
         batch = collectors.long_read_table_rows(rows, ids)   # id names only reach the driver (M4)
         target = read_evolving(spark, target_path, LONG_SCHEMA)
         widened, batch = merge.evolve_schema(target, batch, fixed_cols=fixed.LONG_READ_BASE + ("name", "value"))
-        new = cut_lineage(merge.new_rows_except(widened, batch, partition_cols=("Application",)))
-        before = target.count()
+        new = cut_lineage(merge.new_rows_except(widened, batch, partition_cols=("Application",), batch_stored=True))
+        before = row_count_or_zero(spark, target_path)
         sinks.write_clustered(new, target_path)           # K5: per application, sorted for skipping
         added = new.count()
     else:
-        rows, failed = collectors.short_read_rows(spark, listing, todo, application, allow_undelivered)
+        rows, failed, unmatched = collectors.short_read_rows(spark, listing, todo, application, allow_undelivered)
+        failed = cut_lineage(failed)
+        # Samples without a species row, with the day of the run
+        unmatched.withColumn("run_date", F.lit(run_date)).write.mode("append").parquet(
+            table_path(warehouse, "species_unmatched"))
         rows = cut_lineage(rows)
         target_path = table_path(warehouse, "qc_illumina_metrics")
         target = table_or_empty(spark, target_path, SHORT_SCHEMA)
-        before = target.count()
+        before = row_count_or_zero(spark, target_path)
         new = cut_lineage(merge.new_rows_if_absent(target, rows, fixed.SHORT_READ_KEY,
-                                                   partition_cols=("Application",)))
+                                                   partition_cols=("Application",), batch_stored=True))
         sinks.write_clustered(new, target_path)           # K5: per application, sorted for skipping
         added = new.count()
 
     # Record the projects that produced rows; failed ones stay unrecorded (retried)
-    done = (todo.select("project_dir").join(failed.select("project_dir"), "project_dir", "left_anti")
+    done = (todo.join(failed.select("project_dir"), "project_dir", "left_anti")
                 .withColumn("application", F.lit(application)).withColumn("run_date", F.lit(run_date)))
     recorded = sinks.append_ledger(ledger, done, ledger_path)
-    return {"application": application, "before": before, "added": added,
-            "projects_recorded": recorded.count(), "projects_failed": failed.select("project_dir").distinct().count()}
+    retry = failed.select("project_dir", "reason", F.lit(application).alias("application"), F.lit(run_date).alias("run_date"))
+    retry.distinct().write.mode("append").parquet(table_path(warehouse, "retry_projects"))
+    reasons = {r["reason"]: r["projects"] for r in marts.failure_summary(failed.select("project_dir", "reason")).collect()}   # A9
+    return {"application": application, "before": before, "added": added, **counts, "failed": reasons,
+            "projects_recorded": recorded, "projects_failed": failed.select("project_dir").distinct().count()}
 
 
 def build_marts(spark: SparkSession, warehouse: str, run_date: str | None = None) -> dict:
@@ -84,23 +164,43 @@ def build_marts(spark: SparkSession, warehouse: str, run_date: str | None = None
     ont = _with_column(read_evolving(spark, table_path(warehouse, "qc_ont_metrics"), LONG_SCHEMA), "Sample_ID")
     index = marts.app_index([(short, "Sample_Name"), (pacbio, "Sample_Name"), (ont, "Sample_ID")])
     sinks.replace_table(index, table_path(warehouse, f"qc_app_index/run_date={run_date}"))
-    view = marts.unified_view([(short, "illumina"), (pacbio, "pacbio"), (ont, "ont")], name="unified_qc_view")
+    view = marts.unified_view([(short, "qc_illumina_metrics"), (pacbio, "qc_pacbio_metrics"), (ont, "qc_ont_metrics")])
+    sinks.replace_table(view, table_path(warehouse, "unified_qc_view"))       # K4: stored, so that later readers see it
+    view = sinks.publish_view(spark.read.parquet(table_path(warehouse, "unified_qc_view")), "unified_qc_view")
+    sequencing = table_or_empty(spark, table_path(warehouse, "sequencing_metrics"), SEQUENCING_DDL)
     snap_root = table_path(warehouse, "snapshots")
-    from pyspark.errors import AnalysisException
-    try:
-        snaps = spark.read.parquet(snap_root)
-        last = snaps.select(F.max("snapshot_date")).scalar()
-        before = snaps.filter(F.col("snapshot_date") == last).drop("snapshot_date")
-    except AnalysisException:
-        before = None
-    delta = marts.publish_delta(before, short, "Sample_Name").first().asDict()
+    kept = {"qc_illumina_metrics": short, "sequencing_metrics": sequencing}
+    before = {name: _last_snapshot(spark, f"{snap_root}/{name}") for name in kept}
+    delta = marts.publish_delta(before["qc_illumina_metrics"], short, "Sample_Name",
+                                seq_before=before["sequencing_metrics"], seq_after=sequencing).first().asDict()
     if delta["publish"]:
-        sinks.snapshot(short, snap_root, run_date)
+        for name, df in kept.items():
+            sinks.snapshot(df, f"{snap_root}/{name}", run_date)
     # K6: one run-log row per run -- the marker for days without a new snapshot
-    log = spark.createDataFrame([(run_date, bool(delta["publish"]), int(delta["after_rows"]), int(delta["delta_rows"]))],
-                                "run_date string, published boolean, rows bigint, delta_rows bigint")
+    log = spark.createDataFrame([(run_date, bool(delta["publish"]), int(delta["after_rows"]), int(delta["delta_rows"]),
+                                  int(delta["delta_seq_rows"]))],
+                                "run_date string, published boolean, rows bigint, delta_rows bigint, delta_seq_rows bigint")
     log.write.mode("append").parquet(table_path(warehouse, "run_log"))
-    return {"delta": delta, "view_rows": view.count()}
+    return {"delta": delta, "view_rows": view.count(), "expired": expired_snapshots(spark, warehouse, run_date)}
+
+
+def _last_snapshot(spark: SparkSession, root: str) -> DataFrame | None:
+    days = sorted(p.rsplit("=", 1)[1] for p in (q.removesuffix("/_SUCCESS") for q in glob_paths(
+        spark, f"{root}/snapshot_date=*/_SUCCESS")))
+    return spark.read.parquet(f"{root}/snapshot_date={days[-1]}") if days else None
+
+
+def expired_snapshots(spark: SparkSession, warehouse: str, run_date: str) -> list[str]:
+    """Snapshot folders past the retention; the newest of a table never expires. They are
+    named, not deleted: removing data is the operator's act."""
+    out: list[str] = []
+    for name in ("qc_illumina_metrics", "sequencing_metrics"):
+        paths = sorted(glob_paths(spark, f"{table_path(warehouse, 'snapshots')}/{name}/snapshot_date=*"))[:-1]
+        if paths:
+            day = F.to_date(F.regexp_extract("path", r"snapshot_date=(\d+)", 1), "yyyyMMdd")
+            days = spark.createDataFrame([(p,) for p in paths], "path string").withColumn("day", day)
+            out += [r["path"] for r in incremental.retention(days, "day", today=run_date).filter("expired").collect()]
+    return out
 
 
 def _with_column(df: DataFrame, name: str) -> DataFrame:
@@ -110,23 +210,34 @@ def _with_column(df: DataFrame, name: str) -> DataFrame:
 def run_status_update(spark: SparkSession, table_path_: str, run_type: str, export_path: str,
                       samples_inline: str | None = None, samples_file: str | None = None,
                       status_col: str = "ProjStatus", run_type_col: str = "Project_run_type",
-                      sample_col: str = "Sample_Name") -> int:
+                      sample_col: str = "Sample_Name", partition_cols: Sequence[str] = ("Application",)) -> int:
     """U1 + U2 + A5 + K3: count the rows to change; with none, nothing is written. Otherwise the
-    updated table is written to a new folder next to the old one (staged, never in place) and
-    the run type's rows (all statuses) are exported as TSV. Returns the number changed."""
+    partitions that hold such rows are written with the new status to a staging folder, and from
+    there they replace the table's own, so every later reader (and the next update) sees them.
+    The run type's rows (all statuses) are exported as TSV. Returns the number changed."""
     from ..sources.delimited import read_value_list
     table = spark.read.parquet(table_path_)
     samples = None
     if samples_inline is not None or samples_file is not None:
         samples = read_value_list(spark, samples_inline, samples_file)
-    scope = merge.status_scope(table, run_type_col, run_type, samples, sample_col)
-    n = scope.filter(F.col(status_col) == "Delivered").count()
+    hit = merge.status_scope(table, run_type_col, run_type, samples, sample_col).filter(F.col(status_col) == "Delivered")
+    n = hit.count()
     if n == 0:
         return 0
-    updated = merge.update_status(table, run_type_col, run_type, samples, sample_col, status_col)
-    staged = table_path_.rstrip("/") + ".updated"
-    updated.write.mode("overwrite").parquet(staged)
-    fresh = spark.read.parquet(staged)
+    parts = [c for c in partition_cols if c in table.columns and glob_paths(spark, f"{table_path_}/{c}=*")]
+    touched = table
+    if parts:
+        keys = hit.select(*[F.col(c).alias(f"_k_{c}") for c in parts]).distinct()
+        touched = table.join(keys, null_safe_on(table, keys, parts, [f"_k_{c}" for c in parts]), "left_semi")
+    updated = merge.update_status(touched, run_type_col, run_type, samples, sample_col, status_col)
+    staged = f"{table_path_.rstrip('/')}.staged-{uuid.uuid4().hex}"
+    updated.write.parquet(staged)
+    writer = spark.read.parquet(staged).write.mode("overwrite")
+    if parts:
+        writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy(*parts)
+    writer.parquet(table_path_)
+    spark.catalog.refreshByPath(table_path_)
+    fresh = spark.read.parquet(table_path_)
     sinks.export_csv(merge.status_scope(fresh, run_type_col, run_type, samples, sample_col), export_path, sep="\t")
     return n
 
@@ -140,31 +251,30 @@ def run_speciesid(spark: SparkSession, roots: Sequence[str], warehouse: str, run
     from ..operators import merge as m
     run_date = run_date or dt.date.today().isoformat()
     listing = cut_lineage(files.list_files(spark, roots))
-    found = files.find_reports(spark, roots, "*_QCreport.speciesid.csv")   # S3
+    found = files.find_reports(listing, "_QCreport.speciesid.csv")   # S3
     ledger_path = table_path(warehouse, "speciesid_processed")
     ledger = table_or_empty(spark, ledger_path, LEDGER_SCHEMA)
     todo = incremental.new_projects(found, ledger, ["project_dir"])
     rows, failed = collectors.speciesid_rows(spark, listing, todo)
-    width = rows.select(F.max(F.size("header"))).first()[0] or 0
-    names = [r["n"] for r in rows.select(F.explode("header").alias("n")).distinct().collect()]   # column names only
+    # column names only, taken once per file layout
+    names = [r["n"] for r in rows.select("header").distinct().select(F.explode("header").alias("n")).distinct().collect()]
     from ..sources.reports import cell
     wide = rows.select("Investigator_Folder", "Project_run_type", "FlowcellID",
                        *[cell(F.col("header"), F.col("cells"), n).alias(n) for n in sorted(names)])
     current = table_path(warehouse, "speciesid_metrics/current")
-    stored = read_evolving(spark, current, "Investigator_Folder string, Project_run_type string, FlowcellID string")
+    stored = read_version(spark, current, "Investigator_Folder string, Project_run_type string, FlowcellID string")
     merged = cut_lineage(m.append_distinct_all(stored, wide))
     before, after = stored.count(), merged.count()
     if after > before:
         sinks.snapshot(merged, table_path(warehouse, "speciesid_metrics/backups"), run_date)
-        merged.write.mode("overwrite").parquet(current + ".next")
+        write_version(merged, current)
         sinks.export_csv(merged, table_path(warehouse, "speciesid_metrics/csv"))
     done = (todo.select("project_dir").join(failed.select("project_dir"), "project_dir", "left_anti")
                 .withColumn("application", F.lit("speciesid")).withColumn("run_date", F.lit(run_date)))
     sinks.append_ledger(ledger, done, ledger_path)
-    # The failure report is written in folder order so that it reads the same every run
-    (failed.withColumn("run_date", F.lit(run_date)).orderBy("project_dir")
-           .write.mode("append").parquet(table_path(warehouse, "speciesid_failed")))
-    return {"before": before, "after": after, "grew": after > before, "width": width,
+    # Readers order the failure report by folder; files keep no order
+    failed.withColumn("run_date", F.lit(run_date)).write.mode("append").parquet(table_path(warehouse, "speciesid_failed"))
+    return {"before": before, "after": after, "grew": after > before, "columns": len(names),
             "failed": {r["reason"]: r["n"] for r in failed.groupBy("reason").agg(F.count("*").alias("n")).collect()}}
 
 
@@ -174,14 +284,15 @@ SEQUENCING_DDL = ", ".join(f"`{n}` {t}" for n, t in fixed.SEQUENCING_SCHEMA)
 def run_sequencing_import(spark: SparkSession, csv_path: str, warehouse: str, run_date: str | None = None) -> dict:
     """S12 + M7 + M1 + A4: import ``SequencingMetrics.csv`` into ``sequencing_metrics``.
 
-    The file is skipped when its content hash equals the last imported one (M7). Otherwise it
+    The file is skipped when its lines hash to the last imported value (M7; the hash of all lines
+    with their number is summed up by tasks, so the file is never one value). Otherwise it
     is read all-text, short rows are padded and bad rows left out (S12), and rows whose 16
     columns (null-safe) are not stored yet are appended (M1, ledger L-3). The counters are
     taken from the anti-join result, not from a second scan."""
     from ..sources.delimited import read_typed_csv
     run_date = run_date or dt.date.today().isoformat()
     hashes_path = table_path(warehouse, "sequencing_imports")
-    current = sinks.content_hash(spark.read.format("binaryFile").load(csv_path)).withColumn("path", F.lit("sequencing"))
+    current = sinks.content_hash(spark, csv_path).withColumn("path", F.lit("sequencing"))
     last = table_or_empty(spark, hashes_path, "path string, sha256 string, run_date string")
     newest = last.orderBy(F.col("run_date").desc()).limit(1).select("path", "sha256")
     if merge.changed_since(current, newest).isEmpty():
@@ -189,18 +300,18 @@ def run_sequencing_import(spark: SparkSession, csv_path: str, warehouse: str, ru
     target_path = table_path(warehouse, "sequencing_metrics")
     target = table_or_empty(spark, target_path, SEQUENCING_DDL)
     batch = cut_lineage(read_typed_csv(spark, csv_path, fixed.SEQUENCING_SCHEMA))
-    new = cut_lineage(merge.new_rows_if_absent(target, batch, [n for n, _ in fixed.SEQUENCING_SCHEMA]))
+    new = cut_lineage(merge.new_rows_if_absent(target, batch, [n for n, _ in fixed.SEQUENCING_SCHEMA], batch_stored=True))
     stats = marts.import_stats(target, new, "Project").first().asDict()
     sinks.append_rows(new, target_path)
     current.withColumn("run_date", F.lit(run_date)).write.mode("append").parquet(hashes_path)
     return {"skipped": False, **stats}
 
 
-def run_groups(spark: SparkSession, input_dir: str, registry_root: str, epoch: int,
+def run_groups(spark: SparkSession, input_dir: str, registry_root: str,
                export_path: str | None = None) -> DataFrame:
     """Batch form of the group watcher (S11 -> A7 -> U3 -> K8): every ``*.metrics.txt`` under
     ``input_dir`` is rescanned and unseen groups are registered; the new registry state is
-    written as ``epoch=<epoch>`` next to the earlier ones."""
+    written as the registry's next version."""
     from ..operators import registry
     from ..sources import delimited
     from ..streaming.jobs import current_registry
@@ -208,14 +319,13 @@ def run_groups(spark: SparkSession, input_dir: str, registry_root: str, epoch: i
     vals = delimited.column_values_sniffed(lines, fixed.GROUP_HEADER_WORD).withColumnRenamed(
         "value", fixed.GROUP_HEADER_WORD)
     updated = registry.register_groups(current_registry(spark, registry_root), registry.distinct_groups(vals))
-    updated.write.mode("overwrite").parquet(f"{registry_root}/epoch={epoch}")
-    out = spark.read.parquet(f"{registry_root}/epoch={epoch}")
+    out = spark.read.parquet(write_version(updated, registry_root))
     if export_path:
         sinks.registry_export(out, export_path)
     return out
 
 
-def run_registry_update(spark: SparkSession, registry_root: str, epoch: int, group: str,
+def run_registry_update(spark: SparkSession, registry_root: str, group: str,
                         add: str | None = None, add_file: str | None = None,
                         remove: str | None = None, remove_file: str | None = None) -> DataFrame:
     """U4/U5 with S15 lists: users given inline (comma list) or in a file (one per line) are
@@ -231,5 +341,4 @@ def run_registry_update(spark: SparkSession, registry_root: str, epoch: int, gro
     if remove is not None or remove_file is not None:
         names = read_value_list(spark, remove, remove_file)
         reg = registry.remove_users(reg, names.select(F.lit(group).alias("grp"), F.col("name").alias("user")))
-    reg.write.mode("overwrite").parquet(f"{registry_root}/epoch={epoch}")
-    return spark.read.parquet(f"{registry_root}/epoch={epoch}")
+    return spark.read.parquet(write_version(reg, registry_root))

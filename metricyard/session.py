@@ -1,9 +1,8 @@
 """Spark session helpers.
 
-The library never creates its own cluster settings beyond what a job needs to
-be correct (UTC, ANSI-safe casts are done with ``try_`` functions). Sizing knobs
-(shuffle partitions, file split size) are taken from the session when present so
-that the same code runs on ``local[8]`` and on a large cluster.
+A key that spark-submit, spark-defaults or a running session already defines is
+left as it is; the defaults below only fill in what nobody has set. The same code
+thus runs on ``local[8]`` and on a large cluster with the cluster's own sizing.
 """
 
 from __future__ import annotations
@@ -11,6 +10,7 @@ from __future__ import annotations
 import os
 import tempfile
 
+from pyspark import SparkConf
 from pyspark.sql import SparkSession
 
 # Defaults used only when the session does not already define the key.
@@ -34,8 +34,11 @@ def build_session(master: str | None = None, app_name: str = "metricyard",
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
+    running = SparkSession.getActiveSession()
+    given = running.sparkContext.getConf() if running else SparkConf()
     for key, value in _DEFAULTS.items():
-        builder = builder.config(key, value)
+        if not given.contains(key):
+            builder = builder.config(key, value)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for key, value in (extra or {}).items():
@@ -50,8 +53,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster the folder is configured by the operator and must be on shared
-    storage; we only read it. When it is unset (unit tests) a private scratch
-    folder is created.
+    storage; an unset key is an error there, because every machine would write to
+    its own disk. Only a local session, which is one machine, gets a private folder.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -59,6 +62,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="metricyard-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

@@ -21,26 +21,42 @@ def sniff_delimiter(sample: F.Column) -> F.Column:
              .when(F.instr(sample, ",") > 0, F.lit(",")).otherwise(F.lit("\t")))
 
 
+def quoted_cells(line: F.Column, delim: F.Column) -> F.Column:
+    """Cells of a line; a delimiter between double quotes belongs to its cell, and the quotes go.
+
+    Outside quotes (the even parts of a split at quotes) delimiters become a unit separator. A
+    doubled quote inside quotes closes and opens again, so it leaves no mark in the cell."""
+    parts = F.transform(F.split(line, '"', -1), lambda x, i: F.when(
+        i % 2 == 0, F.replace(x, delim, F.lit("\u001f"))).otherwise(x))
+    return F.split(F.array_join(parts, ""), "\u001f", -1)
+
+
 def column_values_sniffed(lines: DataFrame, column: str, path_col: str = "path", line_col: str = "line") -> DataFrame:
     """Values of ``column`` in every file of ``(path, line)`` rows; the header line of each
-    file (the one naming the column) fixes the delimiter and the position. Files without the
+    file fixes the delimiter and the position. It is the first line with a cell that is the
+    column's name, by ``line_no`` when the rows have it (``read_metric_files`` gives the place in
+    the file). Cells may be quoted: a delimiter inside quotes does not split. Files without the
     column contribute nothing. Returns ``(path, value)``; the header word itself is a value
     of its own column and is filtered by the caller (U3 ignores it)."""
+    at = F.col("line_no") if "line_no" in lines.columns else F.col(line_col)
     header = (lines.filter(F.instr(F.col(line_col), column) > 0)
                    .withColumn("_delim", sniff_delimiter(F.col(line_col)))
                    .withColumn("_idx", F.array_position(
-                       F.transform(F.split(F.col(line_col), F.col("_delim")), lambda x: F.trim(x)), F.lit(column)))
+                       F.transform(quoted_cells(F.col(line_col), F.col("_delim")), lambda x: F.trim(x)), F.lit(column)))
                    .filter(F.col("_idx") > 0)
-                   .groupBy(path_col).agg(F.min_by(F.struct("_delim", "_idx"), F.col(line_col)).alias("_h")))
+                   .groupBy(path_col).agg(F.min_by(F.struct("_delim", "_idx"), at).alias("_h")))
     j = lines.join(header, path_col, "inner")   # one row per file; AQE broadcasts it when small
-    cells = F.split(F.col(line_col), F.col("_h._delim"))
+    cells = quoted_cells(F.col(line_col), F.col("_h._delim"))
     return j.select(path_col, F.try_element_at(cells, F.col("_h._idx").cast("int")).alias("value"))
 
 
 def read_metric_files(spark: SparkSession, root: str, glob: str = "*.metrics.txt") -> DataFrame:
-    """Lines of every metrics file under ``root`` with their path."""
+    """Lines of every metrics file under ``root`` with their path and place: ``line_no`` grows with the
+    position in the file (start of the split, then the row in it)."""
+    row = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
     return (spark.read.format("text").option("pathGlobFilter", glob).option("recursiveFileLookup", "true")
-                 .load(root).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("line")))
+                 .load(root).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("line"),
+                                    F.struct(F.col("_metadata.file_block_start").alias("split"), row.alias("row")).alias("line_no")))
 
 
 def read_typed_csv(spark: SparkSession, path: str, schema: Sequence[tuple[str, str]], header: bool = True,
@@ -53,9 +69,11 @@ def read_typed_csv(spark: SparkSession, path: str, schema: Sequence[tuple[str, s
     raw = (spark.read.option("header", header).option("quote", '"').option("escape", '"')
                 .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt")
                 .option("enforceSchema", True).schema(text_schema).csv(path))
-    # a short row is flagged corrupt but already padded with NULLs (its last field is NULL);
-    # a row with extra fields is flagged corrupt with every field filled -> left out
-    keep = F.col("_corrupt").isNull() | F.col(f"`{names[-1]}`").isNull()
+    # short rows are flagged corrupt but are padded with NULLs; a flagged row with more fields than
+    # the schema has is left out. Quoted parts are emptied before its delimiters are counted.
+    bare = F.regexp_replace("_corrupt", '"[^"]*"', "")
+    fields = F.length(bare) - F.length(F.replace(bare, F.lit(","), F.lit(""))) + 1
+    keep = F.col("_corrupt").isNull() | (fields <= len(names))
     if drop_header_lines:   # header lines inside files written by several tasks
         keep = keep & ~(F.coalesce(F.col(f"`{names[0]}`") == F.lit(names[0]), F.lit(False)))
     typed = raw.filter(keep).select(*[F.col(f"`{n}`").try_cast(t).alias(n) for n, t in schema],

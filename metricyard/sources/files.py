@@ -4,12 +4,10 @@ Listing and reading are Spark jobs over path DataFrames:
 
 * visible files are listed by Spark's own file index (``binaryFile`` with the
   content column pruned) and read with the text source;
-* hidden files (the settings file and the ONT instrument file) are skipped by Spark's
-  file index, so their bodies are read by executors from a DataFrame of
-  candidate paths with ``mapInPandas`` (one small read per path, spread over
-  tasks). This is the only Python worker code in the package; it needs the
-  paths to be reachable as files from the executors (a shared file system, as
-  the lab's project folders are).
+* bodies of chosen files, hidden ones among them (the settings file and the ONT instrument
+  file, which Spark's file index skips), are read by executors from a DataFrame of paths with
+  ``mapInPandas``, so that no path list passes through the driver. It needs the paths to be
+  reachable as files from the executors (a shared file system, as the project folders are).
 """
 
 from __future__ import annotations
@@ -21,27 +19,26 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import clean, fixed
+from .tables import glob_paths
+
+
+READ_BATCH = 64          # bodies that a task hands on at a time
 
 
 def _local(path: str) -> str:
     return path[len("file:"):] if path.startswith("file:") else path
 
 
-def expand_roots(roots: Sequence[str]) -> list[str]:
-    """First-level folders of each root (hidden ones skipped; a root without sub-folders is kept).
+def expand_roots(spark: SparkSession, roots: Sequence[str]) -> list[str]:
+    """First-level entries of each root, folders and files alike (hidden ones skipped).
 
-    Handing Spark many folders instead of one root lets its file index list them with a
-    distributed listing job (above ``spark.sql.sources.parallelPartitionDiscovery.threshold``
-    paths) rather than walking one deep tree on the driver."""
-    import os
+    Handed many folders instead of one root, Spark's file index lists them with a distributed
+    listing job (above ``spark.sql.sources.parallelPartitionDiscovery.threshold`` paths) rather
+    than walking one deep tree on the driver. A root without entries is kept as it is."""
     out: list[str] = []
     for root in roots:
-        local = _local(root)
-        try:
-            subs = sorted(e.path for e in os.scandir(local) if e.is_dir() and not e.name.startswith((".", "_")))
-        except OSError:
-            subs = []
-        out.extend(subs or [root])
+        entries = [p for p in glob_paths(spark, f"{root.rstrip('/')}/*") if not p.rsplit("/", 1)[1].startswith((".", "_"))]
+        out.extend(sorted(entries) or [root])
     return out
 
 
@@ -51,43 +48,49 @@ def list_files(spark: SparkSession, roots: Sequence[str], glob: str | None = Non
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    return reader.load(expand_roots(roots)).select(F.regexp_replace("path", "^file:", "").alias("path"),
+    return reader.load(expand_roots(spark, roots)).select(F.regexp_replace("path", "^file:", "").alias("path"),
                                                    "length", "modificationTime")
 
 
-def list_projects(spark: SparkSession, roots: Sequence[str], application: str) -> DataFrame:
+def list_projects(listing: DataFrame, application: str) -> DataFrame:
     """Folders named exactly like the application (found through the files inside them),
-    exact duplicates removed."""
-    files = list_files(spark, roots)
-    rx = rf"^(.*?/{application})/"
-    dirs = files.select(F.regexp_extract("path", rx, 1).alias("project_dir")).filter(F.col("project_dir") != "")
+    exact duplicates removed. Path parts are compared as they are, not as a pattern."""
+    parts = F.split("path", "/")
+    at = F.array_position(F.slice(parts, 1, F.size(parts) - 1), application).cast("int")
+    dirs = listing.withColumn("_at", at).filter(F.col("_at") > 0).select(
+        F.array_join(F.slice(parts, F.lit(1), F.col("_at")), "/").alias("project_dir"))
     return dirs.distinct().withColumn("application", F.lit(application))
 
 
-def find_reports(spark: SparkSession, roots: Sequence[str], glob: str) -> DataFrame:
-    """S3: parent folders of files matching a glob, recursively."""
-    return (list_files(spark, roots, glob).select(clean.parent_dir(F.col("path")).alias("project_dir"))
-                                          .distinct())
+def find_reports(listing: DataFrame, suffix: str) -> DataFrame:
+    """S3: parent folders of listed files whose name ends with ``suffix``."""
+    hit = listing.filter(clean.base_name(F.col("path")).endswith(suffix))
+    return hit.select(clean.parent_dir(F.col("path")).alias("project_dir")).distinct()
 
 
 def read_hidden_files(paths: DataFrame, path_col: str = "path", body_col: str = "body") -> DataFrame:
     """S4 helper: bodies of the given (possibly hidden) files, NULL when a file is absent or
-    unreadable. Reads happen on executors, one batch of paths per task."""
+    unreadable. Reads happen on executors: the paths are dealt to as many tasks as the session
+    shuffles to (a fixed count, which AQE does not merge), and a task holds one body at a time
+    beside those of the small batch it is filling."""
     def read_batch(batches):
         import pandas as pd
-        for pdf in batches:
-            bodies = []
-            for p in pdf[path_col]:
-                try:
-                    with open(_local(p), encoding="utf-8", errors="replace") as fh:
-                        bodies.append(fh.read())
-                except (OSError, TypeError):
-                    bodies.append(None)
-            out = pdf.copy()
-            out[body_col] = pd.Series(bodies, dtype=object)
-            yield out
+        for whole in batches:
+            for at in range(0, len(whole), READ_BATCH):
+                pdf = whole.iloc[at: at + READ_BATCH]
+                bodies = []
+                for p in pdf[path_col]:
+                    try:
+                        with open(_local(p), encoding="utf-8", errors="replace") as fh:
+                            bodies.append(fh.read())
+                    except (OSError, TypeError, AttributeError):      # AttributeError: a NULL path
+                        bodies.append(None)
+                out = pdf.copy()
+                out[body_col] = pd.Series(bodies, dtype=object, index=out.index)
+                yield out
     schema = T.StructType(list(paths.schema.fields) + [T.StructField(body_col, T.StringType())])
-    return paths.mapInPandas(read_batch, schema)
+    spread = int(paths.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return paths.repartition(spread, path_col).mapInPandas(read_batch, schema)
 
 
 def read_settings(projects: DataFrame, dir_col: str = "project_dir", name: str = fixed.SETTINGS_FILE) -> DataFrame:
@@ -103,14 +106,6 @@ def settings_by_application(settings: DataFrame, application: str, dir_col: str
                     .withColumn("project_dir", F.concat(F.col(dir_col), F.lit("/" + application))))
 
 
-def read_whole_text(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """``(path, text)`` for visible files; ``wholetext`` is passed as the argument."""
-    if not paths:
-        return spark.createDataFrame([], "path string, text string")
-    return spark.read.text(list(paths), wholetext=True).select(
-        F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"))
-
-
 def resolve_candidate(files: DataFrame, project_col: str, rank: Column, path_col: str = "path") -> DataFrame:
     """Per project the first existing file of an ordered candidate list. ``rank`` gives each
     listed file its place in the list (NULL = not a candidate); ties inside one glob go to the

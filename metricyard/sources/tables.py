@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -14,41 +15,40 @@ def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
 
 
-# Inputs between these sizes are spread over all cores right after the scan (see read_table):
-# below the lower bound the extra exchange costs more than the per-row work it spreads.
-SPREAD_MIN_BYTES = 4 * 1024 * 1024
-SMALL_INPUT_BYTES = 256 * 1024 * 1024
+def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """Parquet scan; Catalyst prunes columns and pushes filters into it. Splits are Spark's own
+    (``spark.sql.files.*``), so the plan is the same at every size."""
+    return spark.read.parquet(table_path(sf_dir, name))
 
 
-def input_bytes(df: DataFrame) -> int | None:
-    """Total size of the files behind a scan, from file metadata only (None when unknown)."""
-    total = 0
-    for f in df.inputFiles():
-        local = f[len("file:"):] if f.startswith("file:") else f
-        if "://" in local:
-            return None
-        try:
-            total += os.path.getsize(local)
-        except OSError:
-            return None
-    return total
+def glob_paths(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths that match a pattern, on any file system Spark can reach."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path)
+    return [str(f.getPath()) for f in (found or [])]
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Parquet scan; Catalyst prunes columns and pushes filters into it.
-
-    A small table stored as one row group is read by a single task, which would leave the
-    per-row work after the scan on one core. When the files are small (between
-    ``SPREAD_MIN_BYTES`` and ``SMALL_INPUT_BYTES``) the rows are spread round-robin over the
-    default parallelism right after the scan. This is a cheap shuffle of a small input. Large inputs keep their
-    natural file and row-group splits and are not repartitioned.
-    """
-    df = spark.read.parquet(table_path(sf_dir, name))
-    size = input_bytes(df)
-    cores = spark.sparkContext.defaultParallelism
-    if size is not None and SPREAD_MIN_BYTES <= size < SMALL_INPUT_BYTES and cores > 1:
-        return df.repartition(cores)
-    return df
+def versions(spark: SparkSession, root: str, complete: bool = True) -> list[int]:
+    """Versions of a versioned table (folders ``v=<n>``); complete ones hold the writer's success mark."""
+    mark = "/_SUCCESS" if complete else ""
+    return sorted(int(re.search(r"/v=(\d+)", p)[1]) for p in glob_paths(spark, f"{root}/v=*{mark}"))
+
+
+def read_version(spark: SparkSession, root: str, empty_schema: str) -> DataFrame:
+    """Newest complete version; a table without any reads as empty."""
+    known = versions(spark, root)
+    if not known:
+        return spark.createDataFrame([], empty_schema)
+    return spark.read.parquet(f"{root}/v={known[-1]}")
+
+
+def write_version(df: DataFrame, root: str) -> str:
+    """Write the next version. Its number comes from the folders themselves, so writers of any kind
+    (batch runs, streams, retries) follow each other; two at once fail loudly instead of losing one."""
+    spark = df.sparkSession
+    path = f"{root}/v={max(versions(spark, root, complete=False), default=0) + 1}"
+    df.write.parquet(path)
+    return path
 
 
 def table_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:

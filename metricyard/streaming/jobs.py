@@ -10,8 +10,9 @@
 
 Every sink write is a plain Parquet append of one micro-batch; a retried batch
 re-runs the same anti-join against the table, so a repeated epoch adds nothing.
-The registry is rewritten as a whole into a fresh folder per epoch (no in-place
-overwrite of a folder that is being read); the newest epoch is the current state.
+The registry is rewritten as a whole into its next version (no in-place overwrite of
+a folder that is being read). Version numbers come from the registry's own folders, so
+streams, restarted streams and batch runs can follow each other in any order.
 """
 
 from __future__ import annotations
@@ -26,10 +27,11 @@ from pyspark.sql import functions as F
 from ..operators import merge, registry
 from ..sources.delimited import column_values_sniffed
 from ..session import ensure_checkpoint_dir
+from ..sources.tables import read_version, write_version
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
-    """A fresh folder under the shared checkpoint folder (never a machine-local temp dir)."""
+    """A fresh folder under the shared checkpoint folder (``ensure_checkpoint_dir``)."""
     base = ensure_checkpoint_dir(spark)
     base = base[len("file:"):] if base.startswith("file:") else base
     path = os.path.join(base, "metricyard", f"{name}-{uuid.uuid4().hex}")
@@ -66,15 +68,17 @@ def watch_groups(stream_lines: DataFrame, registry_root: str, checkpoint: str,
                  parse=None):
     """Each micro-batch of metrics-file lines ``(path, line)`` gives its distinct group
     names (S11 + A7), which are registered (U3). The registry (one row per group and user,
-    small) is written per epoch to ``registry_root/epoch=<id>``; a retried epoch overwrites
-    its own folder, and the current state is the largest epoch."""
+    small) is written as its next version when a group is new; a retried batch finds its
+    groups registered and writes nothing."""
     def write_batch(batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
         reg = current_registry(spark, registry_root)
+        numbered = batch.withColumn("line_no", F.monotonically_increasing_id())
         groups = parse(batch) if parse is not None else \
-            column_values_sniffed(batch, group_col).withColumnRenamed("value", group_col)
-        updated = registry.register_groups(reg, registry.distinct_groups(groups, group_col))
-        updated.write.mode("overwrite").parquet(f"{registry_root}/epoch={epoch_id}")
+            column_values_sniffed(numbered, group_col).withColumnRenamed("value", group_col)
+        found = registry.distinct_groups(groups, group_col)
+        if not found.join(reg, "grp", "left_anti").isEmpty():
+            write_version(registry.register_groups(reg, found), registry_root)
 
     writer = stream_lines.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if trigger_available_now else writer
@@ -82,14 +86,8 @@ def watch_groups(stream_lines: DataFrame, registry_root: str, checkpoint: str,
 
 
 def current_registry(spark: SparkSession, registry_root: str) -> DataFrame:
-    """Rows of the newest epoch folder (empty registry when none exists yet)."""
-    from pyspark.errors import AnalysisException
-    try:
-        allx = spark.read.parquet(registry_root)
-    except AnalysisException:
-        return spark.createDataFrame([], registry.REGISTRY_SCHEMA)
-    newest = allx.select(F.max("epoch")).scalar()
-    return allx.filter(F.col("epoch") == newest).select("grp", "user", "pos")
+    """Rows of the newest version (empty registry when none exists yet)."""
+    return read_version(spark, registry_root, registry.REGISTRY_SCHEMA).select("grp", "user", "pos")
 
 
 def metrics_file_stream(spark: SparkSession, input_dir: str) -> DataFrame:

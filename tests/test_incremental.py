@@ -5,6 +5,7 @@ import os
 from conftest import write
 from pyspark.sql import functions as F
 
+from metricyard.functions import fixed
 from metricyard.operators import incremental, merge, sinks
 from metricyard.sources import delimited, files
 
@@ -13,10 +14,10 @@ def test_unchanged_files(spark, tmpdir_path):
     d = os.path.join(tmpdir_path, "seq")
     write(os.path.join(d, "a", "SequencingMetrics.csv"), "x\n1\n")
     write(os.path.join(d, "b", "SequencingMetrics.csv"), "x\n2\n")
-    h1 = sinks.content_hash(spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(d))
+    h1 = sinks.content_hash(spark, d)
     last = h1.collect()
     write(os.path.join(d, "b", "SequencingMetrics.csv"), "x\n3\n")
-    h2 = sinks.content_hash(spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(d))
+    h2 = sinks.content_hash(spark, d)
     changed = merge.changed_since(h2, spark.createDataFrame(last, h1.schema)).collect()
     assert [r["path"].split("/")[-2] for r in changed] == ["b"]
 
@@ -60,12 +61,12 @@ def test_settings_by_application_and_long_csv(spark, tmpdir_path):
 
 def test_sequencing_import(spark, tmpdir_path):
     from metricyard.plans import runs
-    hdr = ("Month,Year,Project,Site,InstrumentID,RunFolder,groupFolder,Application,FullPath,Platform,"
-           "Reads,Bases,Bytes,DeliveryDirectory,SampleSize,PolymeraseReadLength_bp_Mean\n")
+    hdr = ",".join(n for n, _ in fixed.SEQUENCING_SCHEMA) + "\n"
     body = ("1,2024,P1,CT,I1,R1,g1,wgs,/f/1,NovaSeq,10,20,30,/d/1,2,\n"          # NULL length (L-3)
             "1,2024,P1,CT,I1,R1,g1,wgs,/f/1,NovaSeq,10,20,30,/d/1,2,\n"          # repeated row
             "2,2024,P2,CT,I1,R2,g1,wgs,/f/2,NovaSeq,abc,20,30,/d/2,2,5.5\n"      # word in a number
             "3,2024,P3,CT,I1,R3,g1,wgs,/f/3,NovaSeq,10,20,30,/d/3,2,5.5,extra\n" # extra field
+            "3,2024,P3,CT,I1,R3,g1,wgs,/f/3,NovaSeq,10,20,30,/d/3,2,,extra\n"    # extra, last one empty
             "4,2024,P4,CT,I1,R4,g1,wgs\n")                                       # short row
     csv = os.path.join(tmpdir_path, "SequencingMetrics.csv")
     write(csv, hdr + body)

@@ -42,7 +42,7 @@ def pacbio_project(root, run="r84148_20240101", fallback=False, attrs=True):
 
 def run(spark, root, app):
     listing = files.list_files(spark, [root])
-    projects = files.list_projects(spark, [root], app)
+    projects = files.list_projects(listing, app)
     return collectors.long_read_rows(spark, listing, projects, app)
 
 

@@ -5,6 +5,7 @@ import os
 from conftest import write
 
 from metricyard.plans import runs
+from metricyard.sources.tables import read_version
 
 SPECIES = "preamble line\nGT_QC_Sample_ID,Sample_Name,Species1,Domain1\ns1,n1,Homo sapiens,Eukaryota\ns2,n2,Mus,Eukaryota\n"
 
@@ -34,9 +35,14 @@ def test_speciesid_run(spark, tmpdir_path):
     out = runs.run_speciesid(spark, [roots], wh, run_date="2024-06-01")
     assert out["failed"] == {"settings missing": 1, "metadata incomplete": 1, "flowcell missing": 1}
     assert out["after"] == 4 and out["grew"]
-    t = spark.read.parquet(os.path.join(wh, "speciesid_metrics", "current.next"))
+    t = read_version(spark, os.path.join(wh, "speciesid_metrics", "current"), "x string")
     assert {r["FlowcellID"] for r in t.collect()} == {"FC1", "FC2"}
     assert {r["Investigator_Folder"] for r in t.collect()} == {"labS"}
     assert {r["Project_run_type"] for r in t.collect()} == {"ok1_f", "ok2_f"}
     again = runs.run_speciesid(spark, [roots], wh, run_date="2024-06-02")
     assert again["failed"] == {"settings missing": 1, "metadata incomplete": 1, "flowcell missing": 1}
+    project(roots, "later")                                    # a new project joins the stored ones
+    third = runs.run_speciesid(spark, [roots], wh, run_date="2024-06-03")
+    assert (third["before"], third["after"]) == (4, 6)
+    t = read_version(spark, os.path.join(wh, "speciesid_metrics", "current"), "x string")
+    assert {r["Project_run_type"] for r in t.collect()} == {"ok1_f", "ok2_f", "later_f"}

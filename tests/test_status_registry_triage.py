@@ -23,13 +23,13 @@ def test_status_update(spark, tmpdir_path):
                                samples_file=os.path.join(tmpdir_path, "samples.txt"))
     assert n == 1
     out = {(r["Project_run_type"], r["Sample_Name"]): r["ProjStatus"]
-           for r in spark.read.parquet(path + ".updated").collect()}
+           for r in spark.read.parquet(path).collect()}
     assert out == {("run1", "s1"): "Undelivered", ("run1", "s2"): "Delivered",
                    ("run1", "s3"): "Undelivered", ("run2", "s1"): "Delivered"}
     exported = spark.read.option("header", True).option("sep", "\t").csv(os.path.join(tmpdir_path, "export"))
     assert exported.count() == 2                       # run1 rows of listed samples, any status
     # zero matches: nothing written
-    assert runs.run_status_update(spark, path + ".updated", "run1", os.path.join(tmpdir_path, "e2"),
+    assert runs.run_status_update(spark, path, "run1", os.path.join(tmpdir_path, "e2"),
                                   samples_inline="s1,s3") == 0
     assert not os.path.exists(os.path.join(tmpdir_path, "e2"))
 
@@ -72,7 +72,7 @@ def test_log_triage_from_files(spark, tmpdir_path):
     platform_rule = fixed.LOG_RULES[0][1]
     write(os.path.join(d, "P1_QCreport.basic.log"), f"start\nProgram aborted\n{platform_rule}\n")
     write(os.path.join(d, "P1_QCreport.rnaseq.gather.log"),
-          "x\n!!!WARNING!!!\nsample s1 failed\n## end\nCould not locate output from QC pipeline\n")
+          "x\n!!!WARNING!!!\nsample s1 failed\n## end\nERROR: Could not locate output from QC pipeline\n")
     write(os.path.join(d, "P2_QCreport.rnaseq.package.log"), "ok\n")
     write(os.path.join(d, "P3_QCreport.basic.gather.log"), "basic_QC job(s) failed\nPlease proceed to report result\n")
     lines = files.read_logs(spark, d)
@@ -98,22 +98,25 @@ def test_manifest_and_required_inputs(spark):
              "/q/p1/fastqs/readme.txt", "/q/p1/.settings.json"]
     df = spark.createDataFrame([(p, "/q/p1") for p in paths], "path string, project_dir string")
     m = {r["tag"]: (r["fastq_total"], r["undetermined_total"]) for r in triage.manifest_counts(df).collect()}
-    assert m == {"R1_": (2, 1), "R2_": (1, 0), "I1_": (1, 1)}   # real Undetermined counts (L-11)
-    miss = triage.required_inputs_missing(df).collect()[0]["missing"]
-    assert miss == ["Stats.json.unprocessed"]
+    assert m == {"R1_": (2, 1), "R2_": (1, 0), "I1_": (1, 1), "all": (4, 2)}   # real Undetermined counts (L-11)
+    projects = spark.createDataFrame([("/q/p1",), ("/q/p2",)], "project_dir string")
+    found = spark.createDataFrame([("/q/p1", "{}"), ("/q/p2", None)], "project_dir string, json string")
+    visible = df.where(~F.col("path").endswith(".settings.json"))              # listings hold no dot-files
+    miss = {r["project_dir"]: r["missing"] for r in triage.required_inputs_missing(projects, visible, found).collect()}
+    assert miss == {"/q/p1": ["Stats.json.unprocessed"], "/q/p2": [".settings.json", "fastqs", "Stats.json.unprocessed"]}
 
 
 def test_group_runs(spark, tmpdir_path):
     src = os.path.join(tmpdir_path, "in")
     write(os.path.join(src, "a.metrics.txt"), "Investigator_Folder,X\nlabA,1\nlabB,2\n")
     root = os.path.join(tmpdir_path, "registry")
-    out = runs.run_groups(spark, src, root, epoch=1, export_path=os.path.join(tmpdir_path, "groups.json"))
+    out = runs.run_groups(spark, src, root, export_path=os.path.join(tmpdir_path, "groups.json"))
     assert {r["grp"] for r in out.collect()} == {"labA", "labB"}
     write(os.path.join(tmpdir_path, "emails.txt"), " c@x \n\nd@x\n")
-    reg = runs.run_registry_update(spark, root, 2, "labA", add="a@x, b@x,", add_file=os.path.join(tmpdir_path, "emails.txt"))
+    reg = runs.run_registry_update(spark, root, "labA", add="a@x, b@x,", add_file=os.path.join(tmpdir_path, "emails.txt"))
     users = {r["grp"]: r["users"] for r in registry.export_registry(reg).collect()}
     assert users["labA"] == ["a@x", "b@x", "c@x", "d@x"] and users["labB"] == []
-    reg = runs.run_registry_update(spark, root, 3, "labA", remove="b@x")
+    reg = runs.run_registry_update(spark, root, "labA", remove="b@x")
     users = {r["grp"]: r["users"] for r in registry.export_registry(reg).collect()}
     assert users["labA"] == ["a@x", "c@x", "d@x"]
 
@@ -129,5 +132,5 @@ def test_stream_groups_equal_batch(spark, tmpdir_path):
         write(os.path.join(src, name), files_text[name])
         jobs.watch_groups(jobs.metrics_file_stream(spark, src), f"{root}/reg", f"{root}/ckpt").awaitTermination()
     streamed = {r["grp"] for r in jobs.current_registry(spark, f"{root}/reg").collect()}
-    batch = {r["grp"] for r in runs.run_groups(spark, src, os.path.join(tmpdir_path, "breg"), epoch=0).collect()}
+    batch = {r["grp"] for r in runs.run_groups(spark, src, os.path.join(tmpdir_path, "breg")).collect()}
     assert streamed == batch == {"labW", "labX", "labY", "labZ"}

@@ -50,11 +50,17 @@ def main():
 
     key = ["Application", "Sample_Name", "row_no", "name", "value"]
     target = rows.filter(F.col("name") == "l_tax")
-    run("M1 append-if-absent", merge.new_rows_if_absent(target, rows, key, check_broadcast=False))
+    run("M1 append-if-absent", merge.new_rows_if_absent(target, rows, key))
     run("A1 distinct samples", marts.app_index([(rows, "Sample_Name")]))
     lanes = spark.range(8).select(F.lit("N").alias("Application"), F.col("id").cast("string").alias("Lane"))
     run("J5 lanes x samples (salted)", enrich.lanes_x_samples(rows, lanes, ["Application"],
                                                                salt_from=["Sample_Name", "row_no", "name"]))
+    from metricyard.operators import sinks
+    spark.sparkContext.setJobGroup("K5 clustered write", "K5 clustered write")
+    jobs["K5 clustered write"] = True
+    hot = rows.select("*", F.lit("2024-01-01").alias("Release_Date"), F.col("Application").alias("Project_ID"),
+                      F.lit("run").alias("Project_run_type"))
+    sinks.write_clustered(hot, f"{logdir}/clustered", mode="overwrite")
     spark.stop()
 
     events = []
