@@ -75,16 +75,21 @@ def publish_delta(before: DataFrame | None, after: DataFrame, sample_col: str,
                   snapshot_exists: bool | None = None) -> DataFrame:
     """A3: after, before and delta of rows, distinct samples and sequencing rows; an absent
     snapshot counts 0. ``publish`` is false only when a snapshot exists and both row deltas are 0.
-    All six counters come from one aggregation over the tagged union of the inputs."""
+    The tagged union of the inputs is grouped by tag and sample first, so that counting distinct
+    samples needs no expansion of the rows; all six counters come from that small table."""
     parts = [p for p in (_tagged(after, "a", sample_col), _tagged(before, "b", sample_col),
                          _tagged(seq_after, "sa", None), _tagged(seq_before, "sb", None)) if p is not None]
     u = reduce(lambda x, y: x.unionByName(y), parts)
-    tag = F.col("_tag")
-    agg = u.agg(
-        F.count_if(tag == "a").alias("after_rows"), F.count_if(tag == "b").alias("before_rows"),
-        F.count_distinct(F.when(tag == "a", F.col("_sample"))).alias("after_samples"),
-        F.count_distinct(F.when(tag == "b", F.col("_sample"))).alias("before_samples"),
-        F.count_if(tag == "sa").alias("after_seq_rows"), F.count_if(tag == "sb").alias("before_seq_rows"))
+    u = u.groupBy("_tag", "_sample").agg(F.count(F.lit(1)).alias("_n"))
+
+    def rows(tag):
+        return F.coalesce(F.sum(F.when(F.col("_tag") == tag, F.col("_n"))), F.lit(0)).cast("bigint")
+
+    def samples(tag):
+        return F.count_if((F.col("_tag") == tag) & F.col("_sample").isNotNull())
+
+    agg = u.agg(rows("a").alias("after_rows"), rows("b").alias("before_rows"), samples("a").alias("after_samples"),
+                samples("b").alias("before_samples"), rows("sa").alias("after_seq_rows"), rows("sb").alias("before_seq_rows"))
     exists = F.lit(before is not None if snapshot_exists is None else snapshot_exists)
     return agg.select(
         "after_rows", "before_rows", (F.col("after_rows") - F.col("before_rows")).alias("delta_rows"),

@@ -12,7 +12,8 @@ sys.path.insert(0, ROOT)
 def spark():
     from metricyard.session import build_session
     s = build_session("local[4]", app_name="metricyard-tests", shuffle_partitions=8,
-                      extra={"spark.driver.memory": "6g"})
+                      extra={"spark.driver.memory": "6g",
+                             "spark.checkpoint.dir": tempfile.mkdtemp(prefix="metricyard-test-shared-")})
     yield s
     s.stop()
 
