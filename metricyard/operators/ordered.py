@@ -32,6 +32,28 @@ def number_lines(df: DataFrame, text_col: str, keep: Sequence[str], pos_col: str
               .withColumn(line_col, F.regexp_replace(F.col(line_col), r"\r\z", "")))
 
 
+def text_lines(text: Column) -> Column:
+    """Lines of a whole text as an array (the same lines that ``number_lines`` numbers). A text is one row
+    already, so positions inside it need no shuffle; the line-number forms below are for line sources."""
+    return F.transform(F.split(text, "\n", -1), lambda x: F.regexp_replace(x, r"\r\z", ""))
+
+
+def first_line(lines: Column, cond) -> Column:
+    """1-based place of the first line for which ``cond(line)`` holds; 0 when there is none."""
+    return F.array_position(F.transform(lines, cond), F.lit(True))
+
+
+def lines_between_first(lines: Column, start, stop) -> Column:
+    """S7 on an array: struct(first, block) -- the place of the first ``start`` line, and the lines from it up
+    to (excluding) the first ``stop`` line after it; ``first`` is 0 when there is no ``start`` line."""
+    first = first_line(lines, start)
+    after = F.slice(lines, (first + 1).cast("int"), F.size(lines))
+    end = first_line(after, stop)
+    length = F.when(end > 0, end).otherwise(F.size(after) + 1)
+    block = F.when(first > 0, F.slice(lines, F.greatest(first, F.lit(1)).cast("int"), length.cast("int")))
+    return F.struct(first.alias("first"), block.alias("block"))
+
+
 def first_by_group(df: DataFrame, group: Sequence[str], pos_col: str, value: Column, name: str) -> DataFrame:
     """Value of the first row (smallest pos) per group."""
     return df.groupBy(*group).agg(F.min_by(value, F.col(pos_col)).alias(name))

@@ -457,39 +457,42 @@ def doc_lines(spark, sf_dir) -> DataFrame:
     return ordered.number_lines(d, "text", ["doc_id"])
 
 
+def text_arrays(spark, sf_dir) -> DataFrame:
+    from ..operators import ordered
+    d = read_table(spark, sf_dir, "documents")
+    return d.select("doc_id", ordered.text_lines(F.col("text")).alias("lines"))
+
+
 @register("header_marker_report")
 def header_marker_report(spark, sf_dir):
     """S5 + W1: the header of each text is the first line holding the marker ('###'); the rows
     after it are data rows. Texts without the marker are failed (NULL header)."""
     from ..operators import ordered
-    lines = doc_lines(spark, sf_dir)
-    hdr = ordered.first_match_pos(lines, ["doc_id"], "line_no", F.instr("line", "###") > 0, "header_line_no")
-    withh = ordered.attach_per_group(lines, hdr, ["doc_id"])
-    stats = withh.groupBy("doc_id", "header_line_no").agg(
-        F.count_if(F.col("line_no") > F.col("header_line_no")).alias("data_rows"),
-        F.max(F.when(F.col("line_no") == F.col("header_line_no"), F.md5("line"))).alias("header_md5"))
-    docs = read_table(spark, sf_dir, "documents").select("doc_id")
-    return docs.join(stats, "doc_id", "left").select(
-        "doc_id", "header_line_no", F.coalesce("data_rows", F.lit(0)).alias("data_rows"), "header_md5")
+    d = text_arrays(spark, sf_dir)
+    at = ordered.first_line(F.col("lines"), lambda x: F.instr(x, "###") > 0)
+    d = d.withColumn("header_line_no", F.when(at > 0, at))
+    return d.select("doc_id", "header_line_no",
+                    F.coalesce(F.size("lines") - F.col("header_line_no"), F.lit(0)).cast("bigint").alias("data_rows"),
+                    F.md5(F.element_at("lines", F.col("header_line_no").cast("int"))).alias("header_md5"))
 
 
 @register("lane_block")
 def lane_block(spark, sf_dir):
     """From the first line holding 'License' up to (not including) the first '###' line after it."""
     from ..operators import ordered
-    lines = doc_lines(spark, sf_dir)
-    block = ordered.rows_between_first(lines, ["doc_id"], "line_no", F.instr("line", "License") > 0,
-                                       F.instr("line", "###") > 0)
-    return block.select("doc_id", "line_no", F.md5("line").alias("line_md5"))
+    d = text_arrays(spark, sf_dir).withColumn("b", ordered.lines_between_first(
+        F.col("lines"), lambda x: F.instr(x, "License") > 0, lambda x: F.instr(x, "###") > 0))
+    block = d.where("b.block is not null").select("doc_id", F.col("b.first").alias("first"), F.posexplode("b.block").alias("i", "line"))
+    return block.select("doc_id", (F.col("first") + F.col("i")).alias("line_no"), F.md5("line").alias("line_md5"))
 
 
 @register("line_after_marker")
 def line_after_marker(spark, sf_dir):
     """W4 + S8: the line right after the first line holding '###' (per text)."""
     from ..operators import ordered
-    lines = doc_lines(spark, sf_dir)
-    nxt = ordered.rows_after_marker(lines, ["doc_id"], "line_no", F.instr("line", "###") > 0)
-    return nxt.select("doc_id", "line_no", F.md5("line").alias("line_md5"))
+    d = text_arrays(spark, sf_dir).withColumn("at", ordered.first_line(F.col("lines"), lambda x: F.instr(x, "###") > 0))
+    return d.where("at > 0 and at < size(lines)").select(
+        "doc_id", (F.col("at") + 1).alias("line_no"), F.md5(F.element_at("lines", (F.col("at") + 1).cast("int"))).alias("line_md5"))
 
 
 @register("marker_block")

@@ -39,24 +39,13 @@ def marker_condition(line: Column, markers: Sequence[str]) -> Column:
 def report_rows(texts: DataFrame, markers: Sequence[str], file_col: str = "path", text_col: str = "text") -> DataFrame:
     """``(file, row_no, header, cells)`` -- the preamble up to the first line holding any
     marker is skipped; that line is the header (parsed once per file); blank lines are ignored.
-    Files without a marker give no rows (see ``files_without_marker``)."""
-    lines = ordered.number_lines(texts, text_col, [file_col])
-    hdr = (lines.filter(marker_condition(F.col("line"), markers)).groupBy(file_col)
-                .agg(F.min_by(F.struct("line_no", "line"), F.col("line_no")).alias("_h"))
-                .select(file_col, F.col("_h.line_no").alias("_hpos"),
-                        F.transform(csv_cells(F.col("_h.line")), lambda x: F.trim(x)).alias("header")))
-    j = ordered.attach_per_group(lines, hdr, [file_col])
-    rows = j.filter((F.col("line_no") > F.col("_hpos")) & (F.trim(F.col("line")) != ""))
-    return rows.select(file_col, (F.col("line_no") - F.col("_hpos")).alias("row_no"), "header",
-                       csv_cells(F.col("line")).alias("cells"))
-
-
-def files_without_marker(texts: DataFrame, markers: Sequence[str], file_col: str = "path",
-                         text_col: str = "text") -> DataFrame:
-    """Files whose text holds no marker line (the project is failed and retried)."""
-    lines = ordered.number_lines(texts, text_col, [file_col])
-    hit = lines.filter(marker_condition(F.col("line"), markers)).select(file_col).distinct()
-    return texts.select(file_col).join(hit, file_col, "left_anti")
+    Files without a marker give no rows."""
+    lines = texts.select(file_col, ordered.text_lines(F.col(text_col)).alias("lines"))
+    lines = lines.withColumn("at", ordered.first_line(F.col("lines"), lambda x: marker_condition(x, markers))).filter("at > 0")
+    header = F.transform(csv_cells(F.element_at("lines", F.col("at").cast("int"))), lambda x: F.trim(x))
+    rows = lines.select(file_col, header.alias("header"), F.posexplode(F.slice(
+        F.col("lines"), (F.col("at") + 1).cast("int"), F.size("lines"))).alias("row_no", "line")).filter(F.trim("line") != "")
+    return rows.select(file_col, (F.col("row_no") + 1).cast("bigint").alias("row_no"), "header", csv_cells(F.col("line")).alias("cells"))
 
 
 def cell(header: Column, cells: Column, name: str) -> Column:
@@ -69,15 +58,14 @@ def lane_block(texts: DataFrame, file_col: str = "path", text_col: str = "text")
     """Lane rows of a run summary: from the line holding 'Cluster PF' to the line holding
     'Read 2 (I)', rows whose 2nd cell is '-'; columns picked by name after removing spaces and
     bound by name (ledger L-12). Returns ``(file, Lane, <7 lane metrics>)``."""
-    lines = ordered.number_lines(texts, text_col, [file_col])
-    start = F.instr(F.col("line"), fixed.LANE_BLOCK_START) > 0
-    stop = F.instr(F.col("line"), fixed.LANE_BLOCK_STOP) > 0
-    block = ordered.rows_between_first(lines, [file_col], "line_no", start, stop)
-    hdr = block.filter(start).groupBy(file_col).agg(F.min_by("line", F.col("line_no")).alias("_hline"))
-    rows = ordered.attach_per_group(block.filter(~start), hdr, [file_col])
-    header = F.transform(csv_cells(F.col("_hline")), lambda x: F.regexp_replace(x, r"\s+", ""))
+    start = lambda x: F.instr(x, fixed.LANE_BLOCK_START) > 0
+    stop = lambda x: F.instr(x, fixed.LANE_BLOCK_STOP) > 0
+    block = texts.select(file_col, ordered.lines_between_first(ordered.text_lines(F.col(text_col)), start, stop)["block"].alias("b"))
+    header = F.transform(csv_cells(F.element_at("b", 1)), lambda x: F.regexp_replace(x, r"\s+", ""))
+    rows = block.filter(F.col("b").isNotNull()).select(file_col, header.alias("h"), F.explode(
+        F.filter("b", lambda x: ~start(x))).alias("line"))
     cells = F.transform(csv_cells(F.col("line")), lambda x: F.trim(x))
-    rows = rows.select(file_col, header.alias("h"), cells.alias("c")).filter(F.try_element_at("c", F.lit(2)) == "-")
+    rows = rows.select(file_col, "h", cells.alias("c")).filter(F.try_element_at("c", F.lit(2)) == "-")
     out = [file_col, cell(F.col("h"), F.col("c"), "Lane").alias("Lane")]
     for src, dst in zip(fixed.LANE_BLOCK_COLUMNS, fixed.LANE_METRIC_NAMES):
         out.append(cell(F.col("h"), F.col("c"), src).alias(dst))
@@ -89,12 +77,11 @@ def run_identity(summary_texts: DataFrame, file_col: str = "path", text_col: str
     """``MachineID`` and ``FlowCellID`` from the first data row under the first header
     line holding both; with ``tbd_missing`` (S9) a ``!!!TBD!!!`` or empty flowcell is missing,
     otherwise (S8, short-read metadata) the cell is taken as written."""
-    lines = ordered.number_lines(summary_texts, text_col, [file_col])
-    cond = (F.instr("line", "MachineID") > 0) & (F.instr("line", "FlowCellID") > 0)
-    hdr = lines.filter(cond).groupBy(file_col).agg(F.min_by(F.struct("line_no", "line"), F.col("line_no")).alias("_h"))
-    nxt = ordered.attach_per_group(lines, hdr, [file_col]).filter(F.col("line_no") == F.col("_h.line_no") + 1)
-    h = F.transform(csv_cells(F.col("_h.line")), lambda x: F.trim(x))
-    c = F.transform(csv_cells(F.col("line")), lambda x: F.trim(x))
+    lines = summary_texts.select(file_col, ordered.text_lines(F.col(text_col)).alias("lines"))
+    at = ordered.first_line(F.col("lines"), lambda x: (F.instr(x, "MachineID") > 0) & (F.instr(x, "FlowCellID") > 0))
+    nxt = lines.withColumn("at", at.cast("int")).filter((F.col("at") > 0) & (F.col("at") < F.size("lines")))
+    h = F.transform(csv_cells(F.element_at("lines", F.col("at"))), lambda x: F.trim(x))
+    c = F.transform(csv_cells(F.element_at("lines", F.col("at") + 1)), lambda x: F.trim(x))
     flow = cell(h, c, "FlowCellID")
     flow = F.when(~F.coalesce(flow, F.lit("")).isin("", fixed.TBD_TOKEN), flow) if tbd_missing else \
         F.nullif(flow, F.lit(""))
