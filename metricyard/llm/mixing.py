@@ -28,6 +28,7 @@ SOURCE_WEIGHTS = (5, 2, 1)
 CAP = 3.0
 SLOTS = 4096
 FILL = 3
+FEW_SOURCES = 100_000        # up to so many, tables of one short row per source are broadcast
 
 
 def source_targets(sizes: DataFrame, weights=SOURCE_WEIGHTS, share: float = 1.0, cap: float = CAP) -> DataFrame:
@@ -54,7 +55,7 @@ def source_targets(sizes: DataFrame, weights=SOURCE_WEIGHTS, share: float = 1.0,
                       F.when(F.col("full"), F.col("most")).otherwise(F.col("w") * F.col("level")).alias("target"))
 
 
-def _expected(rows: DataFrame, cap: float) -> DataFrame:
+def _expected(rows: DataFrame, cap: float, few: bool) -> DataFrame:
     """Adds ``e``: expected copies, in proportion to ``w`` within a source, none above ``cap``; what a cap
     cuts off is spread over the documents below it, round by round until none is above."""
     rows = rows.withColumn("e", F.lit(None).cast("double"))
@@ -63,7 +64,7 @@ def _expected(rows: DataFrame, cap: float) -> DataFrame:
         left = rows.groupBy("source").agg(
             F.sum(F.when(~open_, F.col("e") * F.col("size")).otherwise(0.0)).alias("given"),
             F.sum(F.when(open_, F.col("w") * F.col("size")).otherwise(0.0)).alias("mass"))
-        rows = stored(_with_source(rows.drop("given", "mass"), left).withColumn(
+        rows = stored(_with_source(rows.drop("given", "mass"), left, few).withColumn(
             "try", F.when(open_, F.when(F.col("mass") > 0, (F.col("target") - F.col("given")) * F.col("w") / F.col("mass"))
                           .otherwise(0.0)))
             .withColumn("over", F.coalesce(F.col("try") > cap, F.lit(False))), "expected")
@@ -72,16 +73,18 @@ def _expected(rows: DataFrame, cap: float) -> DataFrame:
         rows = rows.withColumn("e", F.when(F.col("over"), F.lit(cap)).otherwise(F.col("e"))).drop("try", "over")
 
 
-def _with_source(rows: DataFrame, per_source: DataFrame) -> DataFrame:
-    """Null-safe join on source."""
+def _with_source(rows: DataFrame, per_source: DataFrame, few: bool) -> DataFrame:
+    """Null-safe join on source. With few sources the rows stay where they are, so a source with a third
+    of all rows is no hot key; with many, the join shuffles, and Spark splits skewed partitions."""
     per = per_source.withColumnRenamed("source", "__s")
+    per = F.broadcast(per) if few else per
     return rows.join(per, rows["source"].eqNullSafe(per["__s"]), "left").drop("__s")
 
 
-def _prefix(rows: DataFrame, room: DataFrame) -> DataFrame:
+def _prefix(rows: DataFrame, room: DataFrame, few: bool) -> DataFrame:
     """Of the rows that may be taken (``open``), those first in rank whose words add up to at most the
     source's ``room``: the same rows with ``hit``."""
-    rows = _with_source(rows, room)
+    rows = _with_source(rows, room, few)
     open_ = F.col("open") & (F.col("size") <= F.col("room"))
     rows = rows.withColumn("slot", F.when(open_, F.floor(F.col("t") * SLOTS).cast("int")))
     slots = rows.where("slot is not null").groupBy("source", "slot").agg(
@@ -90,7 +93,7 @@ def _prefix(rows: DataFrame, room: DataFrame) -> DataFrame:
     slots = slots.withColumn("cum", F.sum("words").over(upto))
     cut = slots.where("cum > room").groupBy("source").agg(
         F.min(F.struct("slot", (F.col("cum") - F.col("words")).alias("base"))).alias("cut"))
-    rows = _with_source(rows, cut)
+    rows = _with_source(rows, cut, few)
     here = F.col("slot") == F.col("cut.slot")
     inside = rows.where(F.coalesce(here, F.lit(False)))
     in_order = Window.partitionBy("source").orderBy("t", "size", "doc_id", "th").rowsBetween(
@@ -109,9 +112,11 @@ def mix_sources(docs: DataFrame, weights=SOURCE_WEIGHTS, share: float = 1.0, cap
     w = F.coalesce(F.col(weight_col).cast("double"), F.lit(1.0)) if weight_col else F.lit(1.0)
     sizes = stored(docs.select(F.col("doc_id"), F.col("source"), word_count(F.col("text")).alias("size"),
                                F.xxhash64("text").alias("th"), w.alias("w")), "sizes")
-    rows = _with_source(sizes, source_targets(sizes, weights, share, cap))
+    targets = stored(source_targets(sizes, weights, share, cap), "targets")
+    few = targets.count() <= FEW_SOURCES
+    rows = _with_source(sizes, targets, few)
     if weight_col:
-        rows = _expected(rows, cap)
+        rows = _expected(rows, cap, few)
     else:
         rows = rows.withColumn("e", F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size"))
                                .otherwise(0.0))
@@ -124,7 +129,7 @@ def mix_sources(docs: DataFrame, weights=SOURCE_WEIGHTS, share: float = 1.0, cap
     for _ in range(1 + fill):
         room = rows.groupBy("source").agg(
             (F.first("target") - F.sum(F.col("copies") * F.col("size"))).alias("room"))
-        rows = stored(_prefix(rows, room).withColumn("copies", F.col("copies") + F.col("hit").cast("long"))
+        rows = stored(_prefix(rows, room, few).withColumn("copies", F.col("copies") + F.col("hit").cast("long"))
                       .withColumn("open", F.col("open") & ~F.col("hit")).drop("hit"), "mix")
     return rows.select("doc_id", "source", "size", "th", "source_size", "target", "copies",
                        (F.col("copies") * F.col("size")).alias("taken"))
