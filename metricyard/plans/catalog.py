@@ -473,7 +473,7 @@ def header_marker_report(spark, sf_dir):
     d = d.withColumn("header_line_no", F.when(at > 0, at))
     return d.select("doc_id", "header_line_no",
                     F.coalesce(F.size("lines") - F.col("header_line_no"), F.lit(0)).cast("bigint").alias("data_rows"),
-                    F.md5(F.element_at("lines", F.col("header_line_no").cast("int"))).alias("header_md5"))
+                    F.md5(F.get("lines", (F.col("header_line_no") - 1).cast("int"))).alias("header_md5"))
 
 
 @register("lane_block")
@@ -492,7 +492,7 @@ def line_after_marker(spark, sf_dir):
     from ..operators import ordered
     d = text_arrays(spark, sf_dir).withColumn("at", ordered.first_line(F.col("lines"), lambda x: F.instr(x, "###") > 0))
     return d.where("at > 0 and at < size(lines)").select(
-        "doc_id", (F.col("at") + 1).alias("line_no"), F.md5(F.element_at("lines", (F.col("at") + 1).cast("int"))).alias("line_md5"))
+        "doc_id", (F.col("at") + 1).alias("line_no"), F.md5(F.get("lines", F.col("at").cast("int"))).alias("line_md5"))
 
 
 @register("marker_block")

@@ -42,7 +42,7 @@ def report_rows(texts: DataFrame, markers: Sequence[str], file_col: str = "path"
     Files without a marker give no rows."""
     lines = texts.select(file_col, ordered.text_lines(F.col(text_col)).alias("lines"))
     lines = lines.withColumn("at", ordered.first_line(F.col("lines"), lambda x: marker_condition(x, markers))).filter("at > 0")
-    header = F.transform(csv_cells(F.element_at("lines", F.col("at").cast("int"))), lambda x: F.trim(x))
+    header = F.transform(csv_cells(F.get("lines", (F.col("at") - 1).cast("int"))), lambda x: F.trim(x))
     rows = lines.select(file_col, header.alias("header"), F.posexplode(F.slice(
         F.col("lines"), (F.col("at") + 1).cast("int"), F.size("lines"))).alias("row_no", "line")).filter(F.trim("line") != "")
     return rows.select(file_col, (F.col("row_no") + 1).cast("bigint").alias("row_no"), "header", csv_cells(F.col("line")).alias("cells"))
@@ -61,7 +61,7 @@ def lane_block(texts: DataFrame, file_col: str = "path", text_col: str = "text")
     start = lambda x: F.instr(x, fixed.LANE_BLOCK_START) > 0
     stop = lambda x: F.instr(x, fixed.LANE_BLOCK_STOP) > 0
     block = texts.select(file_col, ordered.lines_between_first(ordered.text_lines(F.col(text_col)), start, stop)["block"].alias("b"))
-    header = F.transform(csv_cells(F.element_at("b", 1)), lambda x: F.regexp_replace(x, r"\s+", ""))
+    header = F.transform(csv_cells(F.get("b", F.lit(0))), lambda x: F.regexp_replace(x, r"\s+", ""))
     rows = block.filter(F.col("b").isNotNull()).select(file_col, header.alias("h"), F.explode(
         F.filter("b", lambda x: ~start(x))).alias("line"))
     cells = F.transform(csv_cells(F.col("line")), lambda x: F.trim(x))
@@ -80,8 +80,8 @@ def run_identity(summary_texts: DataFrame, file_col: str = "path", text_col: str
     lines = summary_texts.select(file_col, ordered.text_lines(F.col(text_col)).alias("lines"))
     at = ordered.first_line(F.col("lines"), lambda x: (F.instr(x, "MachineID") > 0) & (F.instr(x, "FlowCellID") > 0))
     nxt = lines.withColumn("at", at.cast("int")).filter((F.col("at") > 0) & (F.col("at") < F.size("lines")))
-    h = F.transform(csv_cells(F.element_at("lines", F.col("at"))), lambda x: F.trim(x))
-    c = F.transform(csv_cells(F.element_at("lines", F.col("at") + 1)), lambda x: F.trim(x))
+    h = F.transform(csv_cells(F.get("lines", F.col("at") - 1)), lambda x: F.trim(x))
+    c = F.transform(csv_cells(F.get("lines", F.col("at"))), lambda x: F.trim(x))
     flow = cell(h, c, "FlowCellID")
     flow = F.when(~F.coalesce(flow, F.lit("")).isin("", fixed.TBD_TOKEN), flow) if tbd_missing else \
         F.nullif(flow, F.lit(""))
