@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -42,36 +43,77 @@ def word_count(text) -> F.Column:
     return F.coalesce(F.regexp_count(text, F.lit(rf"[^{WHITE}]++")), F.lit(0)).cast("long")
 
 
+FOREST_EDGES = 500_000        # edges that a task holds to contract them
+
+
+def _forest(edges: DataFrame) -> DataFrame:
+    """Edges of the same components with fewer of them: each task joins up the edges it reads, by pieces of
+    bounded size, and sends on one edge from every node to the least node of its part."""
+    def contract(batches):
+        def emit():
+            ends = {n: find(n) for n in list(root)}
+            pairs = [(r, n) for n, r in ends.items() if r != n]
+            return pa.RecordBatch.from_arrays([pa.array([r for r, _ in pairs], pa.int64()),
+                                               pa.array([n for _, n in pairs], pa.int64())], ["a", "b"])
+
+        def find(x):
+            while root[x] != x:
+                root[x] = root[root[x]]
+                x = root[x]
+            return x
+
+        root, held = {}, 0
+        for batch in batches:
+            for a, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                root.setdefault(a, a)
+                root.setdefault(b, b)
+                a, b = find(a), find(b)
+                if a != b:
+                    root[max(a, b)] = min(a, b)
+            held += batch.num_rows
+            if held > FOREST_EDGES:
+                yield emit()
+                root.clear()
+                held = 0
+        yield emit()
+
+    return edges.select("a", "b").mapInArrow(contract, "a long, b long")
+
+
 def components(links: DataFrame) -> DataFrame:
     """Connected components of the undirected graph with edges ``links(a long, b long)``.
 
-    Returns ``(node, root)`` for every node on an edge; ``root`` is one node of its component, not
-    always the smallest. Each round every node moves to the neighbour (or itself) of least random
-    rank, and the edges are rewritten to the new nodes; the rank changes by round, so that chains
-    shrink by a constant share. Work is joins and min-aggregations over edges; nothing is collected.
+    Returns ``(node, root)`` for every node on an edge to another; ``root`` is one node of its component.
+    In each round the tasks contract pieces of at most ``FOREST_EDGES`` edges to stars, then every node
+    moves to the neighbour (or itself) that comes first, and the edges are rewritten to the new nodes.
+    First is the least node in even rounds, and the least by a random rank of the round in odd ones, so
+    that long chains shrink by a constant share. Once all edges that are left fit one piece, its stars are
+    the components. Work is joins and min-aggregations over edges; nothing is collected.
     """
-    edges = stored(links.select("a", "b").where("a <> b").distinct(), "edges")
-    nodes = None
-    step = 0
-    while not edges.isEmpty():
-        rank = F.struct(F.xxhash64(F.col("v"), F.lit(step)), F.col("v"))
-        ends = edges.select(F.col("a").alias("u"), F.col("b").alias("v")).unionAll(
-            edges.select(F.col("b").alias("u"), F.col("a").alias("v")))
-        best = ends.groupBy("u").agg(F.min(rank).alias("r"))
-        own = F.struct(F.xxhash64(F.col("u"), F.lit(step)), F.col("u").alias("v"))
-        to = stored(best.select("u", F.least("r", own)["v"].alias("to")), "moves")
-        moved = (edges.join(to.select(F.col("u").alias("a"), F.col("to").alias("ta")), "a")
+    edges, nodes, step = links.select("a", "b"), None, 0
+    while True:
+        edges = stored(edges.where("a <> b").distinct(), "edges")
+        pieces = -(-edges.count() // FOREST_EDGES)
+        stars = stored(_forest(edges.coalesce(max(1, pieces))), "stars")
+        if pieces <= 1:
+            to = stars.select(F.col("b").alias("u"), F.col("a").alias("to"))
+            if nodes is None:
+                return to.select(F.col("u").alias("node"), F.col("to").alias("root")).unionAll(
+                    to.select(F.col("to").alias("node"), F.col("to").alias("root")).distinct())
+            return _moved(nodes, to)
+        place = (lambda c: F.struct(F.xxhash64(c, F.lit(step)), c.alias("v"))) if step % 2 else (
+            lambda c: F.struct(F.lit(0).alias("z"), c.alias("v")))
+        ends = stars.select(F.col("a").alias("u"), F.col("b").alias("v")).unionAll(
+            stars.select(F.col("b").alias("u"), F.col("a").alias("v")))
+        best = ends.groupBy("u").agg(F.min(place(F.col("v"))).alias("r"))
+        to = stored(best.select("u", F.least("r", place(F.col("u")))["v"].alias("to")), "moves")
+        edges = (stars.join(to.select(F.col("u").alias("a"), F.col("to").alias("ta")), "a")
                  .join(to.select(F.col("u").alias("b"), F.col("to").alias("tb")), "b")
-                 .where("ta <> tb")
-                 .select(F.least("ta", "tb").alias("a"), F.greatest("ta", "tb").alias("b")).distinct())
-        if nodes is None:
-            nodes = to.select(F.col("u").alias("node"), F.col("to").alias("root"))
-        else:
-            nodes = nodes.join(to.select(F.col("u").alias("root"), "to"), "root", "left").select(
-                "node", F.coalesce("to", "root").alias("root"))
-        nodes = stored(nodes, "nodes")
-        edges = stored(moved, "edges")
+                 .select(F.col("ta").alias("a"), F.col("tb").alias("b")))
+        nodes = stored(to.select(F.col("u").alias("node"), F.col("to").alias("root")) if nodes is None else _moved(nodes, to), "nodes")
         step += 1
-    if nodes is None:
-        return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
-    return nodes
+
+
+def _moved(nodes: DataFrame, to: DataFrame) -> DataFrame:
+    return nodes.join(to.select(F.col("u").alias("root"), "to"), "root", "left").select(
+        "node", F.coalesce("to", "root").alias("root"))
