@@ -2,8 +2,8 @@
 
 Distance is ``1 - Jaccard`` of shingle sets, a metric. Documents with one set form a class; only one
 representative of a class is compared. Two sets within the threshold must share one of their rarest
-shingles (their prefix in one fixed order of all shingles), so representatives that share none with any
-other are finished. Each shared prefix shingle elects a pivot, and the documents that hold it fall into
+shingles (their prefix in one fixed order of all shingles), so representatives that share too few
+with others are finished. Each shared prefix shingle elects a pivot, and the documents that hold it fall into
 that pivot's region; every linking pair meets in at least one region.
 
 Inside a region documents are ordered by their distance to the pivot. By the triangle inequality a pair
@@ -17,7 +17,8 @@ links between different sets count; a region emits only a spanning forest of its
 Defined results: null text is empty; without words a document has no shingles, links with nothing and is
 its own component; with fewer words than the shingle length the whole sequence is one shingle. Repeated
 rows are members of one class and each get a result row. The component of rows whose ids are all null is
-null. An empty table gives an empty result. Shingles are compared by 64-bit hashes of 64-bit word hashes.
+null. An empty table gives an empty result. Shingles are compared by 64-bit hashes, and equal
+sets are recognised by 64-bit digests.
 """
 
 from __future__ import annotations
@@ -25,15 +26,22 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import components, stored
 
 WORDS, PERCENT = 4, 85
-MAX_MEMBERS, MAX_SHINGLES = 1024, 1 << 20      # of one region in one task
+MAX_MEMBERS, MAX_SHINGLES = 1024, 1 << 22      # of one region in one task
 DEPTH = 2                                      # ring splits before blocks
 HOT_ENTRIES, HOT_SHARE, HOT_LEAST = 1 << 16, 16, 3
+SMALL_ROWS = 1_000_000                         # tables of up to so many short rows are broadcast
+SPARE = 3                                      # prefixes are longer by this percentage of the set
+
+
+def prefix_length(n: int, percent: int) -> int:
+    """Shingles of a set of n that its prefix holds: enough that linking sets share ``1 + SPARE percent``."""
+    return n - (n * percent + 99) // 100 + 1 + n * SPARE // 100 if n else 0
 
 _A, _B, _BACK = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93), np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 SPAN = 1 << 20                                 # bytes hashed at once
@@ -88,14 +96,23 @@ class Shingler:
         return _mix((sums[end] - sums[start]) * self.down[start] + (end - start).astype(np.uint64))
 
     def __call__(self, text: str | None) -> np.ndarray:
+        return self.with_places(text)[0]
+
+    def with_places(self, text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(distinct shingles, the first word of each, hashes of all words)."""
         h = self.words((text or "").encode("utf-8", "surrogatepass"))
         if not len(h):
-            return h
+            return h, h, h
         k = min(self.k, len(h))
         out = h[: len(h) - k + 1] + np.uint64(k)
         for i in range(1, k):
             out = out * _A + h[i: len(h) - k + 1 + i]
-        return np.unique(_mix(out))
+        return *np.unique(_mix(out), return_index=True), h
+
+
+def _as_shingle(words: np.ndarray) -> np.ndarray:
+    """The one-word shingles of word hashes, as the tables of common words hold them."""
+    return _mix(words + np.uint64(1)).view(np.int64)
 
 
 def _lists(arrays: list[np.ndarray]) -> pa.Array:
@@ -105,10 +122,10 @@ def _lists(arrays: list[np.ndarray]) -> pa.Array:
 
 
 def common_shingles(docs: DataFrame, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Frequent shingles of a sample of documents, at most ``HOT_ENTRIES``, with their counts.
+    """Frequent shingles (``k`` words) of a sample of documents, at most ``HOT_ENTRIES``, with their counts.
 
     They only set the order in which prefixes are taken (rare first). Any order gives the same links;
-    this one keeps shared passages out of the prefixes."""
+    this one keeps shared passages, and with ``k = 1`` shingles of common words, out of the prefixes."""
     def shingles(batches):
         make = Shingler(k)
         for batch in batches:
@@ -121,50 +138,99 @@ def common_shingles(docs: DataFrame, k: int) -> tuple[np.ndarray, np.ndarray]:
     return top["h"].to_numpy(np.int64), top["count"].to_numpy(np.int64)
 
 
+def counts_of(keys: np.ndarray, table: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """Count of each key in a (sorted keys, counts) table, 0 for the others."""
+    known, count = table
+    if not len(known) or not len(keys):
+        return np.zeros(len(keys), np.int64)
+    at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
+    return np.where(known[at] == keys, count[at], 0)
+
+
 def document_prefixes(docs: DataFrame, k: int, percent: int) -> DataFrame:
-    """uid, doc_id, th, n, d1, d2 (digest of the set), prefix array<long>."""
-    hot, freq = common_shingles(docs, k)
+    """doc_id, th, n, uid (64-bit digest of the set, the name of its class), prefix array<long>.
+
+    Of equal sets in one batch, only the first carries its prefix."""
+    hot = common_shingles(docs, k)
+    # a word's weight is the logarithm of its count; a shingle's is the sum over its words
+    words, seen_in = common_shingles(docs, 1)
+    weights = words, np.round(16 * np.log2(seen_in + 1)).astype(np.int64)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("th"), "text")
 
     def features(batches):
         make = Shingler(k)
         for batch in batches:
-            n, d1, d2, prefixes = [], [], [], []
+            n, uid, prefixes, seen = [], [], [], set()
             for text in batch.column(2):
-                s = make(text.as_py())
+                s, first, h = make.with_places(text.as_py())
                 n.append(len(s))
-                digest = np.frombuffer(xxhash.xxh128_digest(s.tobytes()), np.int64)
-                d1.append(digest[0])
-                d2.append(digest[1])
-                h = s.view(np.int64)
-                if len(h) and len(hot):
-                    at = np.minimum(np.searchsorted(hot, h), len(hot) - 1)
-                    h = h[np.lexsort((h, np.where(hot[at] == h, freq[at], 0)))]
-                prefixes.append(h[: len(h) - (len(h) * percent + 99) // 100 + 1 if len(h) else 0].view(np.uint64))
+                uid.append(xxhash.xxh3_64_intdigest(s.tobytes()) - (1 << 63))
+                order = s.view(np.int64)[:0]
+                if len(s) and uid[-1] not in seen:
+                    heavy = np.concatenate([[0], np.cumsum(counts_of(_as_shingle(h), weights))])
+                    most = np.minimum(first.astype(np.int64) + k, len(h))
+                    weight = heavy[most] - heavy[first.astype(np.int64)]
+                    order = s.view(np.int64)
+                    order = order[np.lexsort((order, weight, counts_of(order, hot)))]
+                seen.add(uid[-1])
+                prefixes.append(order[: prefix_length(len(order), percent)].view(np.uint64))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(n, pa.int64()), pa.array(np.array(d1, np.int64)),
-                 pa.array(np.array(d2, np.int64)), _lists(prefixes)], ["doc_id", "th", "n", "d1", "d2", "prefix"])
+                [batch.column(0), batch.column(1), pa.array(n, pa.int64()), pa.array(uid, pa.int64()), _lists(prefixes)],
+                ["doc_id", "th", "n", "uid", "prefix"])
+
+    return stored(rows.mapInArrow(features, "doc_id long, th long, n long, uid long, prefix array<long>"), "prefixes")
+
+
+def _need(percent: int) -> F.Column:
+    least = F.ceil(F.col("n") * percent / 100).cast("long")
+    return 1 + F.floor(least * SPARE / 100).cast("long")
+
+
+def _with_partners(tokens: DataFrame, percent: int) -> DataFrame:
+    """Tokens (uid, n, h) of sets that may link: a set keeps tokens that another set holds too, and it
+    stays if it has at least ``need`` of them.
+
+    The prefixes of two linking sets share ``1 + SPARE percent`` of the smaller set. The smaller has
+    ``percent`` of the larger one's size or more, so a set that links shares at least ``need = 1 + SPARE
+    percent of (percent of n)`` tokens with its partner."""
+    of_token = Window.partitionBy("h")
+    shared = tokens.withColumn("lo", F.min("uid").over(of_token)).withColumn("hi", F.max("uid").over(of_token))
+    shared = shared.where("lo <> hi").select("uid", "n", "h").distinct()
+    enough = shared.groupBy("uid").agg(F.count("*").alias("held"), F.first("n").alias("n")).where(
+        F.col("held") >= _need(percent)).select("uid")
+    return stored(shared.join(enough, "uid", "left_semi"), "tokens")
 
-    out = rows.mapInArrow(features, "doc_id long, th long, n long, d1 long, d2 long, prefix array<long>")
-    return stored(out.withColumn("uid", F.monotonically_increasing_id()), "prefixes")
 
+def _pivot_regions(prefixes: DataFrame, percent: int, max_members: int) -> DataFrame:
+    """(region, uid): the region of a pivot holds the sets that share with it a prefix shingle that
+    elected it. The set whose shingles are shared most wins, so that a cluster has few pivots.
 
-def _pivot_regions(reps: DataFrame) -> DataFrame:
-    """(region, uid): the region of a pivot holds the documents that share with it a prefix shingle that
-    elected it. The document whose shingles are shared most wins, so that a cluster has few pivots."""
-    held = reps.select("uid", F.explode("prefix").alias("h"))
-    shared = held.groupBy("h").agg(F.count("*").alias("c")).where("c > 1")
-    tokens = stored(held.join(shared, "h"), "tokens")
-    fame = tokens.groupBy("uid").agg(F.sum("c").alias("fame"))
+    A set leaves the regions that fewest of its shingles elect, as long as these are fewer than half of
+    the shingles it needs; of the shingles that two linking sets share, one at least is then left to
+    both. Regions that hang together and are small enough in all become one, so their sets travel once."""
+    held = prefixes.select("uid", "n", F.explode("prefix").alias("h"))
+    tokens = _with_partners(_with_partners(held, percent), percent)
+    groups = tokens.groupBy("h").agg(F.count("*").alias("c"))
+    fame = tokens.join(groups, "h").groupBy("uid").agg(F.sum("c").alias("fame"))
     elect = tokens.join(fame, "uid").groupBy("h").agg(
         F.max(F.struct("fame", F.col("uid").alias("pivot")))["pivot"].alias("region"))
-    return stored(tokens.select("uid", "h").join(elect, "h").select("region", "uid").distinct(), "regions")
+    votes = tokens.join(elect, "h").groupBy("region", "uid").agg(F.count("*").alias("votes"), F.first("n").alias("n"))
+    upto = Window.partitionBy("uid").orderBy("votes", "region").rowsBetween(Window.unboundedPreceding, 0)
+    regions = votes.withColumn("lost", F.sum("votes").over(upto)).where(
+        F.col("lost") > F.floor((_need(percent) - 1) / 2)).select("region", "uid")
+    regions = stored(regions, "regions")
+    whole = components(regions.select(F.col("region").alias("a"), F.col("uid").alias("b")))
+    small = whole.groupBy("root").agg(F.count("*").alias("m")).where(F.col("m") <= max_members)
+    small = stored(whole.join(small, "root").select(F.col("root").alias("region"), F.col("node").alias("uid")), "whole")
+    return stored(regions.join(small.select("uid"), "uid", "left_anti").select("region", "uid").unionByName(small), "regions")
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
     """uid -> (n, s) for the representatives that share a region: their texts are read once more."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("th"), "text")
     w = wanted.select("uid", F.col("doc_id").alias("w_id"), F.col("th").alias("w_th"))
+    n_wanted = w.count()
+    w = F.broadcast(w) if n_wanted <= SMALL_ROWS else w       # else the texts are shuffled to their names
     texts = rows.join(w, (rows["th"] == w["w_th"]) & rows["doc_id"].eqNullSafe(w["w_id"])).select("uid", "text")
 
     def shingles(batches):
@@ -174,7 +240,8 @@ def _sets(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([len(a) for a in arrays], pa.int64()), _lists(arrays)], ["uid", "n", "s"])
 
-    return stored(texts.mapInArrow(shingles, "uid long, n long, s array<long>").dropDuplicates(["uid"]), "sets")
+    sets = stored(texts.mapInArrow(shingles, "uid long, n long, s array<long>"), "sets")
+    return sets if sets.count() == n_wanted else stored(sets.dropDuplicates(["uid"]), "sets")      # repeated rows
 
 
 def _distances(members: DataFrame, sets: DataFrame, pivots: DataFrame) -> DataFrame:
@@ -306,7 +373,9 @@ def region_links(ids, sets, pivot, percent: int):
 
 
 def _compare(regions: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    full = regions.join(sets.select("uid", "s"), "uid").select("region", "uid", "pivot", "s")
+    regions = stored(regions.select("region", "uid", "pivot"), "parts")
+    regions = F.broadcast(regions) if regions.count() <= SMALL_ROWS else regions
+    full = sets.select("uid", "s").join(regions, "uid").select("region", "uid", "pivot", "s")
     full = full.repartition("region").sortWithinPartitions("region")
 
     def links(batches):
@@ -344,21 +413,17 @@ def jaccard_join(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, ma
     shingles. ``kept`` marks the row of least (doc_id, th) in each component."""
     prefixes = document_prefixes(docs, words, percent)
     filled = prefixes.where("n > 0")
-    reps = stored(filled.groupBy("d1", "d2", "n").agg(
-        F.min("uid").alias("uid"), F.min_by(F.struct("doc_id", "th", "prefix"), "uid").alias("x"))
-        .select("uid", "d1", "d2", "n", "x.*"), "reps")
-    regions = _pivot_regions(reps.select("uid", "prefix"))
-    wanted = reps.select("uid", "doc_id", "th").join(regions.select("uid").distinct(), "uid", "left_semi")
+    regions = _pivot_regions(filled.select("uid", "n", "prefix"), percent, max_members)
+    wanted = stored(filled.select("uid", "doc_id", "th").join(regions.select("uid").distinct(), "uid", "left_semi").groupBy("uid").agg(
+        F.min(F.struct("th", "doc_id")).alias("x")).select("uid", "x.*"), "wanted")
     sets = _sets(docs, wanted, words)
     parts, links = _split_large(regions, sets, percent, max_members, max_shingles, depth)
     edges = _compare(parts, sets, percent)
     for more in links:
         edges = edges.unionByName(more)
-    roots = components(edges)
-    rep_root = reps.select("d1", "d2", "n", "uid").join(roots, F.col("uid") == F.col("node"), "left").select(
-        "d1", "d2", "n", F.coalesce("root", "uid").alias("g"))
-    rows = stored(filled.select("doc_id", "th", "n", "d1", "d2").join(rep_root, ["d1", "d2", "n"]).select(
-        "doc_id", "th", "n", "g"), "members")
+    roots = components(edges).withColumnRenamed("node", "uid")
+    rows = stored(filled.select("doc_id", "th", "n", "uid").join(roots, "uid", "left").select(
+        "doc_id", "th", "n", F.coalesce("root", "uid").alias("g")), "members")
     best = rows.groupBy("g").agg(F.min("doc_id").alias("component_id"), F.min(F.when(
         F.col("doc_id").isNotNull(), F.struct("doc_id", "th"))).alias("w"), F.min("th").alias("least"))
     rows = rows.join(best, "g")
