@@ -2,11 +2,14 @@
 
 Directions are structured random product codes: the (randomly rotated) space is cut into blocks, each with
 its own small random codebook, and a direction joins one codeword per block. A vector is list-decoded to
-all directions whose inner product with it exceeds one threshold: block by block, partial lists are kept
-only while the best remaining codewords could still reach it. Vectors that share a filter are joined and
-verified by their cosine in double precision. The number of directions grows with the largest label, so
-filters keep about ``LISTS * 16`` vectors; a filter that holds more is dealt into blocks of bounded size
-and every pair of blocks is one task, so no member or pair is ever left out.
+its best directions, block by block, and every vector gets equally many: ``LISTS``, or more where pairs drawn
+at exactly the wanted cosine would share none with a probability above ``MISS``, as measured for the
+dimension and the number of directions in use. Vectors that share a filter are joined and verified by their
+cosine in double precision. The number of directions grows with the largest label, so filters keep about
+``LISTS * 16`` vectors; a filter that holds more is dealt into blocks of bounded size and every pair of
+blocks is one task, so no member of a filter and no pair in one is left out. Where more than ``MOST_LISTS``
+filters a vector would be needed, fewer directions are used. A link at the cosine itself is thus missed with
+a probability of about ``MISS`` over the random directions, and closer ones less.
 
 Equal vectors of one label form a class, compared once. A pair is counted in its first shared filter only;
 tasks emit sums of link counts and a spanning forest of links, never all pairs.
@@ -20,7 +23,6 @@ do, but never name a component unless all ids in it are null. An empty table giv
 from __future__ import annotations
 
 import math
-from statistics import NormalDist
 
 import numpy as np
 import pyarrow as pa
@@ -30,6 +32,7 @@ from pyspark.sql import functions as F
 from .common import components, stored
 
 COSINE, LISTS, GROUP_ROWS, SEED = 0.93, 16, 2048, 20
+MISS, MOST_LISTS, DRAWN = 0.001, 64, 4000
 
 
 class Directions:
@@ -38,31 +41,65 @@ class Directions:
     def __init__(self, dim: int, bits: int, lists: int = LISTS, seed: int = SEED):
         rng = np.random.default_rng([seed, dim, bits])
         self.rotation = np.linalg.qr(rng.standard_normal((dim, dim)))[0]
-        blocks = min(dim, max(2, math.ceil(bits / 8)))
+        blocks = min(dim, max(2, math.ceil(bits / 12)))
         widths = [len(x) for x in np.array_split(np.arange(dim), blocks)]
         sizes = [2 ** len(x) for x in np.array_split(np.arange(bits), blocks)]
         self.books = []
         for w, b in zip(widths, sizes):
             c = rng.standard_normal((b, w))
-            self.books.append(c / np.linalg.norm(c, axis=1, keepdims=True) * math.sqrt(w / dim))
+            c = np.unique(c / np.linalg.norm(c, axis=1, keepdims=True), axis=0)     # of width 1, only -1 and 1
+            self.books.append(c * math.sqrt(w / dim))
         self.cuts = np.cumsum([0, *widths])
-        self.threshold = NormalDist().inv_cdf(1 - min(0.5, lists / 2 ** bits)) / math.sqrt(dim)
+        self.lists = lists
 
-    def decode(self, unit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(row, filter) of every direction that a unit vector exceeds; its best direction at least."""
+    def decode(self, unit: np.ndarray) -> np.ndarray:
+        """For each unit vector the numbers of its ``lists`` best directions (all, if there are fewer), best first."""
         x = unit @ self.rotation
-        scores = [x[:, a:b] @ c.T for a, b, c in zip(self.cuts, self.cuts[1:], self.books)]
-        rest = [np.zeros(len(x))]
-        for s in reversed(scores):
-            rest.append(rest[-1] + s.max(axis=1))
-        rest = rest[::-1]                                       # best total from block j on
-        need = np.minimum(self.threshold, rest[0] - 1e-12)
-        row, code, score = np.arange(len(x)), np.zeros(len(x), np.int64), np.zeros(len(x))
-        for j, s in enumerate(scores):
-            total = score[:, None] + s[row]
-            at, word = np.nonzero(total >= (need[row] - rest[j + 1][row])[:, None])
-            score, code, row = total[at, word], code[at] * s.shape[1] + word, row[at]
-        return row, code
+        score, code = np.zeros((len(x), 1)), np.zeros((len(x), 1), np.int64)
+        for a, b, c in zip(self.cuts, self.cuts[1:], self.books):
+            # the best sums hold only the best words of each block
+            s, word = _best(x[:, a:b] @ c.T, self.lists)
+            total = (score[:, :, None] + s[:, None, :]).reshape(len(x), -1)
+            codes = (code[:, :, None] * len(c) + word[:, None, :]).reshape(len(x), -1)
+            score, at = _best(total, self.lists)
+            code = np.take_along_axis(codes, at, 1)
+        return np.take_along_axis(code, np.argsort(-score, axis=1, kind="stable"), 1)
+
+    def needed(self, cosine: float, miss: float = MISS) -> int:
+        """How many of ``lists`` filters a vector needs, so that drawn pairs at ``cosine`` share one but for a
+        share ``miss``; more than ``lists``, if these do not do."""
+        rng, dim = np.random.default_rng([SEED, len(self.rotation)]), len(self.rotation)
+        first = []
+        for _ in range(0, DRAWN, 250):
+            u, w = rng.standard_normal((2, 250, dim))
+            u /= np.linalg.norm(u, axis=1, keepdims=True)
+            w -= (w * u).sum(axis=1, keepdims=True) * u
+            w /= np.maximum(np.linalg.norm(w, axis=1, keepdims=True), 1e-9)
+            cu, cv = self.decode(u), self.decode(cosine * u + math.sqrt(max(0.0, 1 - cosine ** 2)) * w)
+            rank = np.arange(1, cu.shape[1] + 1)
+            last = np.maximum(rank[:, None], rank[None, :])
+            first += [last[a[:, None] == b[None, :]].min(initial=self.lists + 1) for a, b in zip(cu, cv)]
+        return int(np.sort(first)[math.ceil(len(first) * (1 - miss)) - 1])
+
+
+def _best(score: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """The ``k`` best scores of each row (all, if there are fewer) and their places."""
+    if k >= score.shape[1]:
+        return score, np.broadcast_to(np.arange(score.shape[1]), score.shape)
+    at = np.argpartition(-score, k - 1, axis=1)[:, :k]
+    return np.take_along_axis(score, at, 1), at
+
+
+def directions(dim: int, bits: int, lists: int = LISTS, cosine: float = COSINE) -> Directions:
+    """Directions with at least ``lists`` filters a vector and as many as ``cosine`` needs; where that is more
+    than ``MOST_LISTS``, fewer directions."""
+    while True:
+        made = Directions(dim, bits, max(lists, MOST_LISTS))
+        need = made.needed(cosine)
+        if need <= made.lists or bits == 0:
+            made.lists = max(lists, need)
+            return made
+        bits -= 1
 
 
 def _classes(vectors: DataFrame, id_col: str, vector_col: str, label_col: str):
@@ -79,7 +116,7 @@ def _classes(vectors: DataFrame, id_col: str, vector_col: str, label_col: str):
     return single, ids.select("vec_id", "cid", "copies", "least"), classes
 
 
-def _filters(classes: DataFrame, bits: int, lists: int) -> DataFrame:
+def _filters(classes: DataFrame, bits: int, lists: int, cosine: float = COSINE) -> DataFrame:
     """(key, cid, copies, v, filters): one row for each filter of each class."""
     rows = classes.select(F.concat_ws("|", F.size("v"), "label").alias("label"), "cid", "copies", "v")
 
@@ -91,21 +128,21 @@ def _filters(classes: DataFrame, bits: int, lists: int) -> DataFrame:
             starts, flat = lists_.offsets.to_numpy(), lists_.values.to_numpy(zero_copy_only=False)
             for dim in np.unique(dims):
                 if dim not in made:
-                    made[dim] = Directions(int(dim), bits, lists)
+                    made[dim] = directions(int(dim), bits, lists, cosine)
                 which = np.flatnonzero(dims == dim)
                 for part in np.array_split(which, -(-len(which) // 1000)):
                     x = np.stack([flat[starts[i]: starts[i + 1]] for i in part])
                     big = np.abs(x).max(axis=1, keepdims=True)
                     unit = x / big
                     unit /= np.linalg.norm(unit, axis=1, keepdims=True)
-                    row, code = made[dim].decode(unit)
-                    ends = np.searchsorted(row, np.arange(len(part) + 1))
-                    codes = [code[ends[i]: ends[i + 1]] for i in range(len(part))]
+                    codes = made[dim].decode(unit)
+                    row, code, ends = np.repeat(np.arange(len(part)), codes.shape[1]), codes.ravel(), np.arange(codes.size + 1)
                     yield pa.RecordBatch.from_arrays([
                         pa.array([f"{label[part[r]]}|{c}" for r, c in zip(row, code)]),
                         pa.array(cid[part][row]), pa.array(copies[part][row]), pa.array(code),
-                        pa.array([unit[r] for r in row], pa.list_(pa.float64())),
-                        pa.array([codes[r] for r in row], pa.list_(pa.int64()))], ["key", "cid", "copies", "code", "v", "codes"])
+                        pa.ListArray.from_arrays(pa.array(ends * dim, pa.int32()), pa.array(unit[row].ravel())),
+                        pa.ListArray.from_arrays(pa.array(ends * codes.shape[1], pa.int32()), pa.array(codes[row].ravel()))],
+                        ["key", "cid", "copies", "code", "v", "codes"])
 
     return rows.mapInArrow(decode, "key string, cid long, copies long, code long, v array<double>, codes array<long>")
 
@@ -201,7 +238,7 @@ def spherical_dedup(vectors: DataFrame, cosine: float = COSINE, lists: int = LIS
     single, ids, classes = _classes(vectors, id_col, vector_col, label_col)
     most = classes.groupBy("label").count().agg(F.max("count")).first()[0] or 0
     bits = max(8, math.ceil(math.log2(max(most, 1) / 16)))
-    found = _join_filters(_filters(classes, bits, lists), cosine, group_rows)
+    found = _join_filters(_filters(classes, bits, lists, cosine), cosine, group_rows)
     degree = found.where("kind = 0").groupBy(F.col("a").alias("cid")).agg(F.sum("b").alias("more"))
     roots = components(found.where("kind = 1").select("a", "b"))
     rows = classes.select("cid", "copies", "least").join(degree, "cid", "left").join(

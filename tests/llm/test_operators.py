@@ -172,6 +172,33 @@ def test_spherical_dedup_against_brute_force(spark):
     assert spherical.spherical_dedup(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("bits", [8, 12, 16, 18])
+def test_filters_of_close_pairs_meet(spark, bits):
+    rng = np.random.default_rng(40 + bits)
+    n, cosine = 600, 0.9301
+    u, w = rng.standard_normal((2, n, 64))
+    u /= np.linalg.norm(u, axis=1, keepdims=True)
+    w -= (w * u).sum(axis=1, keepdims=True) * u
+    w /= np.linalg.norm(w, axis=1, keepdims=True)
+    vectors = np.concatenate([u, cosine * u + np.sqrt(1 - cosine ** 2) * w])
+    df = spark.createDataFrame([("a", i, 1, [float(x) for x in v]) for i, v in enumerate(vectors)],
+                               "label string, cid long, copies long, v array<double>")
+    held = [set() for _ in vectors]
+    for key, cid in spherical._filters(df, bits, spherical.LISTS).select("key", "cid").collect():
+        held[cid].add(key)
+    near = np.argwhere(np.triu(vectors @ vectors.T >= 0.93, 1))                  # brute force
+    assert len(near) >= n and min(map(len, held)) >= spherical.LISTS
+    assert sum(bool(held[i] & held[j]) for i, j in near) >= 0.99 * len(near)
+
+
+def test_directions_of_small_dimensions_and_wide_angles():
+    for dim in (1, 2, 3):
+        made = spherical.directions(dim, 8)
+        codes = made.decode(np.eye(dim))
+        assert all(len(set(c)) == len(c) for c in codes.tolist())
+    assert spherical.directions(64, 12, cosine=0.3).needed(0.3, 0.01) <= spherical.MOST_LISTS
+
+
 # ------------------------------------------------------------------ 6 quality
 def test_rule_ensemble(spark):
     good = [(i, prose(i, 60 + i % 40, 4000)) for i in range(300)]
