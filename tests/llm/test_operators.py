@@ -91,6 +91,18 @@ def test_host_suffix_array_against_brute_force(spark):
     assert html_text.extract_text(df.limit(0)).count() == 0
 
 
+def test_shards_of_a_host_add_up(spark):
+    notice = "Our shop is closed on public holidays and on every second Sunday of the month"
+    rows = [(i, f"http://big/{i}", f"<p>{prose(100 + i, 60)}</p>" + (f"<p>{notice}</p>" if i % 10 == 0 else "")) for i in range(40)]
+    rows += [(50 + i, f"http://other/{i}", f"<p>{notice}</p>") for i in range(2)]           # two pages: not shared there
+    want = {i: prose(100 + i, 60) for i in range(40)} | {50: notice, 51: notice}
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    for frame in (df.coalesce(1), df.repartition(7), df.orderBy(F.desc("page_id"))):
+        for shard_tokens in (100, 1000, 400_000):
+            out = html_text.extract_text(frame, shard_tokens=shard_tokens).collect()
+            assert {r["page_id"]: r["text"] for r in out} == want and len(out) == len(rows)
+
+
 # ------------------------------------------------------------------ 3 exact
 @pytest.mark.parametrize("digest", [exact.sha_digest, lambda body: F.encode(F.substring(body, 1, 1), "UTF-8")])
 def test_exact_dedup(spark, digest):
