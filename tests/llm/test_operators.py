@@ -103,6 +103,17 @@ def test_shards_of_a_host_add_up(spark):
             assert {r["page_id"]: r["text"] for r in out} == want and len(out) == len(rows)
 
 
+def test_runs_of_marked_pages_count_and_marks_only_protect(spark):
+    notice = "Our shop is closed on public holidays and on every second Sunday of the month"
+    rows = [(i, f"http://h/{i}", f"<div>{notice}</div><div>{prose(200 + i, 20)}</div><article><p>{prose(300 + i, 30)}</p>"
+             f"<p>{notice}</p></article>") for i in range(3)]
+    rows += [(3, "http://h/3", f"<p>{prose(203, 20)}</p><p>{notice}</p>"), (4, "http://h/4", f"<main>{notice}</main>"),
+             (5, "http://k/5", f"<main>{notice}</main><nav>n</nav>")]
+    out = html_text.extract_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    want = {i: f"{prose(200 + i, 20)}\n\n{prose(300 + i, 30)}\n\n{notice}" for i in range(3)}
+    assert {r["page_id"]: r["text"] for r in out} == want | {3: prose(203, 20), 4: notice, 5: notice} and len(out) == 6
+
+
 # ------------------------------------------------------------------ 3 exact
 @pytest.mark.parametrize("digest", [exact.sha_digest, lambda body: F.encode(F.substring(body, 1, 1), "UTF-8")])
 def test_exact_dedup(spark, digest):
