@@ -10,6 +10,9 @@ so suffixes are sorted in shards that equal windows are sure to share:
    gram occurs once in the corpus end the matter for their windows; that is most of them.
 3. For each repeated anchor, the windows that have it form one short piece of text. Equal pieces merge, first in
    the task that makes them, then in the shard that the gram's hash names; all but the first are repeated whole.
+   A gram whose pieces exceed a shard is split: its windows are dealt by the anchor's offset in them, ``STEPS``
+   offsets at a time, and by the bytes that all windows of such offsets hold, which equal windows share. The last
+   step deals single windows, which only merge; so what a task holds and sorts is bounded, however common a gram.
 4. Where one anchor has different pieces, their suffixes are sorted by external induced sorting (``induced.py``).
    Neighbours with a common prefix of ``window`` bytes are equal windows; all but the first are repeated.
 5. Repeated spans go back to their texts, are united and cut out.
@@ -37,6 +40,7 @@ from .induced import DEPTH, sort_suffixes
 WINDOW, GRAM = DEPTH, 32
 LAST = (1 << 63) - 1
 BUCKET_BYTES, SHARD_BYTES = 16 << 20, 3 << 20
+STEPS, HELD_SPANS = (9, 1), 200_000
 _UP = 0x9E3779B97F4A7C15
 
 
@@ -217,7 +221,8 @@ def _repeated_anchors(texts: DataFrame, window: int, gram: int, groups: int) ->
 
 
 def _pieces(texts: DataFrame, anchors: DataFrame, window: int, gram: int) -> DataFrame:
-    """Rows of two kinds: pieces (h, piece, k, o, start) and repeated spans (k, o, spans as binary int64 pairs).
+    """Rows of two kinds: pieces (h, piece, k, o, start, anchor), the last being the anchor's offset in the piece,
+    and repeated spans (k, o, spans as binary int64 pairs).
 
     Of equal pieces in one batch of texts, only the first in document order is sent; the others are spans."""
     rows = texts.join(anchors, "k").select("o", "k", "blob", "pos")
@@ -240,19 +245,73 @@ def _pieces(texts: DataFrame, anchors: DataFrame, window: int, gram: int) -> Dat
                         gone.append((s, e + window))
                     else:
                         seen.add(piece)
-                        made.append((int(h[p].view(np.int64)), piece, int(k[i]), int(o[i]), s))
+                        made.append((int(h[p].view(np.int64)), piece, int(k[i]), int(o[i]), s, p - s))
                 if gone:
                     spans.append((int(k[i]), int(o[i]), unite(np.array(gone, np.int64)).tobytes()))
-            n, m = len(made), len(spans)
-            none = lambda c: [None] * c
-            yield pa.RecordBatch.from_arrays([
-                pa.array([x[0] for x in made] + none(m), pa.int64()), pa.array([x[1] for x in made] + none(m), pa.binary()),
-                pa.array([x[2] for x in made] + [x[0] for x in spans], pa.int64()),
-                pa.array([x[3] for x in made] + [x[1] for x in spans], pa.int64()),
-                pa.array([x[4] for x in made] + none(m), pa.int64()), pa.array(none(n) + [x[2] for x in spans], pa.binary()),
-            ], ["h", "piece", "k", "o", "start", "spans"])
+            yield _piece_rows(made, spans)
 
-    return stored(rows.mapInArrow(cut, "h long, piece binary, k long, o long, start long, spans binary"), "pieces")
+    return stored(rows.mapInArrow(cut, PIECES), "pieces")
+
+
+def _split(pieces: DataFrame, step: int, window: int, gram: int) -> DataFrame:
+    """The rows of ``pieces`` dealt on: windows whose anchor has one of ``step`` neighbouring offsets, by the bytes
+    that such windows share. Of equal pieces in one batch only the first is sent, as above."""
+    def cut(batches):
+        for batch in batches:
+            h, piece, k, o, start, anchor = (batch.column(i).to_pylist() for i in range(6))
+            seen, made, spans = set(), [], {}
+            for i in sorted(range(len(h)), key=lambda i: (o[i], k[i], start[i])):
+                p, last = anchor[i], len(piece[i]) - window
+                for low in range((p - min(p, last)) // step * step, p + 1, step):       # offsets low to low + step - 1
+                    high = min(low + step, window - gram + 1) - 1
+                    a, b = max(0, p - high), min(last, p - low)
+                    if a > b:
+                        continue
+                    part = piece[i][a: b + window]
+                    shared = piece[i][p - low: p - high + window]
+                    name = hashlib.blake2b(b"%d %d " % (h[i], low) + shared, digest_size=8).digest()
+                    if (name, part) in seen:
+                        spans.setdefault((k[i], o[i]), []).append((start[i] + a, start[i] + b + window))
+                    else:
+                        seen.add((name, part))
+                        made.append((int.from_bytes(name, "big", signed=True), part, k[i], o[i], start[i] + a, p - a))
+            yield _piece_rows(made, [(*where, unite(np.array(v, np.int64)).tobytes()) for where, v in spans.items()])
+
+    return pieces.select("h", "piece", "k", "o", "start", "anchor").mapInArrow(cut, PIECES)
+
+
+PIECES = "h long, piece binary, k long, o long, start long, anchor int, spans binary"
+
+
+def _piece_rows(made: list[tuple], spans: list[tuple]) -> pa.RecordBatch:
+    """Pieces (h, piece, k, o, start, anchor) and spans (k, o, spans) as rows of ``PIECES``."""
+    n, m = len(made), len(spans)
+    none = lambda c: [None] * c
+    return pa.RecordBatch.from_arrays([
+        pa.array([x[0] for x in made] + none(m), pa.int64()), pa.array([x[1] for x in made] + none(m), pa.binary()),
+        pa.array([x[2] for x in made] + [x[0] for x in spans], pa.int64()),
+        pa.array([x[3] for x in made] + [x[1] for x in spans], pa.int64()),
+        pa.array([x[4] for x in made] + none(m), pa.int64()), pa.array([x[5] for x in made] + none(m), pa.int32()),
+        pa.array(none(n) + [x[2] for x in spans], pa.binary())], ["h", "piece", "k", "o", "start", "anchor", "spans"])
+
+
+def _bounded(pieces: DataFrame, window: int, gram: int, shard_bytes: int) -> tuple[DataFrame, int]:
+    """``pieces`` with the large grams split, and the bytes of all pieces. At most one gram a shard is large, so
+    their names are broadcast."""
+    done = None
+    for step in (*STEPS, None):
+        sizes = pieces.where("piece is not null").groupBy("h").agg(F.sum(F.octet_length("piece")).alias("size"))
+        total, large = sizes.agg(F.sum("size"), F.max("size")).first()
+        if step is None or (large or 0) <= shard_bytes:
+            break
+        names = F.broadcast(stored(sizes.where(F.col("size") > shard_bytes).select("h"), "large_grams"))
+        rest = pieces.join(names, "h", "left_anti")
+        done = rest if done is None else done.unionByName(rest)
+        pieces = stored(_split(pieces.join(names, "h", "left_semi"), step, window, gram), "parts")
+    if done is None:
+        return pieces, total or 0
+    pieces = done.unionByName(pieces)
+    return pieces, pieces.agg(F.sum(F.octet_length("piece"))).first()[0] or 0
 
 
 def repeated_windows(pieces: list[bytes], window: int = WINDOW) -> list[np.ndarray]:
@@ -282,55 +341,61 @@ def repeated_windows(pieces: list[bytes], window: int = WINDOW) -> list[np.ndarr
     return [where[edge[i]: edge[i + 1]] for i in range(len(pieces))]
 
 
-def _shard_spans(pieces: DataFrame, window: int, shard_bytes: int) -> DataFrame:
+def _shard_spans(pieces: DataFrame, total: int, window: int, shard_bytes: int) -> DataFrame:
     """(k, o, spans) found by sorting the shards."""
-    rows = pieces.where("piece is not null")
-    total = rows.agg(F.sum(F.octet_length("piece"))).first()[0] or 0
-    rows = rows.select("h", "piece", "k", "o", "start").repartition(max(1, -(-total // shard_bytes)), "h").sortWithinPartitions("h")
+    rows = pieces.where("piece is not null").select("h", "piece", "k", "o", "start")
+    rows = rows.repartition(max(1, -(-total // shard_bytes)), "h").sortWithinPartitions("h")
 
     def sort(batches):
         gone: dict[tuple[int, int], list] = {}
         different: list[tuple] = []
 
-        def settle(group):
-            """Pieces of one gram: equal ones merge, and if several differ, they go to the sorter."""
-            first: dict[bytes, tuple] = {}
-            for piece, k, o, start in group:
-                old = first.get(piece)
-                new = (o, k, start)
-                if old is not None:
-                    o, k, start = old if new < old else new
-                    gone.setdefault((k, o), []).append((start, start + len(piece)))
-                if old is None or new < old:
-                    first[piece] = new
+        first: dict[bytes, tuple] = {}                    # the pieces of one gram; equal ones merge
+
+        def settle():
+            """If several pieces of the gram differ, they go to the sorter."""
             if len(first) > 1:
                 different.extend((*where, piece) for piece, where in first.items())
+            first.clear()
 
         def flush():
             if different:
                 different.sort(key=lambda x: x[:3])
                 for (o, k, start, _), late in zip(different, repeated_windows([x[3] for x in different], window)):
                     if len(late):
-                        spans = unite(np.stack([late, late + window], axis=1).astype(np.int64)) + start
-                        gone.setdefault((k, o), []).extend(map(tuple, spans.tolist()))
+                        found = unite(np.stack([late, late + window], axis=1).astype(np.int64)) + start
+                        gone.setdefault((k, o), []).extend(map(tuple, found.tolist()))
                 different.clear()
+            return spans()
+
+        def spans():
             out = [(k, o, unite(np.array(v, np.int64)).tobytes()) for (k, o), v in gone.items()]
             gone.clear()
             return pa.RecordBatch.from_arrays([pa.array([x[j] for x in out], t) for j, t in enumerate(
                 (pa.int64(), pa.int64(), pa.binary()))], ["k", "o", "spans"])
 
-        name, group, size = None, [], 0
+        name, size, merged = None, 0, 0
         for batch in batches:
             for h, piece, k, o, start in zip(*(c.to_pylist() for c in batch.columns)):
                 if h != name:
-                    settle(group)
-                    if size > 2 * shard_bytes:            # a shard may be cut between grams
+                    settle()
+                    if size > 2 * shard_bytes or merged > HELD_SPANS:     # a shard may be cut between grams
                         yield flush()
-                        size = 0
-                    name, group = h, []
-                group.append((piece, k, o, start))
-                size += len(piece)
-        settle(group)
+                        size = merged = 0
+                    name = h
+                old, new = first.get(piece), (o, k, start)
+                if old is None:
+                    size += len(piece)
+                else:
+                    o, k, start = old if new < old else new
+                    gone.setdefault((k, o), []).append((start, start + len(piece)))
+                    merged += 1
+                    if merged > HELD_SPANS:               # spans may go at any time
+                        yield spans()
+                        merged = 0
+                if old is None or new < old:
+                    first[piece] = new
+        settle()
         yield flush()
 
     return rows.mapInArrow(sort, "k long, o long, spans binary")
@@ -375,7 +440,8 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, buck
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // bucket_bytes))
     texts = _unique_texts(docs, window, parts)
     pieces = _pieces(texts, _repeated_anchors(texts, window, gram, parts), window, gram)
-    spans = _shard_spans(pieces, window, shard_bytes).unionByName(pieces.where("spans is not null").select("k", "o", "spans"))
+    pieces, size = _bounded(pieces, window, gram, shard_bytes)
+    spans = _shard_spans(pieces, size, window, shard_bytes).unionByName(pieces.where("spans is not null").select("k", "o", "spans"))
     changed = _cut_texts(texts, spans)
     firsts = base.groupBy("sha").agg(F.min(F.coalesce("doc_id", F.lit(LAST))).alias("first"))
     rows = base.join(firsts, "sha").join(changed, "sha", "left")

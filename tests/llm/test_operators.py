@@ -302,6 +302,23 @@ def test_suffix_dedup_against_brute_force(spark):
     assert suffix.remove_repeats(docs_frame(spark, rows).limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("length", [45, 70, 99])
+def test_sorted_shards_stay_bounded_with_a_phrase_in_most_documents(spark, length):
+    phrase = prose(500, 60)[:length]
+    rows = [(i, f"{prose(600 + i, 25)}{phrase}{prose(700 + i // 2, 25)}") for i in range(300)]
+    rows += [(300 + i, rows[i][1] + " tail") for i in range(0, 60, 7)]
+    shard, want = 1500, removed_by_brute_force(rows)
+    out = {r["doc_id"]: tuple(r)[1:] for r in suffix.remove_repeats(docs_frame(spark, rows), shard_bytes=shard).collect()}
+    assert out == want
+    texts = suffix._unique_texts(docs_frame(spark, rows).select("doc_id", "text"), 100, 4)
+    pieces = suffix._pieces(texts, suffix._repeated_anchors(texts, 100, 32, 4), 100, 32)
+    whole = pieces.groupBy("h").agg(F.sum(F.octet_length("piece"))).agg(F.max("sum(octet_length(piece))")).first()[0]
+    parts, _ = suffix._bounded(pieces, 100, 32, shard)
+    apart = [list(g) for g in parts.where("piece is not null").groupBy("h").agg(
+        F.sum(F.octet_length("piece")), F.collect_set("piece")).toLocalIterator()]
+    assert whole > shard and all(size <= shard or len(set(map(bytes, distinct))) == 1 for _, size, distinct in apart)
+
+
 # ------------------------------------------------------------------ 8 unigram
 def test_trie_counts_against_every_segmentation():
     scores = {"▁": -3.0, "a": -2.0, "b": -2.5, "ab": -2.6, "▁a": -2.2, "ba": -3.9, "aba": -4.0, "bb": -5.0}
