@@ -67,6 +67,15 @@ def test_html_blocks():
     assert html_text.page_blocks("<!-- x") == [] and html_text.page_blocks("<p>x</div></p>y") == [(1, "x"), (1, "y")]
 
 
+def test_tags_are_read_to_their_end():
+    data = "x>y 'z' " * 5000
+    assert html_text.page_blocks(f'<article data-json="{data}"><p>a</p></article>') == [(2, "a")]
+    assert html_text.page_blocks(f'<div data-json="{data}" class="ad">no</div><p>b') == [(0, "no"), (1, "b")]
+    assert html_text.page_blocks(f'<div title={"t" * 9000} hidden>no</div><p data-a=\'{data.replace("'", "")}\'>c') == [(0, "no"), (1, "c")]
+    assert html_text.page_blocks('<p data-class="ad" class=x>d</p><p title="e>f</p>') == [(1, "d"), (1, "f")]
+    assert html_text.page_blocks("<p a='" * 20_000) == [] and html_text.page_blocks('<p a="x' + "<p>y" * 50_000)[0] == (1, "y")
+
+
 def test_host_suffix_array_against_brute_force(spark):
     rnd = random.Random(5)
     pages = [[rnd.randrange(4) for _ in range(rnd.randrange(0, 60))] for _ in range(9)]
