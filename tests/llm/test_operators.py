@@ -251,6 +251,29 @@ def test_rule_ensemble(spark):
     assert one.count() == 0
 
 
+def test_all_paths_of_all_trees_become_rules():
+    class Tree:
+        def __init__(self, feature):
+            self.toDebugString, at = "", iter(range(99))
+
+            def grow(depth):
+                cut = f"(feature {feature} %s {next(at)}.0)"
+                for word, sign in (("If", "<="), ("Else", ">")):
+                    self.toDebugString += "  " + " " * depth + f"{word} {cut % sign}\n"
+                    if depth < rules.TREE_DEPTH - 1:
+                        grow(depth + 1)
+                    else:
+                        self.toDebugString += "  " + " " * (depth + 1) + "Predict: 0.0\n"
+
+            grow(0)
+
+    class Forest:
+        trees = [Tree(i) for i in range(rules.TREES)]
+
+    found = rules.tree_rules(Forest)
+    assert len(found) == len(set(found)) == 168 and {r[0][0] for r in found} == set(range(rules.TREES))
+
+
 # ------------------------------------------------------------------ 7 suffixes
 def removed_by_brute_force(rows, window=100):
     seen, out = set(), {}
