@@ -144,26 +144,28 @@ def publish_gate(spark, sf_dir):
     return out
 
 
-def _report_texts(spark, sf_dir):
-    """Customers by nation as report files: a preamble, a header, quoted cells and short rows; and as run
-    summaries with a lane block."""
+REPORT_KEYS = 25_000        # customer keys whose rows of one nation share a report file
+
+
+def _report_texts(spark, sf_dir, keys=REPORT_KEYS):
+    """Customers by nation and block of keys as report files: a preamble, a header, quoted cells and short rows."""
     c = read_table(spark, sf_dir, "customer")
     row = F.concat(F.lit("s"), F.col("c_custkey").cast("string"), F.lit(","), F.col("c_name"), F.lit(',"'),
                    (F.col("c_custkey") * 1000).cast("string"), F.lit(',x"'),
                    F.when(F.col("c_custkey") % 4 == 0, F.lit("")).otherwise(F.lit(",9")))
-    body = c.groupBy("c_nationkey").agg(F.array_sort(F.collect_list(F.struct("c_custkey", row.alias("row")))).alias("rows"))
+    body = c.groupBy("c_nationkey", F.floor(F.col("c_custkey") / keys).alias("block")).agg(F.array_sort(F.collect_list(F.struct("c_custkey", row.alias("row")))).alias("rows"))
     return body.select(
-        F.concat(F.lit("n"), F.col("c_nationkey").cast("string")).alias("path"),
+        F.concat(F.lit("n"), F.col("c_nationkey").cast("string"), F.lit("/"), F.col("block").cast("string")).alias("path"),
         F.concat(F.lit("made by a tool\n\nGT_QC_Sample_ID,Sample_Name,Reads,Q\n"),
                  F.array_join(F.transform("rows", lambda r: r["row"]), "\n"), F.lit("\n")).alias("text"))
 
 
 @register("report_rows")
 def report_rows_q(spark, sf_dir):
-    """S5 + F5 + C4: rows under the header of preamble reports, by column name."""
+    """S5 + F5 + C4: rows under the header of preamble reports, by column name; ``path`` is the nation's folder."""
     rep = reports.report_rows(_report_texts(spark, sf_dir), ["GT_QC_Sample_ID"])
     h, c = F.col("header"), clean.pad_array(F.col("cells"), F.size("header"))
-    return rep.select("path", reports.cell(h, c, "GT_QC_Sample_ID").alias("sample"),
+    return rep.select(F.substring_index("path", "/", 1).alias("path"), reports.cell(h, c, "GT_QC_Sample_ID").alias("sample"),
                       clean.strip_inner_commas(reports.cell(h, c, "Reads")).alias("reads"), reports.cell(h, c, "Q").alias("q"))
 
 

@@ -43,3 +43,21 @@ def test_register_then_remove_keeps_groups(spark):
     reg = registry.add_users(reg, spark.createDataFrame([("g1", "u", 1)], "grp string, user string, pos bigint"))
     reg = registry.remove_users(reg, spark.createDataFrame([("g1", "u"), ("g2", "v")], "grp string, user string"))
     assert sorted(r["grp"] for r in registry.export_registry(reg).collect()) == ["g1", "g2"]
+
+
+def test_report_files_grow_with_the_table(spark):
+    """report_rows: a file holds the customers of one nation and a bounded block of keys, and no row is lost."""
+    import os
+    import tempfile
+
+    from metricyard.plans import catalog_runs
+
+    folder = tempfile.mkdtemp(prefix="metricyard-test-")
+    rows = [(k, f"Customer#{k}", 3 if k % 3 == 0 else k % 25) for k in range(1, 301)]          # nation 3 is hot
+    spark.createDataFrame(rows, "c_custkey long, c_name string, c_nationkey int").write.parquet(
+        os.path.join(folder, "customer.parquet"))
+    files = catalog_runs._report_texts(spark, folder, keys=50).collect()
+    assert len(files) > 25 and max(f["text"].count("\n") - 3 for f in files) <= 50
+    assert len({f["path"] for f in files}) == len(files)
+    out = sorted(map(tuple, catalog_runs.report_rows_q(spark, folder).collect()))
+    assert out == sorted((f"n{n}", f"s{k}", f"{k * 1000}x", None if k % 4 == 0 else "9") for k, _, n in rows)
