@@ -235,14 +235,15 @@ def test_directions_of_small_dimensions_and_wide_angles():
 def test_rule_ensemble(spark):
     good = [(i, prose(i, 60 + i % 40, 4000)) for i in range(300)]
     bad = [(1000 + i, " ".join(f"WORD{i}!!" for _ in range(30 + i % 50))) for i in range(150)]
-    df = docs_frame(spark, good + bad + EDGE)
-    labels = spark.createDataFrame([(i, 1, 0) for i, _ in good] + [(i, 0, 0) for i, _ in bad] + [(None, 0, 0), (3, None, 0)],
+    edge = [(i and 5000 + i, t) for i, t in EDGE]         # ids of their own: no label, no good document
+    df = docs_frame(spark, good + bad + edge)
+    labels = spark.createDataFrame([(i, 1, 0) for i, _ in good] + [(i, 0, 0) for i, _ in bad] + [(None, 0, 0), (5003, None, 0)],
                                    "doc_id long, quality int, toxic int")
     model = rules.fit_rules(df, labels)
     assert model["rules"]
     out = {r["__doc"]["doc_id"]: r for r in rules.score_documents(df, model).collect()}
     assert all(out[i]["predicted"] == 1 for i, _ in good) and all(out[i]["predicted"] == 0 for i, _ in bad)
-    assert all(0 <= r["score"] <= 1 for r in out.values()) and out[1]["score"] == out[2]["score"]
+    assert all(0 <= r["score"] <= 1 for r in out.values()) and out[5001]["score"] == out[5002]["score"]
     held = {r["doc_id"]: r["x"] for r in df.select("doc_id", rules.held_out().alias("x")).collect()}
     assert all(x == (i is not None and zlib.crc32(str(i).encode()) % 5 == 0) for i, x in held.items())
     assert not [r for r in rules.training_rows(df, labels).collect() if zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0]
