@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import corpus_pipeline
 
+from .alignment import op13_pair_bitmaps
 from .chat import OP1_SQL, op1_chat_format
 from .exact import OP3_SQL, op3_exact_dedup
 from .html_text import op2_html_text
@@ -18,6 +19,7 @@ from .unigram import op8_token_counts
 
 QUERIES = {f.__name__: f for f in (op1_chat_format, op2_html_text, op3_exact_dedup, op4_length_buckets,
                                    op5_spherical_dedup, op6_rule_quality, op7_suffix_dedup, op8_token_counts,
-                                   op9_jaccard_join, op10_mix_sources, op11_rule_ledger)}
+                                   op9_jaccard_join, op10_mix_sources, op11_rule_ledger,
+                                   op13_pair_bitmaps)}
 QUERIES["pipeline"] = corpus_pipeline.run
 ORACLE = {"op1_chat_format": OP1_SQL, "op3_exact_dedup": OP3_SQL, "op11_rule_ledger": OP11_SQL}
