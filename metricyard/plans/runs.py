@@ -21,6 +21,7 @@ from ..operators import enrich, incremental, marts, merge, sinks
 from ..operators.joins import null_safe_on
 from ..session import cut_lineage
 from ..sources import files
+from ..sources.listing import list_tree
 from ..sources.tables import (glob_paths, read_evolving, read_version, row_count_or_zero, table_or_empty,
                               write_version)
 from . import collectors
@@ -82,8 +83,8 @@ def run_collector(spark: SparkSession, roots: Sequence[str], application: str, w
     plan = scan_plan(spark, application, warehouse, run_date)
     where = list(roots) + (list(archive_roots) if plan["scope"] in ("archive", "all") else [])
     undelivered = allow_undelivered or bool(archive_roots) and plan["allow_undelivered"]
-    listing = cut_lineage(files.list_files(spark, where))
-    projects = files.list_projects(listing, application)
+    tree = cut_lineage(list_tree(spark, where))
+    listing, projects = files.only_files(tree), files.list_projects(tree, application)
     if application in fixed.SETTINGS_APPLICATIONS:       # S2: also found by what their settings say
         parents = listing.select(clean.parent_dir(F.col("path")).alias("d"))
         parents = parents.select(F.explode(F.array("d", clean.parent_dir(F.col("d")), clean.parent_dir(

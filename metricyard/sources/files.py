@@ -2,12 +2,11 @@
 
 Listing and reading are Spark jobs over path DataFrames:
 
-* visible files are listed by Spark's own file index (``binaryFile`` with the
-  content column pruned) and read with the text source;
+* folders are listed by the ``folder_tree`` data source (``listing.py``), by tasks, with literal names;
 * bodies of chosen files, hidden ones among them (the settings file and the ONT instrument
-  file, which Spark's file index skips), are read by executors from a DataFrame of paths with
-  ``mapInPandas``, so that no path list passes through the driver. It needs the paths to be
-  reachable as files from the executors (a shared file system, as the project folders are).
+  file), are read by executors from a DataFrame of paths with ``mapInPandas``, so that no path
+  list passes through the driver. It needs the paths to be reachable as files from the executors
+  (a shared file system, as the project folders are).
 """
 
 from __future__ import annotations
@@ -19,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import clean, fixed
-from .tables import glob_paths
+from .listing import list_tree
 
 
 READ_BATCH = 64          # bodies that a task hands on at a time
@@ -29,36 +28,27 @@ def _local(path: str) -> str:
     return path[len("file:"):] if path.startswith("file:") else path
 
 
-def expand_roots(spark: SparkSession, roots: Sequence[str]) -> list[str]:
-    """First-level entries of each root, folders and files alike (hidden ones skipped).
+def list_files(spark: SparkSession, roots: Sequence[str]) -> DataFrame:
+    """All files under the roots, hidden ones among them: ``(root, path, length, modificationTime)``."""
+    return only_files(list_tree(spark, roots))
 
-    Handed many folders instead of one root, Spark's file index lists them with a distributed
-    listing job (above ``spark.sql.sources.parallelPartitionDiscovery.threshold`` paths) rather
-    than walking one deep tree on the driver. A root without entries is kept as it is."""
-    out: list[str] = []
-    for root in roots:
-        entries = [p for p in glob_paths(spark, f"{root.rstrip('/')}/*") if not p.rsplit("/", 1)[1].startswith((".", "_"))]
-        out.extend(sorted(entries) or [root])
-    return out
 
-
-def list_files(spark: SparkSession, roots: Sequence[str], glob: str | None = None) -> DataFrame:
-    """All visible files under the roots: ``(path, length, modificationTime)``; no content is read
-    (the binaryFile source prunes the content column)."""
-    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-    if glob:
-        reader = reader.option("pathGlobFilter", glob)
-    return reader.load(expand_roots(spark, roots)).select(F.regexp_replace("path", "^file:", "").alias("path"),
-                                                   "length", "modificationTime")
+def only_files(tree: DataFrame) -> DataFrame:
+    return tree.filter(~F.col("is_dir")).drop("is_dir")
 
 
 def list_projects(listing: DataFrame, application: str) -> DataFrame:
-    """Folders named exactly like the application (found through the files inside them),
-    exact duplicates removed. Path parts are compared as they are, not as a pattern."""
-    parts = F.split("path", "/")
-    at = F.array_position(F.slice(parts, 1, F.size(parts) - 1), application).cast("int")
-    dirs = listing.withColumn("_at", at).filter(F.col("_at") > 0).select(
-        F.array_join(F.slice(parts, F.lit(1), F.col("_at")), "/").alias("project_dir"))
+    """Every folder below a root that is named exactly like the application, at any depth, also inside
+    another one. Names are compared as they are, not as a pattern, and the root's own path does not count. A tree
+    has the folders themselves; a listing of files shows those that hold files, at every matching level."""
+    if "is_dir" in listing.columns:
+        dirs = listing.filter(F.col("is_dir") & (clean.base_name(F.col("path")) == application)).select(F.col("path").alias("project_dir"))
+    else:
+        parts = F.split("path", "/")
+        above = F.size(F.split("root", "/"))
+        levels = F.filter(F.sequence(F.lit(1), F.size(parts) - 1), lambda i: (i > above) & (F.get(parts, i - 1) == application))
+        dirs = listing.select(parts.alias("parts"), F.explode(levels).alias("at")).select(
+            F.array_join(F.slice("parts", F.lit(1), F.col("at")), "/").alias("project_dir"))
     return dirs.distinct().withColumn("application", F.lit(application))
 
 
