@@ -45,8 +45,9 @@ def new_rows_if_absent(target: DataFrame, batch: DataFrame, key: Sequence[str],
     keys are measured. When they fit the broadcast threshold, the stored keys that collide with
     the batch are found by a left-semi join of the *target* against the broadcast keys, so the
     target is only scanned (and partition-pruned), never shuffled, and the batch is anti-joined
-    with that small collision set. Otherwise one grouped pass over both sides decides. Both
-    ways keep the batch row that comes first in ``order_col``.
+    with that small collision set. A larger stored batch sends a Bloom filter of its keys to the target
+    instead, and one grouped pass over the batch and the few target rows that pass it decides. A batch that is
+    not stored meets the whole target in that pass. All ways keep the batch row that comes first in ``order_col``.
     """
     key = list(key)
     b = dedupe(batch, key, order_col)
@@ -57,7 +58,27 @@ def new_rows_if_absent(target: DataFrame, batch: DataFrame, key: Sequence[str],
     if batch_stored and fits_broadcast(bk):
         hits = t.join(F.broadcast(bk), null_safe_on(t, bk, tk, [f"_b_{c}" for c in key]), "left_semi")
         return b.join(hits, null_safe_on(b, hits, key, tk), "left_anti").select(*batch.columns)
-    return _new_rows_by_aggregate(scoped, batch, key, order_col)
+    return _new_rows_by_aggregate(likely_in(scoped, batch, key) if batch_stored else scoped, batch, key, order_col)
+
+
+BLOOM_BITS = 1 << 26          # at most; as words of 64 bits, a broadcast of at most 2 ** 20 rows of two longs
+
+
+def likely_in(target: DataFrame, batch: DataFrame, key: Sequence[str], most_bits: int = BLOOM_BITS) -> DataFrame:
+    """Rows of ``target`` whose key may be in ``batch``: all that are, and of the others about one in sixteen, or
+    more once the batch has more than ``most_bits`` / 16 keys. The filter sets one bit for each key hash (NULLs hash alike) and
+    is broadcast as (word, bits); its size is bounded by ``most_bits``, whatever the batch. The target is scanned where it lies."""
+    n = batch.count()
+    bits = 1 << max(10, min(most_bits.bit_length() - 1, (16 * max(n, 1) - 1).bit_length()))
+
+    def place(df):
+        return F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in key]), F.lit(bits).cast("long"))
+
+    words = (batch.select(place(batch).alias("p")).select(F.shiftright("p", 6).alias("_w"), (F.col("p") % 64).cast("int").alias("b"))
+                  .groupBy("_w").agg(F.bit_or(F.expr("1L << b")).alias("_bits")))
+    t = target.withColumn("_p", place(target)).withColumn("_w", F.shiftright("_p", 6))
+    kept = t.join(F.broadcast(words), "_w").filter(F.expr("(_bits >> CAST(_p % 64 AS INT)) & 1L = 1L"))
+    return kept.select(*target.columns)
 
 
 def _new_rows_by_aggregate(target: DataFrame, batch: DataFrame, key: Sequence[str], order_col: str | None) -> DataFrame:

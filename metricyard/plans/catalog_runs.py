@@ -7,8 +7,11 @@ from pyspark.sql import functions as F
 
 from ..functions import clean
 from ..operators import incremental, marts, merge, registry, sinks, triage
+from ..operators.keyindex import KeyIndex
+from ..session import cut_lineage
 from ..sources import delimited, files, reports
-from ..sources.tables import read_table, read_version, write_version
+from ..sources.listing import changed_files, list_tree
+from ..sources.tables import read_evolving, read_table, read_version, write_version
 from ..streaming.jobs import scratch_dir
 from .catalog import register
 
@@ -177,3 +180,58 @@ def run_identity_q(spark, sf_dir):
     text = F.concat(F.lit("Run Summary\nFlowCellID,Date, MachineID \n"), flow, F.lit(",2024,M"), F.col("s_nationkey").cast("string"),
                     F.lit("\nFC9,2024,M9\n"))
     return reports.run_identity(s.select(F.col("s_suppkey").alias("path"), text.alias("text")))
+
+
+@register("project_listing")
+def project_listing(spark, sf_dir):
+    """S1 + S3: customers written as folders by nation and segment; the tree is listed by tasks, and the folders of
+    one name are found with the number of files in each."""
+    root = scratch_dir(spark, "listing")
+    c = read_table(spark, sf_dir, "customer").select("c_nationkey", "c_mktsegment", F.col("c_custkey").cast("string").alias("value"))
+    c.repartition("c_nationkey", "c_mktsegment").write.partitionBy("c_nationkey", "c_mktsegment").text(f"{root}/c_mktsegment=BUILDING")
+    tree = cut_lineage(list_tree(spark, [root]))
+    projects = files.list_projects(tree, "c_mktsegment=BUILDING")
+    held = files.find_reports(files.only_files(tree), ".txt").withColumn("report", F.lit(True))
+    out = projects.join(held, "project_dir", "left").select(
+        F.substring(F.col("project_dir"), F.length(F.lit(root)) + 2, 1 << 20).alias("folder"), F.coalesce("report", F.lit(False)).alias("report"))
+    return out
+
+
+@register("digest_append")
+def digest_append(spark, sf_dir):
+    """M3 + O7 by row digests: suppliers are stored, then customers and the suppliers again, twice; each run
+    appends files, with its own columns, and the table is read with the union of all schemas."""
+    s = read_table(spark, sf_dir, "supplier").select(
+        F.col("s_name").alias("name"), F.col("s_nationkey").alias("nationkey"), F.col("s_acctbal").alias("acctbal"))
+    c = read_table(spark, sf_dir, "customer").select(
+        F.col("c_name").alias("name"), F.col("c_nationkey").alias("nationkey"), F.col("c_mktsegment").alias("segment"))
+    path = f"{scratch_dir(spark, 'digest_append')}/table"
+    index = KeyIndex(spark, path).ensure()
+    for batch in (s, c.unionByName(s, allowMissingColumns=True), c):
+        index.append(cut_lineage(batch))
+    return read_evolving(spark, path, "name string").select("name", "nationkey", "acctbal", "segment")
+
+
+@register("stream_changed")
+def stream_changed(spark, sf_dir):
+    """T2's source: customers as folders by nation, the even nations first; the stream of changed files is read, the
+    odd ones are written and one even one again, and the stream goes on where it stopped. Files come once, the edited ones twice."""
+    root = scratch_dir(spark, "changed")
+    c = read_table(spark, sf_dir, "customer").select("c_nationkey", F.col("c_custkey").cast("string").alias("value"))
+
+    def write(which, mode):
+        c.filter(which).repartition("c_nationkey").write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy(
+            "c_nationkey").text(f"{root}/in")
+
+    def take():
+        seen = changed_files(spark, [f"{root}/in"], "*.txt", settle=0).select("path")
+        q = seen.writeStream.foreachBatch(lambda b, _: b.write.mode("append").parquet(f"{root}/seen")).option(
+            "checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start()
+        q.awaitTermination()
+
+    write("c_nationkey % 2 = 0", "append")
+    take()
+    write("c_nationkey % 2 = 1 OR c_nationkey = 4", "overwrite")
+    take()
+    nation = F.regexp_extract("path", r"c_nationkey=(\d+)", 1).cast("int")
+    return spark.read.schema("path string").parquet(f"{root}/seen").groupBy(nation.alias("c_nationkey")).agg(F.count("*").alias("times"))

@@ -78,3 +78,19 @@ ORACLE["run_identity"] = """
 SELECT s_suppkey AS path, 'M' || s_nationkey AS "MachineID",
        CASE WHEN s_suppkey % 3 = 0 THEN NULL ELSE 'FC' || s_suppkey END AS "FlowCellID" FROM supplier
 """
+
+ORACLE["project_listing"] = """
+SELECT 'c_mktsegment=BUILDING' AS folder, false AS report
+UNION ALL SELECT DISTINCT 'c_mktsegment=BUILDING/c_nationkey=' || c_nationkey || '/c_mktsegment=BUILDING', true
+FROM customer WHERE c_mktsegment = 'BUILDING'
+"""
+
+ORACLE["digest_append"] = """
+SELECT DISTINCT * FROM (
+  SELECT s_name AS name, s_nationkey AS nationkey, s_acctbal AS acctbal, NULL::VARCHAR AS segment FROM supplier
+  UNION ALL SELECT c_name, c_nationkey, NULL::DOUBLE, c_mktsegment FROM customer)
+"""
+
+ORACLE["stream_changed"] = """
+SELECT DISTINCT c_nationkey, CASE WHEN c_nationkey = 4 THEN 2 ELSE 1 END::BIGINT AS times FROM customer
+"""

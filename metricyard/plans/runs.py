@@ -23,7 +23,7 @@ from ..session import cut_lineage
 from ..sources import files
 from ..sources.listing import list_tree
 from ..sources.tables import (glob_paths, read_evolving, read_version, row_count_or_zero, table_or_empty,
-                              write_version)
+                              versions, write_version)
 from . import collectors
 
 SHORT_SCHEMA = ", ".join(f"`{c}` string" for c in fixed.SHORT_READ_COLUMNS)
@@ -141,8 +141,9 @@ def run_projects(spark: SparkSession, listing: DataFrame, projects: DataFrame, a
         target_path = table_path(warehouse, "qc_illumina_metrics")
         target = table_or_empty(spark, target_path, SHORT_SCHEMA)
         before = row_count_or_zero(spark, target_path)
-        new = cut_lineage(merge.new_rows_if_absent(target, rows, fixed.SHORT_READ_KEY,
-                                                   partition_cols=("Application",), batch_stored=True))
+        # of rows with one key, which then differ in their status alone, always the same one is stored
+        new = cut_lineage(merge.new_rows_if_absent(target, rows, fixed.SHORT_READ_KEY, partition_cols=("Application",),
+                                                   order_col="ProjStatus", batch_stored=True))
         sinks.write_clustered(new, target_path)           # K5: per application, sorted for skipping
         added = new.count()
 
@@ -246,10 +247,11 @@ def run_status_update(spark: SparkSession, table_path_: str, run_type: str, expo
 def run_speciesid(spark: SparkSession, roots: Sequence[str], warehouse: str, run_date: str | None = None) -> dict:
     """Species-id collector run: S3 -> J1 (+T6) -> F12 -> F1 -> M3 -> K3/K6/K7.
 
-    The stored table is all text; new rows are unioned by name with the stored ones and full
-    duplicates dropped. A new table version (and a dated backup) is written only when the row
-    count grew; failed projects go to the failed ledger and are retried next run."""
-    from ..operators import merge as m
+    The stored table is all text; new rows join the stored ones by name and full duplicates are dropped. What is
+    stored is known by the digests of its rows (``KeyIndex``, M3), so a run appends files and reads no history.
+    A dated backup is written only when the row count grew; failed projects go to the failed ledger and are
+    retried next run."""
+    from ..operators.keyindex import KeyIndex
     run_date = run_date or dt.date.today().isoformat()
     listing = cut_lineage(files.list_files(spark, roots))
     found = files.find_reports(listing, "_QCreport.speciesid.csv")   # S3
@@ -263,12 +265,13 @@ def run_speciesid(spark: SparkSession, roots: Sequence[str], warehouse: str, run
     wide = rows.select("Investigator_Folder", "Project_run_type", "FlowcellID",
                        *[cell(F.col("header"), F.col("cells"), n).alias(n) for n in sorted(names)])
     current = table_path(warehouse, "speciesid_metrics/current")
-    stored = read_version(spark, current, "Investigator_Folder string, Project_run_type string, FlowcellID string")
-    merged = cut_lineage(m.append_distinct_all(stored, wide))
-    before, after = stored.count(), merged.count()
+    table = f"{current}/v={max(versions(spark, current), default=1)}"
+    index = KeyIndex(spark, table).ensure()
+    before = index.digests().count()
+    after = before + index.append(cut_lineage(wide))
     if after > before:
+        merged = read_evolving(spark, table, "Investigator_Folder string")
         sinks.snapshot(merged, table_path(warehouse, "speciesid_metrics/backups"), run_date)
-        write_version(merged, current)
         sinks.export_csv(merged, table_path(warehouse, "speciesid_metrics/csv"))
     done = (todo.select("project_dir").join(failed.select("project_dir"), "project_dir", "left_anti")
                 .withColumn("application", F.lit("speciesid")).withColumn("run_date", F.lit(run_date)))

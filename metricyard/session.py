@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark import SparkConf
 from pyspark.sql import SparkSession
@@ -70,13 +71,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(df):
-    """Reliable checkpoint into the shared checkpoint folder (survives executor loss).
-
-    The frame is persisted while the checkpoint is written so that its plan runs once (a bare
-    checkpoint computes it for the count and again for the checkpoint files)."""
-    from pyspark import StorageLevel
-    ensure_checkpoint_dir(df.sparkSession)
-    held = df.persist(StorageLevel.MEMORY_AND_DISK)
-    out = held.checkpoint(eager=True)
-    held.unpersist()
-    return out
+    """``df`` written as Parquet into the shared checkpoint folder and read back: its plan runs once, lineage ends
+    there, later reads take only the columns they need, and a lost executor costs no recomputation."""
+    folder = ensure_checkpoint_dir(df.sparkSession)
+    path = f"{folder.rstrip('/')}/tables/{uuid.uuid4().hex}"
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

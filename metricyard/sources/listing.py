@@ -16,15 +16,17 @@ from the executors (a shared file system), as for the readers of bodies.
 
 from __future__ import annotations
 
+import fnmatch
 import json
 import os
+import time
 import zlib
 from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
 
 BUDGET = 200_000          # entries that a share lists before it hands folders back
 PER_SHARE = 8             # folders to deal out for each share, if the tree has as many
@@ -152,8 +154,50 @@ class FolderReader(DataSourceReader):
         yield from walk([(r, r) for r in self.roots], self.budget, mine)
 
 
+class Interval(Share):
+    """A share of a tree, and the modification times (microseconds, the first excluded) that it reports."""
+
+    def __init__(self, share: Share, after: int, until: int):
+        super().__init__(share.number, share.shares, share.depth)
+        self.after, self.until = after, until
+
+
+class ChangedFiles(DataSourceStreamReader, FolderReader):
+    """Files whose modification time lies in the interval of a micro-batch, so an edited file comes again. The offset
+    is a time, ``settle`` seconds behind the clock; the driver lists nothing, and the tasks walk the tree once for each
+    micro-batch. A repeated batch has the same interval: a file edited meanwhile moves to a later one, none is lost.
+    Files moved in with an older time are left to the batch collector."""
+
+    def __init__(self, options):
+        FolderReader.__init__(self, {**options, "budget": str(1 << 62)})
+        self.pattern = options.get("pattern", "*")
+        self.settle = float(options.get("settle", "2"))
+
+    def initialOffset(self):
+        return {"until": 0}
+
+    def latestOffset(self):
+        return {"until": int((time.time() - self.settle) * 1e6)}
+
+    def partitions(self, start, end):
+        return [Interval(s, start["until"], end["until"]) for s in FolderReader.partitions(self)]
+
+    def read(self, interval):
+        from pyarrow import compute as pc
+        for batch in FolderReader.read(self, interval):
+            names = [not d and fnmatch.fnmatchcase(os.path.basename(p), self.pattern)
+                     for p, d in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())]
+            at = pc.cast(batch.column(5), pa.int64())
+            inside = pc.and_(pc.greater(at, interval.after), pc.less_equal(at, interval.until))
+            yield batch.filter(pc.and_(pa.array(names, pa.bool_()), inside))
+
+    def commit(self, end):
+        pass
+
+
 class FolderTree(DataSource):
-    """Options: ``roots`` (JSON list), ``shares`` (tasks), ``budget`` (entries of a share before it hands back)."""
+    """Options: ``roots`` (JSON list), ``shares`` (tasks), ``budget`` (entries of a share before it hands back); for a
+    stream of changed files also ``pattern`` (of file names) and ``settle`` (seconds)."""
 
     @classmethod
     def name(cls):
@@ -165,6 +209,9 @@ class FolderTree(DataSource):
     def reader(self, schema):
         return FolderReader(self.options)
 
+    def streamReader(self, schema):
+        return ChangedFiles(self.options)
+
 
 def list_tree(spark: SparkSession, roots: Sequence[str], shares: int | None = None, budget: int = BUDGET) -> DataFrame:
     """``(root, path, is_dir, length, modificationTime)`` of everything below the roots, the roots themselves left out."""
@@ -175,13 +222,32 @@ def list_tree(spark: SparkSession, roots: Sequence[str], shares: int | None = No
     where = sorted({local(r).rstrip("/") or "/" for r in roots})
     rows = cut_lineage(spark.read.format("folder_tree").option("roots", json.dumps(where)).option("shares", str(shares))
                        .option("budget", str(budget)).load())
-
-    def again(batches):
-        for batch in batches:
-            yield from walk(list(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())), budget)
-
     done, left = rows.filter("closed"), rows.filter("NOT closed")
     while not left.isEmpty():
-        more = cut_lineage(left.select("root", "path").repartition(shares, "path").mapInArrow(again, TREE))
+        more = cut_lineage(_walked(left, shares, budget))
         done, left = done.unionByName(more.filter("closed")), more.filter("NOT closed")
     return done.drop("closed")
+
+
+def list_below(folders: DataFrame, folder_col: str = "project_dir") -> DataFrame:
+    """The tree below the given folders, listed by tasks that are dealt folder by folder."""
+    shares = int(folders.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    each = folders.select(F.col(folder_col).alias("root"), F.col(folder_col).alias("path")).distinct()
+    return _walked(each, shares, 1 << 62).drop("closed")
+
+
+def _walked(folders: DataFrame, shares: int, budget: int) -> DataFrame:
+    def work(batches):
+        for batch in batches:
+            yield from walk(list(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())), budget)
+
+    return folders.select("root", "path").repartition(shares, "path").mapInArrow(work, TREE)
+
+
+def changed_files(spark: SparkSession, roots: Sequence[str], pattern: str, settle: float = 2.0) -> DataFrame:
+    """A stream of ``(root, path, is_dir, closed, length, modificationTime)`` of new and edited files."""
+    spark.dataSource.register(FolderTree)
+    shares = spark.conf.get("spark.sql.shuffle.partitions")
+    where = sorted({local(r).rstrip("/") or "/" for r in roots})
+    return (spark.readStream.format("folder_tree").option("roots", json.dumps(where)).option("shares", str(shares))
+                 .option("pattern", pattern).option("settle", str(settle)).load())

@@ -9,7 +9,7 @@
   the state lives in the table (bounded), not in the stream.
 
 Every sink write is a plain Parquet append of one micro-batch; a retried batch
-re-runs the same anti-join against the table, so a repeated epoch adds nothing.
+is held against the index of stored keys, so a repeated epoch adds nothing.
 The registry is rewritten as a whole into its next version (no in-place overwrite of
 a folder that is being read). Version numbers come from the registry's own folders, so
 streams, restarted streams and batch runs can follow each other in any order.
@@ -24,10 +24,11 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import merge, registry
+from ..operators import registry
+from ..operators.keyindex import KeyIndex
 from ..sources.delimited import column_values_sniffed
-from ..session import ensure_checkpoint_dir
-from ..sources.tables import read_version, write_version
+from ..session import cut_lineage, ensure_checkpoint_dir
+from ..sources.tables import glob_paths, read_version, write_version
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
@@ -38,25 +39,21 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     return path
 
 
-def _read_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    from pyspark.errors import AnalysisException
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException:
-        return spark.createDataFrame([], schema)
-
-
 def dedupe_stream(stream: DataFrame, table_path: str, key: Sequence[str], checkpoint: str,
                   trigger_available_now: bool = True):
-    """Append each micro-batch's rows whose key is not stored yet (M1, null-safe)."""
-    schema = stream.schema
+    """Append each micro-batch's rows whose key is not stored yet (M1, null-safe).
+
+    The keys of the table are kept as digests by hash bucket (``KeyIndex``): a micro-batch reads the buckets that its
+    own keys fall into, and the table is neither read nor shuffled. A query starts (and restarts) by making the index
+    agree with the table, so a batch that died after its rows were written adds nothing when it is tried again."""
+    index = []
 
     def write_batch(batch: DataFrame, epoch_id: int) -> None:
-        spark = batch.sparkSession
-        ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-        target = _read_or_empty(spark, table_path, ddl)
-        new = merge.new_rows_if_absent(target, batch, key)
-        new.write.mode("append").parquet(table_path)
+        if not index:
+            index.append(KeyIndex(batch.sparkSession, table_path, key).ensure())
+        added = index[0].append(cut_lineage(batch))
+        if not added and not glob_paths(batch.sparkSession, table_path):
+            batch.limit(0).write.mode("append").parquet(table_path)          # an empty stream still makes the table
 
     writer = stream.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if trigger_available_now else writer
@@ -98,27 +95,26 @@ def metrics_file_stream(spark: SparkSession, input_dir: str) -> DataFrame:
 
 
 def watch_reports(spark: SparkSession, root: str, application: str, warehouse: str, checkpoint: str,
-                  trigger_available_now: bool = True):
-    """The collector as a stream. Each micro-batch holds newly landed report files; their
-    project folders are collected and appended (M1/M2) -- the stream checkpoint records which
-    files were seen, the ledger which projects succeeded (failed ones are retried by the batch
-    collector, since a file stream does not re-read an unchanged path, ledger L-21)."""
-    from ..plans import runs
-    from ..sources import files
+                  trigger_available_now: bool = True, settle: float | None = None):
+    """The collector as a stream of changed report files (``ChangedFiles``). Only the folders of a micro-batch are
+    listed again, by tasks. Their projects are collected and appended (M1/M2), also those collected before: an edited
+    report is read again (ledger L-21), and rows that are stored already are not stored twice. ``settle`` allows for
+    file servers whose clock is behind: none in a run over what there is now, else two seconds."""
     from ..functions import clean
+    from ..plans import runs
+    from ..sources import files, listing
 
-    glob = f"*_QCreport.{application}.csv" if application not in ("PacBio", "ONT") else "*QC*eport*.csv"
-    stream = (spark.readStream.format("text").option("pathGlobFilter", glob)
-                   .option("recursiveFileLookup", "true").load(root)
-                   .select(F.col("_metadata.file_path").alias("path")))
+    pattern = f"*_QCreport.{application}.csv" if application not in ("PacBio", "ONT") else "*QC*eport*.csv"
+    settle = (0.0 if trigger_available_now else 2.0) if settle is None else settle
+    stream = listing.changed_files(spark, [root], pattern, settle).select("path")
 
     def write_batch(batch: DataFrame, epoch_id: int) -> None:
-        p = F.regexp_replace("path", "^file:", "")
-        folder = clean.parent_dir(p)
+        folder = clean.parent_dir(F.col("path"))
         folder = F.when(clean.base_name(folder) == "package", clean.parent_dir(folder)).otherwise(folder)
-        projects = batch.select(folder.alias("project_dir")).distinct()
-        listing = files.list_files(batch.sparkSession, [root])
-        runs.run_projects(batch.sparkSession, listing, projects, application, warehouse)
+        projects = cut_lineage(batch.select(folder.alias("project_dir")).distinct())
+        if not projects.isEmpty():
+            found = cut_lineage(files.only_files(listing.list_below(projects)))
+            runs.run_projects(batch.sparkSession, found, projects, application, warehouse, reset=True)
 
     writer = stream.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if trigger_available_now else writer
