@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from ..functions import clean
 from ..operators import incremental, marts, merge, registry, sinks, triage
+from ..operators.appindex import AppIndex
 from ..operators.keyindex import KeyIndex
+from ..operators.numbering import numbered
 from ..session import cut_lineage
 from ..sources import delimited, files, reports
 from ..sources.listing import changed_files, list_tree
@@ -235,3 +237,23 @@ def stream_changed(spark, sf_dir):
     take()
     nation = F.regexp_extract("path", r"c_nationkey=(\d+)", 1).cast("int")
     return spark.read.schema("path string").parquet(f"{root}/seen").groupBy(nation.alias("c_nationkey")).agg(F.count("*").alias("times"))
+
+
+@register("app_index_increments")
+def app_index_increments(spark, sf_dir):
+    """A1 by increments: orders as rows of an application (priority) and folder (status) with customers as samples,
+    some missing, taken in three overlapping batches; the index comes from bitmaps alone."""
+    o = read_table(spark, sf_dir, "orders").select(
+        F.col("o_orderpriority").alias("Application"), F.col("o_orderstatus").alias("Investigator_Folder"),
+        F.when(F.col("o_custkey") % 11 > 0, F.col("o_custkey")).alias("Sample_Name"), "o_orderkey")
+    state = AppIndex(spark, f"{scratch_dir(spark, 'app_index')}/state")
+    for batch in (o.filter("o_orderkey % 3 = 0"), o.filter("o_orderkey % 3 < 2 AND Application < '4'"), o):
+        state.add("orders", batch, "Sample_Name")
+    return state.index()
+
+
+@register("ordered_report")
+def ordered_report(spark, sf_dir):
+    """Every order with its place by customer and key, from ranges and their offsets."""
+    o = read_table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey")
+    return numbered(o, ["o_custkey", "o_orderkey"], col="place")

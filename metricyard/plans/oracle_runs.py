@@ -94,3 +94,13 @@ SELECT DISTINCT * FROM (
 ORACLE["stream_changed"] = """
 SELECT DISTINCT c_nationkey, CASE WHEN c_nationkey = 4 THEN 2 ELSE 1 END::BIGINT AS times FROM customer
 """
+
+ORACLE["app_index_increments"] = """
+SELECT o_orderpriority AS "Application", o_orderstatus AS "Investigator_Folder",
+       count(DISTINCT CASE WHEN o_custkey % 11 > 0 THEN o_custkey END) AS "Sample_Count"
+FROM orders WHERE o_orderpriority IS NOT NULL AND o_orderstatus IS NOT NULL GROUP BY ALL
+"""
+
+ORACLE["ordered_report"] = """
+SELECT o_custkey, o_orderkey, row_number() OVER (ORDER BY o_custkey NULLS FIRST, o_orderkey NULLS FIRST) AS place FROM orders
+"""

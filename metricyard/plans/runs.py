@@ -18,7 +18,9 @@ from pyspark.sql import functions as F
 
 from ..functions import clean, fixed
 from ..operators import enrich, incremental, marts, merge, sinks
+from ..operators.appindex import AppIndex
 from ..operators.joins import null_safe_on
+from ..operators.numbering import numbered
 from ..session import cut_lineage
 from ..sources import files
 from ..sources.listing import list_tree
@@ -147,6 +149,12 @@ def run_projects(spark: SparkSession, listing: DataFrame, projects: DataFrame, a
         sinks.write_clustered(new, target_path)           # K5: per application, sorted for skipping
         added = new.count()
 
+    sample = "Sample_ID" if application == "ONT" else "Sample_Name"
+    state, source = AppIndex(spark, table_path(warehouse, "qc_app_index_state")), target_path.rsplit("/", 1)[1]
+    if state.noted(source) == before or before == 0:          # A1: this run's groups alone; else build_marts catches up
+        state.add(source, _with_column(new, sample), sample)
+        state.note(source, before + added)
+
     # Record the projects that produced rows; failed ones stay unrecorded (retried)
     done = (todo.join(failed.select("project_dir"), "project_dir", "left_anti")
                 .withColumn("application", F.lit(application)).withColumn("run_date", F.lit(run_date)))
@@ -164,8 +172,11 @@ def build_marts(spark: SparkSession, warehouse: str, run_date: str | None = None
     short = table_or_empty(spark, table_path(warehouse, "qc_illumina_metrics"), SHORT_SCHEMA)
     pacbio = _with_column(read_evolving(spark, table_path(warehouse, "qc_pacbio_metrics"), LONG_SCHEMA), "Sample_Name")
     ont = _with_column(read_evolving(spark, table_path(warehouse, "qc_ont_metrics"), LONG_SCHEMA), "Sample_ID")
-    index = marts.app_index([(short, "Sample_Name"), (pacbio, "Sample_Name"), (ont, "Sample_ID")])
-    sinks.replace_table(index, table_path(warehouse, f"qc_app_index/run_date={run_date}"))
+    state = AppIndex(spark, table_path(warehouse, "qc_app_index_state"))
+    for name, table, sample in (("qc_illumina_metrics", short, "Sample_Name"), ("qc_pacbio_metrics", pacbio, "Sample_Name"),
+                                ("qc_ont_metrics", ont, "Sample_ID")):
+        state.catch_up(name, table, sample)
+    sinks.replace_table(state.index(), table_path(warehouse, f"qc_app_index/run_date={run_date}"))
     view = marts.unified_view([(short, "qc_illumina_metrics"), (pacbio, "qc_pacbio_metrics"), (ont, "qc_ont_metrics")])
     sinks.replace_table(view, table_path(warehouse, "unified_qc_view"))       # K4: stored, so that later readers see it
     view = sinks.publish_view(spark.read.parquet(table_path(warehouse, "unified_qc_view")), "unified_qc_view")
@@ -276,7 +287,8 @@ def run_speciesid(spark: SparkSession, roots: Sequence[str], warehouse: str, run
     done = (todo.select("project_dir").join(failed.select("project_dir"), "project_dir", "left_anti")
                 .withColumn("application", F.lit("speciesid")).withColumn("run_date", F.lit(run_date)))
     sinks.append_ledger(ledger, done, ledger_path)
-    # Readers order the failure report by folder; files keep no order
+    # The report carries the place of each failure in the order of folders
+    failed = numbered(failed, ["project_dir", "reason"], col="place")
     failed.withColumn("run_date", F.lit(run_date)).write.mode("append").parquet(table_path(warehouse, "speciesid_failed"))
     return {"before": before, "after": after, "grew": after > before, "columns": len(names),
             "failed": {r["reason"]: r["n"] for r in failed.groupBy("reason").agg(F.count("*").alias("n")).collect()}}
