@@ -21,8 +21,7 @@ The corpus-wide part is an inverted index of id pairs:
    2**k times the popcount of plane k. Only counts are shuffled for this, added up in tasks first.
 3. ``best`` marks pairs whose count is the highest of their A id. The highest counts have one row per id of A,
    at most the vocabulary, and are broadcast.
-4. The postings meet the counts on the pair and go back to their run, where bitmaps and planes turn into scores by
-   document.
+4. Runs ask for the counts of their pairs, by keys alone; there, bitmaps and planes turn into scores by document.
 
 Defined results: a null or empty text, and one whose joined tokens differ from it (as with U+2581), has no tokens:
 zeros and an empty ``groups_sha256``. Repeated rows and rows with a null id are documents of their own. Ties for the
@@ -48,7 +47,7 @@ from .common import scratch_dir, stored
 
 TOKENIZERS = "/opt/tokenizers"
 FILE_A, FILE_B = "byte_bpe_50k.json", "piece_bpe_32k.model"
-RUN_DOCS, RUN_LINKS = 1 << 13, 4_000_000
+RUN_DOCS, RUN_LINKS = 1 << 13, 3_000_000
 STEP_CHARS = 2_000_000          # characters of texts that are cut and looked up at once
 REMEMBER = 400_000              # distinct pieces that a task remembers
 LONG_PIECE = 200                # longer pieces are not remembered beyond their step
@@ -129,18 +128,22 @@ class Pieces:
 
     def add(self, new: list[str]):
         raw = [p.encode() for p in new]
-        ids_a, ids_b = self.encode_a(new), self.encode_b([p[1:] for p in new])
+        lens = np.fromiter(map(len, raw), np.int64, len(raw))
+        ids_b = self.encode_b([p[1:] for p in new])
+        n_b = np.fromiter(map(len, ids_b), np.int64, len(ids_b))
+        b = np.fromiter(chain.from_iterable(ids_b), np.int64, n_b.sum())
+        a, n_a = self.joined_a(new, lens)
         good = np.ones(len(new), bool)
-        if any(b"".join(map(table.__getitem__, chain.from_iterable(ids))) != b"".join(raw)
-               for ids, table in ((ids_a, self.bytes_a), (ids_b, self.bytes_b))):
-            for i, (x, a, b) in enumerate(zip(raw, ids_a, ids_b)):
-                good[i] = b"".join(map(self.bytes_a.__getitem__, a)) == x == b"".join(map(self.bytes_b.__getitem__, b))
-                if not good[i]:
-                    ids_a[i], ids_b[i], raw[i] = [], [], b""
-        n_a, n_b = (np.fromiter(map(len, ids), np.int64, len(ids)) for ids in (ids_a, ids_b))
-        a, b = (np.fromiter(chain.from_iterable(ids), np.int64) for ids in (ids_a, ids_b))
+        if any(b"".join(map(table.__getitem__, ids.tolist())) != b"".join(raw) for ids, table in ((a, self.bytes_a), (b, self.bytes_b))):
+            ids_a = self.encode_a(new)
+            n_a = np.fromiter(map(len, ids_a), np.int64, len(ids_a))
+            a = np.fromiter(chain.from_iterable(ids_a), np.int64, n_a.sum())
+            for i, (x, p, q) in enumerate(zip(raw, ids_a, ids_b)):
+                good[i] = b"".join(map(self.bytes_a.__getitem__, p)) == x == b"".join(map(self.bytes_b.__getitem__, q))
+            a, b = a[np.repeat(good, n_a)], b[np.repeat(good, n_b)]
+            n_a, n_b, lens = n_a * good, n_b * good, lens * good
+        ends = np.cumsum(lens)
         end_a, end_b = np.cumsum(self.len_a[a]), np.cumsum(self.len_b[b])
-        ends = np.cumsum(np.fromiter(map(len, raw), np.int64, len(raw)))
         cuts = np.union1d(end_a, end_b)                   # one interval, so one link, ends at each
         both = np.intersect1d(end_a, end_b, assume_unique=True)
         links = np.diff(np.searchsorted(cuts, ends, "right"), prepend=0)
@@ -162,6 +165,19 @@ class Pieces:
             own.add(values)
         self.long += [p for p in new if len(p) > LONG_PIECE]
 
+    def joined_a(self, new: list[str], lens: np.ndarray):
+        """A's ids of all pieces, and how many each has. Pieces that end in no white space are encoded as one text of
+        many: the next one starts with a space there, which no token of A runs into."""
+        texts, held = [], []
+        for p in new:
+            held.append(p)
+            if p[-1].isspace() or len(held) == 500:
+                texts.append("".join(held))
+                held = []
+        ids = self.encode_a([*texts, "".join(held)])
+        a = np.fromiter(chain.from_iterable(ids), np.int64)
+        return a, np.diff(np.searchsorted(np.cumsum(self.len_a[a]), np.cumsum(lens), "right"), prepend=0)
+
     def forget(self):
         """Keeps what a task remembers within bounds."""
         if len(self.index) > REMEMBER or self.long:
@@ -208,7 +224,7 @@ def postings(pair, doc, times):
     first = np.ones(len(pair), bool)
     first[1:] = (pair[1:] != pair[:-1]) | (doc[1:] != doc[:-1])
     at = np.flatnonzero(first)
-    pair, doc, times = pair[at], doc[at].astype(np.uint16), np.add.reduceat(times, at) if len(at) else times
+    pair, doc, times = pair[at], doc[at].astype(np.uint16), np.add.reduceat(times, at, dtype=np.int64) if len(at) else times
     parts = [(-1, pair, doc)]
     k, more = 0, times - 1
     while (more >> k).any():
@@ -263,7 +279,7 @@ def aligned(docs: DataFrame, file_a: bytes, file_b: bytes) -> DataFrame:
             if here + len(ids) > RUN_DOCS or sum(len(e[0]) for e in entries) > RUN_LINKS:
                 yield from flush()
             counts, hashes, (pair, doc, times) = step_of(texts, known)
-            entries.append((pair, doc + here, times))
+            entries.append((pair, (doc + here).astype(np.uint16), times.astype(np.int32)))
             yield rows(0, pos=pa.array(np.arange(here, here + len(ids))), doc_id=ids, groups_sha256=pa.array(hashes, pa.string()),
                        **{k: pa.array(v) for k, v in zip(("n_a", "n_b", "n_groups", "n_links"), counts)})
             here += len(ids)
@@ -303,34 +319,40 @@ def align_tokens(docs: DataFrame, file_a: str = f"{TOKENIZERS}/{FILE_A}", file_b
     pairs = pairs.join(F.broadcast(most), "a").select(
         "pair", "a", (F.col("pair").bitwiseAND(F.lit((1 << PAIR) - 1))).alias("b"), "n_docs", "n_links",
         (F.col("n_docs") == F.col("most")).alias("best"))
-    scored = lists.join(pairs.select("pair", "n_docs", "best"), "pair").select("run", "plane", "dense", "bits", "n_docs", "best")
-    docs = of(0).select("run", "pos", "doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256")
-    out = scored.groupBy("run").cogroup(docs.groupBy("run")).applyInArrow(
+    # each run asks for the counts of its pairs; bitmaps travel once, to their run
+    asked = of(1).where("plane = -1").select("run", "pair")
+    told = asked.join(pairs.select("pair", "n_docs", "best").hint("merge"), "pair")
+    about = ["pos", "doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256"]
+    both = of(0).select("run", *about).unionByName(told, allowMissingColumns=True)
+    out = lists.groupBy("run").cogroup(both.groupBy("run")).applyInArrow(
         scores, "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string")
     return out, pairs.drop("pair")
 
 
-def scores(lists: pa.Table, docs: pa.Table) -> pa.Table:
-    """Turns the postings of a run back into sums by document."""
+def scores(lists: pa.Table, both: pa.Table) -> pa.Table:
+    """Turns the postings of a run back into sums by document; ``both`` has its documents and the counts of its pairs."""
+    docs, told = both.filter(both.column("pos").is_valid()), both.filter(both.column("pair").is_valid()).sort_by("pair")
+    known, n_docs, is_best = (told.column(c).to_numpy() for c in ("pair", "n_docs", "best"))
     total, best = np.zeros(RUN_DOCS, np.int64), np.zeros(RUN_DOCS, np.int64)
     for part in lists.to_batches():
-        plane, n_docs, is_best = (part.column(c).to_numpy(zero_copy_only=False) for c in ("plane", "n_docs", "best"))
-        dense, bits = part.column("dense").to_numpy(zero_copy_only=False), part.column("bits")
+        plane, dense, pair = (part.column(c).to_numpy(zero_copy_only=False) for c in ("plane", "dense", "pair"))
+        bits, at = part.column("bits"), np.searchsorted(known, pair)
         few = np.flatnonzero(~dense)
-        short = bits.take(pa.array(few))
-        size = np.diff(np.frombuffer(short.buffers()[1], np.int32, len(short) + 1, 4 * short.offset)) // 2 if len(short) else np.zeros(0, int)
-        spots = np.frombuffer(b"".join(short.to_pylist()), np.uint16).astype(np.int64)
-        owner = np.repeat(few, size)
+        short = bits.take(pa.array(few)).to_pylist()
+        size = np.fromiter(map(len, short), np.int64, len(short)) // 2
+        spots = [np.frombuffer(b"".join(short), np.uint16).astype(np.int64)]
+        owner = [np.repeat(few, size)]
         for i in np.flatnonzero(dense).tolist():
-            at = np.flatnonzero(np.unpackbits(np.frombuffer(bits[i].as_buffer(), np.uint8), bitorder="little"))
-            spots, owner = np.concatenate([spots, at]), np.concatenate([owner, np.full(len(at), i)])
+            spots.append(np.flatnonzero(np.unpackbits(np.frombuffer(bits[i].as_buffer(), np.uint8), bitorder="little")))
+            owner.append(np.full(len(spots[-1]), i))
+        spots, owner = np.concatenate(spots), np.concatenate(owner)
         weight = np.left_shift(1, np.maximum(plane, 0).astype(np.int64))
-        np.add.at(total, spots, (weight * n_docs)[owner])
-        np.add.at(best, spots, (weight * is_best)[owner])
+        np.add.at(total, spots, (weight * n_docs[at])[owner])
+        np.add.at(best, spots, (weight * is_best[at])[owner])
     pos = docs.column("pos").to_numpy()
-    whole = {"n_best": pa.array(best[pos]), "count_sum": pa.array(total[pos])}
+    sums = {"n_best": pa.array(best[pos]), "count_sum": pa.array(total[pos])}
     names = ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"]
-    return pa.table({k: whole.get(k, docs.column(k) if k in docs.column_names else None) for k in names})
+    return pa.table({k: sums[k] if k in sums else docs.column(k) for k in names})
 
 
 def op13_pair_bitmaps(spark, sf_dir, tokenizers: str = TOKENIZERS):

@@ -73,7 +73,7 @@ TEXTS = EDGE + [(20, "a  b "), (21, "  x"), (22, "▁x"), (23, "a \n  b\n\n c\t
 TEXTS += [(100 + i, prose(i, 40, 60)) for i in range(30)]
 
 
-@pytest.mark.parametrize("docs, links, memory", [(1 << 13, 4_000_000, 400_000), (5, 4_000_000, 10), (64, 100, 0)])
+@pytest.mark.parametrize("docs, links, memory", [(1 << 13, 3_000_000, 400_000), (5, 3_000_000, 10), (64, 100, 0)])
 def test_alignment_against_all_pairs(spark, monkeypatch, docs, links, memory):
     for name, value in (("RUN_LINKS", links), ("REMEMBER", memory), ("STEP_CHARS", 300 if docs < 100 else al.STEP_CHARS)):
         monkeypatch.setattr(al, name, value)
