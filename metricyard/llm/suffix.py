@@ -40,6 +40,7 @@ from .induced import DEPTH, sort_suffixes
 WINDOW, GRAM = DEPTH, 32
 LAST = (1 << 63) - 1
 BUCKET_BYTES, SHARD_BYTES = 16 << 20, 3 << 20
+FEW_NAMES = 1_000_000           # grams of 8 bytes that are broadcast
 STEPS, HELD_SPANS = (9, 1), 200_000
 _UP = 0x9E3779B97F4A7C15
 
@@ -121,7 +122,9 @@ def _unique_texts(docs: DataFrame, window: int, buckets: int) -> DataFrame:
     name = f"llm_texts_{uuid.uuid4().hex}"
     texts.select("k", "o", "blob").write.bucketBy(buckets, "k").option(
         "path", f"{scratch_dir(docs.sparkSession)}/{name}").saveAsTable(name)
-    return docs.sparkSession.table(name)
+    table = docs.sparkSession.table(name)                 # holds the files and their buckets from here on
+    docs.sparkSession.sql(f"DROP TABLE {name}")           # an external table: only its name goes
+    return table
 
 
 def _repeated_anchors(texts: DataFrame, window: int, gram: int, groups: int) -> DataFrame:
@@ -296,15 +299,16 @@ def _piece_rows(made: list[tuple], spans: list[tuple]) -> pa.RecordBatch:
 
 
 def _bounded(pieces: DataFrame, window: int, gram: int, shard_bytes: int) -> tuple[DataFrame, int]:
-    """``pieces`` with the large grams split, and the bytes of all pieces. At most one gram a shard is large, so
-    their names are broadcast."""
+    """``pieces`` with the large grams split, and the bytes of all pieces. At most one gram a shard is large; up to
+    ``FEW_NAMES`` of them are broadcast, more are joined by a shuffle."""
     done = None
     for step in (*STEPS, None):
         sizes = pieces.where("piece is not null").groupBy("h").agg(F.sum(F.octet_length("piece")).alias("size"))
         total, large = sizes.agg(F.sum("size"), F.max("size")).first()
         if step is None or (large or 0) <= shard_bytes:
             break
-        names = F.broadcast(stored(sizes.where(F.col("size") > shard_bytes).select("h"), "large_grams"))
+        names = stored(sizes.where(F.col("size") > shard_bytes).select("h"), "large_grams")
+        names = F.broadcast(names) if names.count() <= FEW_NAMES else names
         rest = pieces.join(names, "h", "left_anti")
         done = rest if done is None else done.unionByName(rest)
         pieces = stored(_split(pieces.join(names, "h", "left_semi"), step, window, gram), "parts")
@@ -437,7 +441,9 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, buck
     base = stored(docs.select("doc_id", F.unhex(F.sha2(F.encode("text", "UTF-8"), 256)).alias("sha"),
                               F.octet_length("text").cast("long").alias("n_bytes")), "digests")
     total = base.agg(F.sum("n_bytes")).first()[0] or 0
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // bucket_bytes))
+    # one bucket for ``bucket_bytes``, as long as Spark allows that many; beyond, buckets grow with the input
+    most = int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets"))
+    parts = min(most, max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // bucket_bytes)))
     texts = _unique_texts(docs, window, parts)
     pieces = _pieces(texts, _repeated_anchors(texts, window, gram, parts), window, gram)
     pieces, size = _bounded(pieces, window, gram, shard_bytes)

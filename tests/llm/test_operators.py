@@ -335,6 +335,21 @@ def test_suffix_dedup_against_brute_force(spark):
     assert suffix.remove_repeats(docs_frame(spark, rows).limit(0)).count() == 0
 
 
+def test_suffix_dedup_with_few_buckets_and_no_broadcast(spark, monkeypatch):
+    """Spark's limit of buckets bounds their number, no catalog table is left, and names may be joined by a shuffle."""
+    monkeypatch.setattr(suffix, "FEW_NAMES", 0)
+    rows = [(i, prose(i, 80) + " " + prose(77, 60)[i % 40:]) for i in range(40)]
+    most = "spark.sql.sources.bucketing.maxBuckets"
+    before = spark.conf.get(most)
+    spark.conf.set(most, "3")
+    try:
+        out = {r["doc_id"]: tuple(r)[1:] for r in suffix.remove_repeats(docs_frame(spark, rows), bucket_bytes=100, shard_bytes=500).collect()}
+    finally:
+        spark.conf.set(most, before)
+    assert out == removed_by_brute_force(rows)
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("llm_texts")]
+
+
 @pytest.mark.parametrize("length", [45, 70, 99])
 def test_sorted_shards_stay_bounded_with_a_phrase_in_most_documents(spark, length):
     phrase = prose(500, 60)[:length]
@@ -452,7 +467,7 @@ def test_targets_are_reshared(spark):
     assert all(math.isclose(got[s], want[s]) for s in want)
 
 
-def test_pareto_mix(spark):
+def test_pareto_mix(spark, monkeypatch):
     rows = [(i, prose(i, 20 + i % 200), f"s{i % 4}" if i % 9 else None) for i in range(900)] + [(5, None, "s1"), (None, "a b", "s0")]
     df = docs_frame(spark, rows)
     first = mixing.mix_sources(df).collect()
@@ -463,6 +478,14 @@ def test_pareto_mix(spark):
         taken[r["source"]] = taken.get(r["source"], 0) + r["taken"]
         target[r["source"]] = r["target"]
     assert all(abs(taken[s] - target[s]) <= 0.01 * target[s] for s in target)
+    copies = lambda low, high: [r["copies"] for r in first if low <= r["size"] < high and r["source"] == "s1"]
+    short, long_ = copies(20, 60), copies(160, 220)
+    assert sum(short) / len(short) > 1.3 * sum(long_) / len(long_)            # odds fall with the size
+    level = mixing.mix_sources(df, tilt=0).collect()
+    assert all(abs(sum(r["taken"] for r in level if r["source"] == s) - target[s]) <= 0.01 * target[s] for s in target)
+    monkeypatch.setattr(mixing, "FEW_SOURCES", 0)                             # the way for many sources
+    assert sorted(map(str, mixing.mix_sources(df).collect())) == sorted(map(str, first))
+    monkeypatch.undo()
     tilted = mixing.mix_sources(df.withColumn("w", F.when(F.col("doc_id") % 5 == 0, 8.0).otherwise(1.0)), weight_col="w").collect()
     heavy = [r["copies"] for r in tilted if r["doc_id"] is not None and r["doc_id"] % 5 == 0]
     light = [r["copies"] for r in tilted if r["doc_id"] is not None and r["doc_id"] % 5]
