@@ -1,7 +1,7 @@
 """Operator 10, mixing sources to target weights by Pareto order sampling. DataFrame operations only.
 
-Every document of a source with target T and size S is expected ``e = T / S`` times (in proportion to
-an optional weight column, no document above ``cap``). ``floor(e)`` whole copies are certain; the rest
+Every document of a source with target T and size S is expected ``e`` times: T / S on the average of its words, in
+proportion to ``size ** -tilt`` or a weight column inside the source, and no document above ``cap``. ``floor(e)`` whole copies are certain; the rest
 ``p = e - floor(e)`` is its inclusion probability for one copy more. Pareto order sampling ranks the
 documents by ``(u / (1 - u)) / (p / (1 - p))`` with ``u`` drawn from a hash of the id, and takes them
 in that order until the source's word target is reached. The sample's size is thus fixed, in words.
@@ -22,37 +22,36 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..operators.numbering import numbered
 from .common import stored, word_count
 
 SOURCE_WEIGHTS = (5, 2, 1)
 CAP = 3.0
 SLOTS = 4096
 FILL = 3
+TILT = 0.5                   # expected copies of a document go as its size to the power of minus this
 FEW_SOURCES = 100_000        # up to so many, tables of one short row per source are broadcast
 
 
 def source_targets(sizes: DataFrame, weights=SOURCE_WEIGHTS, share: float = 1.0, cap: float = CAP) -> DataFrame:
-    """source -> (source_size, target). One row per source, so the single-task windows hold sources only.
+    """source -> (source_size, target), from sums alone: no task orders or holds the sources.
 
-    Reshared excess ends where no target is above its cap: target = min(cap size, weight x level) for one
-    level. In order of cap / weight the capped sources come first, which gives the level from prefix sums."""
+    Reshared excess ends where no target is above its cap: target = min(cap size, weight x level) for one level. The
+    level rises from an equal share: sources at their cap give it up, the others share what is left, until no more
+    source reaches its cap. Each step is one sum over the sources."""
     per = sizes.groupBy("source").agg(F.sum("size").alias("source_size"))
-    order = Window.orderBy(F.col("source").asc_nulls_last())
-    per = (per.withColumn("k", F.row_number().over(order))
-           .withColumn("w", F.element_at(F.array(*[F.lit(float(x)) for x in weights]),
-                                         ((F.col("k") - 1) % len(weights) + 1).cast("int")))
-           .withColumn("most", F.col("source_size") * F.lit(cap)))
-    rank = Window.orderBy(F.col("most") / F.col("w"), "k")
-    before = rank.rowsBetween(Window.unboundedPreceding, -1)
-    every = Window.partitionBy()
-    goal = F.sum("source_size").over(every) * F.lit(share)
-    per = (per.withColumn("left", goal - F.coalesce(F.sum("most").over(before), F.lit(0.0)))
-           .withColumn("left_w", F.sum("w").over(every) - F.coalesce(F.sum("w").over(before), F.lit(0.0)))
-           .withColumn("level", F.col("left") / F.col("left_w"))
-           .withColumn("full", F.col("most") <= F.col("w") * F.col("level")))
-    per = per.withColumn("level", F.min(F.when(~F.col("full"), F.struct(F.col("most") / F.col("w"), F.col("k"), F.col("level")))).over(every)["level"])
-    return per.select("source", "source_size",
-                      F.when(F.col("full"), F.col("most")).otherwise(F.col("w") * F.col("level")).alias("target"))
+    per = numbered(per, [F.col("source").asc_nulls_last()], col="k")
+    w = F.element_at(F.array(*[F.lit(float(x)) for x in weights]), ((F.col("k") - 1) % len(weights) + 1).cast("int"))
+    per = per.withColumn("w", w).withColumn("most", F.col("source_size") * F.lit(cap))
+    goal, free = per.agg(F.sum("source_size") * F.lit(share), F.sum("w")).first()
+    level, at_cap = (goal or 0.0) / (free or 1.0), -1
+    while True:
+        full = F.col("most") <= F.col("w") * F.lit(level)
+        n, taken, free = per.agg(F.count_if(full), F.sum(F.when(full, F.col("most")).otherwise(0.0)),
+                                 F.sum(F.when(~full, F.col("w")).otherwise(0.0))).first()
+        if n == at_cap or not free:
+            return per.select("source", "source_size", F.when(full, F.col("most")).otherwise(F.col("w") * F.lit(level)).alias("target"))
+        level, at_cap = max(level, (goal - taken) / free), n
 
 
 def _expected(rows: DataFrame, cap: float, few: bool) -> DataFrame:
@@ -105,17 +104,20 @@ def _prefix(rows: DataFrame, room: DataFrame, few: bool) -> DataFrame:
 
 
 def mix_sources(docs: DataFrame, weights=SOURCE_WEIGHTS, share: float = 1.0, cap: float = CAP, seed: int = 42,
-                weight_col: str | None = None, fill: int = FILL) -> DataFrame:
+                weight_col: str | None = None, tilt: float = TILT, fill: int = FILL) -> DataFrame:
     """One row per document: doc_id, source, size, th, source_size, target, copies, taken.
 
-    ``weight_col`` (positive numbers; null counts as 1) tilts the expected copies inside a source."""
-    w = F.coalesce(F.col(weight_col).cast("double"), F.lit(1.0)) if weight_col else F.lit(1.0)
-    sizes = stored(docs.select(F.col("doc_id"), F.col("source"), word_count(F.col("text")).alias("size"),
+    Inside a source the expected copies are in proportion to ``weight_col`` (positive numbers; null counts as 1), else
+    to ``size ** -tilt``: a long document has lower odds to come once more than a short one; a tilt of 0 makes them equal."""
+    size = word_count(F.col("text"))
+    w = (F.coalesce(F.col(weight_col).cast("double"), F.lit(1.0)) if weight_col
+         else F.when(size > 0, F.pow(size, F.lit(-float(tilt)))).otherwise(F.lit(0.0)))
+    sizes = stored(docs.select(F.col("doc_id"), F.col("source"), size.alias("size"),
                                F.xxhash64("text").alias("th"), w.alias("w")), "sizes")
     targets = stored(source_targets(sizes, weights, share, cap), "targets")
     few = targets.count() <= FEW_SOURCES
     rows = _with_source(sizes, targets, few)
-    if weight_col:
+    if weight_col or tilt:
         rows = _expected(rows, cap, few)
     else:
         rows = rows.withColumn("e", F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size"))
