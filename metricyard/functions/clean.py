@@ -252,6 +252,23 @@ def json_value(json_col, key: str) -> Column:
     return F.nullif(collapse_spaces(v), F.lit(""))
 
 
+def parse_json(json_col) -> Column:
+    """A document parsed once for many lookups (Q1-Q5): a VARIANT, NULL for text that does not parse."""
+    return F.try_parse_json(_c(json_col))
+
+
+def variant_value(parsed, json_col, key: str) -> Column:
+    """Q1 on a parsed document: `$.key`, else (no document) the line scan of its text; trimmed; '' and null -> NULL."""
+    scanned = F.nullif(F.regexp_extract(_c(json_col), rf'"{key}"\s*:\s*"([^"]*)"', 1), F.lit(""))
+    found = F.coalesce(F.nullif(F.try_variant_get(_c(parsed), f"$.{key}", "string"), F.lit("null")), scanned)
+    return F.nullif(collapse_spaces(found), F.lit(""))
+
+
+def variant_first_element(parsed, key: str) -> Column:
+    """Q4 on a parsed document."""
+    return F.nullif(F.try_variant_get(_c(parsed), f"$.{key}[0]", "string"), F.lit(""))
+
+
 def json_regex(json_col, key: str) -> Column:
     """Q2 regex-only lookup of a string value."""
     return F.nullif(F.regexp_extract(_c(json_col), rf'"{key}"\s*:\s*"([^"]*)"', 1), F.lit(""))

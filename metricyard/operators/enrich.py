@@ -63,11 +63,11 @@ def lanes_x_samples(samples: DataFrame, lanes: DataFrame, project_cols: Sequence
 
 
 def add_metadata(rows: DataFrame, meta: DataFrame, on: Sequence[str], before: Sequence[str],
-                 after: Sequence[str] = ()) -> DataFrame:
+                 after: Sequence[str] = (), how: str = "left") -> DataFrame:
     """project-level metadata joined on the project key; ``before`` columns first, the row's
-    own columns next, ``after`` columns last (checked broadcast of the one-row-per-project side)."""
+    own columns next, ``after`` columns last (Spark broadcasts the one-row-per-project side if it is small)."""
     own = [c for c in rows.columns if c not in on and c not in before and c not in after]
-    j = rows.join(meta, list(on), "left")
+    j = rows.join(meta, list(on), how)
     return j.select(*before, *own, *after)
 
 

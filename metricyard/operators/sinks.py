@@ -39,19 +39,31 @@ def publish_view(df: DataFrame, name: str = "unified_qc_view") -> DataFrame:
     return df
 
 
+def publish_lasting_view(spark, name: str, tables: Sequence[str], cols: Sequence[str] = ("Application", "Investigator_Folder")) -> None:
+    """K4: a catalog view over the Parquet folders themselves, distinct over ``cols`` with the folder's name as ``Source``.
+    It is text in the catalog, not a copy: every session of the catalog reads the rows that are stored when it asks.
+    Tables that do not exist yet are left out until the view is published again."""
+    from ..sources.tables import glob_paths
+    parts = [f"SELECT {', '.join(cols)}, '{path.rstrip('/').rsplit('/', 1)[1]}' AS Source FROM parquet.`{path}`"
+             for path in tables if glob_paths(spark, path)]
+    empty = f"SELECT {', '.join(f'CAST(NULL AS STRING) AS {c}' for c in cols)}, CAST(NULL AS STRING) AS Source WHERE false"
+    spark.sql(f"DROP VIEW IF EXISTS {name}")              # a temporary view of an older session may hide it
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT DISTINCT * FROM ({' UNION ALL '.join(parts or [empty])})")
+
+
 def write_clustered(df: DataFrame, path: str, partition_col: str = "Application",
                     sort_cols: Sequence[str] = ("Release_Date", "Investigator_Folder", "Project_ID",
                                                 "Project_run_type"), mode: str = "append",
-                    parts: int | None = None) -> None:
+                    parts: int | None = None, mark=lambda df: df) -> None:
     """K5: rows laid out so that dashboard filters skip files -- one folder per application
     (partition pruning) and rows sorted inside files (Parquet min/max skipping). Rows are dealt by
     ranges of the sort key that end in a hash of the whole row, so neither a large application nor
-    a project that holds half of all rows lands in a single task."""
+    a project that holds half of all rows lands in a single task. ``mark`` may observe the rows as they are written."""
     n = parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     row = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
     out = df.withColumn("_row", row).repartitionByRange(n, partition_col, *sort_cols, "_row")
     out = out.sortWithinPartitions(partition_col, *sort_cols, "_row").drop("_row")
-    out.write.mode(mode).partitionBy(partition_col).parquet(path)
+    mark(out).write.mode(mode).partitionBy(partition_col).parquet(path)
 
 
 def snapshot(df: DataFrame, root: str, run_date: str) -> str:

@@ -401,11 +401,12 @@ def json_lookup(spark, sf_dir):
                      F.lit('"}, {"id": "ccs2.percent_ccs_bases_q30", "value": "0.'), k,
                      F.lit('"}, {"value": "7"}]}'))
     from ..sources.reports import attribute_value, parse_attributes
-    staged = e.select("event_id", k.alias("k"), settings.alias("settings"), parse_attributes(attrs).alias("attrs"))
+    staged = e.select("event_id", k.alias("k"), settings.alias("settings"), clean.parse_json(settings).alias("v"),
+                      parse_attributes(attrs).alias("attrs"))
     a = F.col("attrs")
-    return staged.select("event_id", "k", clean.json_value("settings", "application").alias("application"),
+    return staged.select("event_id", "k", clean.variant_value("v", "settings", "application").alias("application"),
                          clean.json_first_path("settings").alias("first_path"),
-                         clean.json_first_element("settings", "organism").alias("organism"),
+                         clean.variant_first_element("v", "organism").alias("organism"),
                          attribute_value(a, "raw_data_report.nreads", parsed=True).alias("Polymerase_Reads_raw"),
                          clean.fraction_to_percent(attribute_value(a, "ccs2.percent_ccs_bases_q30", parsed=True))
                          .alias("Q30_base_PCT_ccs_raw"),

@@ -6,16 +6,17 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import clean
-from ..operators import incremental, marts, merge, registry, sinks, triage
+from ..operators import enrich, incremental, marts, merge, registry, shape, sinks, triage
 from ..operators.appindex import AppIndex
 from ..operators.keyindex import KeyIndex
 from ..operators.numbering import numbered
+from ..operators.quarantine import REJECTS, quarantine
 from ..session import cut_lineage
 from ..sources import delimited, files, reports
 from ..sources.listing import changed_files, list_tree
 from ..sources.tables import read_evolving, read_table, read_version, write_version
 from ..streaming.jobs import scratch_dir
-from .catalog import register
+from .catalog import register, sequencing_lines
 
 
 @register("long_csv")
@@ -257,3 +258,138 @@ def ordered_report(spark, sf_dir):
     """Every order with its place by customer and key, from ranges and their offsets."""
     o = read_table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey")
     return numbered(o, ["o_custkey", "o_orderkey"], col="place")
+
+
+def _write_files(df):
+    """Writes (path, text) rows as files with exactly these names, hidden ones among them, by tasks."""
+    def work(batches):
+        import os
+        for pdf in batches:
+            for path, text in zip(pdf["path"], pdf["text"]):
+                os.makedirs(os.path.dirname(path), exist_ok=True)
+                with open(path, "w", encoding="utf-8") as fh:
+                    fh.write(text)
+            yield pdf[["path"]]
+    return df.select("path", "text").mapInPandas(work, "path string").count()
+
+
+@register("quarantine")
+def quarantine_q(spark, sf_dir):
+    """S12 + F10: the rows of the sequencing CSV that cannot be taken, counted by reason; a run writes them with an
+    observed counter, which stands beside."""
+    from ..functions import fixed as fx
+    root = scratch_dir(spark, "quarantine")
+    sequencing_lines(spark, sf_dir).write.text(f"{root}/csv")
+    rows = cut_lineage(delimited.typed_csv_rows(spark, f"{root}/csv", fx.SEQUENCING_SCHEMA, header=False, drop_header_lines=True))
+    bad = rows.filter("_reason IS NOT NULL").select(F.lit("csv").alias("source"), F.col("_reason").alias("reason"), F.col("_line").alias("line"))
+    counted = quarantine(bad, f"{root}/rejected", "sequencing", "2024-01-01")
+    return (spark.read.schema(REJECTS).parquet(f"{root}/rejected").groupBy("reason").agg(F.count("*").alias("rows"))
+            .withColumn("observed", F.lit(counted).cast("bigint")))
+
+
+@register("settings_files")
+def settings_files(spark, sf_dir):
+    """S2 + S4: a hidden settings file for two of three suppliers; read on executors, and the folders that their
+    settings give to one application (case ignored)."""
+    root = scratch_dir(spark, "settings")
+    s = read_table(spark, sf_dir, "supplier").select(F.concat(F.lit(f"{root}/s"), F.col("s_suppkey").cast("string")).alias("project_dir"), "s_suppkey")
+    app = F.when(F.col("s_suppkey") % 2 == 0, F.lit("pacbio")).otherwise(F.lit("ONT"))
+    _write_files(s.filter("s_suppkey % 3 > 0").select(F.concat("project_dir", F.lit("/.settings.json")).alias("path"),
+                                                      F.concat(F.lit('{"application": "'), app, F.lit('"}')).alias("text")))
+    settings = cut_lineage(files.read_settings(s))
+    named = files.settings_by_application(settings, "PacBio").select("project_dir").withColumn("named", F.lit(True))
+    out = settings.withColumn("project_dir", F.concat("project_dir", F.lit("/PacBio"))).join(named, "project_dir", "left")
+    return out.select(F.substring("project_dir", len(root) + 2, 1 << 20).alias("folder"), F.col("json").isNotNull().alias("has_settings"),
+                      F.coalesce("named", F.lit(False)).alias("named"))
+
+
+@register("log_files")
+def log_files(spark, sf_dir):
+    """S16 + L3: a log file for each customer and pipeline, read by name; the lines of its report block."""
+    root = scratch_dir(spark, "logs")
+    c = read_table(spark, sf_dir, "customer")
+    key = F.col("c_custkey").cast("string")
+    pipe = F.when(F.col("c_custkey") % 2 == 0, F.lit("basic.package")).otherwise(F.lit("rnaseq"))
+    text = F.concat_ws("\n", F.lit("start"), F.lit("Report @ x"), F.concat(F.lit("n "), F.col("c_nationkey").cast("string")), F.lit(""),
+                       F.lit("Internal note"), F.concat(F.lit("k "), key), F.lit("##"), F.lit("after"))
+    _write_files(c.select(F.concat(F.lit(f"{root}/p"), key, F.lit("_QCreport."), pipe, F.lit(".log")).alias("path"), text.alias("text")))
+    lines = files.read_logs(spark, root)
+    row = F.monotonically_increasing_id()                    # a file is one split here, its lines are in order
+    block = triage.report_block(lines.withColumn("line_no", row), ["project", "pipeline", "stage"])
+    return block.select("project", "pipeline", "stage", "line")
+
+
+@register("lane_block_reader")
+def lane_block_reader(spark, sf_dir):
+    """Run summaries of two lanes for each supplier, the columns in another order for odd ones."""
+    s = read_table(spark, sf_dir, "supplier")
+    key, nation = F.col("s_suppkey").cast("string"), F.col("s_nationkey").cast("string")
+    even = F.col("s_suppkey") % 2 == 0
+    head = F.when(even, F.lit("Lane,Surface,Cluster PF,Reads,Reads PF,%>=Q30,Yield,Error,Aligned")).otherwise(
+        F.lit("Lane,Surface,Aligned,Error,Yield,%>=Q30,Reads PF,Reads,Cluster PF"))
+    lane = lambda n: F.when(even, F.concat_ws(",", F.lit(n), F.lit("-"), F.lit("95"), key, nation, F.lit("91"), F.lit("12"), F.lit("0.2"), F.lit("1.1"))).otherwise(
+        F.concat_ws(",", F.lit(n), F.lit("-"), F.lit("1.1"), F.lit("0.2"), F.lit("12"), F.lit("91"), nation, key, F.lit("95")))
+    text = F.concat_ws("\n", F.lit("Run Summary,,"), head, lane("1"), F.lit("1,1,9,9,9,9,9,9,9"), lane("2"), F.lit("Read 2 (I),,"), lane("3"))
+    return reports.lane_block(s.select(F.col("s_suppkey").alias("path"), text.alias("text")))
+
+
+@register("export_tsv")
+def export_tsv(spark, sf_dir):
+    """K3 + U2: one segment's customers exported as TSV with a header and read back as text."""
+    path = f"{scratch_dir(spark, 'export')}/tsv"
+    c = read_table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment", "c_acctbal")
+    sinks.export_csv(merge.status_scope(c, "c_mktsegment", "BUILDING"), path, sep="\t")
+    return spark.read.option("header", True).option("sep", "\t").csv(path).select(
+        "c_custkey", "c_name", F.col("c_acctbal").cast("double").alias("c_acctbal"))
+
+
+@register("table_totals")
+def table_totals_q(spark, sf_dir):
+    """A2: rows and distinct samples of the orders."""
+    return marts.table_totals(read_table(spark, sf_dir, "orders"), "o_custkey")
+
+
+@register("add_metadata")
+def add_metadata_q(spark, sf_dir):
+    """customers with their nation's name in front and its region behind."""
+    c = read_table(spark, sf_dir, "customer").select(F.col("c_nationkey").alias("project"), "c_custkey", "c_name")
+    n = read_table(spark, sf_dir, "nation").filter("n_nationkey < 20").select(
+        F.col("n_nationkey").alias("project"), F.col("n_name").alias("Investigator_Folder"), F.col("n_regionkey").alias("region"))
+    return enrich.add_metadata(c, n, ["project"], ["Investigator_Folder"], ["region"])
+
+
+@register("explode_cells")
+def explode_cells_q(spark, sf_dir):
+    """Parts as rows of cells under one header, exploded from the second column on; every fifth row is short."""
+    p = read_table(spark, sf_dir, "part")
+    cells = F.array(F.col("p_partkey").cast("string"), F.col("p_brand"), F.col("p_size").cast("string"))
+    rows = p.select("p_partkey", F.array(F.lit("id"), F.lit("brand"), F.lit("size")).alias("header"),
+                    F.when(F.col("p_partkey") % 5 == 0, F.slice(cells, 1, 2)).otherwise(cells).alias("cells"))
+    return shape.explode_cells(rows, start=F.lit(2))
+
+
+@register("scalar_rules")
+def scalar_rules(spark, sf_dir):
+    """C10, C11, C12, C14, D4 and Q2 on text made from orders."""
+    o = read_table(spark, sf_dir, "orders")
+    key = F.col("o_orderkey").cast("string")
+    host = F.when(F.col("o_orderkey") % 3 == 0, F.lit('{"hostname": "", "host_product_serial_number": "S"}')).when(
+        F.col("o_orderkey") % 3 == 1, F.concat(F.lit('{"hostname": "h'), key, F.lit('"}')))
+    return o.select("o_orderkey", clean.extract_after(F.concat(F.lit("INFO: Release path = /r/"), key, F.lit(" ")), "INFO: Release path =").alias("after"),
+                    clean.extract_after(key, "=").alias("no_label"), clean.percent_value(F.concat(key, F.lit("%%"))).alias("percent"),
+                    clean.day_stamp("o_orderdate").alias("day"), clean.json_regex(host, "hostname").alias("hostname"),
+                    enrich.instrument_name("ONT", F.lit("folder"), host).alias("instrument"),
+                    clean.strip_quotes(F.concat(F.lit('"'), F.col("o_orderpriority"), F.lit('"'))).alias("bare"))
+
+
+@register("release_date_formats")
+def release_date_formats(spark, sf_dir):
+    """Order dates written in each of the known formats in turn, and in two that are none."""
+    from ..functions import fixed as fx
+    o = read_table(spark, sf_dir, "orders")
+    kind = F.col("o_orderkey") % (len(fx.RELEASE_DATE_FORMATS) + 2)
+    text = F.when(kind == len(fx.RELEASE_DATE_FORMATS), F.lit("soon")).when(kind > len(fx.RELEASE_DATE_FORMATS), F.date_format("o_orderdate", "dd.MM.yy"))
+    for i, fmt in enumerate(fx.RELEASE_DATE_FORMATS):
+        text = text.when(kind == i, F.date_format("o_orderdate", fmt))
+    raw = o.select("o_orderkey", text.alias("raw_date"))
+    return raw.select("o_orderkey", "raw_date", clean.release_date_text("raw_date").alias("Release_Date"))

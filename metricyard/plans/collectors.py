@@ -4,7 +4,7 @@
 ``long_read_rows``   settings + QC report (+ attribute reports for PacBio) -> long rows
 ``speciesid_rows``   settings + species report + flowcell -> wide rows with 3 columns in front
 
-Each returns ``(rows, failed)`` (short read also the samples without a species row, J4); ``failed(project_dir, reason)`` lists projects that are
+Each returns ``(rows, failed)`` (short read also the samples without a species row, J4, and the rejected rows); ``failed(project_dir, reason)`` lists projects that are
 retried on the next run (they are not written to the processed ledger).
 """
 
@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from ..functions import clean, fixed
 from ..operators import enrich, shape
+from ..operators.quarantine import wide_row
 from ..session import cut_lineage
 from ..sources import files, reports
 
@@ -26,19 +27,16 @@ def project_metadata(settings: DataFrame, application: str | Column) -> DataFram
     """Settings -> (project_dir, Investigator_Folder, Project_ID, Project_run_type, Release_Date,
     ProjStatus, organism, raw_report_dir). Missing settings give NULL metadata (and status
     Undelivered)."""
-    j = F.col("json")
-    folder = clean.delivery_folder(clean.json_value(j, "deliveryFolder"), application)
-    rdate = clean.release_date_text(clean.json_value(j, "releaseDate"))
-    return settings.select(
-        "project_dir",
-        folder.alias("Investigator_Folder"),
-        clean.json_value(j, "projectId").alias("Project_ID"),
-        clean.json_value(j, "projectFinal").alias("Project_run_type"),
-        rdate.alias("Release_Date"),
-        clean.proj_status(folder, rdate).alias("ProjStatus"),
-        clean.json_first_element(j, "organism").alias("organism"),
-        clean.json_first_path(j).alias("raw_report_dir"),
-        j.isNotNull().alias("has_settings"))
+    j, v = F.col("json"), F.col("_v")
+    parsed = settings.withColumn("_v", clean.parse_json("json"))                # parsed once for all keys
+    raw = parsed.select("project_dir", "json", *[clean.variant_value(v, j, key).alias(name) for key, name in (
+        ("deliveryFolder", "_folder"), ("releaseDate", "_date"), ("projectId", "Project_ID"), ("projectFinal", "Project_run_type"))],
+        clean.variant_first_element(v, "organism").alias("organism"))
+    dated = raw.withColumn("Investigator_Folder", clean.delivery_folder(F.col("_folder"), application)).withColumn(
+        "Release_Date", clean.release_date_text("_date"))
+    return dated.select("project_dir", "Investigator_Folder", "Project_ID", "Project_run_type", "Release_Date",
+                        clean.proj_status("Investigator_Folder", "Release_Date").alias("ProjStatus"), "organism",
+                        clean.json_first_path(j).alias("raw_report_dir"), j.isNotNull().alias("has_settings"))
 
 
 def project_files(listing: DataFrame, projects: DataFrame) -> DataFrame:
@@ -58,7 +56,7 @@ def _texts(chosen: DataFrame, path_col: str = "path") -> DataFrame:
 
 # ------------------------------------------------------------------ short read
 def short_read_rows(spark: SparkSession, listing: DataFrame, projects: DataFrame, application: str,
-                    allow_undelivered: bool = False) -> tuple[DataFrame, DataFrame, DataFrame]:
+                    allow_undelivered: bool = False) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
     """Short-read collector.
 
     ``projects(project_dir)``: folders holding ``<project>_QCreport.<application>.csv``, the
@@ -108,19 +106,29 @@ def short_read_rows(spark: SparkSession, listing: DataFrame, projects: DataFrame
     rejected = rep.filter(F.col("_start") == 0).select("project_dir").distinct().withColumn(
         "reason", F.lit("anchor column missing"))
     rep = rep.filter(F.col("_start") > 0)
+    # rows with text beyond the last named column are set aside, like those without ids
+    text = F.array_join("cells", ",", "")
+    wide = wide_row(F.col("header"), F.col("cells"))
+    rejects = rep.filter(wide).select(F.col("path").alias("source"), F.lit("more cells than columns").alias("reason"), text.alias("line"))
+    rep = rep.filter(~wide)
     cells = F.transform(clean.pad_array(F.col("cells"), F.size("header")),
                         lambda x: F.nullif(F.trim(clean.strip_inner_commas(x)), F.lit("")))
     rep = rep.withColumn("cells", cells)
     sid = reports.cell(F.col("header"), F.col("cells"), "GT_QC_Sample_ID")
     sname = reports.cell(F.col("header"), F.col("cells"), "Sample_Name")
-    sp = reports.cell(F.col("header"), F.col("cells"), "Species")
+    any_case = F.array_position(F.transform("header", lambda x: F.lower(x)), "species").cast("int")
+    sp = F.when(any_case > 0, F.try_element_at("cells", any_case))
     width = F.size("header")
     metrics = F.slice(F.arrays_zip(F.col("header").alias("name"), F.col("cells").alias("value")),
                       F.col("_start"), width - F.col("_start") + 1)
     samples = rep.select("project_dir", "path", "row_no", sid.alias("GT_QC_Sample_ID"), sname.alias("Sample_Name"),
                          clean.normalize_species(sp).alias("Species"), metrics.alias("_metrics"))
     # F6 (ledger L-1): rows whose sample id or sample name is missing are dropped
-    samples = samples.filter(~clean.is_missing("GT_QC_Sample_ID") & ~clean.is_missing("Sample_Name"))
+    no_id = clean.is_missing("GT_QC_Sample_ID") | clean.is_missing("Sample_Name")
+    rejects = rejects.unionByName(samples.filter(no_id).select(
+        F.col("path").alias("source"), F.lit("sample id or name missing").alias("reason"),
+        F.array_join(F.transform("_metrics", lambda m: m["value"]), ",", "").alias("line")))
+    samples = samples.filter(~no_id)
 
     # Species columns by Sample_Name, else by GT_QC_Sample_ID (last row wins), else NaN
     sp_rows = reports.report_rows(texts.join(species.select("path"), "path", "left_semi"), [fixed.SHORT_READ_MARKER])
@@ -156,7 +164,7 @@ def short_read_rows(spark: SparkSession, listing: DataFrame, projects: DataFrame
     long = long.filter(~clean.value_is_dropped("value")).select(*fixed.SHORT_READ_COLUMNS)
 
     failed = _failed(meta, report, rep, rejected).unionByName(_not_ready(meta, allow_undelivered))
-    return long, failed, unmatched
+    return long, failed, unmatched, rejects
 
 
 def _not_ready(meta: DataFrame, allow_undelivered: bool) -> DataFrame:
@@ -368,6 +376,6 @@ def speciesid_rows(spark: SparkSession, listing: DataFrame, projects: DataFrame,
     ])
     ok = checked.filter(F.col("reason").isNull()).select("project_dir", "Investigator_Folder", "Project_run_type",
                                                          "FlowcellID")
-    rows = rep.join(ok, "project_dir", "inner")
+    rows = enrich.add_metadata(rep, ok, ["project_dir"], ["Investigator_Folder", "Project_run_type", "FlowcellID"], how="inner")   # F1
     failed = checked.filter(F.col("reason").isNotNull()).select("project_dir", "reason")
     return rows, failed

@@ -104,3 +104,60 @@ FROM orders WHERE o_orderpriority IS NOT NULL AND o_orderstatus IS NOT NULL GROU
 ORACLE["ordered_report"] = """
 SELECT o_custkey, o_orderkey, row_number() OVER (ORDER BY o_custkey NULLS FIRST, o_orderkey NULLS FIRST) AS place FROM orders
 """
+
+ORACLE["quarantine"] = """
+WITH r AS (SELECT CASE WHEN l_linenumber = 6 THEN 'Reads is not bigint' ELSE 'extra fields' END AS reason FROM lineitem
+  WHERE l_linenumber = 6 AND l_returnflag = 'N' OR l_linenumber = 5 AND l_returnflag IN ('R', 'A'))
+SELECT reason, count(*) AS rows, (SELECT count(*) FROM r) AS observed FROM r GROUP BY reason
+"""
+
+ORACLE["settings_files"] = """
+SELECT 's' || s_suppkey || '/PacBio' AS folder, s_suppkey % 3 > 0 AS has_settings, s_suppkey % 3 > 0 AND s_suppkey % 2 = 0 AS named FROM supplier
+"""
+
+ORACLE["log_files"] = """
+WITH c AS (SELECT 'p' || c_custkey AS project, CASE WHEN c_custkey % 2 = 0 THEN 'basic' ELSE 'rnaseq' END AS pipeline,
+                  CASE WHEN c_custkey % 2 = 0 THEN 'package' ELSE 'run' END AS stage, c_custkey, c_nationkey FROM customer)
+SELECT project, pipeline, stage, 'n ' || c_nationkey AS line FROM c UNION ALL SELECT project, pipeline, stage, 'k ' || c_custkey FROM c
+"""
+
+ORACLE["export_tsv"] = """
+SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, c_acctbal FROM customer WHERE c_mktsegment = 'BUILDING'
+"""
+
+ORACLE["table_totals"] = """
+SELECT count(*) AS rows, count(DISTINCT o_custkey) AS samples FROM orders
+"""
+
+ORACLE["add_metadata"] = """
+SELECT n_name AS "Investigator_Folder", c_custkey, c_name, n_regionkey AS region
+FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey AND n_nationkey < 20
+"""
+
+ORACLE["explode_cells"] = """
+SELECT p_partkey, 1 AS col_no, 'brand' AS name, p_brand AS value FROM part
+UNION ALL SELECT p_partkey, 2, 'size', CASE WHEN p_partkey % 5 = 0 THEN NULL ELSE CAST(p_size AS VARCHAR) END FROM part
+"""
+
+ORACLE["scalar_rules"] = """
+SELECT o_orderkey, '/r/' || o_orderkey AS after, NULL::VARCHAR AS no_label, o_orderkey || '%' AS percent,
+       strftime(o_orderdate, '%Y%m%d') AS day, CASE WHEN o_orderkey % 3 = 1 THEN 'h' || o_orderkey END AS hostname,
+       CASE o_orderkey % 3 WHEN 0 THEN 'S' WHEN 1 THEN 'h' || o_orderkey ELSE 'folder' END AS instrument, o_orderpriority AS bare
+FROM orders
+"""
+
+ORACLE["lane_block_reader"] = """
+SELECT s_suppkey AS path, unnest(['1', '2']) AS "Lane", '95' AS "Cluster_PF_PCT", CAST(s_suppkey AS VARCHAR) AS "Reads_Cluster_number_Mb",
+       CAST(s_nationkey AS VARCHAR) AS "Reads_Cluster_number_PF_Mb", '91' AS "Q30_or_higher_PCT", '12' AS "Yield_Gb",
+       '1.1' AS "Aligned_PhiX_PCT", '0.2' AS "Error_rate_PhiX_alignment" FROM supplier
+"""
+
+# FIXED VALUES: the same date formats as in functions/fixed.py, in strftime's spelling.
+_DATE_FORMATS = ("%Y-%m-%d", "%Y/%m/%d", "%Y%m%d", "%m/%d/%Y", "%-m/%-d/%Y", "%d-%b-%Y", "%b %-d %Y", "%B %-d %Y", "%b %-d, %Y",
+                 "%B %-d, %Y", "%Y-%m-%dT%H:%M:%S", "%Y-%m-%d %H:%M:%S")
+ORACLE["release_date_formats"] = f"""
+SELECT o_orderkey, CASE o_orderkey % 14 {" ".join(f"WHEN {i} THEN strftime(o_orderdate, '{f}')" for i, f in enumerate(_DATE_FORMATS))}
+       WHEN 12 THEN 'soon' ELSE strftime(o_orderdate, '%d.%m.%y') END AS raw_date,
+       CASE WHEN o_orderkey % 14 < 12 THEN strftime(o_orderdate, '%Y-%m-%d') END AS "Release_Date"
+FROM orders
+"""

@@ -21,6 +21,7 @@ from ..operators import enrich, incremental, marts, merge, sinks
 from ..operators.appindex import AppIndex
 from ..operators.joins import null_safe_on
 from ..operators.numbering import numbered
+from ..operators.quarantine import observed_write, quarantine
 from ..session import cut_lineage
 from ..sources import files
 from ..sources.listing import list_tree
@@ -108,6 +109,7 @@ def run_projects(spark: SparkSession, listing: DataFrame, projects: DataFrame, a
     run_date = run_date or dt.date.today().isoformat()
     ledger_path = table_path(warehouse, "processed_ledger")
     ledger = current_ledger(spark, warehouse).filter(F.col("application") == application)
+    rejected = 0
     found = projects.select("project_dir").distinct()
     seen = ledger.limit(0) if reset else ledger
     todo = incremental.new_projects(found, seen, ["project_dir"])
@@ -117,6 +119,9 @@ def run_projects(spark: SparkSession, listing: DataFrame, projects: DataFrame, a
         routed = enrich.route_application(asked.filter(F.col("application").isNotNull()), pipelines=[application])
         unsaid = asked.filter(F.col("application").isNull()).select("project_dir")
         todo = routed.select("project_dir").unionByName(unsaid).distinct()
+        misrouted = asked.filter(F.col("application").isNotNull()).join(routed.select("project_dir"), "project_dir", "left_anti")
+        quarantine(misrouted.select(F.col("project_dir").alias("source"), F.lit("application of another pipeline").alias("reason"),
+                                    F.col("application").alias("line")), table_path(warehouse, "rejected_rows"), application, run_date)
     todo = cut_lineage(todo)
     counts = {"found": found.count(), "new": asked.count(), "eligible": todo.count()}      # A8
 
@@ -131,11 +136,11 @@ def run_projects(spark: SparkSession, listing: DataFrame, projects: DataFrame, a
         widened, batch = merge.evolve_schema(target, batch, fixed_cols=fixed.LONG_READ_BASE + ("name", "value"))
         new = cut_lineage(merge.new_rows_except(widened, batch, partition_cols=("Application",), batch_stored=True))
         before = row_count_or_zero(spark, target_path)
-        sinks.write_clustered(new, target_path)           # K5: per application, sorted for skipping
-        added = new.count()
+        added = observed_write(new, lambda df, mark: sinks.write_clustered(df, target_path, mark=mark))["rows"]     # K5, counted on the way
     else:
-        rows, failed, unmatched = collectors.short_read_rows(spark, listing, todo, application, allow_undelivered)
+        rows, failed, unmatched, rejects = collectors.short_read_rows(spark, listing, todo, application, allow_undelivered)
         failed = cut_lineage(failed)
+        rejected = quarantine(rejects, table_path(warehouse, "rejected_rows"), application, run_date)        # F10, F6
         # Samples without a species row, with the day of the run
         unmatched.withColumn("run_date", F.lit(run_date)).write.mode("append").parquet(
             table_path(warehouse, "species_unmatched"))
@@ -146,8 +151,7 @@ def run_projects(spark: SparkSession, listing: DataFrame, projects: DataFrame, a
         # of rows with one key, which then differ in their status alone, always the same one is stored
         new = cut_lineage(merge.new_rows_if_absent(target, rows, fixed.SHORT_READ_KEY, partition_cols=("Application",),
                                                    order_col="ProjStatus", batch_stored=True))
-        sinks.write_clustered(new, target_path)           # K5: per application, sorted for skipping
-        added = new.count()
+        added = observed_write(new, lambda df, mark: sinks.write_clustered(df, target_path, mark=mark))["rows"]     # K5, counted on the way
 
     sample = "Sample_ID" if application == "ONT" else "Sample_Name"
     state, source = AppIndex(spark, table_path(warehouse, "qc_app_index_state")), target_path.rsplit("/", 1)[1]
@@ -162,7 +166,7 @@ def run_projects(spark: SparkSession, listing: DataFrame, projects: DataFrame, a
     retry = failed.select("project_dir", "reason", F.lit(application).alias("application"), F.lit(run_date).alias("run_date"))
     retry.distinct().write.mode("append").parquet(table_path(warehouse, "retry_projects"))
     reasons = {r["reason"]: r["projects"] for r in marts.failure_summary(failed.select("project_dir", "reason")).collect()}   # A9
-    return {"application": application, "before": before, "added": added, **counts, "failed": reasons,
+    return {"application": application, "before": before, "added": added, "rejected": rejected, **counts, "failed": reasons,
             "projects_recorded": recorded, "projects_failed": failed.select("project_dir").distinct().count()}
 
 
@@ -178,8 +182,10 @@ def build_marts(spark: SparkSession, warehouse: str, run_date: str | None = None
         state.catch_up(name, table, sample)
     sinks.replace_table(state.index(), table_path(warehouse, f"qc_app_index/run_date={run_date}"))
     view = marts.unified_view([(short, "qc_illumina_metrics"), (pacbio, "qc_pacbio_metrics"), (ont, "qc_ont_metrics")])
-    sinks.replace_table(view, table_path(warehouse, "unified_qc_view"))       # K4: stored, so that later readers see it
-    view = sinks.publish_view(spark.read.parquet(table_path(warehouse, "unified_qc_view")), "unified_qc_view")
+    sinks.replace_table(view, table_path(warehouse, "unified_qc_view"))       # a copy for readers without the catalog
+    sinks.publish_lasting_view(spark, "unified_qc_view", [table_path(warehouse, name) for name in (
+        "qc_illumina_metrics", "qc_pacbio_metrics", "qc_ont_metrics")])       # K4
+    view = spark.table("unified_qc_view")
     sequencing = table_or_empty(spark, table_path(warehouse, "sequencing_metrics"), SEQUENCING_DDL)
     snap_root = table_path(warehouse, "snapshots")
     kept = {"qc_illumina_metrics": short, "sequencing_metrics": sequencing}
@@ -194,7 +200,8 @@ def build_marts(spark: SparkSession, warehouse: str, run_date: str | None = None
                                   int(delta["delta_seq_rows"]))],
                                 "run_date string, published boolean, rows bigint, delta_rows bigint, delta_seq_rows bigint")
     log.write.mode("append").parquet(table_path(warehouse, "run_log"))
-    return {"delta": delta, "view_rows": view.count(), "expired": expired_snapshots(spark, warehouse, run_date)}
+    totals = marts.table_totals(short, "Sample_Name").first().asDict()                                       # A2
+    return {"delta": delta, "totals": totals, "view_rows": view.count(), "expired": expired_snapshots(spark, warehouse, run_date)}
 
 
 def _last_snapshot(spark: SparkSession, root: str) -> DataFrame | None:
@@ -302,10 +309,10 @@ def run_sequencing_import(spark: SparkSession, csv_path: str, warehouse: str, ru
 
     The file is skipped when its lines hash to the last imported value (M7; the hash of all lines
     with their number is summed up by tasks, so the file is never one value). Otherwise it
-    is read all-text, short rows are padded and bad rows left out (S12), and rows whose 16
-    columns (null-safe) are not stored yet are appended (M1, ledger L-3). The counters are
-    taken from the anti-join result, not from a second scan."""
-    from ..sources.delimited import read_typed_csv
+    is read all-text, short rows are padded, bad rows go to the reject table (S12), and rows whose 16
+    columns (null-safe) are not stored yet are appended (M1, ledger L-3). The counters (A4) are
+    taken from footers and from the write itself."""
+    from ..sources.delimited import typed_csv_rows
     run_date = run_date or dt.date.today().isoformat()
     hashes_path = table_path(warehouse, "sequencing_imports")
     current = sinks.content_hash(spark, csv_path).withColumn("path", F.lit("sequencing"))
@@ -315,12 +322,18 @@ def run_sequencing_import(spark: SparkSession, csv_path: str, warehouse: str, ru
         return {"skipped": True, "before": None, "new": 0}
     target_path = table_path(warehouse, "sequencing_metrics")
     target = table_or_empty(spark, target_path, SEQUENCING_DDL)
-    batch = cut_lineage(read_typed_csv(spark, csv_path, fixed.SEQUENCING_SCHEMA))
+    parsed = cut_lineage(typed_csv_rows(spark, csv_path, fixed.SEQUENCING_SCHEMA))
+    bad = parsed.filter("_reason IS NOT NULL").select(F.lit(csv_path).alias("source"), F.col("_reason").alias("reason"),
+                                                      F.col("_line").alias("line"))
+    rejected = quarantine(bad, table_path(warehouse, "rejected_rows"), "sequencing", run_date)
+    batch = parsed.filter("_reason IS NULL").drop("_reason", "_line")
     new = cut_lineage(merge.new_rows_if_absent(target, batch, [n for n, _ in fixed.SEQUENCING_SCHEMA], batch_stored=True))
-    stats = marts.import_stats(target, new, "Project").first().asDict()
-    sinks.append_rows(new, target_path)
+    before = row_count_or_zero(spark, target_path)
+    samples = new.agg(F.count_distinct("Project")).first()[0]
+    added = observed_write(new, lambda df, mark: sinks.append_rows(mark(df), target_path))["rows"]
+    stats = {"before": before, "after": before + added, "new": added, "sample_size": samples}
     current.withColumn("run_date", F.lit(run_date)).write.mode("append").parquet(hashes_path)
-    return {"skipped": False, **stats}
+    return {"skipped": False, **stats, "rejected": rejected}
 
 
 def run_groups(spark: SparkSession, input_dir: str, registry_root: str,

@@ -59,30 +59,35 @@ def read_metric_files(spark: SparkSession, root: str, glob: str = "*.metrics.txt
                                     F.struct(F.col("_metadata.file_block_start").alias("split"), row.alias("row")).alias("line_no")))
 
 
-def read_typed_csv(spark: SparkSession, path: str, schema: Sequence[tuple[str, str]], header: bool = True,
+def typed_csv_rows(spark: SparkSession, path: str, schema: Sequence[tuple[str, str]], header: bool = True,
                    drop_header_lines: bool = False) -> DataFrame:
-    """Header CSV with '"' quote/escape; every field read as text, short rows padded with
-    NULL, rows with extra fields or a value that does not fit its type are left out, and the
-    typed columns are produced with ``try_cast`` (ANSI-safe)."""
+    """Header CSV with '"' quote/escape; every field read as text, short rows padded with NULL, typed with
+    ``try_cast`` (ANSI-safe). The typed columns, and of a row that cannot be taken the ``_reason`` (extra fields, or the
+    first value that does not fit its type) and its ``_line``."""
     names = [n for n, _ in schema]
     text_schema = ", ".join(f"`{n}` string" for n in names) + ", `_corrupt` string"
     raw = (spark.read.option("header", header).option("quote", '"').option("escape", '"')
                 .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt")
                 .option("enforceSchema", True).schema(text_schema).csv(path))
     # short rows are flagged corrupt but are padded with NULLs; a flagged row with more fields than
-    # the schema has is left out. Quoted parts are emptied before its delimiters are counted.
+    # the schema has is rejected. Quoted parts are emptied before its delimiters are counted.
     bare = F.regexp_replace("_corrupt", '"[^"]*"', "")
     fields = F.length(bare) - F.length(F.replace(bare, F.lit(","), F.lit(""))) + 1
-    keep = F.col("_corrupt").isNull() | (fields <= len(names))
     if drop_header_lines:   # header lines inside files written by several tasks
-        keep = keep & ~(F.coalesce(F.col(f"`{names[0]}`") == F.lit(names[0]), F.lit(False)))
-    typed = raw.filter(keep).select(*[F.col(f"`{n}`").try_cast(t).alias(n) for n, t in schema],
-                                     *[F.col(f"`{n}`").alias(f"_raw_{n}") for n in names])
-    ok = None
+        raw = raw.filter(~F.coalesce(F.col(f"`{names[0]}`") == F.lit(names[0]), F.lit(False)))
+    reason = F.when(fields > len(names), F.lit("extra fields"))
     for n, t in schema:
-        c = F.col(f"_raw_{n}").isNull() | (F.trim(F.col(f"_raw_{n}")) == "") | F.col(n).isNotNull()
-        ok = c if ok is None else ok & c
-    return typed.filter(ok).select(*names)
+        text = F.col(f"`{n}`")
+        reason = reason.when((F.trim(text) != "") & text.try_cast(t).isNull(), F.lit(f"{n} is not {t}"))
+    line = F.coalesce("_corrupt", F.concat_ws(",", *[F.coalesce(F.col(f"`{n}`"), F.lit("")) for n in names]))
+    return raw.select(*[F.col(f"`{n}`").try_cast(t).alias(n) for n, t in schema], reason.alias("_reason"), line.alias("_line"))
+
+
+def read_typed_csv(spark: SparkSession, path: str, schema: Sequence[tuple[str, str]], header: bool = True,
+                   drop_header_lines: bool = False) -> DataFrame:
+    """The rows of ``typed_csv_rows`` that can be taken."""
+    rows = typed_csv_rows(spark, path, schema, header, drop_header_lines)
+    return rows.filter("_reason IS NULL").drop("_reason", "_line")
 
 
 def read_long_csv(spark: SparkSession, path: str, names: Sequence[str]) -> DataFrame:
