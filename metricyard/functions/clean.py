@@ -25,12 +25,8 @@ def _c(col) -> Column:
 def sanitize_header(col) -> Column:
     """>= <= > < % : whitespace, then squeeze '_' runs and drop one trailing '_'."""
     c = _c(col)
-    c = F.replace(c, F.lit(">="), F.lit("_GE_"))
-    c = F.replace(c, F.lit("<="), F.lit("_LE_"))
-    c = F.replace(c, F.lit(">"), F.lit("_GT_"))
-    c = F.replace(c, F.lit("<"), F.lit("_LT_"))
-    c = F.replace(c, F.lit("%"), F.lit("PCT"))
-    c = F.replace(c, F.lit(":"), F.lit(""))
+    for old, new in fixed.HEADER_REPLACEMENTS:
+        c = F.replace(c, F.lit(old), F.lit(new))
     c = F.regexp_replace(c, WS_RUN, "_")
     c = F.regexp_replace(c, r"__+", "_")
     return F.regexp_replace(c, r"_$", "")
@@ -51,8 +47,8 @@ def pacbio_header(col) -> Column:
 def sanitize_header_py(name: str) -> str:
     """Driver-side twin of C1 used only on column-name lists (metadata, never data)."""
     import re
-    for a, b in ((">=", "_GE_"), ("<=", "_LE_"), (">", "_GT_"), ("<", "_LT_"), ("%", "PCT"), (":", "")):
-        name = name.replace(a, b)
+    for old, new in fixed.HEADER_REPLACEMENTS:
+        name = name.replace(old, new)
     name = re.sub(r"[ \t\n\r\f\v]+", "_", name)
     name = re.sub(r"__+", "_", name)
     return re.sub(r"_$", "", name)
@@ -147,15 +143,9 @@ def extract_after(col, label: str) -> Column:
     return F.when(pos > 0, F.trim(F.substr(c, pos + F.lit(len(label)))))
 
 
-NUMERIC_DECIMAL = r"^[0-9]+(\.[0-9]+)?$"
-NUMERIC_SCI = r"^[-+]?[0-9]+([.][0-9]+)?([eE][-+]?[0-9]+)?$"
-NUMERIC_DIGITS = r"^[0-9]+$"
-
-
 def is_numeric(col, kind: str = "decimal") -> Column:
     """C13: 'decimal' (unsigned), 'sci' (sign + exponent), 'digits'."""
-    pattern = {"decimal": NUMERIC_DECIMAL, "sci": NUMERIC_SCI, "digits": NUMERIC_DIGITS}[kind]
-    return F.coalesce(_c(col).rlike(pattern), F.lit(False))
+    return F.coalesce(_c(col).rlike(fixed.NUMERIC_PATTERNS[kind]), F.lit(False))
 
 
 def percent_value(col) -> Column:

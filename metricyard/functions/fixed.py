@@ -193,3 +193,13 @@ SEQUENCING_SCHEMA = (
     ("Reads", "bigint"), ("Bases", "bigint"), ("Bytes", "bigint"),
     ("DeliveryDirectory", "string"), ("SampleSize", "int"), ("PolymeraseReadLength_bp_Mean", "double"),
 )
+
+# FIXED VALUES: replacements in report headers, in this order.
+HEADER_REPLACEMENTS = ((">=", "_GE_"), ("<=", "_LE_"), (">", "_GT_"), ("<", "_LT_"), ("%", "PCT"), (":", ""))
+
+# FIXED VALUES: number patterns.
+NUMERIC_PATTERNS = {"decimal": r"^[0-9]+(\.[0-9]+)?$", "sci": r"^[-+]?[0-9]+([.][0-9]+)?([eE][-+]?[0-9]+)?$", "digits": r"^[0-9]+$"}
+
+# FIXED VALUES: names of the run files beside a report.
+SUMMARY_DRAFT, SUMMARY_FINAL, RUN_INFO = "Run_Metric_Summary.draft.csv", "Run_Metric_Summary.csv", "RunInfo.xml"
+REPORT_SUFFIX, SPECIES_SUFFIX = "_QCreport.{application}.csv", "_QCreport.speciesid.csv"

@@ -70,16 +70,16 @@ def short_read_rows(spark: SparkSession, listing: DataFrame, projects: DataFrame
 
     # Run summary in four places, first existing wins
     pkg = F.col("path").contains("/package/")
-    sum_rank = (F.when(~pkg & (base == "Run_Metric_Summary.draft.csv"), F.lit(1))
-                 .when(~pkg & (base == "Run_Metric_Summary.csv"), F.lit(2))
-                 .when(pkg & (base == "Run_Metric_Summary.draft.csv"), F.lit(3))
-                 .when(pkg & (base == "Run_Metric_Summary.csv"), F.lit(4)))
+    sum_rank = (F.when(~pkg & (base == fixed.SUMMARY_DRAFT), F.lit(1))
+                 .when(~pkg & (base == fixed.SUMMARY_FINAL), F.lit(2))
+                 .when(pkg & (base == fixed.SUMMARY_DRAFT), F.lit(3))
+                 .when(pkg & (base == fixed.SUMMARY_FINAL), F.lit(4)))
     summary = files.resolve_candidate(listing, "project_dir", sum_rank)
-    runinfo = files.resolve_candidate(listing, "project_dir", F.when(base == "RunInfo.xml", F.lit(1)))
+    runinfo = files.resolve_candidate(listing, "project_dir", F.when(base == fixed.RUN_INFO, F.lit(1)))
     report = files.resolve_candidate(
-        listing, "project_dir", F.when(base.endswith(f"_QCreport.{application}.csv"), F.lit(1)))
+        listing, "project_dir", F.when(base.endswith(fixed.REPORT_SUFFIX.format(application=application)), F.lit(1)))
     species = files.resolve_candidate(
-        listing, "project_dir", F.when(base.endswith("_QCreport.speciesid.csv"), F.lit(1)))
+        listing, "project_dir", F.when(base.endswith(fixed.SPECIES_SUFFIX), F.lit(1)))
 
     texts = _texts(report.unionByName(species).unionByName(summary).unionByName(runinfo).select("path"))
     texts = cut_lineage(texts.join(listing, "path", "inner"))   # adds project_dir; read once
@@ -350,8 +350,8 @@ def speciesid_rows(spark: SparkSession, listing: DataFrame, projects: DataFrame,
     report = files.resolve_candidate(listing, "project_dir", F.when(
         top & (base == F.concat(F.col("Project_run_type"), F.lit(f"_QCreport.{application}.csv"))), F.lit(1)))
     summary = files.resolve_candidate(listing, "project_dir",
-                                      F.when(top & (base == "Run_Metric_Summary.draft.csv"), F.lit(1)))
-    runinfo = files.resolve_candidate(listing, "project_dir", F.when(top & (base == "RunInfo.xml"), F.lit(1)))
+                                      F.when(top & (base == fixed.SUMMARY_DRAFT), F.lit(1)))
+    runinfo = files.resolve_candidate(listing, "project_dir", F.when(top & (base == fixed.RUN_INFO), F.lit(1)))
     texts = cut_lineage(_texts(report.unionByName(summary).unionByName(runinfo).select("path")))
     ri = texts.join(runinfo, "path")
     _, ri_flow = reports.run_info(ri)
