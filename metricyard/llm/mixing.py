@@ -29,7 +29,7 @@ SOURCE_WEIGHTS = (5, 2, 1)
 CAP = 3.0
 SLOTS = 4096
 FILL = 3
-TILT = 0.5                   # expected copies of a document go as its size to the power of minus this
+TILT = 0.5                   # in the registered query, expected copies go as a document's size to the power of minus this
 FEW_SOURCES = 100_000        # up to so many, tables of one short row per source are broadcast
 
 
@@ -104,11 +104,11 @@ def _prefix(rows: DataFrame, room: DataFrame, few: bool) -> DataFrame:
 
 
 def mix_sources(docs: DataFrame, weights=SOURCE_WEIGHTS, share: float = 1.0, cap: float = CAP, seed: int = 42,
-                weight_col: str | None = None, tilt: float = TILT, fill: int = FILL) -> DataFrame:
+                weight_col: str | None = None, tilt: float = 0.0, fill: int = FILL) -> DataFrame:
     """One row per document: doc_id, source, size, th, source_size, target, copies, taken.
 
     Inside a source the expected copies are in proportion to ``weight_col`` (positive numbers; null counts as 1), else
-    to ``size ** -tilt``: a long document has lower odds to come once more than a short one; a tilt of 0 makes them equal."""
+    to ``size ** -tilt``: with a tilt, a long document has lower odds to come once more than a short one."""
     size = word_count(F.col("text"))
     w = (F.coalesce(F.col(weight_col).cast("double"), F.lit(1.0)) if weight_col
          else F.when(size > 0, F.pow(size, F.lit(-float(tilt)))).otherwise(F.lit(0.0)))
@@ -139,7 +139,7 @@ def mix_sources(docs: DataFrame, weights=SOURCE_WEIGHTS, share: float = 1.0, cap
 
 def op10_mix_sources(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    return mix_sources(docs).select("doc_id", "size", "source_size", "target", "taken")
+    return mix_sources(docs, tilt=TILT).select("doc_id", "size", "source_size", "target", "taken")
 
 
 def mix_documents(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
