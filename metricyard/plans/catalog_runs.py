@@ -11,12 +11,13 @@ from ..operators.appindex import AppIndex
 from ..operators.keyindex import KeyIndex
 from ..operators.numbering import numbered
 from ..operators.quarantine import REJECTS, quarantine
+from ..operators.status import StatusOverlay
 from ..session import cut_lineage
 from ..sources import delimited, files, reports
 from ..sources.listing import changed_files, list_tree
 from ..sources.tables import read_evolving, read_table, read_version, write_version
 from ..streaming.jobs import scratch_dir
-from .catalog import register, sequencing_lines
+from .catalog import register, sample_list, sequencing_lines, status_table
 
 
 @register("long_csv")
@@ -393,3 +394,21 @@ def release_date_formats(spark, sf_dir):
         text = text.when(kind == i, F.date_format("o_orderdate", fmt))
     raw = o.select("o_orderkey", text.alias("raw_date"))
     return raw.select("o_orderkey", "raw_date", clean.release_date_text("raw_date").alias("Release_Date"))
+
+
+@register("status_overlay")
+def status_overlay(spark, sf_dir):
+    """U1, U2 as events: orders are stored in two batches (odd keys, then even ones) as a table by run type. After the first
+    batch the listed samples' open urgent orders become 'U'; after the second, open orders of high priority. Those
+    'U' of urgent orders become 'X', the events are folded in, and another update stays an event."""
+    path, samples = f"{scratch_dir(spark, 'status_overlay')}/table", sample_list(spark, sf_dir)
+    t = status_table(spark, sf_dir)
+    overlay = StatusOverlay(spark, path)
+    sinks.append_rows(t.filter("o_orderkey % 2 = 1"), path, ["Project_run_type"])
+    overlay.update("1-URGENT", samples, "O", "U")
+    sinks.append_rows(t.filter("o_orderkey % 2 = 0"), path, ["Project_run_type"])
+    overlay.update("2-HIGH", None, "O", "U")
+    overlay.update("1-URGENT", samples, "U", "X")
+    overlay.fold(["Project_run_type"])
+    overlay.update("3-MEDIUM", samples, "O", "U")
+    return overlay.read().select("o_orderkey", "Sample_Name", "Project_run_type", "ProjStatus")

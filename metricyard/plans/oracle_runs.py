@@ -161,3 +161,14 @@ SELECT o_orderkey, CASE o_orderkey % 14 {" ".join(f"WHEN {i} THEN strftime(o_ord
        CASE WHEN o_orderkey % 14 < 12 THEN strftime(o_orderdate, '%Y-%m-%d') END AS "Release_Date"
 FROM orders
 """
+
+ORACLE["status_overlay"] = """
+WITH s AS (SELECT DISTINCT CAST(c_custkey AS VARCHAR) AS Sample_Name FROM customer WHERE c_mktsegment = 'BUILDING')
+SELECT o_orderkey, CAST(o_custkey AS VARCHAR) AS Sample_Name, o_orderpriority AS Project_run_type,
+       CASE WHEN o_orderstatus <> 'O' THEN o_orderstatus
+            WHEN o_orderpriority = '2-HIGH' THEN 'U'
+            WHEN CAST(o_custkey AS VARCHAR) NOT IN (SELECT Sample_Name FROM s) THEN 'O'
+            WHEN o_orderpriority = '1-URGENT' AND o_orderkey % 2 = 1 THEN 'X'
+            WHEN o_orderpriority = '3-MEDIUM' THEN 'U' ELSE 'O' END AS ProjStatus
+FROM orders
+"""

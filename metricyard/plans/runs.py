@@ -10,7 +10,6 @@ Table folders live under ``warehouse``.
 from __future__ import annotations
 
 import datetime as dt
-import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,6 +21,7 @@ from ..operators.appindex import AppIndex
 from ..operators.joins import null_safe_on
 from ..operators.numbering import numbered
 from ..operators.quarantine import observed_write, quarantine
+from ..operators.status import StatusOverlay
 from ..session import cut_lineage
 from ..sources import files
 from ..sources.listing import list_tree
@@ -132,7 +132,7 @@ def run_projects(spark: SparkSession, listing: DataFrame, projects: DataFrame, a
         target_path = table_path(warehouse, f"qc_{application.lower()}_metrics")
         ids = sorted(r["k"] for r in rows.select(F.explode(F.map_keys("ids")).alias("k")).distinct().collect())
         batch = collectors.long_read_table_rows(rows, ids)   # id names only reach the driver (M4)
-        target = read_evolving(spark, target_path, LONG_SCHEMA)
+        target = with_status(spark, target_path, read_evolving(spark, target_path, LONG_SCHEMA))      # M2 compares the status too
         widened, batch = merge.evolve_schema(target, batch, fixed_cols=fixed.LONG_READ_BASE + ("name", "value"))
         new = cut_lineage(merge.new_rows_except(widened, batch, partition_cols=("Application",), batch_stored=True))
         before = row_count_or_zero(spark, target_path)
@@ -188,7 +188,8 @@ def build_marts(spark: SparkSession, warehouse: str, run_date: str | None = None
     view = spark.table("unified_qc_view")
     sequencing = table_or_empty(spark, table_path(warehouse, "sequencing_metrics"), SEQUENCING_DDL)
     snap_root = table_path(warehouse, "snapshots")
-    kept = {"qc_illumina_metrics": short, "sequencing_metrics": sequencing}
+    now = with_status(spark, table_path(warehouse, "qc_illumina_metrics"), short, SHORT_SCHEMA)
+    kept = {"qc_illumina_metrics": now, "sequencing_metrics": sequencing}
     before = {name: _last_snapshot(spark, f"{snap_root}/{name}") for name in kept}
     delta = marts.publish_delta(before["qc_illumina_metrics"], short, "Sample_Name",
                                 seq_before=before["sequencing_metrics"], seq_after=sequencing).first().asDict()
@@ -230,38 +231,42 @@ def _with_column(df: DataFrame, name: str) -> DataFrame:
 def run_status_update(spark: SparkSession, table_path_: str, run_type: str, export_path: str,
                       samples_inline: str | None = None, samples_file: str | None = None,
                       status_col: str = "ProjStatus", run_type_col: str = "Project_run_type",
-                      sample_col: str = "Sample_Name", partition_cols: Sequence[str] = ("Application",)) -> int:
-    """U1 + U2 + A5 + K3: count the rows to change; with none, nothing is written. Otherwise the
-    partitions that hold such rows are written with the new status to a staging folder, and from
-    there they replace the table's own, so every later reader (and the next update) sees them.
+                      sample_col: str = "Sample_Name", partition_cols: Sequence[str] = ("Application",), fold: bool = True) -> int:
+    """U1 + U2 + A5 + K3: count the rows to change; with none, nothing is written. Otherwise their new status is
+    noted as events beside the table. With ``fold`` (the default) all events noted so far are then written into the partitions that they
+    touch, so that plain Parquet readers see them; without it the update writes its events alone, runs and
+    ``StatusOverlay.read`` see them, and ``fold_status`` writes them into the table when it suits.
     The run type's rows (all statuses) are exported as TSV. Returns the number changed."""
     from ..sources.delimited import read_value_list
-    table = spark.read.parquet(table_path_)
     samples = None
     if samples_inline is not None or samples_file is not None:
         samples = read_value_list(spark, samples_inline, samples_file)
-    hit = merge.status_scope(table, run_type_col, run_type, samples, sample_col).filter(F.col(status_col) == "Delivered")
-    n = hit.count()
+    overlay = StatusOverlay(spark, table_path_, status_col)
+    n = overlay.update(run_type, samples, run_type_col=run_type_col, sample_col=sample_col)
     if n == 0:
         return 0
-    parts = [c for c in partition_cols if c in table.columns and glob_paths(spark, f"{table_path_}/{c}=*")]
-    touched = table
-    if parts:
-        keys = hit.select(*[F.col(c).alias(f"_k_{c}") for c in parts]).distinct()
-        touched = table.join(keys, null_safe_on(table, keys, parts, [f"_k_{c}" for c in parts]), "left_semi")
-    updated = merge.update_status(touched, run_type_col, run_type, samples, sample_col, status_col)
-    staged = f"{table_path_.rstrip('/')}.staged-{uuid.uuid4().hex}"
-    updated.write.parquet(staged)
-    writer = spark.read.parquet(staged).write.mode("overwrite")
-    if parts:
-        writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy(*parts)
-    writer.parquet(table_path_)
-    spark.catalog.refreshByPath(table_path_)
-    fresh = spark.read.parquet(table_path_)
-    sinks.export_csv(merge.status_scope(fresh, run_type_col, run_type, samples, sample_col), export_path, sep="\t")
+    if fold:
+        overlay.fold(partition_cols)
+    sinks.export_csv(merge.status_scope(overlay.read(), run_type_col, run_type, samples, sample_col), export_path, sep="\t")
     return n
 
 
+def fold_status(spark: SparkSession, warehouse: str, tables: Sequence[str] = (
+        "qc_illumina_metrics", "qc_pacbio_metrics", "qc_ont_metrics")) -> list[str]:
+    """Writes the status events of the metric tables into them; returns the tables that had any."""
+    found = [(name, StatusOverlay(spark, table_path(warehouse, name))) for name in tables]
+    found = [(name, overlay) for name, overlay in found if overlay.pending()]
+    for _, overlay in found:
+        overlay.fold()
+    return [name for name, _ in found]
+
+
+def with_status(spark: SparkSession, path: str, stored: DataFrame, schema: str | None = None) -> DataFrame:
+    """``stored``, the table at ``path``, with the status of now when there are events that no fold has taken up."""
+    overlay = StatusOverlay(spark, path, schema=schema)
+    return overlay.read() if overlay.pending() else stored
+
+
 def run_speciesid(spark: SparkSession, roots: Sequence[str], warehouse: str, run_date: str | None = None) -> dict:
     """Species-id collector run: S3 -> J1 (+T6) -> F12 -> F1 -> M3 -> K3/K6/K7.
 
