@@ -6,7 +6,9 @@ its best directions, block by block, and every vector gets equally many: ``LISTS
 at exactly the wanted cosine would share none with a probability above ``MISS``, as measured for the
 dimension and the number of directions in use. Vectors that share a filter are joined and verified by their
 cosine in double precision. The number of directions grows with the largest label, so filters keep about
-``LISTS * 16`` vectors; a filter that holds more is dealt into blocks of bounded size and every pair of
+``LISTS * 16`` vectors. Filters with one word in the first block are one group, or several where labels are large, and a
+vector travels once for each of its groups, in its own type. A group that holds more than ``GROUP_ROWS`` vectors is dealt into
+blocks of bounded size and every pair of
 blocks is one task, so no member of a filter and no pair in one is left out. Where more than ``MOST_LISTS``
 filters a vector would be needed, fewer directions are used. A link at the cosine itself is thus missed with
 a probability of about ``MISS`` over the random directions, and closer ones less.
@@ -28,10 +30,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, FloatType
 
 from .common import components, stored
 
-COSINE, LISTS, GROUP_ROWS, SEED = 0.93, 16, 2048, 20
+COSINE, LISTS, GROUP_ROWS, SEED = 0.93, 16, 32_768, 20
 MISS, MOST_LISTS, DRAWN = 0.001, 64, 4000
 
 
@@ -50,7 +53,7 @@ class Directions:
             c = np.unique(c / np.linalg.norm(c, axis=1, keepdims=True), axis=0)     # of width 1, only -1 and 1
             self.books.append(c * math.sqrt(w / dim))
         self.cuts = np.cumsum([0, *widths])
-        self.lists = lists
+        self.bits, self.lists = bits, lists
 
     def decode(self, unit: np.ndarray) -> np.ndarray:
         """For each unit vector the numbers of its ``lists`` best directions (all, if there are fewer), best first."""
@@ -104,7 +107,9 @@ def directions(dim: int, bits: int, lists: int = LISTS, cosine: float = COSINE)
 
 def _classes(vectors: DataFrame, id_col: str, vector_col: str, label_col: str):
     """Rows that cannot link (vec_id), rows with their class, and the classes (label, v, cid, copies, least)."""
-    v = F.transform(F.col(vector_col), lambda x: x.cast("double"))
+    given = vectors.schema[vector_col].dataType
+    single = isinstance(given, ArrayType) and isinstance(given.elementType, FloatType)      # floats travel as floats
+    v = F.col(vector_col) if single else F.transform(F.col(vector_col), lambda x: x.cast("double"))
     rows = vectors.select(F.col(id_col).alias("vec_id"), F.col(label_col).cast("string").alias("label"), v.alias("v"))
     finite = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     usable = F.coalesce(F.col("label").isNotNull() & finite & F.exists("v", lambda x: x != 0), F.lit(False))
@@ -112,44 +117,76 @@ def _classes(vectors: DataFrame, id_col: str, vector_col: str, label_col: str):
     classes = stored(rows.where("ok").groupBy("label", "v").agg(F.count("*").alias("copies"), F.min("vec_id").alias("least"))
                      .withColumn("cid", F.monotonically_increasing_id()), "classes")
     ids = rows.where("ok").select("vec_id", "label", "v").join(classes.select("label", "v", "cid", "copies", "least"), ["label", "v"])
-    single = rows.where(~F.col("ok")).select("vec_id")
-    return single, ids.select("vec_id", "cid", "copies", "least"), classes
+    alone = rows.where(~F.col("ok")).select("vec_id")
+    return alone, ids.select("vec_id", "cid", "copies", "least"), classes
 
 
-def _filters(classes: DataFrame, bits: int, lists: int, cosine: float = COSINE) -> DataFrame:
-    """(key, cid, copies, v, filters): one row for each filter of each class."""
-    rows = classes.select(F.concat_ws("|", F.size("v"), "label").alias("label"), "cid", "copies", "v")
+def _tuned(classes: DataFrame, bits: int, lists: int, cosine: float) -> DataFrame:
+    """(dim, bits, lists): for every length of vectors how many directions, and how many filters a vector; searched once."""
+    def search(batches):
+        for batch in batches:
+            found = [(d, directions(d, bits, lists, cosine)) for d in batch.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array([d for d, _ in found], pa.int32()), pa.array([m.bits for _, m in found], pa.int32()),
+                                              pa.array([m.lists for _, m in found], pa.int32())], ["dim", "bits", "lists"])
+
+    return stored(classes.select("dim").distinct().mapInArrow(search, "dim int, bits int, lists int"), "directions")
+
+
+def _unit(x: np.ndarray) -> np.ndarray:
+    """Rows of length 1 in double precision; the largest component goes out first, so that no square overflows."""
+    x = x.astype(np.float64)
+    x /= np.abs(x).max(axis=1, keepdims=True)
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+
+def _filters(classes: DataFrame, bits: int, lists: int, cosine: float = COSINE, parts: int = 1) -> DataFrame:
+    """(key, cid, copies, v, own, before): one row for each group of filters that a class is in. A group holds the filters
+    with one word in the first block (dealt into ``parts``); ``own`` are the class's filters there, ``before`` its filters of
+    other groups that come before the last of them. So a vector travels once for a group instead of once for a filter."""
+    classes = classes.withColumn("dim", F.size("v"))
+    rows = classes.select("label", "cid", "copies", "v", "dim").join(_tuned(classes, bits, lists, cosine), "dim").select(
+        F.concat_ws("|", "dim", "label").alias("label"), "cid", "copies", "v", "dim", "bits", "lists")
+    code_type = "int" if bits <= 30 else "long"
 
     def decode(batches):
         made = {}
         for batch in batches:
             label, cid, copies = batch.column(0).to_pylist(), batch.column(1).to_numpy(), batch.column(2).to_numpy()
-            lists_, dims = batch.column(3), np.diff(batch.column(3).offsets.to_numpy())
-            starts, flat = lists_.offsets.to_numpy(), lists_.values.to_numpy(zero_copy_only=False)
-            for dim in np.unique(dims):
-                if dim not in made:
-                    made[dim] = directions(int(dim), bits, lists, cosine)
+            starts, flat = batch.column(3).offsets.to_numpy(), batch.column(3).values.to_numpy(zero_copy_only=False)
+            dims, bits_, lists_ = (batch.column(k).to_numpy() for k in (4, 5, 6))
+            for dim in np.unique(dims).tolist():
                 which = np.flatnonzero(dims == dim)
+                if dim not in made:
+                    made[dim] = Directions(dim, int(bits_[which[0]]), int(lists_[which[0]]))
+                rest = math.prod(len(c) for c in made[dim].books[1:])
                 for part in np.array_split(which, -(-len(which) // 1000)):
                     x = np.stack([flat[starts[i]: starts[i + 1]] for i in part])
-                    big = np.abs(x).max(axis=1, keepdims=True)
-                    unit = x / big
-                    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
-                    codes = made[dim].decode(unit)
-                    row, code, ends = np.repeat(np.arange(len(part)), codes.shape[1]), codes.ravel(), np.arange(codes.size + 1)
+                    codes = np.sort(made[dim].decode(_unit(x)), axis=1)
+                    group = codes // rest * parts + codes % parts
+                    n, width = codes.shape
+                    row, g, c = np.repeat(np.arange(n), width), group.ravel(), codes.ravel()
+                    order = np.lexsort((c, g, row))
+                    row, g, c = row[order], g[order], c[order]
+                    first = np.flatnonzero(np.r_[True, (row[1:] != row[:-1]) | (g[1:] != g[:-1])])
+                    last = np.r_[first[1:], len(c)]
+                    row, g = row[first], g[first]
+                    earlier = (codes[row] < c[last - 1][:, None]) & (group[row] != g[:, None])
+                    code_of = pa.int32() if code_type == "int" else pa.int64()
                     yield pa.RecordBatch.from_arrays([
-                        pa.array([f"{label[part[r]]}|{c}" for r, c in zip(row, code)]),
-                        pa.array(cid[part][row]), pa.array(copies[part][row]), pa.array(code),
-                        pa.ListArray.from_arrays(pa.array(ends * dim, pa.int32()), pa.array(unit[row].ravel())),
-                        pa.ListArray.from_arrays(pa.array(ends * codes.shape[1], pa.int32()), pa.array(codes[row].ravel()))],
-                        ["key", "cid", "copies", "code", "v", "codes"])
+                        pa.array([f"{label[part[r]]}|{k}" for r, k in zip(row, g)]), pa.array(cid[part][row]), pa.array(copies[part][row]),
+                        pa.ListArray.from_arrays(pa.array(np.arange(len(row) + 1) * dim, pa.int32()), pa.array(x[row].ravel())),
+                        pa.ListArray.from_arrays(pa.array(np.r_[first, len(c)], pa.int32()), pa.array(c, code_of)),
+                        pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(earlier.sum(axis=1))], pa.int32()),
+                                                 pa.array(codes[row][earlier], code_of))],
+                        ["key", "cid", "copies", "v", "own", "before"])
 
-    return rows.mapInArrow(decode, "key string, cid long, copies long, code long, v array<double>, codes array<long>")
+    number = classes.schema["v"].dataType.elementType.simpleString()
+    return rows.mapInArrow(decode, f"key string, cid long, copies long, v array<{number}>, own array<{code_type}>, before array<{code_type}>")
 
 
-def group_links(v, codes, code, copies, block, cross: bool, cosine: float):
+def group_links(v, table, code, copies, block, cross: bool, cosine: float):
     """Links of one filter (or block pair): (degree sums by row, forest of links), counting only pairs whose
-    first shared filter is this one."""
+    first shared filter is this one. ``table`` holds the filters of each row up to this one, filled up with -1."""
     m = len(v)
     degree, forest, root = np.zeros(m, np.int64), [], np.arange(m)
 
@@ -159,10 +196,6 @@ def group_links(v, codes, code, copies, block, cross: bool, cosine: float):
             x = root[x]
         return x
 
-    width = max(map(len, codes))
-    table = np.full((m, width), -1, np.int64)
-    for i, c in enumerate(codes):
-        table[i, : len(c)] = c
     for a in range(0, m, 256):
         near = v[a: a + 256] @ v.T >= cosine
         i, j = np.nonzero(near)
@@ -186,6 +219,27 @@ def group_links(v, codes, code, copies, block, cross: bool, cosine: float):
     return degree, forest
 
 
+def _group(pieces, cross: bool, cosine: float):
+    """(degree sums by row, links) of one group of filters (or a pair of its blocks), filter by filter."""
+    cid, copies, block, v = (np.concatenate(x) for x in list(zip(*pieces))[:4])
+    own, before = ([np.asarray(c) for p in pieces for c in p[k]] for k in (4, 5))
+    sizes = np.array([len(c) for c in own])
+    table = np.full((len(cid), max(len(a) + len(b) for a, b in zip(own, before))), -1, np.int64)
+    for i, (a, b) in enumerate(zip(own, before)):
+        table[i, : len(a)], table[i, len(a): len(a) + len(b)] = a, b
+    code, row = np.concatenate(own), np.repeat(np.arange(len(cid)), sizes)
+    order = np.lexsort((row, code))
+    code, row = code[order], row[order]
+    starts = np.flatnonzero(np.r_[True, code[1:] != code[:-1]])
+    degree, links, cross = np.zeros(len(cid), np.int64), [], cross and len(np.unique(block)) > 1
+    for start, members in zip(starts, np.split(row, starts[1:])):
+        if len(members) > 1:
+            more, forest = group_links(_unit(v[members]), table[members], code[start], copies[members], block[members], cross, cosine)
+            degree[members] += more
+            links += [(int(cid[members[p]]), int(cid[members[q]])) for p, q in forest]
+    return cid, degree, links
+
+
 def _join_filters(rows: DataFrame, cosine: float, group_rows: int) -> DataFrame:
     """(kind, a, b): kind 0 adds b links to class a, kind 1 is a link between classes a and b."""
     rows = stored(rows, "filters")
@@ -195,38 +249,36 @@ def _join_filters(rows: DataFrame, cosine: float, group_rows: int) -> DataFrame:
     block = F.pmod(F.xxhash64("cid"), F.col("blocks"))
     rows = rows.withColumn("block", block).withColumn(
         "other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-    rows = rows.withColumn("task", F.concat_ws("/", "key", F.least("block", "other"), F.greatest("block", "other")))
-    rows = rows.withColumn("cross", (F.col("blocks") > 1)).select("task", "cid", "copies", "code", "v", "codes", "block", "cross")
+    pair = F.concat_ws("/", "key", F.least("block", "other"), F.greatest("block", "other"))
+    rows = rows.withColumn("task", F.when(F.col("blocks") > 1, pair).otherwise(F.col("key")))
+    rows = rows.select("task", "cid", "copies", F.when(F.col("blocks") > 1, F.col("block")).alias("block"), "v", "own", "before")
     rows = rows.repartition("task").sortWithinPartitions("task", "cid")
 
     def verify(batches):
-        name, held = None, []
-
         def finish():
-            out = ([], [], [])
-            if len(held) > 1:
-                cid, copies, code, v, codes, block, cross = zip(*held)
-                two = len(set(block)) > 1
-                cid, copies = np.array(cid), np.array(copies)
-                degree, forest = group_links(np.stack(v), codes, code[0], copies, np.array(block), cross[0] and two, cosine)
+            kind, a, b = [], [], []
+            if sum(len(p[0]) for p in held) > 1:
+                cid, degree, links = _group(held, cross, cosine)
                 some = np.flatnonzero(degree)
-                out = ([0] * len(some) + [1] * len(forest), [*cid[some].tolist(), *(int(cid[p]) for p, _ in forest)],
-                       [*degree[some].tolist(), *(int(cid[q]) for _, q in forest)])
-            return pa.RecordBatch.from_arrays([pa.array(out[0], pa.int32()), pa.array(out[1], pa.int64()),
-                                               pa.array(out[2], pa.int64())], ["kind", "a", "b"])
+                kind = [0] * len(some) + [1] * len(links)
+                a, b = cid[some].tolist() + [p for p, _ in links], degree[some].tolist() + [q for _, q in links]
+            return pa.RecordBatch.from_arrays([pa.array(kind, pa.int32()), pa.array(a, pa.int64()), pa.array(b, pa.int64())],
+                                              ["kind", "a", "b"])
 
+        name, held, cross = None, [], False
         for batch in batches:
-            cols = batch.columns
-            tasks, cross = cols[0].to_pylist(), cols[7].to_pylist()
-            cid, copies, code, block = (cols[k].to_numpy() for k in (1, 2, 3, 6))
-            v_at, v = cols[4].offsets.to_numpy(), cols[4].values.to_numpy(zero_copy_only=False)
-            c_at, c = cols[5].offsets.to_numpy(), cols[5].values.to_numpy(zero_copy_only=False)
-            for i, t in enumerate(tasks):
-                if t != name:
+            tasks, cols = batch.column(0).to_pylist(), batch.columns
+            ends = [i for i in range(1, len(tasks)) if tasks[i] != tasks[i - 1]] + [len(tasks)] * bool(tasks)
+            start = 0
+            for end in ends:
+                if tasks[start] != name:
                     yield finish()
-                    name, held = t, []
-                held.append((cid[i], copies[i], code[i], np.array(v[v_at[i]: v_at[i + 1]]),
-                             np.array(c[c_at[i]: c_at[i + 1]]), block[i], cross[i]))
+                    name, held, cross = tasks[start], [], cols[3][start].is_valid
+                piece = [c.slice(start, end - start) for c in cols]
+                values = piece[4].flatten().to_numpy(zero_copy_only=False)
+                held.append((piece[1].to_numpy(), piece[2].to_numpy(), piece[3].fill_null(0).to_numpy(),
+                             values.reshape(end - start, -1), piece[5].to_pylist(), piece[6].to_pylist()))
+                start = end
         yield finish()
 
     return stored(rows.mapInArrow(verify, "kind int, a long, b long"), "links")
@@ -238,7 +290,9 @@ def spherical_dedup(vectors: DataFrame, cosine: float = COSINE, lists: int = LIS
     single, ids, classes = _classes(vectors, id_col, vector_col, label_col)
     most = classes.groupBy("label").count().agg(F.max("count")).first()[0] or 0
     bits = max(8, math.ceil(math.log2(max(most, 1) / 16)))
-    found = _join_filters(_filters(classes, bits, lists, cosine), cosine, group_rows)
+    words = 2 ** math.ceil(bits / max(2, math.ceil(bits / 12)))                  # of the first block
+    parts = math.ceil(max(1, most * lists / words / (group_rows / 2)))
+    found = _join_filters(_filters(classes, bits, lists, cosine, parts), cosine, group_rows)
     degree = found.where("kind = 0").groupBy(F.col("a").alias("cid")).agg(F.sum("b").alias("more"))
     roots = components(found.where("kind = 1").select("a", "b"))
     rows = classes.select("cid", "copies", "least").join(degree, "cid", "left").join(

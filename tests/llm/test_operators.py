@@ -216,13 +216,38 @@ def test_filters_of_close_pairs_meet(spark, bits):
     df = spark.createDataFrame([("a", i, 1, [float(x) for x in v]) for i, v in enumerate(vectors)],
                                "label string, cid long, copies long, v array<double>")
     held = [set() for _ in vectors]
-    for key, cid in spherical._filters(df, bits, spherical.LISTS).select("key", "cid").collect():
-        held[cid].add(key)
+    for cid, own in spherical._filters(df, bits, spherical.LISTS, parts=3).select("cid", "own").collect():
+        held[cid].update(own)
     near = np.argwhere(np.triu(vectors @ vectors.T >= 0.93, 1))                  # brute force
     assert len(near) >= n and min(map(len, held)) >= spherical.LISTS
     assert sum(bool(held[i] & held[j]) for i, j in near) >= 0.99 * len(near)
 
 
+def test_spherical_query_on_the_given_table_with_planted_links(spark, tmpdir_path):
+    """The given vectors, which have no links of their own, and near copies of some of them: the query against brute force."""
+    given = spark.read.parquet("/root/testdata/sf0.001/embeddings.parquet").select("vec_id", "embedding", "label").collect()
+    rng, rows = np.random.default_rng(9), [tuple(r) for r in given]
+    whole = [r for r in rows if r[1] is not None and r[2] is not None and all(x is not None for x in r[1])]
+    for n, (_, v, label) in enumerate(whole[::3]):
+        v = np.array(v)
+        noise = rng.standard_normal(len(v))
+        noise *= np.linalg.norm(v) / np.linalg.norm(noise) * (0, 0.1, 0.3, 0.39, 0.5)[n % 5]
+        rows.append((10_000_000 + n, [float(np.float32(x)) for x in v + noise], label if n % 7 else label + 1))
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int").withColumn("key", F.lit("x")).withColumn("cid", F.lit(1))
+    df.repartition(5).write.parquet(f"{tmpdir_path}/embeddings.parquet")
+    out = {r["vec_id"]: r for r in spherical.op5_spherical_dedup(spark, tmpdir_path).collect()}
+    usable = [r for r in rows if r[1] is not None and r[2] is not None and all(x is not None and np.isfinite(x) for x in r[1]) and any(r[1])]
+    a = np.array([r[1] for r in usable])
+    a /= np.linalg.norm(a, axis=1, keepdims=True)
+    label, ids = np.array([r[2] for r in usable]), [r[0] for r in usable]
+    links = (a @ a.T >= 0.93) & (label[:, None] == label[None]) & ~np.eye(len(a), dtype=bool)
+    assert len(out) == len(rows) and links.sum() > 100
+    assert all(out[i]["n_links"] <= n for i, n in zip(ids, links.sum(axis=1)))
+    assert sum(out[i]["n_links"] for i in ids) >= 0.99 * links.sum()
+    least = [min([ids[i], *(ids[j] for j in np.flatnonzero(links[i]))]) for i in range(len(ids))]
+    assert sum(out[i]["component_id"] <= n for i, n in zip(ids, least)) >= 0.99 * len(ids)
+
+
 def test_directions_of_small_dimensions_and_wide_angles():
     for dim in (1, 2, 3):
         made = spherical.directions(dim, 8)
