@@ -36,6 +36,7 @@ from .common import components, stored
 
 COSINE, LISTS, GROUP_ROWS, SEED = 0.93, 16, 32_768, 20
 MISS, MOST_LISTS, DRAWN = 0.001, 64, 4000
+LARGE_BYTES = 8 << 20            # names of groups to split are broadcast up to this size; beyond it they are joined by shuffling
 
 
 class Directions:
@@ -243,9 +244,10 @@ def _group(pieces, cross: bool, cosine: float):
 def _join_filters(rows: DataFrame, cosine: float, group_rows: int) -> DataFrame:
     """(kind, a, b): kind 0 adds b links to class a, kind 1 is a link between classes a and b."""
     rows = stored(rows, "filters")
-    large = rows.groupBy("key").count().where(F.col("count") > group_rows).withColumn(
-        "blocks", F.ceil(F.col("count") * 2 / group_rows)).select("key", "blocks")
-    rows = rows.join(large, "key", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+    large = stored(rows.groupBy("key").count().where(F.col("count") > group_rows).withColumn(
+        "blocks", F.ceil(F.col("count") * 2 / group_rows)).select("key", "blocks"), "large")
+    size = large.agg(F.sum(F.octet_length("key") + 32)).first()[0] or 0
+    rows = rows.join(F.broadcast(large) if size <= LARGE_BYTES else large, "key", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
     block = F.pmod(F.xxhash64("cid"), F.col("blocks"))
     rows = rows.withColumn("block", block).withColumn(
         "other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))

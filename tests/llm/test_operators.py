@@ -179,7 +179,7 @@ def test_packing_keeps_every_token(spark):
 
 
 # ------------------------------------------------------------------ 5 embeddings
-def test_spherical_dedup_against_brute_force(spark):
+def test_spherical_dedup_against_brute_force(spark, monkeypatch):
     rng = np.random.default_rng(3)
     base = rng.standard_normal((40, 24))
     vectors = [b + rng.standard_normal(24) * s for b in base for s in (0, 0.05, 0.15, 0.2, 0.3, 0.35)]
@@ -193,7 +193,8 @@ def test_spherical_dedup_against_brute_force(spark):
     a /= np.linalg.norm(a, axis=1, keepdims=True)
     label = np.array([r[2] for r in rows])
     links = (a @ a.T >= 0.93) & (label[:, None] == label[None]) & ~np.eye(n, dtype=bool)
-    for group_rows in (2048, 20):
+    for group_rows, large_bytes in ((2048, 8 << 20), (20, 8 << 20), (20, -1)):
+        monkeypatch.setattr(spherical, "LARGE_BYTES", large_bytes)
         out = {r["vec_id"]: r for r in spherical.spherical_dedup(df, group_rows=group_rows).collect()}
         assert len(out) == n + len(odd)
         found = sum(out[i]["n_links"] for i in range(n))
