@@ -27,6 +27,7 @@ from .merge import status_scope
 
 EVENTS = "`_file` string, `_row` bigint, `_status` string, `v` bigint"
 PLACE = ["_file", "_row"]
+INSIDE = r"(?:^|/)((?:[^/][^/=]*+=[^/]*+/)*+[^/]++)$"      # partition folders and file, found without going back: it is taken of every row
 
 
 class StatusOverlay:
@@ -52,7 +53,7 @@ class StatusOverlay:
     def _placed(self) -> DataFrame:
         reader = self.spark.read.schema(self.schema) if self.schema else self.spark.read.option("mergeSchema", True)
         table = reader.parquet(self.path)
-        inside = F.regexp_extract(F.col("_metadata.file_path"), r"((?:[^/]+=[^/]*/)*[^/]+)$", 1)     # partition folders and file
+        inside = F.regexp_extract(F.col("_metadata.file_path"), INSIDE, 1)
         return table.select("*", inside.alias("_file"), F.col("_metadata.row_index").alias("_row"))
 
     def rows(self, broadcast_bytes: int | None = None) -> DataFrame:
