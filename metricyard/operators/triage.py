@@ -21,10 +21,11 @@ LOG_NAME_RE = r"([^/]+)_QCreport\.([^./]+)(?:\.([^./]+))?\.log$"
 
 def parse_log_path(path_col: Column) -> dict[str, Column]:
     """Project, pipeline and stage ('run' when there is no stage part) from a log path."""
-    stage = F.regexp_extract(path_col, LOG_NAME_RE, 3)
+    name = F.substring_index(path_col, "/", -1)              # not the whole path: the pattern would be tried from each of its places
+    stage = F.regexp_extract(name, LOG_NAME_RE, 3)
     return {
-        "project": F.regexp_extract(path_col, LOG_NAME_RE, 1),
-        "pipeline": F.regexp_extract(path_col, LOG_NAME_RE, 2),
+        "project": F.regexp_extract(name, LOG_NAME_RE, 1),
+        "pipeline": F.regexp_extract(name, LOG_NAME_RE, 2),
         "stage": F.when(stage == "", F.lit("run")).otherwise(stage),
     }
 

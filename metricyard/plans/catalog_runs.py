@@ -271,7 +271,8 @@ def _write_files(df):
                 with open(path, "w", encoding="utf-8") as fh:
                     fh.write(text)
             yield pdf[["path"]]
-    return df.select("path", "text").mapInPandas(work, "path string").count()
+    spread = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.select("path", "text").repartition(spread, "path").mapInPandas(work, "path string").count()
 
 
 @register("quarantine")
@@ -314,9 +315,8 @@ def log_files(spark, sf_dir):
     text = F.concat_ws("\n", F.lit("start"), F.lit("Report @ x"), F.concat(F.lit("n "), F.col("c_nationkey").cast("string")), F.lit(""),
                        F.lit("Internal note"), F.concat(F.lit("k "), key), F.lit("##"), F.lit("after"))
     _write_files(c.select(F.concat(F.lit(f"{root}/p"), key, F.lit("_QCreport."), pipe, F.lit(".log")).alias("path"), text.alias("text")))
-    lines = files.read_logs(spark, root)
-    row = F.monotonically_increasing_id()                    # a file is one split here, its lines are in order
-    block = triage.report_block(lines.withColumn("line_no", row), ["project", "pipeline", "stage"])
+    lines = cut_lineage(files.read_logs(spark, root))         # the files are read once, the block's state passes over them thrice
+    block = triage.report_block(lines, ["path", "project", "pipeline", "stage"])
     return block.select("project", "pipeline", "stage", "line")
 
 

@@ -11,6 +11,7 @@ Listing and reading are Spark jobs over path DataFrames:
 
 from __future__ import annotations
 
+import os
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -22,6 +23,8 @@ from .listing import list_tree
 
 
 READ_BATCH = 64          # bodies that a task hands on at a time
+RANGE = 64 << 20         # bytes of a file that a task reads at a time, for lines
+LINES_BATCH = 4 << 20    # bytes of lines that a task hands on at a time
 
 
 def _local(path: str) -> str:
@@ -106,13 +109,66 @@ def resolve_candidate(files: DataFrame, project_col: str, rank: Column, path_col
                  F.struct(F.col("_rank"), F.col(path_col))).alias("_c")).select(project_col, "_c.path", "_c.rank")
 
 
+def read_lines(listed: DataFrame) -> DataFrame:
+    """``(path, line_no, line)`` of listed files, read by tasks. ``line_no`` is the byte at which the line starts, so it
+    grows with the place in the file. Files are dealt to as many tasks as the session shuffles to, a file of more than
+    ``RANGE`` bytes by ranges; a line belongs to the range that it starts in. Lines end as in Spark's text source. A file
+    that cannot be read fails the job."""
+    def read(batches):
+        import pyarrow as pa
+        paths, starts, lines, held = [], [], [], 0
+
+        def rows():
+            return pa.RecordBatch.from_arrays([pa.array(paths, pa.string()), pa.array(starts, pa.int64()), pa.array(lines, pa.string())],
+                                              ["path", "line_no", "line"])
+
+        for batch in batches:
+            for path, at in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                for start, line in _lines_from(_local(path), at, at + RANGE):
+                    paths.append(path)
+                    starts.append(start)
+                    lines.append(line.decode("utf-8", "replace"))
+                    held += len(path) + len(line)
+                    if held > LINES_BATCH:
+                        yield rows()
+                        paths, starts, lines, held = [], [], [], 0
+        if paths:
+            yield rows()
+
+    last = F.greatest(F.col("length") - 1, F.lit(0).cast("bigint"))
+    ranges = listed.select("path", F.explode(F.sequence(F.lit(0).cast("bigint"), last, F.lit(RANGE).cast("bigint"))).alias("at"))
+    spread = int(listed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return ranges.repartition(spread, "path", "at").mapInArrow(read, "path string, line_no bigint, line string")
+
+
+def _lines_from(path: str, at: int, end: int):
+    """(place, bytes) of the lines that start in a range of the file; they end with LF, CR LF or CR."""
+    with open(path, "rb") as fh:
+        if at:
+            fh.seek(at - 1)
+            at += len(fh.readline()) - 1
+        while at < end and (raw := fh.readline()):
+            start, at = at, at + len(raw)
+            if start == 0 and raw.startswith(b"\xef\xbb\xbf"):
+                start, raw = 3, raw[3:]
+            parts = raw.removesuffix(b"\n").removesuffix(b"\r").split(b"\r") if raw.endswith(b"\n") else raw.removesuffix(b"\r").split(b"\r")
+            for part in parts if raw else []:
+                yield start, part
+                start += len(part) + 1
+
+
 def read_logs(spark: SparkSession, root: str) -> DataFrame:
-    """``(path, project, pipeline, stage, line)`` from ``<project>_QCreport.<pipeline>[.<stage>].log``.
-    Line order inside a file is not needed by the triage rules (first *rule* wins)."""
+    """``(path, project, pipeline, stage, line, line_no)`` from ``<project>_QCreport.<pipeline>[.<stage>].log``, at
+    any depth; hidden files and folders (a leading dot or underscore) are left out. Listed and read by tasks, so many
+    small logs cost neither a listing on the driver nor a task for a few of them. The triage rules need no order
+    (first *rule* wins); blocks of lines are found by ``path`` and ``line_no``."""
     from ..operators.triage import parse_log_path
-    lines = (spark.read.format("text").option("pathGlobFilter", "*_QCreport.*.log")
-                  .option("recursiveFileLookup", "true").load(root)
-                  .select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("line")))
+    if not os.path.isdir(_local(root)):
+        raise FileNotFoundError(root)
+    below = F.split(F.expr("substring(path, length(root) + 1)"), "/")
+    seen = ~F.exists(below, lambda n: n.startswith(".") | (n.startswith("_") & ~n.contains("=")))
+    logs = list_files(spark, [_local(root).rstrip("/")]).filter(seen & clean.base_name(F.col("path")).rlike(r"_QCreport\..*\.log$"))
+    lines = read_lines(logs).withColumn("path", F.concat(F.lit("file:"), "path"))
     parts = parse_log_path(F.col("path"))
     return lines.select("path", parts["project"].alias("project"), parts["pipeline"].alias("pipeline"),
-                        parts["stage"].alias("stage"), "line")
+                        parts["stage"].alias("stage"), "line", "line_no")

@@ -134,3 +134,27 @@ def test_stream_groups_equal_batch(spark, tmpdir_path):
     streamed = {r["grp"] for r in jobs.current_registry(spark, f"{root}/reg").collect()}
     batch = {r["grp"] for r in runs.run_groups(spark, src, os.path.join(tmpdir_path, "breg")).collect()}
     assert streamed == batch == {"labW", "labX", "labY", "labZ"}
+
+
+def test_logs_are_listed_and_read_by_tasks(spark, tmpdir_path, monkeypatch):
+    d = os.path.join(tmpdir_path, "logs")
+    long = "".join(f"line {i}\n" for i in range(500))
+    texts = {"P1_QCreport.basic.log": "start\nReport @ x\nn 1\r\n\nm\rk\n##\nafter", "sub/P1_QCreport.basic.log": long, "P2_QCreport.rnaseq.package.log": "",
+             ".P3_QCreport.basic.log": "no", "_hidden/P3_QCreport.basic.log": "no", "P3_QCreport.basic.txt": "no", "k=1/_P=4_QCreport.basic.log": "x"}
+    for name, text in texts.items():
+        os.makedirs(os.path.dirname(os.path.join(d, name)), exist_ok=True)
+        with open(os.path.join(d, name), "w", newline="") as fh:
+            fh.write(text)
+    plain = spark.read.option("pathGlobFilter", "*_QCreport.*.log").option("recursiveFileLookup", "true").text(d).select(
+        F.col("_metadata.file_path").alias("path"), "value")
+    want = sorted(tuple(r) for r in plain.collect())
+    assert len(want) == 509
+    for size in (64 << 20, 97, 1):
+        monkeypatch.setattr(files, "RANGE", size)
+        lines = files.read_logs(spark, d)
+        got = lines.orderBy("path", "line_no").collect()
+        assert sorted((r["path"], r["line"]) for r in got) == want
+        assert [r["line"] for r in got if "/sub/" in r["path"]] == long.splitlines()
+    block = triage.report_block(lines, ["path", "project", "pipeline", "stage"]).orderBy("line_no").collect()
+    assert [(r["project"], r["pipeline"], r["stage"], r["line"]) for r in block] == [("P1", "basic", "run", x) for x in ("n 1", "m", "k")]
+    assert "FileScan text" not in lines._jdf.queryExecution().toString()       # no listing on the driver, no task for a few small files
