@@ -3,7 +3,7 @@
 Two forms are supported:
 
 * **flat** -- an ordinary DataFrame whose columns are the report columns; the
-  long form is ``DataFrame.unpivot`` (an ``Expand`` node, no shuffle).
+  long form explodes an array of its measures (no shuffle).
 * **array** -- rows ``(<ids...>, header ARRAY<STRING>, cells ARRAY<STRING>)``
   where every file may have its own header (heterogeneous schemas, SURVEY H4).
   Per-file decisions (anchor position, first numeric column) are array
@@ -30,6 +30,8 @@ def to_text(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 def pivot_long_from(df: DataFrame, anchor: str, name_col: str = "name", value_col: str = "value",
                     keep: Sequence[str] = ()) -> DataFrame:
     """R1 on a flat DataFrame: columns left of ``anchor`` are ids, ``anchor`` and right of it are measures.
+    The measures are exploded where the rows lie: long rows of a frame that is dealt by ids stay dealt by them, and
+    grouping them by these ids and more shuffles nothing.
 
     ``keep`` lists extra id columns taken from the measure side (they are not pivoted).
     Raises ``ValueError`` when the anchor is absent (the caller quarantines the batch).
@@ -40,7 +42,9 @@ def pivot_long_from(df: DataFrame, anchor: str, name_col: str = "name", value_co
     start = cols.index(anchor)
     ids = cols[:start] + [c for c in cols[start:] if c in keep]
     measures = [c for c in cols[start:] if c not in keep]
-    return to_text(df, measures).unpivot(ids, measures, name_col, value_col)
+    pairs = F.explode(F.array(*[F.struct(F.lit(m).alias(name_col), F.col(f"`{m}`").cast("string").alias(value_col)) for m in measures]))
+    return df.select(*[F.col(f"`{c}`") for c in ids], pairs.alias("_nv")).select(
+        *[F.col(f"`{c}`") for c in ids], F.col("_nv")[name_col].alias(name_col), F.col("_nv")[value_col].alias(value_col))
 
 
 # ----------------------------------------------------------------- array form

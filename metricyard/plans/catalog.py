@@ -28,12 +28,21 @@ def register(name: str):
 
 
 # ------------------------------------------------------------------ R1/R3 + M1 + A1
-def lineitem_long(spark: SparkSession, sf_dir: str, extra_ids=()) -> DataFrame:
-    """lineitem as a wide report: ids left of the anchor, four measures right of it."""
-    li = read_table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_linenumber", "l_returnflag", "l_linestatus", *extra_ids,
-        "l_quantity", "l_extendedprice", "l_discount", "l_tax")
-    long = shape.pivot_long_from(li, anchor="l_quantity")
+TASK_ROWS = 200_000       # rows of a batch that a task groups in memory
+
+
+def dealt(df: DataFrame, key) -> DataFrame:
+    """``df`` dealt once by ``key`` for several appends, to as many tasks as its rows need (a stored table is counted by its footers)."""
+    n = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), df.count() // TASK_ROWS + 1)
+    return df.repartition(n, *key)
+
+
+def lineitem_long(spark: SparkSession, sf_dir: str, extra_ids=(), appended: bool = False) -> DataFrame:
+    """lineitem as a wide report: ids left of the anchor, four measures right of it. To be ``appended``, the wide rows, a
+    fourth as many as the long ones, are dealt by their ids; then long rows need no shuffle by a key that holds these."""
+    ids = ["l_orderkey", "l_linenumber", "l_returnflag", "l_linestatus", *extra_ids]
+    li = read_table(spark, sf_dir, "lineitem").select(*ids, "l_quantity", "l_extendedprice", "l_discount", "l_tax")
+    long = shape.pivot_long_from(dealt(li, ids) if appended else li, anchor="l_quantity")
     return long.filter(~clean.value_is_dropped("value"))
 
 
@@ -51,9 +60,9 @@ def metrics_index(spark, sf_dir):
     Key = every column (first writer wins); the index counts distinct orders per
     (Application = return flag, Investigator_Folder = metric name).
     """
-    long = lineitem_long(spark, sf_dir, extra_ids=("l_shipdate",))
+    long = lineitem_long(spark, sf_dir, extra_ids=("l_shipdate",), appended=True)
     target = long.filter(F.col("l_shipdate") < F.lit("1996-01-01").cast("timestamp_ntz"))
-    stored = cut_lineage(merge.append_if_absent(target, long, key=long.columns))   # read by both sides below
+    stored = merge.append_if_absent(target, long, key=long.columns)   # dealt as its inputs are, so neither append shuffles
     stored = merge.append_if_absent(stored, long, key=long.columns)   # second run adds nothing
     table = stored.select(F.col("l_returnflag").alias("Application"),
                           F.col("name").alias("Investigator_Folder"),
@@ -838,10 +847,9 @@ def typed_csv(spark, sf_dir):
     root = scratch_dir(spark, "typed_csv")
     sequencing_lines(spark, sf_dir).write.mode("overwrite").text(f"{root}/csv")
     typed = read_typed_csv(spark, f"{root}/csv", fx.SEQUENCING_SCHEMA, header=False, drop_header_lines=True)
-    typed = cut_lineage(typed)   # parsed once into the shared checkpoint folder, read by both appends
     key = [n for n, _ in fx.SEQUENCING_SCHEMA]
-    empty = spark.createDataFrame([], typed.schema)
-    stored = merge.append_if_absent(empty, typed, key)
+    typed = dealt(cut_lineage(typed), key)   # parsed once into the shared checkpoint folder, read by both appends
+    stored = merge.append_if_absent(typed.limit(0), typed, key)
     return merge.append_if_absent(stored, typed, key)
 
 

@@ -181,3 +181,23 @@ def test_dot_files_are_read_by_executors(spark, tmpdir_path):
     dirs = spark.createDataFrame([(os.path.join(tmpdir_path, n),) for n in "ab"], "project_dir string")
     got = {r["project_dir"][-1]: r["json"] for r in files.read_settings(dirs).collect()}
     assert json.loads(got["a"]) == {"application": "x"} and got["b"] is None
+
+
+def test_two_appends_shuffle_the_batch_once(spark, tmpdir_path):
+    import datetime as dt
+    from metricyard.plans.catalog import QUERIES
+    row = lambda k, n, flag, q, day: (k, n, k, n, q, 10.5, 0.1, None, flag, "O", day)
+    old, new = dt.datetime(1995, 5, 1), dt.datetime(1997, 5, 1)
+    rows = [row(1, 1, "N", 2.0, old), row(1, 1, "N", 2.0, old), row(1, 2, "N", 3.0, new), row(2, 1, "N", 4.0, new), row(None, 1, "R", 5.0, None), row(3, 1, None, 6.0, old)]
+    cols = ("l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, l_discount double, "
+            "l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz")
+    spark.createDataFrame(rows, cols).write.parquet(os.path.join(tmpdir_path, "lineitem.parquet"))
+    index = QUERIES["metrics_index"](spark, tmpdir_path)
+    names = ("l_quantity", "l_extendedprice", "l_discount")
+    assert sorted(map(tuple, index.collect())) == sorted([("N", x, 2) for x in names] + [("R", x, 0) for x in names])
+    assert "value" not in "".join(line for line in index._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1].splitlines()
+                                  if "Exchange hashpartitioning" in line)
+    typed = QUERIES["typed_csv"](spark, tmpdir_path)
+    assert typed.count() == 3 == typed.distinct().count()          # null fields shift the others: rejected
+    plan = typed._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION_BY_NUM" in plan and "ENSURE_REQUIREMENTS" not in plan
