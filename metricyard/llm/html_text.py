@@ -5,8 +5,8 @@ forms, adverts, notices, comments, scripts and the like hold no main text. All o
 and the host decides: the token streams of all pages of the host, with all their blocks, are concatenated, their
 suffixes are sorted, and a run of at least ``RUN`` tokens that ``PAGES`` distinct pages share is boilerplate.
 Covered tokens go; the runs that are left stay. Marks only protect: text inside an ``article``, ``main`` or
-``role=main`` element is never removed, though many pages share it. A host without any open text needs no runs,
-since they would decide nothing there.
+``role=main`` element is never removed, though many pages share it. The runs of every host are found, and every page
+gets its text from them, also where marks settle all of it.
 
 Suffixes are sorted by prefix doubling up to the run length, which is all that the coverage needs (suffixes
 with a common prefix of ``RUN`` tokens are then neighbours of equal rank). Pages are sorted in shards of
@@ -336,30 +336,22 @@ def extract_text(pages: DataFrame, run: int = RUN, least: int = PAGES, shard_tok
         kind = pa.list_(pa.struct([("kind", pa.int32()), ("text", pa.string())]))
         shard, held = TaskContext.get().partitionId() << 32, 0
         for batch in batches:
-            parts, opens, tokens, shards = [], [], [], []
+            parts, tokens, shards = [], [], []
             for page in batch.column(3):
                 blocks = page_blocks(page.as_py())
                 parts.append([{"kind": k, "text": t} for k, t in blocks])
-                opens.append(any(k == 1 for k, _ in blocks))
                 tokens.append(sum(t.count(" ") + 2 for _, t in blocks))
                 held += tokens[-1]
                 if held > shard_tokens:
                     shard, held = shard + 1, tokens[-1]
                 shards.append(shard)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), batch.column(2), pa.array(parts, kind), pa.array(opens, pa.bool_()),
+                [batch.column(0), batch.column(1), batch.column(2), pa.array(parts, kind),
                  pa.array(tokens, pa.int64()), pa.array(shards, pa.int64())],
-                ["page_id", "url", "host", "blocks", "open", "tokens", "shard"])
+                ["page_id", "url", "host", "blocks", "tokens", "shard"])
 
-    parsed = stored(rows.mapInArrow(parse, f"page_id long, url string, host string, blocks {block}, open boolean, tokens long, shard long"),
+    parsed = stored(rows.mapInArrow(parse, f"page_id long, url string, host string, blocks {block}, tokens long, shard long"),
                     "parsed")
-    protected = F.array_join(F.transform(F.filter("blocks", lambda b: b["kind"] == 2), lambda b: b["text"]), "\n\n")
-    settled = parsed.select("page_id", "url", "host", protected.alias("text"))
-    open_hosts = stored(parsed.where("open").select("host").distinct(), "open_hosts")
-    if open_hosts.isEmpty():
-        return settled.drop("host")
-    open_pages = parsed.join(open_hosts, "host", "left_semi")
-
     def keep_unique(left, right):
         hosts, blocks = left["host"].to_pylist(), left["blocks"].to_pylist()
         shared = np.concatenate([np.zeros(0, np.int64), *(np.frombuffer(x.as_py(), np.int64) for x in right["keys"])])
@@ -369,9 +361,8 @@ def extract_text(pages: DataFrame, run: int = RUN, least: int = PAGES, shard_tok
                 texts[i] = "\n\n".join(_left(blocks[i], covered))
         return pa.table({"page_id": left["page_id"], "url": left["url"], "text": pa.array(texts, pa.string())})
 
-    undecided = open_pages.select("shard", "host", "page_id", "url", "blocks").groupBy("shard").cogroup(
-        shared_runs(open_pages, run, least).groupBy("shard")).applyInArrow(keep_unique, "page_id long, url string, text string")
-    return settled.join(open_hosts, "host", "left_anti").select("page_id", "url", "text").unionByName(undecided)
+    return parsed.select("shard", "host", "page_id", "url", "blocks").groupBy("shard").cogroup(
+        shared_runs(parsed, run, least).groupBy("shard")).applyInArrow(keep_unique, "page_id long, url string, text string")
 
 
 def _left(blocks: list[dict], covered: np.ndarray) -> list[str]:

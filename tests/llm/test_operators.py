@@ -123,6 +123,14 @@ def test_runs_of_marked_pages_count_and_marks_only_protect(spark):
     assert {r["page_id"]: r["text"] for r in out} == want | {3: prose(203, 20), 4: notice, 5: notice} and len(out) == 6
 
 
+def test_runs_are_found_on_hosts_whose_pages_are_all_marked(spark):
+    notice = "Our shop is closed on public holidays and on every second Sunday of the month"
+    rows = [(i, f"http://h/{i}", f"<nav>{notice}</nav><article><p>{notice}</p><p>{prose(400 + i, 30)}</p></article>") for i in range(4)]
+    out = html_text.extract_text(spark.createDataFrame(rows, "page_id long, url string, html string"))
+    assert "CoGroupsInArrow" in out._jdf.queryExecution().executedPlan().toString()
+    assert {r["page_id"]: r["text"] for r in out.collect()} == {i: f"{notice}\n\n{prose(400 + i, 30)}" for i in range(4)}
+
+
 # ------------------------------------------------------------------ 3 exact
 @pytest.mark.parametrize("digest", [exact.sha_digest, lambda body: F.encode(F.substring(body, 1, 1), "UTF-8")])
 def test_exact_dedup(spark, digest):
