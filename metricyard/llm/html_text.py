@@ -8,12 +8,15 @@ Covered tokens go; the runs that are left stay. Marks only protect: text inside
 ``role=main`` element is never removed, though many pages share it. The runs of every host are found, and every page
 gets its text from them, also where marks settle all of it.
 
-Suffixes are sorted by prefix doubling up to the run length, which is all that the coverage needs (suffixes
-with a common prefix of ``RUN`` tokens are then neighbours of equal rank). Pages are sorted in shards of
-about ``SHARD_TOKENS`` tokens, so a host with a third of all pages is many tasks. Each shard sends every
-distinct run of its pages once, as a 64-bit key of host and run with its number of pages, to the bucket of
-that key; there the numbers of all shards are added, and each shard gets back those of its runs that ``PAGES``
-pages of the whole host share. So neither the size of a host nor the order of the input changes a result.
+Pages are dealt in shards of about ``SHARD_TOKENS`` tokens, so a host with a third of all pages is many tasks; a
+shard travels as one compressed row, by one exchange that all later steps read. Shards add up what they hold in two
+rounds. At first each counts its pages by the top bits of a 64-bit key of host and run; a run that ``PAGES`` pages
+share is in a slot that counts as many, and few others are. Then the suffixes of each shard with such slots are
+sorted, by prefix doubling up to the run length, which is all that the coverage needs (suffixes with a common prefix
+of ``RUN`` tokens are then of equal rank); the distinct runs in these slots go out with their whole key and their
+number of pages, the numbers of all shards are added, and each shard gets back those of its runs that ``PAGES`` pages
+of the whole host share. So neither the size of a host nor the order of the input changes a result. Keys travel
+sorted, as compressed planes of the bytes of their differences: about 1.5 bytes a run in the first round.
 
 Defined results: null and empty html give an empty text. Unclosed and stray tags, comments and entities never
 fail; a page cut off inside a tag ends there. A null url is a host of its own. Repeated rows and null ids each
@@ -28,14 +31,15 @@ import math
 import re
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
-
 RUN, PAGES, SHARD_TOKENS, BUCKET_RUNS = 8, 3, 400_000, 2_000_000
+SLOT_BITS = 26                # a bucket of the first round holds at most 2 ** SLOT_BITS slots, of a byte each
 
 RAW = {"script", "style", "noscript", "template", "textarea", "title", "iframe", "svg", "object", "select", "math",
        "canvas", "xmp", "noembed", "noframes"}
@@ -183,32 +187,34 @@ def page_blocks(page: str | None) -> list[tuple[int, str]]:
     return out
 
 
-def sorted_runs(pages: list[list[int]], run: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def sorted_runs(tokens: np.ndarray, sizes: np.ndarray, run: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(starts of the pages in one stream, ranks of its suffixes by their first ``run`` tokens, whether these
-    lie in one page, number of distinct pages by rank)."""
-    sizes = np.array([len(p) for p in pages])
-    total = int(sizes.sum())
+    lie in one page, number of distinct pages by rank) of pages with ``sizes`` of ``tokens``."""
     # one stream; a separator of its own ends each page, so no common prefix crosses pages
-    stream = np.empty(total + len(pages), np.int64)
-    owner = np.repeat(np.arange(len(pages)), sizes + 1)
-    starts = np.cumsum(np.concatenate([[0], sizes + 1]))
-    words = np.unique(np.concatenate([np.array(p, np.int64) for p in pages]))
-    for i, p in enumerate(pages):
-        stream[starts[i]: starts[i + 1] - 1] = np.searchsorted(words, np.array(p, np.int64))
-        stream[starts[i + 1] - 1] = len(words) + i
-    rank, length = stream, 1
+    starts, owner, place, whole = _stream(sizes, run)
+    stream = np.empty(len(owner), np.int64)
+    stream[place] = tokens
+    stream[starts[1:] - 1] = tokens.max(initial=0) + 1 + np.arange(len(sizes))
+    rank, length = np.unique(stream, return_inverse=True)[1], 1
     while length < run:
         step = min(length, run - length)
-        ahead = np.full(len(rank), -1, np.int64)
-        ahead[:-step] = rank[step:]
-        order = np.lexsort((ahead, rank))
-        new = np.empty(len(rank), np.int64)
-        new[order] = np.concatenate([[0], np.cumsum((np.diff(rank[order]) != 0) | (np.diff(ahead[order]) != 0))])
-        rank, length = new, length + step
-    order = np.lexsort((owner, rank))
-    change = np.concatenate([[True], (np.diff(rank[order]) != 0) | (np.diff(owner[order]) != 0)])
-    support = np.bincount(rank[order][change])
-    return starts, rank, np.arange(len(stream)) + run <= starts[owner + 1] - 1, support
+        ahead = np.zeros(len(rank), np.int64)
+        ahead[:-step] = rank[step:] + 1
+        rank, length = np.unique(rank * (len(rank) + 1) + ahead, return_inverse=True)[1], length + step
+    pages = np.sort(rank * len(sizes) + owner)
+    pages = pages[np.concatenate([[True], np.diff(pages) != 0])]
+    return starts, rank, whole, np.bincount(pages // len(sizes))
+
+
+def _stream(sizes: np.ndarray, run: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(starts of the pages, page of each place, places of the tokens, whether a run from there lies in its page) in a
+    stream where one more place ends each page."""
+    owner = np.repeat(np.arange(len(sizes)), sizes + 1)
+    starts = np.cumsum(np.concatenate([[0], sizes + 1]))
+    ends = starts[1:] - 1
+    place = np.ones(len(owner), bool)
+    place[ends] = False
+    return starts, owner, np.flatnonzero(place), np.arange(len(owner)) + run <= ends[owner]
 
 
 def cover(starts: np.ndarray, hit: np.ndarray, run: int) -> list[np.ndarray]:
@@ -225,154 +231,232 @@ def covered_tokens(pages: list[list[int]], run: int = RUN, least: int = PAGES) -
     """For each page's token stream, which tokens lie in a run of ``run`` tokens that ``least`` pages hold."""
     if not any(map(len, pages)):
         return [np.zeros(0, bool) for _ in pages]
-    starts, rank, whole, support = sorted_runs(pages, run)
+    starts, rank, whole, support = sorted_runs(np.concatenate([np.array(p, np.int64) for p in pages]),
+                                               np.array([len(p) for p in pages]), run)
     return cover(starts, (support[rank] >= least) & whole, run)
 
 
-def _digest(text: str) -> int:
-    return int.from_bytes(hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little")
-
-
-class HostRuns:
-    """The suffix-sorted token streams of pages of one host, with a key for each distinct run."""
-
-    def __init__(self, host: str, pages: list[list[str]], run: int = RUN):
-        vocabulary: dict[str, int] = {"\n": 0}
-        streams = []
-        for texts in pages:
-            ids = []
-            for text in texts:
-                ids += [vocabulary.setdefault(w, len(vocabulary)) for w in text.split(" ")] + [0]
-            streams.append(ids)
-        self.run, self.streams = run, streams
-        self.keys = self.pages = np.zeros(0, np.int64)
-        if not any(streams):
-            return
-        self.starts, rank, self.whole, support = sorted_runs(streams, run)
-        ranks, first, self.place = np.unique(rank[self.whole], return_index=True, return_inverse=True)
-        first = np.flatnonzero(self.whole)[first]
-        stream = np.zeros(len(rank), np.int64)
-        for a, ids in zip(self.starts, streams):
-            stream[a: a + len(ids)] = ids
-        hashes = np.array([_digest(w) for w in vocabulary], np.uint64)
-        key = np.full(len(first), _digest(host), np.uint64)
+END = "\n"                    # the token that ends a block; white space inside of blocks is one space
+
+
+def _shard(rows: list[tuple], ids: pa.DataType) -> bytes:
+    """Pages (page_id, url, host, blocks) as a compressed Arrow table."""
+    page_ids, urls, hosts, blocks = zip(*rows)
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(page_ids, ids), pa.array(urls, pa.string()), pa.array(hosts, pa.string()),
+         pa.array([[k for k, _ in b] for b in blocks], pa.list_(pa.int8())),
+         pa.array(["".join(f"{t} {END} " for _, t in b)[:-1] if b else None for b in blocks], pa.large_string())],
+        ["page_id", "url", "host", "kinds", "text"])
+    out = pa.BufferOutputStream()
+    with pa.ipc.new_stream(out, batch.schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", 3))) as writer:
+        writer.write_batch(batch)
+    return out.getvalue().to_pybytes()
+
+
+class ShardRuns:
+    """The token streams of a shard's pages and a key of host and run for each place."""
+
+    def __init__(self, data: bytes, run: int = RUN):
+        self.pages, self.run = pa.ipc.open_stream(data).read_all().combine_chunks(), run
+        words = pc.split_pattern(self.pages["text"].combine_chunks(), " ")
+        self.sizes = pc.fill_null(pc.list_value_length(words), 0).to_numpy().astype(np.int64)
+        words = words.flatten().dictionary_encode()
+        self.words, self.vocabulary = words.indices.to_numpy().astype(np.int64), words.dictionary
+        self.starts, self.owner, self.place, self.whole = _stream(self.sizes, run)
+        hosts = self.pages["host"].combine_chunks().dictionary_encode()
+        self.hosts = hosts.indices.to_numpy().astype(np.int64)
+        stream = np.zeros(len(self.owner) + run, np.uint64)
+        stream[self.place] = _hashes(self.vocabulary)[self.words]
+        key = _hashes(hosts.dictionary)[self.hosts][self.owner]
         for j in range(run):
-            key = (key ^ hashes[stream[first + j]]) * np.uint64(0xBF58476D1CE4E5B9)
+            key = (key ^ stream[j: j + len(key)]) * np.uint64(0xBF58476D1CE4E5B9)
             key = (key ^ (key >> np.uint64(29))) * np.uint64(0x94D049BB133111EB)
             key ^= key >> np.uint64(32)
-        self.keys, self.pages = key.view(np.int64), support[ranks]
-
-    def covered(self, shared: np.ndarray) -> list[np.ndarray]:
-        """For each page, which tokens lie in a run whose key is in ``shared``."""
-        if not len(self.keys):
-            return [np.zeros(len(s), bool) for s in self.streams]
-        hit = np.zeros(len(self.whole), bool)
-        hit[self.whole] = np.isin(self.keys, shared)[self.place]
-        return cover(self.starts, hit, self.run)
-
-
-def _by_host(hosts: list[str], blocks: list[list[dict]], run: int):
-    """(places of the pages, runs) of each host in a shard."""
-    places: dict[str, list[int]] = {}
-    for i, h in enumerate(hosts):
-        places.setdefault(h, []).append(i)
-    for h, at in places.items():
-        yield at, HostRuns(h, [[b["text"] for b in blocks[i]] for i in at], run)
-
-
-def shared_runs(pages: DataFrame, run: int, least: int, bucket_runs: int = BUCKET_RUNS) -> DataFrame:
-    """(shard, keys): keys of those runs of the shard that ``least`` distinct pages of the whole host hold."""
-    tokens = pages.agg(F.sum("tokens")).first()[0] or 0
-    bits = max(0, math.ceil(math.log2(max(1, tokens / bucket_runs))))
-
-    def send(batches):
-        def rows():
-            runs = [r for _, r in _by_host(hosts, blocks, run)]
-            keys, counts = np.concatenate([r.keys for r in runs]), np.concatenate([r.pages for r in runs])
-            order = np.argsort(keys)
-            keys, counts = keys[order], counts[order].astype(np.int64)
-            bucket = (keys >> np.int64(64 - bits)) if bits else np.zeros(len(keys), np.int64)
-            names, ends = np.unique(bucket, return_index=True)
-            ends = [*ends, len(keys)]
-            return pa.RecordBatch.from_arrays(
-                [pa.array(names, pa.int64()), pa.array([shard] * len(names), pa.int64()),
-                 pa.array([keys[a:b].tobytes() for a, b in zip(ends, ends[1:])], pa.binary()),
-                 pa.array([np.minimum(counts[a:b], least).astype(np.int32).tobytes() for a, b in zip(ends, ends[1:])], pa.binary())],
-                ["bucket", "shard", "keys", "pages"])
-
-        # a shard that the reader splits is sent in parts; each page is in one part only
-        shard, hosts, blocks = None, [], []
-        for batch in batches:
-            for s, h, b in zip(*(c.to_pylist() for c in batch.columns)):
-                if s != shard and hosts:
-                    yield rows()
-                    hosts, blocks = [], []
-                shard = s
-                hosts.append(h)
-                blocks.append(b)
-        if hosts:
-            yield rows()
-
-    def add(table):
-        parts = [np.frombuffer(x.as_py(), np.int64) for x in table["keys"]]
+        self.keys = key
+
+    def slots(self, bits: int) -> tuple[np.ndarray, np.ndarray]:
+        """(slots of the runs, least first; number of pages in each): top ``bits`` of the keys."""
+        pages = (self.keys[self.whole] >> np.uint64(64 - bits)) * np.uint64(len(self.sizes)) + self.owner[self.whole].astype(np.uint64)
+        pages = np.sort(pages)
+        pages = pages[np.concatenate([[True], np.diff(pages) != 0])] if len(pages) else pages
+        slots, counts = np.unique(pages // np.uint64(len(self.sizes)), return_counts=True)
+        return slots, counts
+
+    def runs(self, slots: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+        """(keys of the distinct runs in ``slots``, least first; number of pages that hold each)."""
+        # a word of two hosts is two tokens, so that no run is common to hosts
+        tokens = self.words + self.hosts[self.owner[self.place]] * len(self.vocabulary)
+        _, rank, whole, support = sorted_runs(tokens, self.sizes, self.run)
+        at = np.flatnonzero(whole)
+        at = at[_among(self.keys[at] >> np.uint64(64 - bits), slots)]
+        ranks, first = np.unique(rank[at], return_index=True)
+        keys = self.keys[at[first]]
+        order = np.argsort(keys)
+        return keys[order], support[ranks][order]
+
+    def texts(self, shared: np.ndarray) -> list[str]:
+        """Main text of each page without the runs whose key is in ``shared``."""
+        hit = self.whole.copy()
+        hit[hit] = _among(self.keys[hit], shared)
+        return ["\n\n".join(_left(kinds, text[:-2].split(f" {END} ") if kinds else [], covered)) for kinds, text, covered in
+                zip(self.pages["kinds"].to_pylist(), self.pages["text"].to_pylist(), cover(self.starts, hit, self.run))]
+
+
+def _hashes(words: pa.Array) -> np.ndarray:
+    return pd.util.hash_array(words.to_numpy(zero_copy_only=False).astype(object), categorize=False)
+
+
+def _among(values: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """Which values are in ``known``, least first."""
+    if not len(known):
+        return np.zeros(len(values), bool)
+    return known[np.minimum(np.searchsorted(known, values), len(known) - 1)] == values
+
+
+def _pack(values: np.ndarray) -> bytes:
+    """Sorted numbers as compressed planes of the bytes of their differences."""
+    steps = np.diff(values.astype("<u8"), prepend=np.zeros(1, "<u8"))
+    return pa.compress(steps.view(np.uint8).reshape(-1, 8).T.tobytes(), codec="zstd", asbytes=True)
+
+
+def _unpack(n: int, data: bytes) -> np.ndarray:
+    planes = pa.decompress(data, 8 * n, codec="zstd", asbytes=True)
+    return np.cumsum(np.frombuffer(planes, np.uint8).reshape(8, n).T.copy().view("<u8").ravel(), dtype=np.uint64)
+
+
+PACKED = "bucket long, shard long, n long, names binary, pages binary"
+
+
+def _send(shard: int, names: np.ndarray, pages: np.ndarray, bits: int, least: int) -> pa.Table:
+    """A shard's sorted names and their numbers of pages, cut at the top ``bits`` of all 64."""
+    bucket = (names >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(names), np.int64)
+    buckets, ends = np.unique(bucket, return_index=True)
+    ends = [*ends.tolist(), len(names)]
+    pieces = [slice(a, b) for a, b in zip(ends, ends[1:])]
+    return pa.table({
+        "bucket": pa.array(buckets, pa.int64()), "shard": pa.array([shard] * len(pieces), pa.int64()),
+        "n": pa.array([p.stop - p.start for p in pieces], pa.int64()),
+        "names": pa.array([_pack(names[p]) for p in pieces], pa.binary()),
+        "pages": pa.array([pa.compress(np.minimum(pages[p], least).astype("<i4").tobytes(), codec="zstd", asbytes=True) for p in pieces],
+                          pa.binary())})
+
+
+def _received(table: pa.Table):
+    """(names, pages) of each row that shards sent."""
+    for n, names, pages in zip(*(table[c].to_pylist() for c in ("n", "names", "pages"))):
+        yield _unpack(n, names), np.frombuffer(pa.decompress(pages, 4 * n, codec="zstd", asbytes=True), "<i4")
+
+
+def _names(table: pa.Table) -> np.ndarray:
+    """All names that a shard gets back, least first."""
+    parts = [_unpack(n, names) for n, names in zip(table["n"].to_pylist(), table["names"].to_pylist())]
+    return np.sort(np.concatenate([np.zeros(0, np.uint64), *parts]))
+
+
+def _back(table: pa.Table, kept: list[np.ndarray]) -> pa.Table:
+    """The names that are kept of each row, to its shard."""
+    return pa.table({"shard": table["shard"], "n": pa.array([len(k) for k in kept], pa.int64()),
+                     "names": pa.array([_pack(k) for k in kept], pa.binary())})
+
+
+def _data(left: pa.Table, right: pa.Table) -> bytes:
+    if left.num_rows != 1:
+        raise RuntimeError(f"{left.num_rows} shards of a name that {right.num_rows} rows came back for: the pages changed while they were read")
+    return left["data"][0].as_py()
+
+
+def shared_runs(shards: DataFrame, size: int, run: int, least: int, bucket_runs: int = BUCKET_RUNS) -> DataFrame:
+    """(shard, n, names): keys of those runs of the shard that ``least`` distinct pages of the whole host hold.
+    ``size`` is the number of bytes of all pages, some 8 for a token."""
+    bits = min(40, max(8, math.ceil(math.log2(max(1, size / 2)))))
+    coarse = max(bits - SLOT_BITS, 4)
+    fine = max(0, math.ceil(math.log2(max(1, size / 8 / bucket_runs))))
+    back = "shard long, n long, names binary"
+
+    def send_slots(table):
+        slots, pages = ShardRuns(table["data"][0].as_py(), run).slots(bits)
+        return _send(table["shard"][0].as_py(), slots << np.uint64(64 - bits), pages, coarse, least)
+
+    def add_slots(table):
+        # a bucket's slots differ in the bits after its own; counts stop at ``least``
+        count = np.zeros(1 << (bits - coarse), np.min_scalar_type(least))
+
+        def slots(names):
+            return ((names << np.uint64(coarse)) >> np.uint64(64 - bits + coarse)).astype(np.int64)
+
+        for names, pages in _received(table):
+            at = slots(names)
+            count[at] = np.minimum(count[at].astype(np.int64) + pages, least)
+        return _back(table, [names[count[slots(names)] >= least] for names, _ in _received(table)])
+
+    def send_runs(left, right):
+        data = _data(left, right) if right.num_rows else None
+        if data is None:
+            return _send(0, np.zeros(0, np.uint64), np.zeros(0, np.int64), fine, least)
+        keys, pages = ShardRuns(data, run).runs(_names(right) >> np.uint64(64 - bits), bits)
+        return _send(left["shard"][0].as_py(), keys, pages, fine, least)
+
+    def add_runs(table):
+        parts, pages = zip(*_received(table))
         keys, place = np.unique(np.concatenate(parts), return_inverse=True)
-        pages = np.concatenate([np.frombuffer(x.as_py(), np.int32) for x in table["pages"]])
-        shared = np.bincount(place, weights=pages, minlength=len(keys)) >= least
+        shared = np.bincount(place, weights=np.concatenate(pages), minlength=len(keys)) >= least
         ends = np.cumsum([0, *map(len, parts)])
-        kept = [part[shared[place[a:b]]].tobytes() for part, a, b in zip(parts, ends, ends[1:])]
-        return pa.table({"shard": table["shard"], "keys": pa.array(kept, pa.binary())})
+        return _back(table, [part[shared[place[a:b]]] for part, a, b in zip(parts, ends, ends[1:])])
 
-    sent = pages.select("shard", "host", "blocks").mapInArrow(send, "bucket long, shard long, keys binary, pages binary")
-    return sent.groupBy("bucket").applyInArrow(add, "shard long, keys binary").where(F.length("keys") > 0)
+    slots = (shards.groupBy("shard").applyInArrow(send_slots, PACKED)
+             .groupBy("bucket").applyInArrow(add_slots, back).where("n > 0"))
+    runs = shards.groupBy("shard").cogroup(slots.groupBy("shard")).applyInArrow(send_runs, PACKED)
+    return runs.groupBy("bucket").applyInArrow(add_runs, back).where("n > 0")
 
 
 def extract_text(pages: DataFrame, run: int = RUN, least: int = PAGES, shard_tokens: int = SHARD_TOKENS) -> DataFrame:
-    """One row per page: page_id, url, text."""
+    """One row per page: page_id, url, text. The pages are read twice, at first for their number of bytes alone."""
     rows = pages.select("page_id", "url", F.coalesce(F.lower(F.regexp_extract("url", r"^(?:[a-zA-Z][^:/?#]*:)?//([^/?#]*)", 1)),
                                                     F.lit("")).alias("host"), "html")
-    block = "array<struct<kind:int,text:string>>"
 
     def parse(batches):
-        kind = pa.list_(pa.struct([("kind", pa.int32()), ("text", pa.string())]))
-        shard, held = TaskContext.get().partitionId() << 32, 0
+        # a shard's name tells what it holds, so pages that a second reading deals otherwise are noticed
+        def shard():
+            data = _shard(dealt, ids)
+            digest = hashlib.blake2b(f"{TaskContext.get().partitionId()} {made} ".encode() + data, digest_size=8).digest()
+            return pa.RecordBatch.from_arrays([pa.array([int.from_bytes(digest, "little", signed=True)], pa.int64()),
+                                               pa.array([data], pa.binary())], ["shard", "data"])
+
+        dealt, held, made = [], 0, 0
         for batch in batches:
-            parts, tokens, shards = [], [], []
-            for page in batch.column(3):
+            ids = batch.column(0).type
+            for page_id, url, host, page in zip(*batch.columns):
                 blocks = page_blocks(page.as_py())
-                parts.append([{"kind": k, "text": t} for k, t in blocks])
-                tokens.append(sum(t.count(" ") + 2 for _, t in blocks))
-                held += tokens[-1]
-                if held > shard_tokens:
-                    shard, held = shard + 1, tokens[-1]
-                shards.append(shard)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), batch.column(2), pa.array(parts, kind),
-                 pa.array(tokens, pa.int64()), pa.array(shards, pa.int64())],
-                ["page_id", "url", "host", "blocks", "tokens", "shard"])
-
-    parsed = stored(rows.mapInArrow(parse, f"page_id long, url string, host string, blocks {block}, tokens long, shard long"),
-                    "parsed")
+                tokens = 1 + sum(t.count(" ") + 2 for _, t in blocks)
+                if dealt and held + tokens > shard_tokens:
+                    yield shard()
+                    dealt, held, made = [], 0, made + 1
+                dealt.append((page_id.as_py(), url.as_py(), host.as_py(), blocks))
+                held += tokens
+        if dealt:
+            yield shard()
+
     def keep_unique(left, right):
-        hosts, blocks = left["host"].to_pylist(), left["blocks"].to_pylist()
-        shared = np.concatenate([np.zeros(0, np.int64), *(np.frombuffer(x.as_py(), np.int64) for x in right["keys"])])
-        texts = [None] * len(hosts)
-        for places, runs in _by_host(hosts, blocks, run):
-            for i, covered in zip(places, runs.covered(shared)):
-                texts[i] = "\n\n".join(_left(blocks[i], covered))
-        return pa.table({"page_id": left["page_id"], "url": left["url"], "text": pa.array(texts, pa.string())})
+        runs = ShardRuns(_data(left, right), run)
+        return pa.table({"page_id": runs.pages["page_id"], "url": runs.pages["url"],
+                         "text": pa.array(runs.texts(_names(right)), pa.string())})
 
-    return parsed.select("shard", "host", "page_id", "url", "blocks").groupBy("shard").cogroup(
-        shared_runs(parsed, run, least).groupBy("shard")).applyInArrow(keep_unique, "page_id long, url string, text string")
+    size = rows.agg(F.sum(F.octet_length("html"))).first()[0] or 0
+    shards = rows.mapInArrow(parse, "shard long, data binary")
+    return shards.groupBy("shard").cogroup(shared_runs(shards, size, run, least).groupBy("shard")).applyInArrow(
+        keep_unique, "page_id long, url string, text string")
 
 
-def _left(blocks: list[dict], covered: np.ndarray) -> list[str]:
+def _left(kinds: list[int], blocks: list[str], covered: np.ndarray) -> list[str]:
     """Texts of the protected blocks, and of the open ones without their covered words."""
+    if 1 not in kinds or not covered.any():
+        return [text for kind, text in zip(kinds, blocks) if kind]
     kept, at = [], 0
-    for b in blocks:
-        words = b["text"].split(" ")
-        left = [w for w, c in zip(words, covered[at: at + len(words)]) if b["kind"] == 2 or not c]
+    for kind, text in zip(kinds, blocks):
+        words = text.split(" ")
+        left = [w for w, c in zip(words, covered[at: at + len(words)]) if kind == 2 or not c]
         at += len(words) + 1
-        if b["kind"] and left:
+        if kind and left:
             kept.append(" ".join(left))
     return kept
 

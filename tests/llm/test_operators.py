@@ -5,6 +5,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -131,6 +132,33 @@ def test_runs_are_found_on_hosts_whose_pages_are_all_marked(spark):
     assert {r["page_id"]: r["text"] for r in out.collect()} == {i: f"{notice}\n\n{prose(400 + i, 30)}" for i in range(4)}
 
 
+def test_runs_travel_in_few_bytes_and_pages_by_one_exchange(spark):
+    names = np.unique(np.random.default_rng(7).integers(0, 2 ** 64, 50_000, np.uint64))
+    assert (html_text._unpack(len(names), html_text._pack(names)) == names).all()
+    assert len(html_text._unpack(0, html_text._pack(names[:0]))) == 0
+    shard = html_text._shard([(i, None, "h", [(1, prose(500 + i, 400))]) for i in range(100)], pa.int64())
+    slots, pages = html_text.ShardRuns(shard).slots(24)
+    sent = html_text._send(1, slots << np.uint64(40), pages, 4, 3)
+    assert sum(len(x) + len(y) for x, y in zip(sent["names"].to_pylist(), sent["pages"].to_pylist())) < 3 * len(slots)
+    rnd = random.Random(11)
+    texts = [[rnd.choice("abc") for _ in range(rnd.randrange(1, 60))] for _ in range(60)]
+    rows = [(i, f"http://h{i % 3}/{i}", f"<p>{' '.join(t)}</p>") for i, t in enumerate(texts)]
+    want = {}
+    for h in range(3):
+        flags = html_text.covered_tokens([[ord(w) for w in t] + [0] for t in texts[h::3]])
+        want |= {h + 3 * k: " ".join(w for w, c in zip(texts[h + 3 * k], f) if not c) for k, f in enumerate(flags)}
+    out = html_text.extract_text(spark.createDataFrame(rows, "page_id long, url string, html string"), shard_tokens=150)
+    assert {r["page_id"]: r["text"] for r in out.collect()} == want and any(len(want[i]) < len(" ".join(t)) for i, t in enumerate(texts))
+    plan = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("ReusedExchange") == 2 and plan.count("MapInArrow") == 1
+
+
+def test_pages_dealt_otherwise_on_a_second_reading_are_an_error():
+    table = pa.table({"shard": pa.array([], pa.int64()), "data": pa.array([], pa.binary())})
+    with pytest.raises(RuntimeError, match="changed while they were read"):
+        html_text._data(table, pa.table({"shard": [1]}))
+
+
 # ------------------------------------------------------------------ 3 exact
 @pytest.mark.parametrize("digest", [exact.sha_digest, lambda body: F.encode(F.substring(body, 1, 1), "UTF-8")])
 def test_exact_dedup(spark, digest):
